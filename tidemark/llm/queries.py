@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from . import chosen_path, decontaminate, sharding
+from . import chosen_path, decontaminate, packing, quality, secrets, sharding, toxicity, wordpiece
 
 QUERIES = {
+    "op2_count_tokens": wordpiece.op2_count_tokens,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_shard": sharding.op4_shard,
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op6_secrets": secrets.op6_secrets,
+    "op8_quality": quality.op8_quality,
+    "op9_pack": packing.op9_pack,
     "op10_chosen_path": chosen_path.op10_chosen_path,
 }
 
