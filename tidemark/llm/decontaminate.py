@@ -23,11 +23,11 @@ def words(text):
 
 
 def build_index(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Stored positional index: (rid, *keep, words); position p of a text is words[p].
+    """Stored positional index: (rid, row, words); position p of a text is words[p], row has the columns to keep.
 
     rid numbers the rows, so repeated or null ids stay apart. Null and empty texts have no words.
     """
-    return cut(docs.select(F.monotonically_increasing_id().alias("rid"), *keep, words(F.col(text)).alias("words")), "index")
+    return cut(docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(*keep).alias("row"), words(F.col(text)).alias("words")), "index")
 
 
 def phrases(bench: DataFrame, size: int = 10, item: str = "item_id", text: str = "text") -> DataFrame:
@@ -74,7 +74,7 @@ def proximity_matches(index: DataFrame, wanted: DataFrame, slack: int = 2) -> Da
 
 
 def contamination(docs: DataFrame, bench: DataFrame, size: int = 10, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """One row per document: *keep, n_words, n_hit (words inside a matched window), n_items, items (sorted ids as
+    """One row per document: row (a struct of the columns to keep, so that none can clash), n_words, n_hit (words inside a matched window), n_items, items (sorted ids as
     text), items_sha256, contaminated. Null or empty texts have no words and no hits; a null item id is skipped."""
     index = build_index(docs, keep=keep)
     wanted = cut(phrases(bench, size).where("item is not null"), "phrases")
@@ -87,16 +87,17 @@ def contamination(docs: DataFrame, bench: DataFrame, size: int = 10, keep: tuple
     pairs = found.select("rid", "phrase").distinct().join(small(wanted), "phrase").select("rid", F.col("item").cast("string").alias("item")).distinct()
     items = pairs.groupBy("rid").agg(F.sort_array(F.collect_list("item")).alias("items"))
     none = F.array().cast("array<string>")
-    out = index.select("rid", *keep, F.size("words").cast("long").alias("n_words")).join(hit, "rid", "left").join(items, "rid", "left")
+    out = index.select("rid", "row", F.size("words").cast("long").alias("n_words")).join(hit, "rid", "left").join(items, "rid", "left")
     items, n_hit = F.coalesce("items", none), F.coalesce("n_hit", F.lit(0).cast("long"))
     return out.select(
-        *keep, "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), items.alias("items"),
+        "row", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), items.alias("items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
     )
 
 
 def op5_decontaminate(spark, sf_dir):
-    return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("items")
+    found = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 OP5_SQL = r"""

@@ -185,19 +185,19 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", most
     return model.fit(np.concatenate(rows["x"].tolist()).reshape(-1, len(NAMES)), bags, rows["label"].to_numpy(float))
 
 
-def score_quality(docs: DataFrame, model: GatedAttention, column: str = "score", text: str = "text") -> DataFrame:
-    """docs with the model's score of every whole text added; null and empty texts are scored as empty bags."""
+def quality_score(model: GatedAttention, text):
+    """Column with the model's score of a whole text; null and empty texts are scored as empty bags."""
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
         out = [model.scores(*passage_features(part["text"])) for part in in_steps(texts.to_frame("text"))]
         return pd.Series(np.concatenate(out) if out else np.zeros(0))
 
-    return docs.withColumn(column, scored(F.col(text)))
+    return scored(text)
 
 
 def op8_quality(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     model = fit_quality(docs, read(spark, sf_dir, "labels"))
-    scored = score_quality(docs.select("doc_id", "text"), model)
+    scored = docs.select("doc_id", quality_score(model, F.col("text")).alias("score"))
     return scored.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

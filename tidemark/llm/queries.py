@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chosen_path, decontaminate, packing, quality, secrets, sharding, toxicity, wordpiece
+from . import chosen_path, decontaminate, lattice, packing, quality, secrets, sharding, toxicity, wordpiece
 
 QUERIES = {
+    "op1_lattice": lattice.op1_lattice,
     "op2_count_tokens": wordpiece.op2_count_tokens,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_shard": sharding.op4_shard,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_lattice": lattice.OP1_SQL,
     "op5_decontaminate": decontaminate.OP5_SQL,
     "op10_chosen_path": chosen_path.OP10_SQL,
 }
