@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chosen_path, decontaminate, lattice, packing, quality, secrets, sharding, toxicity, wordpiece
+from . import chosen_path, decontaminate, idfiles, lattice, packing, quality, secrets, sharding, toxicity, wordpiece
 
 QUERIES = {
     "op1_lattice": lattice.op1_lattice,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_shard": sharding.op4_shard,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_secrets": secrets.op6_secrets,
+    "op7_id_files": idfiles.op7_id_files,
     "op8_quality": quality.op8_quality,
     "op9_pack": packing.op9_pack,
     "op10_chosen_path": chosen_path.op10_chosen_path,
