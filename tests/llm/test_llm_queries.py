@@ -1,0 +1,33 @@
+import pytest
+from oracle import check
+
+import corpus_pipeline
+from tidemark.llm.queries import ORACLES, QUERIES
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, sf_dir, name):
+    if name in ORACLES:
+        check(spark, QUERIES[name], ORACLES[name], sf_dir)
+    else:
+        assert QUERIES[name](spark, sf_dir).count() > 0
+
+
+def test_pipeline_stages(spark, sf_dir):
+    docs = first = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, sf_dir)
+        assert after.columns == first.columns, name
+        after = spark.createDataFrame(after.collect(), first.schema)
+        assert 0 < after.count() <= docs.count()
+        docs = after
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    assert packed.select("doc_id").distinct().count() == docs.count()
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_stages_take_empty_and_odd_rows(spark, sf_dir, name, stage):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(20)
+    odd = docs.union(spark.createDataFrame([(None, None, None, None, None), (10**9, "", None, None, 0), (10**9, "", None, None, 0)], docs.schema)).withColumn("words", docs.lang)
+    assert stage(spark, odd, sf_dir).count() > 0
+    assert stage(spark, odd.where("false"), sf_dir).count() == 0

@@ -131,7 +131,7 @@ def lattice_components(vectors: DataFrame, id: str = "vec_id", vector: str = "em
 
     Null, empty and zero vectors, those with null or non-finite components, and those without a label link with
     nothing. Equal vectors are searched once and count as linked with one another; rows that repeat an id count
-    as vectors of their own. A null id can't name a component: its row has the smallest id of those it links to.
+    as vectors of their own. A null id can't name a component: its row has the smallest id it links to, and is kept.
     """
     src = vectors.select(F.monotonically_increasing_id().alias("rid"), F.col(id).cast("long").alias("vec_id"), F.col(label).cast("long").alias("label"), F.col(vector).alias("v"))
     feats = src.mapInPandas(lambda b: _features(b, tables, probes, scale), "rid long, vec_id long, label long, digest binary, unit array<double>, own array<long>, more array<long>")
