@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from .cursor import Bound, Cursor, CursorSpec, after, apply_bound, below_bound, cursor_order, ts_us
 from .functions import encode, ids, strict
 from .operators import checks, control, inputs, order, pages, schema
-from .plans.scan import Input, checked_scan, rising_scan
+from .plans.scan import Input, checked_scan, publish, rising_scan
 from .scratch import scratch_dir
 from .sources import base, sinks
-from .streaming.stream import stream_dedup
+from .streaming.stream import deliver_stream, rising_stream, stream_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -773,3 +773,42 @@ def r3_stream_dedup(spark, d):
     q = stream_dedup(events, "ts", "10000 days").writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.parquet(f"{root}/out").select("event_id")
+
+
+def _receipts(events: DataFrame) -> DataFrame:
+    return events.groupBy(*pages.PAGE).agg(F.count("*").alias("rows"))
+
+
+_PAGES = f"SELECT page, count(*) AS rows, sum(strlen(line) + 1)::BIGINT AS bytes FROM (SELECT (row_number() OVER (ORDER BY ts, event_id) - 1) // 500 + 1 AS page, {LINE} AS line FROM events WHERE {PAST}) GROUP BY page"
+
+
+@query("p2_seal_page", _PAGES)
+def p2_seal_page(spark, d):
+    root = scratch_dir(spark, "sealed")
+    publish(checked_scan(event_base(spark, d), EVENTS, AT), EVENTS, 1, root, AT)
+    return spark.read.parquet(f"{root}/manifest").select("page", "rows", "bytes")
+
+
+@query("r1_deliver_stream", _PAGES.replace(", sum(strlen(line) + 1)::BIGINT AS bytes", ""))
+def r1_deliver_stream(spark, d):
+    root = scratch_dir(spark, "delivered")
+    publish(checked_scan(event_base(spark, d), EVENTS, AT), EVENTS, 1, root, AT)
+    deliver_stream(spark, root, f"{root}/checkpoint", _receipts).awaitTermination()
+    return spark.read.parquet(f"{root}/receipts").select("page", "rows")
+
+
+@query("r2_rising_stream", f"SELECT event_id AS id, {US} AS ts_us FROM events")
+def r2_rising_stream(spark, d):
+    root, path = scratch_dir(spark, "rising"), f"{d}/events.parquet*"
+    inp = Input("events", SPEC, ("event_id", "ts", "event_type"), query="events", max_rows=2_000)
+    rising_stream(spark, path, table(spark, d, "events").schema, inp, root, f"{root}/checkpoint", _receipts).awaitTermination()
+    return spark.read.parquet(f"{root}/events").select("id", "ts_us")
+
+
+@query("r4_late_rows", f"SELECT {EVENT_ID} AS event_id FROM events WHERE {PAST} OR ({US} >= {AT.ts_us - OVERLAP.overlap_us} AND event_id % 10 = 3)")
+def r4_late_rows(spark, d):
+    """Rows that were committed late into the overlap window come with the next scan; the others are known by id."""
+    e = event_base(spark, d)
+    scanned = rising_scan(e, Input(EVENTS.input_id, OVERLAP, COLUMNS, "spark", "events", 500), AT)
+    known = rising_scan(e.where(~after(e, SPEC, Bound(AT)) & (F.col("event_id") % 10 != 3)), EVENTS)
+    return control.replay_dedup(scanned.select("event_id"), known)
