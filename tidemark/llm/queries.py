@@ -18,6 +18,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_shard": sharding.OP4_SQL,
     "op1_lattice": lattice.OP1_SQL,
     "op5_decontaminate": decontaminate.OP5_SQL,
     "op10_chosen_path": chosen_path.OP10_SQL,

@@ -72,3 +72,15 @@ def op4_shard(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     placed = place(docs, {s: 1.0 for s in range(8)})
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), F.col("shard").cast("int").alias("shard"), "slot", F.col("grown_shard").cast("int").alias("grown_shard"))
+
+
+OP4_SQL = """
+WITH u AS (SELECT doc_id, coalesce(text, '') AS t, list_transform(range(9), lambda s: -1.0 / ln((('0x' || substr(md5('s:' || s || ':' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT + 0.5) / 4503599627370496.0)) AS score FROM documents),
+s AS (SELECT doc_id, t, list_position(score[1:8], list_max(score[1:8])) - 1 AS shard, list_position(score, list_max(score)) - 1 AS grown_shard,
+             list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: ('0x' || x)::BIGINT) AS bytes FROM u)
+SELECT doc_id, (strlen(t) + 1)::BIGINT AS size,
+       -- crc32 bit by bit
+       xor(list_reduce(list_prepend(4294967295, bytes), lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda d, z: xor(d >> 1, 3988292384 * (d & 1)))), 4294967295) AS text_crc32,
+       'key' AS law, shard::INTEGER AS shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, grown_shard::INTEGER AS grown_shard
+FROM s
+"""
