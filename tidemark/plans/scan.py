@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..cursor import Bound, Cursor, CursorSpec, apply_bound, ts_us
+from ..cursor import Cursor, CursorSpec, apply_bound, ts_us
 from ..errors import TidemarkError
 from ..functions import ids
 from ..functions.encode import ndjson_line
@@ -48,9 +48,9 @@ def rising_scan(base: DataFrame, inp: Input, committed: Cursor | None = None, re
     at, id = ts_us(base, inp.spec), F.col(f"`{inp.spec.id}`")
     rows = kept.select(at.alias("ts_us"), id.alias("id"), ids.rising_event_id(key, lineage, cursor_fp, at, id).alias("event_id"), ndjson_line(kept, list(inp.columns)).alias("line"))
     rows = rows.withColumn("line_bytes", F.octet_length("line").cast("long"))
-    numbered = page_assign(with_ordinal(rows, bucket_rows=bucket_rows), inp.max_rows)
-    total = numbered.agg(F.max("page").alias("_last")).first()["_last"] or 0  # one number
-    return numbered.withColumn("truncated", F.col("page") < total)
+    n = kept.select(inp.spec.id).count()
+    numbered = page_assign(with_ordinal(rows, rows=n, bucket_rows=bucket_rows), inp.max_rows)
+    return numbered.withColumn("truncated", F.col("page") < -(-n // inp.max_rows))
 
 
 def checked_scan(base: DataFrame, inp: Input, committed: Cursor | None = None, resume_after: Cursor | None = None) -> DataFrame:
