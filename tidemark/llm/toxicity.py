@@ -31,10 +31,16 @@ _STOP = ".!?"
 
 
 def _codes(strings: list[str], width: int) -> np.ndarray:
-    out = np.zeros((len(strings), width), np.uint32)
-    for i, s in enumerate(strings):
-        out[i, : len(s)] = [ord(c) for c in s[:width]]
-    return out
+    """Code points of each string, cut or padded with 0 to the width."""
+    return np.array(strings, dtype=f"<U{width}").view(np.uint32).reshape(len(strings), width)
+
+
+def _masks(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per row the set of its letters and of its neighbouring pairs, each hashed to 64 bits."""
+    one = np.uint64(1)
+    bit = np.where(codes > 0, one << (codes % 64).astype(np.uint64), np.uint64(0))
+    pair = np.where(codes[:, 1:] > 0, one << ((codes[:, :-1] * 31 + codes[:, 1:]) % 64).astype(np.uint64), np.uint64(0))
+    return np.bitwise_or.reduce(bit, axis=1), np.bitwise_or.reduce(pair, axis=1)
 
 
 def subsequence_kernel(codes: np.ndarray, other: str, order: int = ORDER, decay: float = DECAY) -> np.ndarray:
@@ -82,21 +88,14 @@ def _similar(strings: list[str], landmarks: list[str], own: np.ndarray) -> np.nd
     out = np.zeros((len(strings), len(landmarks)), np.float32)
     if not strings:
         return out
-    masks = np.zeros(len(strings), np.uint64)
-    for i, s in enumerate(strings):
-        m = 0
-        for c in s:
-            m |= 1 << (ord(c) % 64)
-        masks[i] = m
-    codes, size = None, np.array([len(s) for s in strings])
-    codes = _codes(strings, WIDTH)
+    codes, size = _codes(strings, WIDTH), np.array([len(s) for s in strings])
+    letters, pairs = _masks(codes)
     for k, mark in enumerate(landmarks):
-        letters = 0
-        for c in mark:
-            letters |= 1 << (ord(c) % 64)
-        # without that many of its letters a word has too few of the landmark's subsequences
-        need = letters.bit_count() - max(1, len(mark) // 4)
-        some = np.flatnonzero((np.bitwise_count(masks & np.uint64(letters)) >= need) & (size >= ORDER))
+        (own_letters,), (own_pairs,) = _masks(_codes([mark], len(mark)))
+        # without that many of its letters, and two of its pairs side by side, a word stays below FLOOR
+        need = int(np.bitwise_count(own_letters)) - max(1, len(mark) // 4)
+        sides = max(1, min(2, int(np.bitwise_count(own_pairs)) - 1))
+        some = np.flatnonzero((np.bitwise_count(letters & own_letters) >= need) & (np.bitwise_count(pairs & own_pairs) >= sides) & (size >= ORDER))
         if len(some):
             width = int(size[some].max())
             out[some, k] = np.minimum(subsequence_kernel(codes[some][:, :width], mark) / own[k], 1)
