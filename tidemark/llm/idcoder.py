@@ -2,7 +2,7 @@
 
 Predictions of order 2, 1 and 0 (the id that followed the last two ids, the last id, and the most frequent id) are
 mixed by how well the first two have done: for each pair of confidences the coder learns how often each of
-them is right, and a carryless range coder (32 bits, byte-wise) codes which one it is, or an escape and the id.
+them is right, and a carryless range coder (64 bits, 32 written at once) codes which one it is, or an escape and the id.
 Blocks share nothing, so numpy codes many at once, one lane each.
 """
 
@@ -15,8 +15,8 @@ import numpy as np
 
 BLOCK_IDS, TABLE = 4096, 1 << 12
 MAGIC = b"TMB1"
-_TOP, _BOT, _MASK = np.uint64(1 << 24), np.uint64(1 << 16), np.uint64(0xFFFFFFFF)
-_8, _24, _16 = np.uint64(8), np.uint64(24), np.uint64(16)
+_TOP, _FULL, _ESCAPE = np.uint64(1 << 32), np.uint64(2**64 - 1), np.uint64(1 << 16)
+_32, _16, _1 = np.uint64(32), np.uint64(16), np.uint64(1)
 _HEAD = struct.Struct("<4sIIII")
 #: One document's part of a block: its number in the file, its id, its ids here; flags: 1 null id.
 PIECE = np.dtype([("doc_no", "<i8"), ("doc_id", "<i8"), ("n", "<u4"), ("flags", "<u4")])
@@ -31,7 +31,8 @@ class _Model:
         self.sure1, self.sure2 = (np.zeros(lanes * TABLE, np.int8) for _ in range(2))
         self.seen = np.zeros(lanes * TABLE, np.int16)
         self.best, self.often = np.full(lanes, -1, np.int32), np.zeros(lanes, np.int16)
-        self.weight = np.tile(np.array([2, 2, 1, 8], np.int32), (lanes * 32, 1))
+        self.weight = np.tile(np.array([2, 2, 1, 8], np.int64), lanes * 32)  # of each context: p2, p1, p0, escape
+        self.context = np.arange(lanes, dtype=np.int64) * 128
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
 
     def predict(self, k: int):
@@ -39,17 +40,22 @@ class _Model:
         self.at2 = self.base[:k] + ((self.last[:k] * 40503 + self.before[:k] * 2654435761) >> 9) % TABLE
         self.p2, self.p1, self.p0 = self.id2[self.at2], self.id1[self.at1], self.best[:k]
         same = self.p1 == self.p2
-        self.ctx = (np.arange(k) * 32) + (self.sure2[self.at2].astype(np.int64) << 3) + (self.sure1[self.at1].astype(np.int64) << 1) + same
-        w = self.weight[self.ctx]
-        self.upto = np.cumsum(w, axis=1)
-        return w, self.upto
+        self.ctx = self.context[:k] + (self.sure2[self.at2].astype(np.int64) << 5) + (self.sure1[self.at1].astype(np.int64) << 3) + (same.astype(np.int64) << 2)
+        w = self.weight
+        first = w[self.ctx]
+        second = first + w[self.ctx + 1]
+        third = second + w[self.ctx + 2]
+        self.total = third + w[self.ctx + 3]
+        return first, second, third, self.total
 
     def update(self, k: int, ids: np.ndarray, symbol: np.ndarray):
         w = self.weight
-        w[self.ctx, symbol] += 12
-        full = self.upto[:, 3] > 4000
-        if full.any():
-            w[self.ctx[full]] = (w[self.ctx[full]] + 1) >> 1
+        w[self.ctx + symbol] += 12
+        full = np.flatnonzero(self.total > 4000)
+        if len(full):
+            for j in range(4):
+                at = self.ctx[full] + j
+                w[at] = (w[at] + 1) >> 1
         for known, sure, at, p in ((self.id1, self.sure1, self.at1, self.p1), (self.id2, self.sure2, self.at2, self.p2)):
             hit = p == ids
             c = sure[at]
@@ -82,45 +88,42 @@ def encode_ids(blocks: list[np.ndarray]) -> list[bytes]:
     for lane, b in enumerate(order):
         wide[: lengths[b], lane] = blocks[b]
     model, lanes = _Model(len(blocks)), np.arange(len(blocks))
-    low, rng = np.zeros(len(blocks), np.uint64), np.full(len(blocks), 0xFFFFFFFF, np.uint64)
-    out, size = np.zeros((len(blocks), 4 * int(lengths.max()) + 16), np.uint8), np.zeros(len(blocks), np.int64)
-
-    def narrow(at, start, width, total):
-        lo, r = low[at], rng[at] // total
-        lo, r = lo + r * start, r * width
-        todo = np.arange(len(at))
-        while True:
+    low, rng = np.zeros(len(blocks), np.uint64), np.full(len(blocks), _FULL)
+    out, size = np.zeros((len(blocks), 4 * int(lengths.max()) + 8), np.uint32), np.zeros(len(blocks), np.int64)
+
+    def narrow(at, start, width, r):
+        lo, r = low[at] + r * start, r * width
+        settled = (lo ^ (lo + r)) < _TOP
+        todo = np.flatnonzero(settled | (r < _TOP))
+        while len(todo):
             tl, tr = lo[todo], r[todo]
-            settled = (tl ^ (tl + tr)) < _TOP
-            need = settled | (tr < _BOT)
-            if not need.any():
-                break
-            todo, tl, tr, settled = todo[need], tl[need], tr[need], settled[need]
-            tr = np.where(settled, tr, (~tl + np.uint64(1)) & (_BOT - np.uint64(1)))
+            # a range that straddles a word is cut to what lies before the boundary
+            tr = np.where((tl ^ (tl + tr)) < _TOP, tr, (~tl + _1) & (_TOP - _1))
             lane = at[todo]
-            out[lane, size[lane]] = (tl >> _24) & np.uint64(255)
+            out[lane, size[lane]] = tl >> _32
             size[lane] += 1
-            lo[todo], r[todo] = (tl << _8) & _MASK, tr << _8
+            tl, tr = tl << _32, tr << _32
+            lo[todo], r[todo] = tl, tr
+            todo = todo[((tl ^ (tl + tr)) < _TOP) | (tr < _TOP)]
         low[at], rng[at] = lo, r
 
     for t, k in enumerate(active):
         ids = wide[t, :k]
-        w, upto = model.predict(k)
+        first, second, third, total = model.predict(k)
         symbol = np.where(model.p2 == ids, 0, np.where(model.p1 == ids, 1, np.where(model.p0 == ids, 2, 3)))
-        row = np.arange(k)
-        width = w[row, symbol]
-        narrow(lanes[:k], (upto[row, symbol] - width).astype(np.uint64), width.astype(np.uint64), upto[:, 3].astype(np.uint64))
+        start = np.choose(symbol, [0, first, second, third])
+        width = np.choose(symbol, [first, second, third, total]) - start
+        narrow(lanes[:k], start.astype(np.uint64), width.astype(np.uint64), rng[:k] // total.astype(np.uint64))
         raw = np.flatnonzero(symbol == 3)
         if len(raw):
-            narrow(raw, ids[raw].astype(np.uint64), np.uint64(1), _BOT)
+            narrow(raw, ids[raw].astype(np.uint64), _1, rng[raw] >> _16)
         model.update(k, ids, symbol)
-    for _ in range(4):
-        out[lanes, size] = (low >> _24) & np.uint64(255)
+    for shift in (_32, np.uint64(0)):
+        out[lanes, size] = (low >> shift) & np.uint64(0xFFFFFFFF)
         size += 1
-        low = (low << _8) & _MASK
     codes: list[bytes] = [b""] * len(blocks)
     for lane, b in enumerate(order):
-        codes[b] = out[lane, : size[lane]].tobytes()
+        codes[b] = out[lane, : size[lane]].astype("<u4").tobytes()
     return codes
 
 
@@ -130,48 +133,44 @@ def decode_ids(codes: list[bytes], lengths) -> list[np.ndarray]:
     if not len(lengths):
         return []
     order, active = _order(lengths)
-    most = max(map(len, codes))
-    data = np.zeros((len(codes), most + 8), np.uint8)
+    most = max(map(len, codes)) // 4
+    data = np.zeros((len(codes), most + 4), np.uint32)
     for lane, b in enumerate(order):
-        data[lane, : len(codes[b])] = np.frombuffer(codes[b], np.uint8)
+        data[lane, : len(codes[b]) // 4] = np.frombuffer(codes[b], "<u4")
     model, lanes = _Model(len(codes)), np.arange(len(codes))
-    low, rng = np.zeros(len(codes), np.uint64), np.full(len(codes), 0xFFFFFFFF, np.uint64)
-    code, at_byte = np.zeros(len(codes), np.uint64), np.full(len(codes), 4)
-    for j in range(4):
-        code = (code << _8) | data[:, j]
+    low, rng = np.zeros(len(codes), np.uint64), np.full(len(codes), _FULL)
+    code, at_word = (data[:, 0].astype(np.uint64) << _32) | data[:, 1], np.full(len(codes), 2)
     wide = np.zeros((int(lengths.max()), len(codes)), np.int32)
 
-    def narrow(at, r, start, width):
+    def narrow(at, start, width, r):
         lo, r = low[at] + r * start, r * width
-        todo = np.arange(len(at))
-        while True:
+        settled = (lo ^ (lo + r)) < _TOP
+        todo = np.flatnonzero(settled | (r < _TOP))
+        while len(todo):
             tl, tr = lo[todo], r[todo]
-            settled = (tl ^ (tl + tr)) < _TOP
-            need = settled | (tr < _BOT)
-            if not need.any():
-                break
-            todo, tl, tr, settled = todo[need], tl[need], tr[need], settled[need]
-            tr = np.where(settled, tr, (~tl + np.uint64(1)) & (_BOT - np.uint64(1)))
+            tr = np.where((tl ^ (tl + tr)) < _TOP, tr, (~tl + _1) & (_TOP - _1))
             lane = at[todo]
-            code[lane] = ((code[lane] << _8) & _MASK) | data[lane, np.minimum(at_byte[lane], most + 7)]
-            at_byte[lane] += 1
-            lo[todo], r[todo] = (tl << _8) & _MASK, tr << _8
+            code[lane] = (code[lane] << _32) | data[lane, np.minimum(at_word[lane], most + 3)]
+            at_word[lane] += 1
+            tl, tr = tl << _32, tr << _32
+            lo[todo], r[todo] = tl, tr
+            todo = todo[((tl ^ (tl + tr)) < _TOP) | (tr < _TOP)]
         low[at], rng[at] = lo, r
 
     for t, k in enumerate(active):
-        w, upto = model.predict(k)
-        r = rng[:k] // upto[:, 3].astype(np.uint64)
-        target = ((code[:k] - low[:k]) & _MASK) // r
-        symbol = (upto[:, :3] <= target[:, None].astype(np.int64)).sum(1)
-        row = np.arange(k)
-        width = w[row, symbol]
-        narrow(lanes[:k], r, (upto[row, symbol] - width).astype(np.uint64), width.astype(np.uint64))
+        first, second, third, total = model.predict(k)
+        r = rng[:k] // total.astype(np.uint64)
+        target = ((code[:k] - low[:k]) // r).astype(np.int64)
+        symbol = (first <= target).astype(np.int64) + (second <= target) + (third <= target)
+        start = np.choose(symbol, [0, first, second, third])
+        width = np.choose(symbol, [first, second, third, total]) - start
+        narrow(lanes[:k], start.astype(np.uint64), width.astype(np.uint64), r)
         ids = np.choose(symbol, [model.p2, model.p1, model.p0, 0]).astype(np.int32)
         raw = np.flatnonzero(symbol == 3)
         if len(raw):
             r = rng[raw] >> _16
-            found = np.minimum(((code[raw] - low[raw]) & _MASK) // r, np.uint64(65535))
-            narrow(raw, r, found, np.uint64(1))
+            found = np.minimum((code[raw] - low[raw]) // r, _ESCAPE - _1)
+            narrow(raw, found, _1, r)
             ids[raw] = found
         wide[t, :k] = ids
         model.update(k, ids, symbol)
