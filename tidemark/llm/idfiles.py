@@ -19,6 +19,8 @@ from ._base import cut, read
 from .idcoder import BLOCK_IDS, PIECE, crc32_join, read_blocks, write_blocks
 from .tokens import encoder, in_steps
 
+#: Blocks that a task codes at once: bounds its memory.
+LANES = 640
 BLOCKS = "part int, seq int, n_ids long, block binary"
 
 
@@ -53,8 +55,9 @@ def encode_documents(docs: DataFrame, tokenizer: str, id: str = "doc_id", text:
                 rest["n"][0] = min(int(rest["n"][0]), int(ends[len(table) - len(rest)] - done))
             return pd.DataFrame(rows, columns=["part", "seq", "n_ids", "block"]), ids[done:], rest
 
+        gathered, waiting = [], 0
         for batch in batches:
-            for pdf in in_steps(batch, 16_000_000):
+            for pdf in in_steps(batch, 1_500_000):
                 ids, counts = encoder(tokenizer).encode(pdf["text"])
                 ends = np.cumsum(counts + 1)
                 full = np.full(int(ends[-1]), end, np.uint32)
@@ -67,8 +70,13 @@ def encode_documents(docs: DataFrame, tokenizer: str, id: str = "doc_id", text:
                 table["doc_id"] = pdf["id"].fillna(0).to_numpy().astype(np.int64)
                 table["n"], table["flags"] = counts + 1, null
                 doc_no += len(pdf)
-                rows, left, pieces = blocks(np.concatenate([left, full]), np.concatenate([pieces, table]), False)
-                yield rows
+                gathered.append((full, table))
+                waiting += len(full)
+                if waiting >= LANES * BLOCK_IDS:
+                    rows, left, pieces = blocks(np.concatenate([left, *[g[0] for g in gathered]]), np.concatenate([pieces, *[g[1] for g in gathered]]), False)
+                    gathered, waiting = [], 0
+                    yield rows
+        left, pieces = np.concatenate([left, *[g[0] for g in gathered]]), np.concatenate([pieces, *[g[1] for g in gathered]])
         rows, left, pieces = blocks(left, pieces, True)
         yield rows
 
@@ -82,8 +90,8 @@ def decode_documents(blocks: DataFrame, id: str = "doc_id") -> DataFrame:
     def run(batches):
         for pdf in batches:
             rows = []
-            for first in range(0, len(pdf), 2048):
-                some = pdf.iloc[first : first + 2048]
+            for first in range(0, len(pdf), LANES):
+                some = pdf.iloc[first : first + LANES]
                 for part, seq, (table, ids) in zip(some["part"], some["seq"], read_blocks([bytes(b) for b in some["block"]])):
                     at, raw = 0, ids.astype("<u4")
                     for piece in table:
