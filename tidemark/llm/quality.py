@@ -7,6 +7,8 @@ document labels alone.
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -19,7 +21,7 @@ from .tokens import in_steps
 PASSAGE = 80
 #: Most labelled documents that the model is fitted on.
 TRAIN_DOCS = 8_000
-MEMO_WORDS = 400_000
+MEMO_WORDS, TRAITS = 250_000, 12
 _SYMBOLS = frozenset("#$%&*!@^~=+<>{}[]\\/|_")
 
 
@@ -27,14 +29,15 @@ class _Words(dict):
     """word -> number; the traits of word n are row n of the table."""
 
     def __init__(self):
-        self.traits = []
+        self.traits, self.known = array("f"), 0
 
     def __missing__(self, w):
-        n = self[w] = len(self.traits)
+        n = self[w] = self.known
+        self.known += 1
         alpha = sum(map(str.isalpha, w))
         digit = sum(map(str.isdigit, w))
         symbol = sum(c in _SYMBOLS for c in w)
-        self.traits.append((min(len(w), 40), alpha > 1 and w.upper() == w, symbol >= 2 and alpha > 0, alpha == 0, digit > 0,
+        self.traits.extend((min(len(w), 40), alpha > 1 and w.upper() == w, symbol >= 2 and alpha > 0, alpha == 0, digit > 0,
                             len(w) - alpha - digit, symbol, w[-1] in ".!?", w[-1] in ",;:", len(w) == 1, w[0].isupper(), len(w) > 18))
         return n
 
@@ -66,7 +69,7 @@ def passage_features(texts) -> tuple[np.ndarray, np.ndarray]:
     bag = first_bag[doc] + inside // PASSAGE
     size = np.bincount(bag, minlength=len(out)).astype(np.float32)
     if len(w):
-        t = np.array(words.traits, dtype=np.float32)[w]
+        t = np.frombuffer(words.traits, np.float32).reshape(-1, TRAITS)[w]
         some = np.maximum(size, 1)[:, None]
         sums = np.stack([np.bincount(bag, t[:, j], len(out)) for j in range(t.shape[1])], axis=1)
         squares = np.bincount(bag, t[:, 0] ** 2, len(out))
@@ -76,7 +79,7 @@ def passage_features(texts) -> tuple[np.ndarray, np.ndarray]:
         out[:, 2:6] = sums[:, 1:5] / some
         out[:, 6:8] = sums[:, 5:7] / chars[:, None]
         out[:, 8:13] = sums[:, 7:12] / some
-        span = np.int64(len(words.traits) + 1)
+        span = np.int64(words.known + 1)
 
         def new(keys):
             """Whether each key stands here for the first time."""

@@ -10,7 +10,7 @@ from array import array
 import numpy as np
 
 #: Chunks a worker remembers before it starts afresh; about 200 bytes each.
-MEMO_CHUNKS = 800_000
+MEMO_CHUNKS = 250_000
 
 
 def tokenizer_path(name_or_path: str) -> str:
