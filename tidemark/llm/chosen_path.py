@@ -19,8 +19,12 @@ from pyspark.sql import functions as F
 from ._base import cut, read
 from .components import components
 from .shingles import bit_sketch, coefficients, digest, minhashes, shingle_sets
+from .tokens import in_steps
 
-SKETCH = 128
+#: Bits of a sketch; random members of a large node that are tried before all of them; sizes of a block then compared.
+SKETCH, HUBS, MINORS, MEMBERS = 128, 16, 64, 512
+#: Characters that a worker splits into words at once.
+STEP_CHARS = 2_000_000
 
 
 def _plan(trees: int, depth: int) -> int:
@@ -33,7 +37,7 @@ def set_features(docs: DataFrame, id: str, text: str, width: int, trees: int, de
 
     def run(batches):
         odd, plus = coefficients(count)
-        for pdf in batches:
+        for pdf in (part for batch in batches for part in in_steps(batch, STEP_CHARS)):
             rows = []
             for i, s in zip(pdf["id"], shingle_sets(pdf["text"], width)):
                 if len(s):
@@ -84,24 +88,81 @@ def candidates(sets: DataFrame, cents: int, trees: int, depth: int, leaf: int) -
     return pairs, rest
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, id: str, text: str, width: int, cents: int, wanted: DataFrame) -> DataFrame:
-    """The pairs whose full sets reach 100 * intersection >= cents * union. wanted: (id, digest) of the sets meant."""
-    used = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct().join(wanted, "id")
+def full_sets(docs: DataFrame, used: DataFrame, id: str, text: str, width: int) -> DataFrame:
+    """(id, items): the full sets, sorted hashes, of the ids in used(id, digest)."""
 
     def run(batches):
-        for pdf in batches:
+        for pdf in (part for batch in batches for part in in_steps(batch, STEP_CHARS)):
             keep = [(i, s.view(np.int64)) for i, g, s in zip(pdf["id"], pdf["digest"], shingle_sets(pdf["text"], width)) if digest(s) == bytes(g)]
             yield pd.DataFrame(keep, columns=["id", "items"])
 
     src = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).join(used, "id")
     # rows that repeat an id and its text give the same set; one of them is enough
-    sets = cut(src.mapInPandas(run, "id long, items array<long>"), "sets").dropDuplicates(["id"])
+    return cut(src.mapInPandas(run, "id long, items array<long>"), "sets").dropDuplicates(["id"])
+
+
+def confirm(docs: DataFrame, pairs: DataFrame, id: str, text: str, width: int, cents: int, wanted: DataFrame) -> DataFrame:
+    """The pairs whose full sets reach 100 * intersection >= cents * union. wanted: (id, digest) of the sets meant."""
+    used = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct().join(wanted, "id")
+    sets = full_sets(docs, used, id, text, width)
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
     meet = F.size(F.array_intersect("x", "y"))
     return both.where(100 * meet >= cents * (F.size("x") + F.size("y") - meet)).select("a", "b")
 
 
+def _apart(rest: DataFrame, known: DataFrame) -> DataFrame:
+    """Members of nodes that known components leave in several parts: minor tells those outside the largest part."""
+    apart = rest.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    sizes = apart.groupBy("node", "component").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("node").agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.sum("n").alias("size"), F.count("*").alias("k"))
+    apart = apart.join(main.where("k > 1"), "node").withColumn("minor", F.col("component") != F.col("main"))
+    few = apart.where("minor").groupBy("node").agg(F.count("*").alias("minors"))
+    return cut(apart.join(few, "node").drop("main", "k"), "apart")
+
+
+def _with_hubs(apart: DataFrame, cents: int, hubs: int) -> DataFrame:
+    """Pairs (a, b) of each document outside its node's largest part with about `hubs` random members."""
+    other = apart.where(F.pmod(F.xxhash64("id", "node"), F.col("size")) < hubs)
+    pairs = apart.where("minor").alias("x").join(other.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & _agree("x", "y", _slack(cents)))
+    return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
+
+def _across(docs: DataFrame, apart: DataFrame, id: str, text: str, width: int, cents: int, wanted: DataFrame) -> DataFrame:
+    """Links (a, b) between the parts of a node, one at least of any two parts that link: every document outside the
+    largest part is compared with every member of another part, in blocks, and no pair but a link is written."""
+    sets = full_sets(docs, apart.select("id").distinct().join(wanted, "id"), id, text, width)
+    rows = apart.join(sets, "id").withColumns({"blocks": F.ceil(F.col("minors") / MINORS).cast("int"), "chunks": F.ceil(F.col("size") / MEMBERS).cast("int")})
+    deal = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n)).cast("int")
+    keep = ["node", "block", "chunk", "first", "id", "component", "s0", "s1", "items"]
+    left = rows.where("minor").withColumns({"block": deal("blocks", 1), "first": F.lit(True)}).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    right = rows.withColumns({"chunk": deal("chunks", 2), "first": F.lit(False)}).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    least = _slack(cents)
+
+    def links(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, y = pdf[pdf["first"]], pdf[~pdf["first"]]
+        comp, ids, items = y["component"].to_numpy(), y["id"].to_numpy(), y["items"].to_list()
+        size = np.array([len(i) for i in items])
+        s0, s1 = (y[c].to_numpy().view(np.uint64) for c in ("s0", "s1"))
+        out, known = [], set()
+        for i, c, a0, a1, a in zip(x["id"], x["component"], x["s0"].to_numpy().view(np.uint64), x["s1"].to_numpy().view(np.uint64), x["items"]):
+            near = np.flatnonzero((comp != c) & (np.bitwise_count(s0 ^ a0).astype(int) + np.bitwise_count(s1 ^ a1) <= SKETCH - least))
+            if not len(near):
+                continue
+            # hashes are sorted as unsigned numbers; any one order will do for the search
+            a = np.sort(a)
+            flat = np.concatenate([items[k] for k in near])
+            met = a[np.minimum(np.searchsorted(a, flat), len(a) - 1)] == flat
+            meet = np.add.reduceat(met, np.cumsum(size[near]) - size[near], dtype=np.int64)
+            for k in near[100 * meet >= cents * (len(a) + size[near] - meet)]:
+                if (c, comp[k]) not in known:
+                    known.add((c, comp[k]))
+                    out.append((min(i, ids[k]), max(i, ids[k])))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return left.select(keep).union(right.select(keep)).groupBy("node", "block", "chunk").applyInPandas(links, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, cents: int = 80, trees: int = 12, depth: int = 6, leaf: int = 24) -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id that links reach), kept (id = component_id).
 
@@ -118,16 +179,11 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     wanted = sets.select("id", "digest")
     links = cut(confirm(docs, cut(pairs.distinct(), "pairs"), id, text, width, cents, wanted), "found")
     if rest is not None:
-        known = components(links)
-        apart = rest.distinct().join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        split = apart.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-        apart = cut(apart.join(split.select("node"), "node"), "apart")
-        sizes = apart.groupBy("node", "component").count()
-        main = sizes.groupBy("node").agg(F.max_by("component", F.struct("count", -F.col("component"))).alias("main"))
-        minor = apart.join(main, "node").where("component != main")
-        more = minor.alias("x").join(apart.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & _agree("x", "y", _slack(cents)))
-        more = more.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-        links = links.union(confirm(docs, cut(more, "more"), id, text, width, cents, wanted))
+        rest = cut(rest.distinct(), "rest")
+        # a few random members of each node first, so that the pass over all members has few documents left
+        pairs = cut(_with_hubs(_apart(rest, components(links)), cents, HUBS), "hubs")
+        links = cut(links.union(confirm(docs, pairs, id, text, width, cents, wanted)), "found")
+        links = links.union(_across(docs, _apart(rest, components(links)), id, text, width, cents, wanted))
     known = cut(components(links), "components")
     named = sets.select("digest", "id").join(known, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
     out = feats.select("id", "n", "digest").join(named, "digest", "left")
