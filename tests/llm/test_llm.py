@@ -61,6 +61,15 @@ def test_lattice_edges(spark):
     assert lattice.lattice_components(vectors(spark, [])).count() == 0
 
 
+def test_lattice_keeps_components_of_a_bin_apart(spark):
+    pair, longer = [[1.0, 2.0, 3.0], [1.0, 2.0, 3.01]], [[1.0, 2.0, 3.0, 4.0], [1.0, 2.0, 3.0, 4.01]]
+    rows = [(i, v, label) for i, (v, label) in enumerate([(v, 0) for v in pair] + [(v, 1) for v in pair] + [(v, 0) for v in longer])]
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in lattice.lattice_components(vectors(spark, rows)).collect())
+    assert got == [(i, 1, i // 2 * 2) for i in range(6)]
+    got = lattice.lattice_components(vectors(spark, rows[:4])).collect()
+    assert [r["n_links"] for r in got] == [1] * 4
+
+
 def test_e8():
     r = lattice.roots()
     assert len(r) == 240 and np.allclose((r**2).sum(1), 2)

@@ -116,7 +116,7 @@ def _blocked(rows: DataFrame, group: str, size: str) -> DataFrame:
 
 
 def _like(pdf: pd.DataFrame, cosine: float) -> np.ndarray:
-    """Which rows of a block pair link, each pair in the block pair that is its own."""
+    """Which rows of a block pair link, each pair in the block pair that is its own; all units have one length."""
     u = np.stack(pdf["unit"].to_numpy())
     s = u @ u.T >= cosine
     if pdf["i"].iloc[0] != pdf["j"].iloc[0]:
@@ -150,7 +150,11 @@ def lattice_components(vectors: DataFrame, id: str = "vec_id", vector: str = "em
 
     @F.pandas_udf("double")
     def cosines(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series(np.einsum("ij,ij->i", np.stack(x), np.stack(y)) if len(x) else np.zeros(0))
+        out, widths = np.zeros(len(x)), x.map(len).to_numpy()
+        for width in np.unique(widths):  # mates have one length, the pairs of a batch may not
+            at = np.flatnonzero(widths == width)
+            out[at] = np.einsum("ij,ij->i", np.stack(x.iloc[at]), np.stack(y.iloc[at]))
+        return pd.Series(out)
 
     left = few.join(units.select(F.col("cid").alias("a"), F.col("unit").alias("x")), "a")
     both = left.join(units.select(F.col("cid").alias("b"), F.col("unit").alias("y")), "b")
@@ -182,14 +186,22 @@ def lattice_components(vectors: DataFrame, id: str = "vec_id", vector: str = "em
     member = cut(member.join(size, "component"), "members")
     total = member.where(F.col("size") <= BLOCK // 2).count()
     bins = max(1, total // BLOCK)
-    small = member.where(F.col("size") <= BLOCK // 2).select(F.pmod(F.xxhash64("component"), F.lit(bins)).alias("g"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("block"), "cid", "unit", "weight")
+    small = member.where(F.col("size") <= BLOCK // 2).select(F.pmod(F.xxhash64("component"), F.lit(bins)).alias("g"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("block"), "cid", "unit", "weight", "component")
     large = _blocked(member.where(F.col("size") > BLOCK // 2), "component", "size")
 
     def counts(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"cid": pdf["cid"], "n": _like(pdf, cosine) @ pdf["weight"].to_numpy()})
 
+    def counts_shared(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Counts in a group of several components, whose members have one label and one length only within each."""
+        parts = []
+        for _, rows in pdf.groupby(pdf["unit"].map(len)):
+            c = rows["component"].to_numpy()
+            parts.append(pd.DataFrame({"cid": rows["cid"], "n": (_like(rows, cosine) & (c[:, None] == c)) @ rows["weight"].to_numpy()}))
+        return pd.concat(parts)
+
     n = "cid long, n long"
-    counted = small.groupBy("g", "i", "j").applyInPandas(counts, n).union(large.groupBy("g", "i", "j").applyInPandas(counts, n))
+    counted = small.groupBy("g", "i", "j").applyInPandas(counts_shared, n).union(large.groupBy("g", "i", "j").applyInPandas(counts, n))
     counted = counted.groupBy("cid").agg(F.sum("n").alias("n"))
     least = classes.join(named, classes.cid == named.id).groupBy("component").agg(F.min("least_id").alias("component_id"))
     linked = named.join(least, "component").select(F.col("id").alias("cid"), "component_id")
