@@ -4,6 +4,7 @@ import base64
 import gzip
 import itertools
 import random
+import re
 import urllib.parse
 import zlib
 
@@ -214,6 +215,47 @@ def test_secrets_unwrap(wrap):
     assert all(k != "assign" for k, *_ in secrets.scan("zz " + wrap("nothing to be seen here at all") + " yy")[1])
 
 
+_B64 = lambda b: base64.b64encode(b).decode()
+
+
+@pytest.mark.parametrize("text", [
+    "zz " + _B64(gzip.compress(bytes(70 << 20) + SECRET.encode() + b" ")) + " yy",  # over 64 MiB
+    "zz " + _B64(gzip.compress(b"nothing") + gzip.compress(SECRET.encode())) + " yy", "zz " + _B64(gzip.compress(SECRET[:9].encode()) + gzip.compress(SECRET[9:].encode())) + " yy",
+    "zz " + _B64(gzip.compress((SECRET + " x").encode())[:-6]) + " yy", "zz " + _B64(zlib.compress(SECRET.encode())[:-4] + b"0000") + " yy",  # cut off, damaged
+    "zz " + _B64(("\0\u200b\xad " + SECRET).encode()) + " yy", "zz " + _B64(b"\xff\xfe " + SECRET.encode()) + " yy",
+    "zz %ff" + urllib.parse.quote(SECRET) + " yy", "zz \\xff" + "".join(f"\\x{b:02x}" for b in SECRET.encode()) + " yy", "zz \\ud800" + "".join(f"\\u{b:04x}" for b in SECRET.encode()) + " yy",
+    "zz " + "".join(f"%{b:02x}" for b in gzip.compress(SECRET.encode())) + " yy", "zz " + urllib.parse.quote(zlib.compress(SECRET.encode())) + " yy",
+    "zz http://h/a/" + _B64(SECRET.encode()) + " yy", "zz id_" + _B64(SECRET.encode()) + " yy", "zz k-1-" + _B64(gzip.compress(SECRET.encode())) + "/x yy",
+    *["zz " + end.join(re.findall(f".{{1,{n}}}", _B64(gzip.compress((SECRET + " and more " * 9).encode(), mtime=0) if packed else (f"{SECRET} and more " * 4).encode()))) + " yy" for n, end, packed in ((64, "\n", False), (76, "\r\n", True), (12, "\n", False))]])
+def test_secrets_in_whole_layers(text):
+    found = secrets.scan(text)[1]
+    assert any(k == "assign" and 3 <= s < e <= len(text) - 3 and p for k, s, e, p in found)
+
+
+def test_secret_early_in_a_large_stream_spans_all_of_it():
+    code = _B64(gzip.compress(SECRET.encode() + bytes(40 << 20)))
+    assert [(s, e) for k, s, e, _ in secrets.scan("zz " + code + " yy")[1] if k == "assign"] == [(3, 3 + len(code.rstrip("=")))]
+
+
+def test_secret_in_a_stream_nested_across_parts(monkeypatch):
+    noise = bytes(random.Random(8).choices(b"ghijk lmnop!? ,.", k=60_000))
+    monkeypatch.setattr(secrets, "INFLATE_CHUNK", 1 << 13)
+    monkeypatch.setattr(secrets, "OVERLAP", 1 << 10)
+    monkeypatch.setattr(secrets, "_STEP", 1 << 11)
+    packed = gzip.compress(noise + SECRET.encode() + noise)
+    for inner in (packed, noise[:9_000] + packed + noise[:9_000], gzip.compress(packed)):
+        code = _B64(gzip.compress(inner))
+        assert [(s, e) for k, s, e, _ in secrets.scan("zz " + code + " yy")[1] if k == "assign"] == [(3, 3 + len(code.rstrip("=")))]
+
+
+def test_secret_spans_in_glued_and_wrapped_base64():
+    code = _B64(b"x " * 30 + b"AKIA0123456789ABCD")
+    for text in ("id_" + code, code[:64] + "\n" + code[64:], "a/b-" + code[:40] + "\r\n" + code[40:]):
+        at = text.replace("\r", "").replace("\n", "").index(code) + code.index(code[80:]) + sum(text.count(c) for c in "\r\n")
+        assert [(k, e) for k, _, e, _ in secrets.scan(text)[1] if k == "access"] == [("access", len(text))]
+        assert all(at <= s for k, s, *_ in secrets.scan(text)[1] if k == "access")
+
+
 def test_secret_base_spans():
     text = 'TOKEN : "abc" Secret=0123456789abcdef AKIA0123456789ABCD AKIA1 é api-key=xxxxxxxxxxxxxxxx apikey=yyyyyyyyyyyyyy deadbeefdeadbee'
     got = [(k, text[s:e]) for k, s, e in secrets.base_matches(text)]

@@ -29,9 +29,18 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|(?:\\x[0-9A-Fa-f]{2})+|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
-#: Bytes that one compressed layer may unfold to; beyond it the layer is refused as a decompression bomb.
-INFLATE_LIMIT = 64 << 20
+#: A run of base64 characters, over line ends too (wrapped base64).
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+(?:\r?\n[ \t]*[A-Za-z0-9+/_-]++)*+|[A-Za-z0-9+/_-]++(?:\r?\n[ \t]*[A-Za-z0-9+/_-]++)++)")
+_BREAK = re.compile(r"[\r\n \t]+")
+_FROM_URL = str.maketrans("-_", "+/")
+#: Where a gzip or zlib stream may begin in decoded bytes.
+_PACKED = re.compile(r"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]")
+#: Bytes without any of these hold neither a finding nor a further layer.
+_ANY = re.compile(rb"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{16}|%[0-9A-Fa-f]{2}|\\[ux][0-9A-Fa-f]{2}|&#|[A-Za-z0-9+/_-]{16}|[A-Za-z0-9+/_-]\r?\n[ \t]*[A-Za-z0-9+/_-]|\x1f\x8b\x08|x[\x01\x5e\x9c\xda]")
+_ANY_TEXT = re.compile(_ANY.pattern.decode("latin-1"))
+#: Bytes of an unfolded stream that are scanned at once, and how many of them the next part has again.
+INFLATE_CHUNK, OVERLAP = 16 << 20, 1 << 20
+_STEP = 1 << 16
 
 
 def base_matches(text: str):
@@ -68,19 +77,14 @@ def _replaced(text, lo, hi, pattern, decode):
     return "".join(parts), np.concatenate(los), np.concatenate(his)
 
 
-def _utf8_units(data: bytes, width):
-    """Text of UTF-8 data, and for each character the first and last byte it takes, each `width` characters wide."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    size = np.array([len(c.encode("utf-8")) for c in text], dtype=np.int64)
-    first = np.cumsum(size) - size
-    return text, np.stack([first * width, (first + size) * width - 1], axis=1)
+def _byte_units(data: bytes, width):
+    """Each byte as one character (what is searched for is ASCII, so any bytes will do), `width` characters wide."""
+    first = np.arange(len(data), dtype=np.int64) * width
+    return data.decode("latin-1"), np.stack([first, first + width - 1], axis=1)
 
 
 def _percent(run: str):
-    return _utf8_units(bytes.fromhex(run.replace("%", "")), 3)
+    return _byte_units(bytes.fromhex(run.replace("%", "")), 3)
 
 
 def _escape(run: str):
@@ -90,59 +94,167 @@ def _escape(run: str):
             return None
         return chr(n), np.array([[0, len(run) - 1]])
     if run[1] == "x":
-        return _utf8_units(bytes.fromhex(run.replace("\\x", "")), 4)
+        return _byte_units(bytes.fromhex(run.replace("\\x", "")), 4)
     text, units, at = "", [], 0
     codes = [int(x, 16) for x in run.split("\\u")[1:]]
     while at < len(codes):
         n, k = codes[at], 1
         if 0xD800 <= n < 0xDC00 and at + 1 < len(codes) and 0xDC00 <= codes[at + 1] < 0xE000:
             n, k = 0x10000 + ((n - 0xD800) << 10) + codes[at + 1] - 0xDC00, 2
-        if 0xD800 <= n < 0xE000:
-            return None
-        text += chr(n)
+        text += "\ufffd" if 0xD800 <= n < 0xE000 else chr(n)
         units.append((6 * at, 6 * (at + k) - 1))
         at += k
     return text, np.array(units)
 
 
-def _inflate(data: bytes) -> bytes | None:
-    mode = 31 if data[:2] == b"\x1f\x8b" else 15 if data[:1] == b"\x78" else 0
-    if not mode:
-        return None
-    try:
-        d = zlib.decompressobj(mode)
-        out = d.decompress(data, INFLATE_LIMIT)
-    except zlib.error:
-        return None
-    return out if d.eof else None
-
-
-def _readable(text: str) -> bool:
-    return bool(text) and sum(c.isprintable() or c in "\t\r\n" for c in text) == len(text)
+class _Part(str):
+    """A part of unfolded bytes; more() gives the pieces behind it."""
+
+    more = None
+
+
+class _Stream:
+    """The stream that begins at a place of a layer: its unfolded bytes, over all its members, as far as they go.
+    end is the place behind what was read so far, last that behind all of it once chunks has given a part, and
+    whole tells whether the last member was complete."""
+
+    def __init__(self, text: str, start: int):
+        self.origin, self.start, self.end, self.last, self.whole = text, start, start, None, False
+        self.text, self.base, self.rest = text, 0, getattr(text, "more", None) and text.more()
+
+    def _slice(self, at: int, size: int) -> str:
+        """Characters of the layer from `at` on, those behind its part included; `at` never goes back."""
+        while self.rest is not None and at - self.base + size > len(self.text):
+            if (piece := next(self.rest, None)) is None:
+                self.rest = None
+                break
+            self.text, self.base = self.text[at - self.base :] + piece.decode("latin-1"), at
+        return self.text[at - self.base : at - self.base + size]
+
+    def _read(self, at: int, size: int = _STEP) -> bytes:
+        part = self._slice(at, size)
+        try:
+            return part.encode("latin-1")
+        except UnicodeEncodeError as e:
+            return part[: e.start].encode("latin-1")
+
+    def pieces(self):
+        at, mode = self.start, 31 if self.text[self.start] == "\x1f" else 15
+        while True:
+            d = zlib.decompressobj(mode)
+            self.whole = False
+            while not d.eof and (data := self._read(at)):
+                while True:
+                    before = d.copy()
+                    try:
+                        out = d.decompress(data, _STEP)
+                    except zlib.error:
+                        # what comes before the damage counts
+                        for k in range(len(data)):
+                            try:
+                                out = before.decompress(data[k : k + 1])
+                            except zlib.error:
+                                break
+                            if out:
+                                yield out
+                            self.end = at + k + 1
+                        return
+                    if out:
+                        yield out
+                    left = d.unused_data if d.eof else d.unconsumed_tail
+                    at += len(data) - len(left)
+                    self.end, data = at, left
+                    if d.eof or (not data and len(out) < _STEP):
+                        break
+            if not d.eof:
+                if out := d.flush():
+                    yield out
+                return
+            self.whole, after = True, at
+            while mode == 31 and self._slice(after, 1) == "\0":  # gzip allows zeros between members
+                after += 1
+            if not (m := _PACKED.match(self._slice(after, 3))):
+                return
+            at, mode = after, 31 if m.group()[0] == "\x1f" else 15
+
+    def _behind(self, done: int):
+        """The pieces behind the first `done` unfolded bytes, unfolded anew."""
+        for piece in _Stream(self.origin, self.start).pieces():
+            if done < len(piece):
+                yield piece[done:]
+            done = max(0, done - len(piece))
+
+    def chunks(self):
+        """The unfolded bytes in parts that overlap."""
+        held, size, done = [], 0, 0
+        for piece in self.pieces():
+            held.append(piece)
+            size += len(piece)
+            done += len(piece)
+            if size >= INFLATE_CHUNK:
+                part = _Part(b"".join(held), "latin-1")
+                part.more = lambda done=done: self._behind(done)
+                if self.last is None:  # findings in the first part already span the whole stream
+                    ahead = _Stream(self.origin, self.start)
+                    for _ in ahead.pieces():
+                        pass
+                    self.last = ahead.end
+                yield part
+                held, size = [part[-OVERLAP:].encode("latin-1")], OVERLAP
+        self.last = self.end
+        if size:
+            yield _Part(b"".join(held), "latin-1")
+
+
+def _unpacked(text, lo, hi):
+    """Layers of the compressed streams in a decoded layer, each of their characters at the stream's whole span."""
+    at = 0
+    while m := _PACKED.search(text, at):
+        stream = _Stream(text, m.start())
+        for part in stream.chunks():
+            if _ANY_TEXT.search(part):
+                span = slice(m.start(), stream.last)
+                yield part, np.broadcast_to(lo[span].min(), len(part)), np.broadcast_to(hi[span].max(), len(part))
+        at = stream.end if stream.whole else m.start() + 1
 
 
 def _blobs(text, lo, hi):
-    """Layers of the base64 runs that hold readable text or compressed readable text."""
+    """Layers of the base64 runs. Each run is read at all four alignments, so that base64 behind '/', '_' or any
+    other character of its alphabet is decoded too; what surrounds it gives bytes without meaning."""
     for m in _BASE64.finditer(text):
-        run = m.group().rstrip("=")
-        if len(run) % 4 == 1:
+        run = m.group()
+        at = None
+        if "\n" in run:
+            kept = np.ones(len(run), bool)
+            for gap in _BREAK.finditer(run):
+                kept[gap.start() : gap.end()] = False
+            at, run = np.flatnonzero(kept), _BREAK.sub("", run)
+        if len(run) < 16:
             continue
-        data = base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4))
-        packed = _inflate(data)
-        while packed is not None and (more := _inflate(packed)) is not None:
-            packed = more
-        if packed is not None:
-            try:
-                new = packed.decode("utf-8")
-            except UnicodeDecodeError:
+        run = run.translate(_FROM_URL)
+        for shift in range(4):
+            part = run[shift:]
+            part = part[: len(part) - (len(part) % 4 == 1)]
+            data = base64.b64decode(part + "=" * (-len(part) % 4))
+            if not _ANY.search(data):
                 continue
-            if new:
-                yield new, np.full(len(new), lo[m.start()]), np.full(len(new), hi[m.start() + len(run) - 1])
-            continue
-        got = _utf8_units(data, 1)
-        if got and _readable(got[0]):
-            new, units = got  # byte i comes from characters 4i/3 to (4i+4)/3
-            yield new, lo[m.start() + units[:, 0] * 4 // 3], hi[m.start() + np.minimum((units[:, 1] * 4 + 4) // 3, len(run) - 1)]
+            i = np.arange(len(data), dtype=np.int64)  # byte i comes from characters 4i/3 to (4i+4)/3
+            first, last = shift + i * 4 // 3, shift + np.minimum((i * 4 + 4) // 3, len(part) - 1)
+            if at is not None:
+                first, last = at[first], at[last]
+            yield data.decode("latin-1"), lo[m.start() + first], hi[m.start() + last]
+
+
+def _inside(layer, lo, hi, path):
+    """The layers that a layer holds, each with its path."""
+    for name, pattern, decode in (("url", _PERCENT, _percent), ("unicode", _ESCAPE, _escape)):
+        if new := _replaced(layer, lo, hi, pattern, decode):
+            yield *new, f"{path}/{name}"
+    for new in _blobs(layer, lo, hi):
+        yield *new, f"{path}/base64"
+    if path:
+        for new in _unpacked(layer, lo, hi):
+            yield *new, f"{path}/inflate"
 
 
 def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int, str]]]:
@@ -153,9 +265,12 @@ def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     if not (_PERCENT.search(text) or _ESCAPE.search(text) or _BASE64.search(text)):
         return base, [(*s, "") for s in base]
     at = np.arange(len(text), dtype=np.int64)
-    work, seen = [(text, at, at, "")], set()
-    while work:
-        layer, lo, hi, path = work.pop()
+    work, seen = [iter([(text, at, at, "")])], set()
+    while work:  # depth first, each layer made when its turn comes
+        if (new := next(work[-1], None)) is None:
+            work.pop()
+            continue
+        layer, lo, hi, path = new
         key = hashlib.blake2b(layer.encode("utf-8", "surrogatepass") + lo[:1].tobytes(), digest_size=16).digest()
         if key in seen:
             continue
@@ -163,10 +278,7 @@ def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
         if path:
             for kind, s, e in base_matches(layer):
                 spans.setdefault((kind, int(lo[s:e].min()), int(hi[s:e].max()) + 1), path)
-        for name, pattern, decode in (("url", _PERCENT, _percent), ("unicode", _ESCAPE, _escape)):
-            if new := _replaced(layer, lo, hi, pattern, decode):
-                work.append((*new, f"{path}/{name}"))
-        work += [(*new, f"{path}/base64") for new in _blobs(layer, lo, hi)]
+        work.append(_inside(layer, lo, hi, path))
     return base, [(*s, p) for s, p in spans.items()]
 
 
