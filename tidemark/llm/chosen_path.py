@@ -27,6 +27,13 @@ SKETCH, HUBS, MINORS, MEMBERS = 128, 16, 64, 512
 STEP_CHARS = 2_000_000
 
 
+def trees_for(recall: float, cents: int, depth: int) -> int:
+    """Trees that find a pair at the threshold with that probability where nodes are small only at the last level:
+    each level keeps a pair with its similarity, so one tree finds it with (cents / 100) ** depth."""
+    kept = (cents / 100) ** depth
+    return 1 if kept >= 1 else max(1, math.ceil(math.log(1 - recall) / math.log1p(-kept)))
+
+
 def _plan(trees: int, depth: int) -> int:
     return max(SKETCH, trees * depth)
 
@@ -66,10 +73,10 @@ def candidates(sets: DataFrame, cents: int, trees: int, depth: int, leaf: int) -
     """Pairs (a, b), a < b, of node mates with like sketches, and the members (node, id, s0, s1) of nodes left large."""
     least, pairs, rest = _slack(cents), None, None
     level = sets.select("id", "path", "s0", "s1", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    level = level.select("id", "s0", "s1", "tree", F.slice("path", F.col("tree") * depth + 1, depth).alias("path"))
-    level = level.withColumn("node", F.xxhash64("tree", F.lit(0)))
+    level = level.select("id", "s0", "s1", F.xxhash64("tree", F.lit(0)).alias("node"), F.slice("path", F.col("tree") * depth + 1, depth).alias("path"))
     for d in range(depth):
-        here = level.withColumn("node", F.xxhash64("node", F.col("path")[d]))
+        # the rest of the path alone goes on
+        here = level.withColumn("node", F.xxhash64("node", F.col("path")[0])).withColumn("path", F.slice("path", 2, depth))
         stats = here.groupBy("node").agg(F.count("*").alias("size"), F.min("id").alias("leader")).where("size > 1")
         here = cut(here.join(stats, "node"), "level")
         few = here.where(F.col("size") <= leaf).select("node", "id", "s0", "s1")
@@ -163,13 +170,15 @@ def _across(docs: DataFrame, apart: DataFrame, id: str, text: str, width: int, c
     return left.select(keep).union(right.select(keep)).groupBy("node", "block", "chunk").applyInPandas(links, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, cents: int = 80, trees: int = 12, depth: int = 6, leaf: int = 24) -> DataFrame:
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, cents: int = 80, trees: int | None = None, depth: int = 6, leaf: int = 24, recall: float = 0.999) -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id that links reach), kept (id = component_id).
 
     Two documents link when 100 * |intersection| >= cents * |union| of their shingle sets. Equal sets are joined
     first and searched once. Documents without words link with nothing; a null id links with nothing, has a null
-    component and is kept. An empty table gives an empty result.
+    component and is kept. An empty table gives an empty result. Unless given, trees are as many as find a pair at
+    the threshold with probability `recall` down to the last level.
     """
+    trees = trees or trees_for(recall, cents, depth)
     feats = cut(set_features(docs, id, text, width, trees, depth), "features")
     full = feats.where("n > 0 and id is not null")
     # all columns but id follow from the set, so any copy's values will do
