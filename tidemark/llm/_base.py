@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 _FALLBACK: dict[str, str] = {}
+_KEPT: dict = {}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +54,27 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def kept(key, make):
+    """What a Python worker remembers under that key from task to task; it holds one such thing at a time, so that
+    the stages of a job, which share their workers, don't add up."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        free_memory()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def free_memory() -> None:
+    """Gives memory that this Python worker no longer uses back to the system."""
+    import ctypes
+
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    if hasattr(trim := ctypes.CDLL(None), "malloc_trim"):
+        trim.malloc_trim(0)
+
+
 def ascii_lower(col):
     """Lower-cases A-Z only."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._base import is_held_out, read
+from ._base import is_held_out, kept, read
 from .labelled import training_sample
 from .tokens import in_steps
 
@@ -29,6 +29,10 @@ class _Words(dict):
     """word -> number; the traits of word n are row n of the table."""
 
     def __init__(self):
+        self.forget()
+
+    def forget(self):
+        self.clear()
         self.traits, self.known = array("f"), 0
 
     def __missing__(self, w):
@@ -44,14 +48,13 @@ class _Words(dict):
 
 NAMES = ("length", "spread", "caps", "symbol_end", "no_letter", "digit", "other_share", "symbol_share", "stop", "pause", "single", "capital", "long",
          "distinct", "repeat", "seen", "pair_seen", "size", "words", "lines", "first")
-_WORKER: list[_Words] = []
 
 
 def passage_features(texts) -> tuple[np.ndarray, np.ndarray]:
     """Features of every passage of every text, in order, and the number of passages of each; an empty text has one."""
-    if not _WORKER or len(_WORKER[0]) > MEMO_WORDS:
-        _WORKER[:] = [_Words()]
-    words = _WORKER[0]
+    words = kept("quality words", _Words)
+    if len(words) > MEMO_WORDS:
+        words.forget()
     texts = [t or "" for t in texts]
     ids, sizes, lines = [], [], []
     for t in texts:

@@ -1,4 +1,4 @@
-"""Batch encoding with a public tokenizer: every distinct word-sized chunk is encoded once per worker."""
+"""Batch encoding with a public tokenizer: word-sized chunks that a worker has met lately are not encoded again."""
 
 from __future__ import annotations
 
@@ -9,8 +9,10 @@ from array import array
 
 import numpy as np
 
-#: Chunks a worker remembers before it starts afresh; about 200 bytes each.
-MEMO_CHUNKS = 250_000
+from ._base import kept
+
+#: Chunks of a generation; a worker remembers the last two of them, about 200 bytes a chunk. Longer chunks aren't remembered.
+MEMO_CHUNKS, CHUNK_CHARS = 320_000, 64
 
 
 def tokenizer_path(name_or_path: str) -> str:
@@ -23,14 +25,17 @@ def tokenizer_path(name_or_path: str) -> str:
 
 
 class _Memo(dict):
-    """chunk -> number; an unknown chunk gets the next number and waits to be encoded."""
+    """chunk -> number of a generation; an unknown chunk is taken over from the generation before, or waits to be encoded."""
 
-    def __init__(self, owner, prefix):
-        self.owner, self.prefix = owner, prefix
+    def __init__(self, owner, prefix, old=None):
+        self.owner, self.prefix, self.old = owner, prefix, {} if old is None else old
+        if old is not None:
+            old.old = {}
 
     def __missing__(self, chunk):
-        n = self[chunk] = self.owner.known + len(self.owner.waiting)
-        self.owner.waiting.append(self.prefix + chunk)
+        n = self.owner.number(self.prefix + chunk, self.old.get(chunk))
+        if len(chunk) <= CHUNK_CHARS:
+            self[chunk] = n
         return n
 
 
@@ -40,7 +45,8 @@ class BatchEncoder:
     Both public tokenizers split a text into words before anything else. For the byte-level one a single space or
     line feed between two characters that aren't white space always begins a word; for the word-level one every
     space or line feed lies between words. Chunks cut there encode as they do within their text; a text with
-    other runs of white space is encoded whole where that matters.
+    other runs of white space is encoded whole where that matters. Chunks are remembered in two generations: the
+    older one is dropped when the newer is full, and what is met again moves to the newer one.
     """
 
     def __init__(self, name_or_path: str, memo: int = MEMO_CHUNKS):
@@ -51,28 +57,72 @@ class BatchEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
-            self.words_only = bool(json.load(f).get("normalizer"))
+            spec = json.load(f)
+        self.words_only, self.token_bytes = bool(spec.get("normalizer")), None
+        if (spec.get("pre_tokenizer") or {}).get("type") == "ByteLevel":  # a character of a token stands for a byte
+            sizes = self.tokenizer.get_vocab()
+            self.token_bytes = np.zeros(max(sizes.values()) + 1, np.int64)
+            self.token_bytes[list(sizes.values())] = [len(t) for t in sizes]
         self.run = re.compile(r"\s\s")
         self.most = memo
-        self._fresh()
+        self.bare, self.spaced, self.ids = None, None, ()
+        self._turn()
 
-    def _fresh(self):
-        self.known, self.waiting = 0, []
+    def _turn(self):
+        """A new generation; the one so far becomes the older one."""
+        self.old = self.ids
         self.flat, self.at, self.size = array("I"), array("q"), array("i")
-        self.bare, self.spaced = _Memo(self, ""), _Memo(self, " ")
+        self.ids = (self.flat, self.at, self.size)
+        self.waiting, self.places = [], []
+        self.bare, self.spaced = _Memo(self, "", self.bare), _Memo(self, " ", self.spaced)
+
+    def number(self, chunk: str, before: int | None = None) -> int:
+        """The next number, for a chunk that has the number `before` in the older generation, or waits."""
+        n = len(self.at)
+        if before is None:
+            self.at.append(0)
+            self.size.append(0)
+            self.waiting.append(chunk)
+            self.places.append(n)
+        else:
+            flat, at, size = self.old
+            self.at.append(len(self.flat))
+            self.size.append(size[before])
+            self.flat.extend(flat[at[before] : at[before] + size[before]])
+        return n
 
     def _flush(self):
-        for e in self.tokenizer.encode_batch_fast(self.waiting, add_special_tokens=False):
-            ids = e.ids
-            self.at.append(len(self.flat))
-            self.size.append(len(ids))
+        apart = range(len(self.waiting))
+        if self.token_bytes is not None:  # words with a space before them are as well encoded one behind the other
+            row = [k for k in apart if self.waiting[k][:1] == " " and not self.waiting[k][-1].isspace()]
+            if len(row) > 1 and self._flush_row(row):
+                done = set(row)
+                apart = [k for k in apart if k not in done]
+        for k, e in zip(apart, self.tokenizer.encode_batch_fast([self.waiting[k] for k in apart], add_special_tokens=False)):
+            n, ids = self.places[k], e.ids
+            self.at[n], self.size[n] = len(self.flat), len(ids)
             self.flat.extend(ids)
-        self.known += len(self.waiting)
-        self.waiting = []
+        self.waiting, self.places = [], []
+
+    def _flush_row(self, row: list[int]) -> bool:
+        """Encodes these waiting chunks as one text; False, and nothing done, if its ids don't part where chunks do."""
+        chunks = [self.waiting[k] for k in row]
+        ids = self.tokenizer.encode("".join(chunks), add_special_tokens=False).ids
+        upto = np.cumsum(self.token_bytes[ids])
+        ends = np.cumsum([len(c.encode("utf-8")) for c in chunks])
+        to = np.searchsorted(upto, ends) + 1
+        if to[-1] != len(ids) or (upto[to - 1] != ends).any():
+            return False
+        first = len(self.flat)
+        self.flat.extend(ids)
+        for k, at, size in zip(row, (first + np.r_[0, to[:-1]]).tolist(), np.diff(to, prepend=0).tolist()):
+            n = self.places[k]
+            self.at[n], self.size[n] = at, size
+        return True
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
-        if self.known > self.most:
-            self._fresh()
+        if len(self.at) > self.most:
+            self._turn()
         chunks, ends = [], []
         bare, spaced = self.bare, self.spaced
         for t in texts:
@@ -80,8 +130,7 @@ class BatchEncoder:
             if self.words_only:
                 chunks.extend(map(bare.__getitem__, t.replace("\n", " ").split(" ")))
             elif self.run.search(t):
-                chunks.append(self.known + len(self.waiting))  # not remembered
-                self.waiting.append(t)
+                chunks.append(self.number(t))  # not remembered
             else:
                 feed = False
                 for line in t.split("\n"):
@@ -106,14 +155,9 @@ class BatchEncoder:
         return ids, np.diff(total)
 
 
-_ENCODERS: dict[str, BatchEncoder] = {}
-
-
 def encoder(name_or_path: str) -> BatchEncoder:
     """This worker's encoder of that name; its memo is kept from batch to batch and task to task."""
-    if name_or_path not in _ENCODERS:
-        _ENCODERS[name_or_path] = BatchEncoder(name_or_path)
-    return _ENCODERS[name_or_path]
+    return kept(("encoder", name_or_path), lambda: BatchEncoder(name_or_path))
 
 
 def in_steps(pdf, most_chars: int = 4_000_000, text: str = "text"):
