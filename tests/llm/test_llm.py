@@ -138,12 +138,12 @@ def test_chosen_path_recall_at_every_depth(spark, monkeypatch):
     for depth in range(1, 9):
         trees = chosen_path.trees_for(0.999, 80, depth)
         assert 1 - (1 - 0.8**depth) ** trees >= 0.999 > 1 - (1 - 0.8**depth) ** (trees - 1)
-    assert chosen_path.trees_for(0.999, 80, 6) == 23 and chosen_path.trees_for(0.999, 100, 6) == 1
+    assert chosen_path.trees_for(0.999, 80, 4) == 14 and chosen_path.trees_for(0.999, 100, 6) == 1
     used = []
     real = chosen_path.candidates
     monkeypatch.setattr(chosen_path, "candidates", lambda sets, cents, trees, depth, leaf: used.append((trees, depth)) or real(sets, cents, trees, depth, leaf))
     assert chosen_path.near_duplicates(docs(spark, "a b c", "a b c", "d e f")).where("kept").count() == 2
-    assert used == [(23, 6)]
+    assert used == [(14, 4)]
 
 
 def test_chosen_path_edges(spark):

@@ -23,6 +23,8 @@ from .tokens import in_steps
 
 #: Bits of a sketch; random members of a large node that are tried before all of them; sizes of a block then compared.
 SKETCH, HUBS, MINORS, MEMBERS = 128, 16, 64, 512
+#: Members of a large node that one task should join with what belongs to the node.
+SALT_ROWS = 2_048
 #: Characters that a worker splits into words at once.
 STEP_CHARS = 2_000_000
 
@@ -88,7 +90,7 @@ def candidates(sets: DataFrame, cents: int, trees: int, depth: int, leaf: int) -
         star = heads.alias("x").join(level.where("id != leader").alias("y"), (F.col("x.node") == F.col("y.node")) & _agree("x", "y", least))
         found = found.union(star.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
         pairs = found if pairs is None else pairs.union(found)
-        rest = level.select("node", "id", "s0", "s1")
+        rest = level.select("node", "id", "s0", "s1", "size")
         level = level.drop("size", "leader")
         if level.isEmpty():
             return pairs, None
@@ -118,21 +120,46 @@ def confirm(docs: DataFrame, pairs: DataFrame, id: str, text: str, width: int, c
     return both.where(100 * meet >= cents * (F.size("x") + F.size("y") - meet)).select("a", "b")
 
 
+def _salts(size):
+    return F.ceil(F.col(size) / SALT_ROWS).cast("int")
+
+
+def _salted(rows: DataFrame, per_node: DataFrame) -> DataFrame:
+    """rows(node, id, size) joined with what each node has, the members of a large node dealt over several tasks."""
+    left = rows.withColumn("salt", F.pmod(F.xxhash64("id", F.lit(3)), _salts("size")).cast("int"))
+    right = per_node.withColumn("salt", F.explode(F.sequence(F.lit(0), _salts("size") - 1))).drop("size")
+    return left.join(right, ["node", "salt"]).drop("salt")
+
+
 def _apart(rest: DataFrame, known: DataFrame) -> DataFrame:
     """Members of nodes that known components leave in several parts: minor tells those outside the largest part."""
     apart = rest.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
     sizes = apart.groupBy("node", "component").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("node").agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.sum("n").alias("size"), F.count("*").alias("k"))
-    apart = apart.join(main.where("k > 1"), "node").withColumn("minor", F.col("component") != F.col("main"))
-    few = apart.where("minor").groupBy("node").agg(F.count("*").alias("minors"))
-    return cut(apart.join(few, "node").drop("main", "k"), "apart")
+    top = F.max(F.struct("n", -F.col("component")))
+    main = sizes.groupBy("node").agg((-top["col2"]).alias("main"), F.sum("n").alias("size"), F.count("*").alias("k"), (F.sum("n") - top["n"]).alias("minors"))
+    apart = _salted(apart, main.where("k > 1").drop("k"))
+    return cut(apart.withColumn("minor", F.col("component") != F.col("main")).drop("main"), "apart")
 
 
 def _with_hubs(apart: DataFrame, cents: int, hubs: int) -> DataFrame:
     """Pairs (a, b) of each document outside its node's largest part with about `hubs` random members."""
     other = apart.where(F.pmod(F.xxhash64("id", "node"), F.col("size")) < hubs)
-    pairs = apart.where("minor").alias("x").join(other.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & _agree("x", "y", _slack(cents)))
-    return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    other = other.select("node", "size", *[F.col(c).alias(f"_{c}") for c in ("id", "component", "s0", "s1")])
+    near = F.bit_count(F.col("s0").bitwiseXOR(F.col("_s0"))) + F.bit_count(F.col("s1").bitwiseXOR(F.col("_s1"))) <= SKETCH - _slack(cents)
+    pairs = _salted(apart.where("minor"), other).where((F.col("component") != F.col("_component")) & near)
+    return pairs.select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b")).distinct()
+
+
+def _joined(links: DataFrame, known: DataFrame) -> DataFrame:
+    """known components (id, component) with what further links between their members join: only the components are
+    linked anew, which are far fewer than the members."""
+    for end in ("a", "b"):
+        links = links.join(known.select(F.col("id").alias(end), "component"), end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+    more = components(links)
+    inside = known.join(more.select(F.col("id").alias("component"), F.col("component").alias("now")), "component", "left")
+    inside = inside.select("id", F.coalesce("now", "component").alias("component"))
+    # documents that no link reached before
+    return cut(inside.union(more.join(known, "id", "left_anti").select("id", "component")), "components")
 
 
 def _across(docs: DataFrame, apart: DataFrame, id: str, text: str, width: int, cents: int, wanted: DataFrame) -> DataFrame:
@@ -170,7 +197,7 @@ def _across(docs: DataFrame, apart: DataFrame, id: str, text: str, width: int, c
     return left.select(keep).union(right.select(keep)).groupBy("node", "block", "chunk").applyInPandas(links, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, cents: int = 80, trees: int | None = None, depth: int = 6, leaf: int = 24, recall: float = 0.999) -> DataFrame:
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, cents: int = 80, trees: int | None = None, depth: int = 4, leaf: int = 32, recall: float = 0.999) -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id that links reach), kept (id = component_id).
 
     Two documents link when 100 * |intersection| >= cents * |union| of their shingle sets. Equal sets are joined
@@ -186,14 +213,13 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     sets = cut(sets.select("id", "digest", "path", "s0", "s1"), "distinct")
     pairs, rest = candidates(sets, cents, trees, depth, leaf)
     wanted = sets.select("id", "digest")
-    links = cut(confirm(docs, cut(pairs.distinct(), "pairs"), id, text, width, cents, wanted), "found")
+    known = cut(components(confirm(docs, cut(pairs.distinct(), "pairs"), id, text, width, cents, wanted)), "components")
     if rest is not None:
         rest = cut(rest.distinct(), "rest")
         # a few random members of each node first, so that the pass over all members has few documents left
-        pairs = cut(_with_hubs(_apart(rest, components(links)), cents, HUBS), "hubs")
-        links = cut(links.union(confirm(docs, pairs, id, text, width, cents, wanted)), "found")
-        links = links.union(_across(docs, _apart(rest, components(links)), id, text, width, cents, wanted))
-    known = cut(components(links), "components")
+        pairs = cut(_with_hubs(_apart(rest, known), cents, HUBS), "hubs")
+        known = _joined(confirm(docs, pairs, id, text, width, cents, wanted), known)
+        known = _joined(_across(docs, _apart(rest, known), id, text, width, cents, wanted), known)
     named = sets.select("digest", "id").join(known, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
     out = feats.select("id", "n", "digest").join(named, "digest", "left")
     comp = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
