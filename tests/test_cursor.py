@@ -83,9 +83,9 @@ def test_probe(spark):
 def test_pages_do_not_change_identity(spark):
     df = rows(spark, *[(i // 7, i) for i in range(200)])
     want = None
-    for max_rows, bucket, parts in ((10, 1000, 1), (37, 20, 3), (200, 5, 7)):
+    for max_rows, buckets, parts in ((10, 1, 1), (37, 10, 3), (200, None, 7)):
         inp = Input("a", SPEC, ("id", "v"), max_rows=max_rows)
-        got = rising_scan(df.repartition(parts), inp, Cursor(T0, 3), bucket_rows=bucket).orderBy("ordinal").collect()
+        got = rising_scan(df.repartition(parts), inp, Cursor(T0, 3), buckets=buckets).orderBy("ordinal").collect()
         assert [r["ordinal"] for r in got] == list(range(1, 197))
         assert [r["id"] for r in got] == list(range(4, 200))
         assert [r["page"] for r in got] == [(n - 1) // max_rows + 1 for n in range(1, 197)]
@@ -96,7 +96,7 @@ def test_pages_do_not_change_identity(spark):
 
 def test_one_huge_tie(spark):
     df = spark.range(5000).selectExpr("CASE WHEN id % 10 < 8 THEN 50 ELSE id % 100 END AS ts_us", "id")
-    got = order.with_ordinal(df, bucket_rows=100)
+    got = order.with_ordinal(df, buckets=50)
     assert got.groupBy("bucket").count().agg({"count": "max"}).first()[0] < 1000
     want = sorted((r["ts_us"], r["id"]) for r in df.collect())
     assert [(r["ts_us"], r["id"]) for r in got.orderBy("ordinal").collect()] == want

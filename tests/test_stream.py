@@ -10,7 +10,12 @@ from tidemark.cursor import Cursor, CursorSpec
 from tidemark.plans.scan import Input, checked_scan, publish
 from tidemark.sources.base import jdbc_base, sql_base
 from tidemark.sources.sinks import http_sink
-from tidemark.streaming.stream import deliver_stream, read_cursor, rising_stream, run_scan
+from tidemark.errors import TidemarkError
+from tidemark.plans import state
+from tidemark.plans.run import read_cursor, recover, run_inputs, run_scan
+from tidemark.plans.scan import BatchInput
+from tidemark.sources.sinks import enveloped
+from tidemark.streaming.stream import deliver_stream, rising_stream
 
 PAGE = ["input_id", "attempt_id", "page"]
 SPEC = CursorSpec("ts", "id")
@@ -77,14 +82,21 @@ def test_rising_stream_moves_the_cursor_after_delivery(spark, tmp_path):
     with pytest.raises(Exception, match="collector is down"):
         run_scan(spark, spark.read.parquet(path), INPUT, root, broken)
     assert read_cursor(spark, root, "in") == (0, None)
-    rising_stream(spark, path, schema, INPUT, root, str(tmp_path / "c"), receipts).awaitTermination()
+    sent = []
+
+    def kept(events):
+        sent.extend(events.select("id", "event_id").collect())
+        return receipts(events)
+
+    rising_stream(spark, path, schema, INPUT, root, str(tmp_path / "c"), kept).awaitTermination()
     assert read_cursor(spark, root, "in")[1].id == 9
     rows(spark, 10, 17).write.mode("append").parquet(path)
-    rising_stream(spark, path, schema, INPUT, root, str(tmp_path / "c"), receipts).awaitTermination()
+    rising_stream(spark, path, schema, INPUT, root, str(tmp_path / "c"), kept).awaitTermination()
     generation, at = read_cursor(spark, root, "in")
-    assert (generation, at.id) == (2, 16)
-    events = spark.read.parquet(f"{root}/events")
-    assert sorted(r["id"] for r in events.collect()) == list(range(17)) and events.select("event_id").distinct().count() == 17
+    assert (generation, at.id) == (3, 16)  # the sealed attempt, an empty one, and the new rows
+    assert sorted(r["id"] for r in sent) == list(range(17)) and len({r["event_id"] for r in sent}) == 17
+    assert state.events(spark, root, [("in", 1), ("in", 3)]).isEmpty()  # delivered, so dropped
+    assert {r["status"] for r in state.table(spark, root, "metrics").collect()} == {"delivered"}
     assert run_scan(spark, spark.read.parquet(path), INPUT, root, receipts) == at
 
 
@@ -110,3 +122,124 @@ def test_sql_base(spark, tmp_path):
     for bad in ({}, {"text": "SELECT 1", "file": "x"}, {"text": " "}, {"text": "SELECT 1 LIMIT 1"}):
         with pytest.raises(ValueError):
             sql_base(spark, **bad)
+
+
+def down(_):
+    raise ConnectionError("collector is down")
+
+
+def test_sealed_pages_go_out_before_anything_new(spark, tmp_path):
+    root, sent = str(tmp_path / "state"), []
+
+    def send(events):
+        sent.extend((r["attempt_id"], r["id"]) for r in events.collect())
+        return receipts(events)
+
+    with pytest.raises(ConnectionError):
+        run_scan(spark, rows(spark, 0, 10), INPUT, root, down)
+    assert run_scan(spark, rows(spark, 0, 12), INPUT, root, send).id == 11
+    assert sorted(sent) == [(1, i) for i in range(10)] + [(2, 10), (2, 11)]
+    assert run_scan(spark, rows(spark, 0, 13), INPUT, root, send).id == 12
+    assert state.table(spark, root, "receipts").agg(F.sum("rows")).first()[0] == 13
+    with pytest.raises(TidemarkError, match="already_sealed"):
+        publish(checked_scan(rows(spark, 0, 3), INPUT), INPUT, 1, root)
+
+
+def test_delivered_without_a_receipt_of_the_cursor_is_not_sent_again(spark, tmp_path):
+    root = str(tmp_path / "state")
+    publish(checked_scan(rows(spark, 0, 10), INPUT), INPUT, 1, root)
+    from tidemark.plans.run import deliver
+
+    deliver(spark, root, state.table(spark, root, "manifest").select(*PAGE), receipts)  # and then the run dies
+    assert recover(spark, root, down) == [("in", 1)] and read_cursor(spark, root, "in")[1].id == 9
+
+
+def test_lost_events_are_noticed(spark, tmp_path):
+    root = str(tmp_path / "state")
+    publish(checked_scan(rows(spark, 0, 10), INPUT), INPUT, 1, root)
+    state.events(spark, root, [("in", 1)]).where("ordinal <> 3").drop("input_id", "attempt_id").write.parquet(str(tmp_path / "less"))
+    state.drop_events(spark, root, [("in", 1)])
+    with pytest.raises(TidemarkError, match="reconcile"):
+        recover(spark, root, receipts)
+    spark.read.parquet(str(tmp_path / "less")).write.parquet(state.attempt_path(root, "in", 1))
+    with pytest.raises(TidemarkError, match="accounting"):
+        recover(spark, root, receipts)
+
+
+def test_input_ids_stay_text(spark, tmp_path):
+    root, names = str(tmp_path / "state"), ("007", "7", "a/b c")
+    run_inputs(spark, [(Input(n, SPEC, ("id", "v"), max_rows=4), rows(spark, 0, 3 + k)) for k, n in enumerate(names)], root, receipts)
+    assert {r["input_id"]: r["id"] for r in state.read_cursors(spark, root).collect()} == {"007": 2, "7": 3, "a/b c": 4}
+    with pytest.raises(TidemarkError, match="duplicate_input"):
+        run_inputs(spark, [(INPUT, rows(spark, 0, 1))] * 2, root, receipts)
+
+
+def test_one_input_that_fails_keeps_no_other(spark, tmp_path):
+    root = str(tmp_path / "state")
+    twice = rows(spark, 0, 2).union(rows(spark, 0, 1))
+    with pytest.raises(TidemarkError, match="duplicate"):
+        run_inputs(spark, [(Input("bad", SPEC, ("id",)), twice), (INPUT, rows(spark, 0, 3))], root, receipts)
+    assert read_cursor(spark, root, "in")[1].id == 2 and read_cursor(spark, root, "bad") == (0, None)
+    assert {(r["input_id"], r["status"], r["error_code"]) for r in state.table(spark, root, "metrics").collect()} == {("bad", "failed", "duplicate"), ("in", "delivered", None)}
+
+
+def test_the_base_is_read_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for f in frames:
+            reads.add(len(f))
+            yield f
+
+    base = rows(spark, 0, 40)
+    scan = checked_scan(base.mapInPandas(count, base.schema), Input("in", SPEC, ("id", "v"), max_rows=4))
+    assert scan.count() == 40 and scan.agg(F.max("page")).first()[0] == 10 and reads.value == 40
+
+
+def test_staging_quota(spark, tmp_path):
+    inp = Input("in", SPEC, ("id", "v"), max_rows=4, max_staged=100)
+    with pytest.raises(TidemarkError, match="staging_quota"):
+        publish(checked_scan(rows(spark, 0, 10), inp), inp, 1, str(tmp_path / "p"))
+
+
+def test_batch_and_rising_runs_reach_the_collector(spark, tmp_path, collector):
+    url, got = collector
+    root = str(tmp_path / "state")
+    batch = BatchInput("b", "run 1", ("id", "v"), (F.col("id").asc(),), 5)
+
+    def send(events):
+        return http_sink(enveloped(events, "1.5", "main", "rows", "s"), url, "t", max_events=3, ack_url=f"{url}/ack")
+
+    for n in (1, 2):
+        run_inputs(spark, [(batch, rows(spark, 0, 9)), (INPUT, rows(spark, 0, 6))], root, send)
+    events = [json.loads(x) for b in got for x in b]
+    assert len(events) == 16 and len({e["fields"]["event_id"] for e in events}) == 11  # a repeated batch run has the same ids
+    assert sorted(e["event"]["id"] for e in events) == sorted([*range(5)] * 2 + [*range(6)])
+    assert read_cursor(spark, root, "in") == (2, Cursor(1_704_067_201_000_000, 5)) and read_cursor(spark, root, "b") == (0, None)
+    with pytest.raises(Exception, match="event_size"):
+        enveloped(spark.createDataFrame([("x", "{}")], "event_id string, line string"), "1", "i", "t", "s", most=10).collect()
+
+
+def test_refused_requests_are_not_tried_again():
+    tried = []
+
+    class Refuse(BaseHTTPRequestHandler):
+        def do_POST(self):
+            tried.append(self.rfile.read(int(self.headers["Content-Length"])))
+            self.send_response({b"bad": 400, b"busy": 503}.get(tried[-1], 200))
+            self.end_headers()
+            self.wfile.write(b'{"code": 4}')
+
+        def log_message(self, *_):
+            pass
+
+    from tidemark.sources.sinks import post
+
+    server = HTTPServer(("127.0.0.1", 0), Refuse)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    for body, times in ((b"bad", 1), (b"busy", 3), (b"no", 1)):
+        tried.clear()
+        with pytest.raises(TidemarkError, match="http_delivery"):
+            post(f"http://127.0.0.1:{server.server_port}", body, "t", 5, None)
+        assert len(tried) == times
+    server.shutdown()

@@ -32,8 +32,17 @@ def json_bool(c: Column) -> Column:
 
 
 def json_float(c: Column) -> Column:
-    """The shortest text of the double; large and tiny values have an exponent (equal by value)."""
-    return c.cast("double").cast("string")
+    """The shortest text of the double: plain from 1e-5 to below 1e16, with an exponent beyond."""
+    s = c.cast("double").cast("string")
+    sign, first, rest, power = (F.regexp_extract(s, r"^(-?)(\d)\.(\d+)E(-?\d+)$", k) for k in range(1, 5))
+    e, rest = power.try_cast("int"), F.when(rest == "0", "").otherwise(rest)
+    digits, more = F.concat(first, rest), F.length(rest)
+    whole = F.concat(digits, F.repeat(F.lit("0"), e - more), F.lit(".0"))
+    parted = F.concat(F.substring(digits, F.lit(1), e + 1), F.lit("."), F.substring(digits, e + 2, F.lit(20)))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)
+    far = F.concat(first, F.when(more > 0, F.concat(F.lit("."), rest)).otherwise(""), F.lit("e"), power)
+    plain = F.when(e.between(0, 15), F.when(more <= e, whole).otherwise(parted)).when(e.between(-5, -1), small).otherwise(far)
+    return F.when(s.contains("E"), F.concat(sign, plain)).otherwise(s)
 
 
 def rejects_float(c: Column) -> Column:
@@ -153,10 +162,10 @@ def encoder(field: T.StructField, c: Column | None = None, binary_prefix: str =
     raise TidemarkError("unsupported_type", f"{field.name} has type {t.simpleString()}")
 
 
-def ndjson_line(df: DataFrame, columns: list[str] | None = None, binary_prefix: str = "hex:") -> Column:
-    """One JSON object per row: fields in order, nulls written out."""
+def ndjson_line(df: DataFrame, columns: list[str] | None = None, binary_prefix: str = "hex:", inside: str | None = None) -> Column:
+    """One JSON object per row: fields in order, nulls written out. inside: the struct column that holds them."""
     parts: list[Column] = []
     for n, name in enumerate(columns or df.columns):
-        text, _, _ = encoder(df.schema[name], binary_prefix=binary_prefix)
+        text, _, _ = encoder(df.schema[name], F.col(f"{inside}.`{name}`") if inside else None, binary_prefix)
         parts += [F.lit(("," if n else "{") + json.dumps(name, ensure_ascii=False) + ":"), F.coalesce(text, F.lit("null"))]
     return F.concat(*parts, F.lit("}")) if parts else F.lit("{}")

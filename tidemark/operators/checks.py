@@ -47,6 +47,11 @@ def require_clean(df: DataFrame, spec: CursorSpec, bound: Bound | None, columns:
     for what in ("null_cursor", "below_bound", "duplicate"):
         if row[what]:
             raise TidemarkError(what, f"{row[what]} rows")
+    require_lossless(df, columns)
+
+
+def require_lossless(df: DataFrame, columns: list[str]) -> None:
+    """Raises if an encoder rejects a row."""
     bad = lossless_check(df, columns).first()
     if bad:
         raise TidemarkError(bad["reason"], f"{bad['rows']} rows in {bad['column']}")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 
 from ..cursor import Bound, CursorSpec, apply_bound, cursor_order
 from ..errors import TidemarkError
-
-#: Rows that one bucket of the ordinal should hold, and the most buckets.
-BUCKET_ROWS, MOST_BUCKETS = 1_000_000, 2_048
+from ..scratch import staged
 
 
 def row_limit_probe(df: DataFrame, order: list[Column], max_rows: int) -> DataFrame:
@@ -31,37 +29,22 @@ def next_page(df: DataFrame, spec: CursorSpec, bound: Bound | None, k: int) -> D
     return apply_bound(df, spec, bound).orderBy(*cursor_order(spec)).limit(k)
 
 
-def _quantiles(df: DataFrame, column: str, buckets: int) -> list[int]:
-    found = df.select(F.percentile_approx(column, [i / buckets for i in range(1, buckets)], 20 * buckets).alias("q")).first()
-    return sorted(found["q"] or [])
-
-
-def with_ordinal(df: DataFrame, ts: str = "ts_us", id: str = "id", rows: int | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def with_ordinal(df: DataFrame, ts: str = "ts_us", id: str = "id", buckets: int | None = None) -> DataFrame:
     """df with `ordinal` (1..n in (ts, id) order, nulls first) and `bucket` (ranges of that order).
 
-    Rows are numbered inside buckets between literal quantiles of ts, and the counts of earlier buckets are added;
-    no task sees more than a bucket. A timestamp that fills more than one bucket is cut by quantiles of its ids.
+    Rows are dealt out by ranges of (ts, id), sorted and written once with their place in the range; the counts of
+    earlier ranges are added. A timestamp that many rows share is cut by id, and no task sees more than a range.
     """
-    n = df.count() if rows is None else rows
-    buckets = min(MOST_BUCKETS, max(1, math.ceil(n / bucket_rows)))
-    major, minor = F.lit(0), F.lit(0)
-    if buckets > 1:
-        bounds = _quantiles(df, ts, buckets)
-        tied = sorted({b for i, b in enumerate(bounds[1:]) if b == bounds[i]})
-        marks = F.array(*[F.lit(b) for b in sorted(set(bounds))])
-        major = F.coalesce(F.size(F.filter(marks, lambda b: b < F.col(ts))), F.lit(-1))
-        for at in tied:  # at most as many as buckets
-            cuts = sorted(set(_quantiles(df.where(F.col(ts) == at), id, min(buckets, bounds.count(at) + 1))))
-            inside = F.array(*[F.lit(b) for b in cuts])
-            minor = F.when(F.col(ts) == at, 1 + F.coalesce(F.size(F.filter(inside, lambda b: b < F.col(id))), F.lit(-1))).otherwise(minor)
-    # within a major bucket the tied timestamp is its upper end, so it comes last
-    placed = df.withColumn("bucket", (F.coalesce(major, F.lit(-1)) + 1) * 8192 + minor)
+    order = [F.col(ts).asc_nulls_first(), F.col(id).asc_nulls_first()]
+    ranges = df.repartitionByRange(*([] if buckets is None else [buckets]), *order)
+    placed = staged(ranges.sortWithinPartitions(*order).withColumn("_row", F.monotonically_increasing_id()), "ordered")
+    placed = placed.withColumn("bucket", F.shiftright("_row", 33))
     counts = placed.groupBy("bucket").agg(F.count("*").alias("_c"))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
     offsets = counts.select("bucket", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
-    w = Window.partitionBy("bucket").orderBy(F.col(ts).asc_nulls_first(), F.col(id).asc_nulls_first())
-    numbered = placed.withColumn("_n", F.row_number().over(w)).join(F.broadcast(offsets), "bucket")
-    return numbered.withColumn("ordinal", (F.col("_n") + F.col("_before")).cast("long")).drop("_n", "_before")
+    inside = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
+    # as many rows as there are ranges, that is shuffle partitions
+    return placed.join(F.broadcast(offsets), "bucket").withColumn("ordinal", (inside + 1 + F.col("_before")).cast("long")).drop("_row", "_before")
 
 
 def page_assign(df: DataFrame, max_rows: int) -> DataFrame:
@@ -93,24 +76,31 @@ def byte_limit(df: DataFrame, by: list[str], max_bytes: int) -> DataFrame:
     return over.groupBy(*by).agg(F.min("ordinal").alias("first_over"))
 
 
+def page_by_page(events: DataFrame, by: list[str], *columns: str) -> DataFrame:
+    """The columns of events with the rows of a page one behind the other in ordinal order, for a pass that carries
+    its state from row to row; a worker streams many pages, and holds no page as a whole."""
+    return events.select(*by, "ordinal", *columns).repartition(*by).sortWithinPartitions(*by, "ordinal")
+
+
 def pack_batches(events: DataFrame, by: list[str], max_events: int = 250, max_bytes: int = 1_000_000) -> DataFrame:
     """events (with ordinal and event_bytes) with `batch`, counted from 1 in each page: a batch closes when it has
-    max_events, or when the next event and its separator don't fit. An event over max_bytes fails. A page is
-    bounded by max_rows, so one task takes it whole."""
-
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ordinal")
-        batch, n, used, out = 1, 0, 0, []
-        for size in pdf["event_bytes"]:
-            if size > max_bytes:
-                raise TidemarkError("event_exceeds_batch", f"an event of {size} bytes exceeds {max_bytes}")
-            if n == max_events or used + (n > 0) + size > max_bytes:
-                batch, n, used = batch + 1, 0, 0
-            used += (n > 0) + size
-            n += 1
-            out.append(batch)
-        return pdf.assign(batch=out)
-
-    keep = events.select(*by, "ordinal", "event_bytes")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keep.schema) + ", batch long"
-    return keep.groupBy(*by).applyInPandas(greedy, schema)
+    max_events, or when the next event and its separator don't fit. An event over max_bytes fails."""
+
+    def greedy(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        page, batch, n, used = None, 1, 0, 0
+        for pdf in frames:
+            out = []
+            for *key, size in zip(*[pdf[c].tolist() for c in by], pdf["event_bytes"].tolist()):
+                if size > max_bytes:
+                    raise TidemarkError("event_exceeds_batch", f"an event of {size} bytes exceeds {max_bytes}")
+                if key != page:
+                    page, batch, n, used = key, 1, 0, 0
+                elif n == max_events or used + 1 + size > max_bytes:
+                    batch, n, used = batch + 1, 0, 0
+                used += (n > 0) + size
+                n += 1
+                out.append(batch)
+            yield pdf.assign(batch=out)
+
+    keep = page_by_page(events, by, "event_bytes")
+    return keep.mapInPandas(greedy, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keep.schema) + ", batch long")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ids
+from .order import page_by_page
 
 PAGE = ["input_id", "attempt_id", "page"]
 SCAN = ["input_id", "attempt_id"]
@@ -49,17 +51,25 @@ def staged_usage(manifest: DataFrame, per_input: int, total: int) -> DataFrame:
 
 
 def stream_digest(events: DataFrame, by: list[str] = PAGE, event: str = "line") -> DataFrame:
-    """SHA-256 of a page over (8-byte length, event) in ordinal order; a page is bounded, so one task hashes it."""
-
-    def digest(pdf: pd.DataFrame) -> pd.DataFrame:
-        h = hashlib.sha256()
-        for text in pdf.sort_values("ordinal")["event"]:
-            raw = text.encode("utf-8")
-            h.update(len(raw).to_bytes(8, "big") + raw)
-        return pdf[by].head(1).assign(stream_digest=h.hexdigest())
-
-    kept = events.select(*by, "ordinal", F.col(event).alias("event"))
-    return kept.groupBy(*by).applyInPandas(digest, ", ".join(f"{c} {kept.schema[c].dataType.simpleString()}" for c in by) + ", stream_digest string")
+    """SHA-256 of a page over (8-byte length, event) in ordinal order, in one pass over all pages of a partition."""
+
+    def digest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        page, h = None, None
+        for pdf in frames:
+            done = []
+            for *key, text in zip(*[pdf[c].tolist() for c in by], pdf["event"].tolist()):
+                if key != page:
+                    if h is not None:
+                        done.append((*page, h.hexdigest()))
+                    page, h = key, hashlib.sha256()
+                raw = text.encode("utf-8")
+                h.update(len(raw).to_bytes(8, "big") + raw)
+            yield pd.DataFrame(done, columns=[*by, "stream_digest"])
+        if h is not None:
+            yield pd.DataFrame([(*page, h.hexdigest())], columns=[*by, "stream_digest"])
+
+    kept = page_by_page(events.select(*by, "ordinal", F.col(event).alias("event")), by, "event")
+    return kept.mapInPandas(digest, ", ".join(f"{c} {kept.schema[c].dataType.simpleString()}" for c in by) + ", stream_digest string")
 
 
 def reference_digest(input_key: Column, attempt: Column, page: Column, rows: Column, bytes: Column, stream: Column, metadata: Column) -> Column:

@@ -1,10 +1,10 @@
-"""The rising scan: one read of the base, all pages in one pass; checked, then published, delivered, committed."""
+"""Scans: the rows past a bound are read from the base once; that copy is checked, numbered, paged and sealed."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..cursor import Cursor, CursorSpec, apply_bound, ts_us
@@ -14,13 +14,16 @@ from ..functions.encode import ndjson_line
 from ..operators import checks
 from ..operators.inputs import pagination_guard
 from ..operators.order import byte_limit, page_assign, with_ordinal
-from ..operators.pages import page_summary, stream_digest
+from ..operators.pages import PAGE, page_summary, staged_usage, stream_digest
 from ..operators.schema import check_cursor_schema, check_schema
+from ..scratch import staged
+from ..sources.base import batch_scan
+from . import state
 
 
 @dataclass(frozen=True)
 class Input:
-    """A rising input: its identity, what it reads, and its limits."""
+    """A rising input: its identity, what it reads, and its limits. max_staged: bytes that may wait for delivery."""
 
     input_id: str
     spec: CursorSpec
@@ -29,6 +32,7 @@ class Input:
     query: str = ""
     max_rows: int = 100_000
     max_bytes: int = 1 << 30
+    max_staged: int | None = None
 
     def fingerprints(self):
         """(input key, lineage, cursor identity) as hex columns."""
@@ -38,44 +42,88 @@ class Input:
         return ids.input_key(lit(self.input_id)), lineage, ids.cursor_fingerprint(lit(self.spec.ts), lit(self.spec.id))
 
 
-def rising_scan(base: DataFrame, inp: Input, committed: Cursor | None = None, resume_after: Cursor | None = None, bucket_rows: int = 1_000_000) -> DataFrame:
-    """(page, ordinal, ts_us, id, event_id, line, line_bytes, truncated) of all rows past the bound.
+@dataclass(frozen=True)
+class BatchInput:
+    """A batch input: the first max_rows rows of a query in a stated order, under an id of the run."""
 
-    Nothing is checked here: see `checked_scan`."""
+    input_id: str
+    batch_id: str
+    columns: tuple[str, ...]
+    order: tuple[Column, ...]
+    max_rows: int = 100_000
+    max_bytes: int = 1 << 30
+    max_staged: int | None = None
+
+
+def _past_bound(base: DataFrame, inp: Input, committed: Cursor | None, resume_after: Cursor | None):
+    """The bound, and one copy of the rows past it: cursor and a struct of the columns, so that no name can clash."""
     bound = inp.spec.bound(committed, resume_after)
-    kept = apply_bound(base.select(*dict.fromkeys([*inp.columns, inp.spec.ts, inp.spec.id])), inp.spec, bound)
+    kept = apply_bound(base.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*inp.columns, inp.spec.ts, inp.spec.id])]), inp.spec, bound)
+    rows = kept.select(ts_us(kept, inp.spec).alias("ts_us"), F.col(f"`{inp.spec.id}`").alias("id"), F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row"))
+    return bound, staged(rows, "read")
+
+
+def _numbered(copy: DataFrame, inp: Input, buckets: int | None) -> DataFrame:
+    n = copy.count()
     key, lineage, cursor_fp = inp.fingerprints()
-    at, id = ts_us(base, inp.spec), F.col(f"`{inp.spec.id}`")
-    rows = kept.select(at.alias("ts_us"), id.alias("id"), ids.rising_event_id(key, lineage, cursor_fp, at, id).alias("event_id"), ndjson_line(kept, list(inp.columns)).alias("line"))
-    rows = rows.withColumn("line_bytes", F.octet_length("line").cast("long"))
-    n = kept.select(inp.spec.id).count()
-    numbered = page_assign(with_ordinal(rows, rows=n, bucket_rows=bucket_rows), inp.max_rows)
-    return numbered.withColumn("truncated", F.col("page") < -(-n // inp.max_rows))
+    rows = page_assign(with_ordinal(copy, buckets=buckets), inp.max_rows)
+    line = ndjson_line(rows.select("row.*"), list(inp.columns), inside="row")
+    event_id = ids.rising_event_id(key, lineage, cursor_fp, F.col("ts_us"), F.col("id"))
+    out = rows.select("page", "ordinal", "ts_us", "id", event_id.alias("event_id"), line.alias("line"))
+    return out.withColumns({"line_bytes": F.octet_length("line").cast("long"), "truncated": F.col("page") < -(-n // inp.max_rows)})
+
+
+def rising_scan(base: DataFrame, inp: Input, committed: Cursor | None = None, resume_after: Cursor | None = None, buckets: int | None = None) -> DataFrame:
+    """(page, ordinal, ts_us, id, event_id, line, line_bytes, truncated) of all rows past the bound.
+
+    The base is read once. Nothing is checked here: see `checked_scan`."""
+    return _numbered(_past_bound(base, inp, committed, resume_after)[1], inp, buckets)
 
 
-def checked_scan(base: DataFrame, inp: Input, committed: Cursor | None = None, resume_after: Cursor | None = None) -> DataFrame:
+def checked_scan(base: DataFrame, inp: Input, committed: Cursor | None = None, resume_after: Cursor | None = None, buckets: int | None = None) -> DataFrame:
     """rising_scan after every check has passed: schema, limits of the base, null, low and repeated cursors, lossless
-    encoding, bytes of a page. Any failure raises and nothing is published."""
+    encoding. What is checked is the copy that the pages come from. Any failure raises and nothing is published."""
     pagination_guard(base)
     check_schema(base.schema)
     check_cursor_schema(base, inp.spec)
-    bound = inp.spec.bound(committed, resume_after)
-    kept = apply_bound(base.select(*dict.fromkeys([*inp.columns, inp.spec.ts, inp.spec.id])), inp.spec, bound)
-    checks.require_clean(kept, inp.spec, bound, list(inp.columns))
-    return rising_scan(base, inp, committed, resume_after)
+    bound, copy = _past_bound(base, inp, committed, resume_after)
+    checks.require_clean(copy.select("row.*"), inp.spec, bound, list(inp.columns))
+    return _numbered(copy, inp, buckets)
+
+
+def checked_batch(base: DataFrame, inp: BatchInput) -> DataFrame:
+    """The rows of a batch run as one page, checked like a rising scan; they have no cursor."""
+    check_schema(base.schema)
+    copy = staged(batch_scan(base, list(inp.order), inp.max_rows), "read")  # at most max_rows rows
+    checks.require_lossless(copy, list(inp.columns))
+    n = F.row_number().over(Window.orderBy(*inp.order))
+    line = ndjson_line(copy, list(inp.columns))
+    rows = copy.select(n.cast("long").alias("ordinal"), line.alias("line"), "truncated")
+    key, batch = ids.input_key(F.lit(inp.input_id)), F.sha2(F.lit(inp.batch_id), 256)
+    none = F.lit(None).cast("long")
+    return rows.select(F.lit(1).cast("long").alias("page"), "ordinal", none.alias("ts_us"), none.alias("id"), ids.batch_event_id(key, batch, F.col("ordinal")).alias("event_id"), "line", F.octet_length("line").cast("long").alias("line_bytes"), "truncated")
 
 
-def publish(scan: DataFrame, inp: Input, attempt_id: int, root: str, committed: Cursor | None = None) -> None:
-    """Seals all pages: events are written, then read back, checked against max_bytes and summed up in the manifest,
-    which is written last and makes them visible."""
+def publish(scan: DataFrame, inp: Input | BatchInput, attempt_id: int, root: str, committed: Cursor | None = None) -> None:
+    """Seals all pages: events are written, then read back, checked against the limits and summed up in the manifest,
+    which is written last, in one commit, and makes them visible. A sealed attempt is never written again."""
     spark = scan.sparkSession
-    staged = scan.select(F.lit(inp.input_id).alias("input_id"), F.lit(attempt_id).cast("long").alias("attempt_id"), "page", "ordinal", "ts_us", "id", "event_id", "line", "line_bytes")
-    where = f"{root}/events/input_id={inp.input_id}/attempt_id={attempt_id}"
-    staged.drop("input_id", "attempt_id").write.mode("overwrite").parquet(where)
-    staged = spark.read.parquet(where).withColumns({"input_id": F.lit(inp.input_id), "attempt_id": F.lit(attempt_id).cast("long")})
-    over = byte_limit(staged, ["page"], inp.max_bytes).first()
+    mine = (F.col("input_id") == inp.input_id) & (F.col("attempt_id") == attempt_id)
+    manifest = state.table(spark, root, "manifest")
+    if not manifest.where(mine).isEmpty():
+        raise TidemarkError("already_sealed", f"attempt {attempt_id} of {inp.input_id}")
+    columns = [c.strip().split(" ")[0] for c in state.EVENTS.split(",")]
+    scan.select(*columns).write.mode("overwrite").parquet(state.attempt_path(root, inp.input_id, attempt_id))
+    sealed = state.events(spark, root, [(inp.input_id, attempt_id)])
+    over = byte_limit(sealed, ["page"], inp.max_bytes).first()
     if over:
         raise TidemarkError("byte_limit", f"page {over['page']} exceeds {inp.max_bytes} bytes at row {over['first_over']}")
     known = spark.createDataFrame([(inp.input_id, committed.ts_us, committed.id)] if committed else [], "input_id string, ts_us long, id long")
-    manifest = page_summary(staged, known).join(stream_digest(staged), ["input_id", "attempt_id", "page"])
-    manifest.write.mode("append").parquet(f"{root}/manifest")
+    pages = page_summary(sealed, known).join(stream_digest(sealed), PAGE).withColumn("mode", F.lit("rising" if isinstance(inp, Input) else "batch"))
+    if isinstance(inp, BatchInput):  # rows without a cursor
+        pages = pages.withColumns({c: F.when(F.lit(False), F.col(c)) for c in ("resume", "candidate")})
+    if inp.max_staged is not None:
+        waiting = manifest.join(state.table(spark, root, "receipts"), PAGE, "left_anti").where(F.col("input_id") == inp.input_id)
+        if not staged_usage(waiting.select("input_id", "bytes").union(pages.select("input_id", "bytes")), inp.max_staged, 1 << 62).where("over").isEmpty():
+            raise TidemarkError("staging_quota", f"{inp.input_id} would have over {inp.max_staged} bytes waiting")
+    state.append(pages, root, "manifest")

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from .cursor import Bound, Cursor, CursorSpec, after, apply_bound, below_bound, cursor_order, ts_us
 from .functions import encode, ids, strict
 from .operators import checks, control, inputs, order, pages, schema
-from .plans.scan import Input, checked_scan, publish, rising_scan
+from .plans import state
+from .plans.run import run_inputs
+from .plans.scan import BatchInput, Input, checked_scan, publish, rising_scan
 from .scratch import scratch_dir
 from .sources import base, sinks
 from .streaming.stream import deliver_stream, rising_stream, stream_dedup
@@ -80,7 +82,7 @@ PAST = f"({US} > {AT.ts_us} OR ({US} = {AT.ts_us} AND event_id > {AT.id}))"
 @query("s2_rising_scan", f"""SELECT (n - 1) // 500 + 1 AS page, n AS ordinal, us AS ts_us, event_id AS id, eid AS event_id, line, strlen(line) AS line_bytes, (n - 1) // 500 < (c - 1) // 500 AS truncated FROM (
     SELECT row_number() OVER (ORDER BY ts, event_id) AS n, count(*) OVER () AS c, {US} AS us, event_id, {EVENT_ID} AS eid, {LINE} AS line FROM events WHERE {PAST})""")
 def s2_rising_scan(spark, d):
-    return rising_scan(event_base(spark, d), EVENTS, AT, bucket_rows=2_000).select("page", "ordinal", "ts_us", "id", "event_id", "line", "line_bytes", "truncated")
+    return rising_scan(event_base(spark, d), EVENTS, AT).select("page", "ordinal", "ts_us", "id", "event_id", "line", "line_bytes", "truncated")
 
 
 @query("s2_checked_scan", f"SELECT page, count(*) AS rows, sum(strlen(line) + 1)::BIGINT AS bytes FROM (SELECT (row_number() OVER (ORDER BY ts, event_id) - 1) // 500 + 1 AS page, {LINE} AS line FROM events WHERE {PAST}) GROUP BY page")
@@ -162,17 +164,17 @@ def f7_typed_projection(spark, d):
     return schema.typed_projection(table(spark, d, "customer"), target)
 
 
-@query("f9_preview", "SELECT count(*) AS rows FROM (SELECT * FROM nation LIMIT 20)")
+@query("f9_preview", "SELECT count(*) AS rows FROM (SELECT * FROM lineitem LIMIT 100)")
 def f9_preview(spark, d):
-    return inputs.preview(table(spark, d, "nation"), 20).agg(F.count("*").alias("rows"))
+    return inputs.preview(table(spark, d, "lineitem"), 100).agg(F.count("*").alias("rows"))
 
 
-@query("o1_cursor_order", f"SELECT user_id, row_number() OVER (ORDER BY ts ASC NULLS FIRST, event_id ASC NULLS FIRST, user_id) AS n FROM {HOLES} QUALIFY n <= 1000")
+@query("o1_cursor_order", f"SELECT user_id, rank() OVER (ORDER BY ts ASC NULLS FIRST, event_id ASC NULLS FIRST) AS n FROM {HOLES}")
 def o1_cursor_order(spark, d):
-    rows = _holes(spark, d).orderBy(*cursor_order(SPEC), "user_id").limit(1000)  # top 1000: a report
     from pyspark.sql import Window
 
-    return rows.select("user_id", F.row_number().over(Window.orderBy(*cursor_order(SPEC), "user_id")).alias("n"))
+    rows = order.with_ordinal(_holes(spark, d), "ts", "event_id", buckets=8)
+    return rows.select("user_id", F.min("ordinal").over(Window.partitionBy("bucket", "ts", "event_id")).alias("n"))
 
 
 @query("o2_row_limit_probe", "SELECT event_id, (SELECT count(*) FROM events) > 700 AS truncated FROM events ORDER BY ts, event_id LIMIT 700")
@@ -196,12 +198,12 @@ def _order_cursors(spark, d):
 
 @query("w2_ordinal", "SELECT o_orderkey AS id, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS ordinal FROM orders")
 def w2_ordinal(spark, d):
-    return order.with_ordinal(_order_cursors(spark, d), bucket_rows=20_000).select("id", "ordinal")
+    return order.with_ordinal(_order_cursors(spark, d), buckets=16).select("id", "ordinal")
 
 
 @query("w3_page_assign", "SELECT page, count(*) AS rows, min(o_orderkey) AS low FROM (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) // 400 + 1 AS page FROM orders) GROUP BY page")
 def w3_page_assign(spark, d):
-    return order.page_assign(order.with_ordinal(_order_cursors(spark, d), bucket_rows=20_000), 400).groupBy("page").agg(F.count("*").alias("rows"), F.min("id").alias("low"))
+    return order.page_assign(order.with_ordinal(_order_cursors(spark, d), buckets=16), 400).groupBy("page").agg(F.count("*").alias("rows"), F.min("id").alias("low"))
 
 
 LINES = "(SELECT l_shipdate AS ts, l_orderkey * 10 + l_linenumber AS id FROM lineitem)"
@@ -214,7 +216,7 @@ def _line_cursors(spark, d):
 
 @query("w1_strictly_increasing", f"SELECT {US} AS ts_us, id, count(*) - 1 AS again FROM {LINES} GROUP BY ALL HAVING count(*) > 1")
 def w1_strictly_increasing(spark, d):
-    return order.strictly_increasing(order.with_ordinal(_line_cursors(spark, d), bucket_rows=50_000)).groupBy("ts_us", "id").agg(F.count("*").alias("again"))
+    return order.strictly_increasing(order.with_ordinal(_line_cursors(spark, d), buckets=16)).groupBy("ts_us", "id").agg(F.count("*").alias("again"))
 
 
 @query("a4_duplicate_cursors", f"SELECT {US} AS ts_us, id, count(*) AS n FROM {LINES} GROUP BY ALL HAVING n > 1")
@@ -335,9 +337,9 @@ def w4_running_bytes(spark, d):
     return order.running_bytes(_control(spark, d)[0], pages.PAGE).select("id", "running")
 
 
-@query("o3_byte_limit", f"{CTE}, r AS (SELECT *, sum(line_bytes + 1) OVER (PARTITION BY input_id, attempt_id, page ORDER BY ordinal) AS u FROM staged) SELECT input_id, attempt_id, page, min(ordinal) AS first_over FROM r WHERE u > 1000 GROUP BY ALL")
+@query("o3_byte_limit", f"{CTE}, r AS (SELECT *, sum(line_bytes + 1) OVER (PARTITION BY input_id, attempt_id, page ORDER BY ordinal) AS u FROM staged) SELECT input_id, attempt_id, page, min(ordinal) AS first_over FROM r WHERE u > 700 GROUP BY ALL")
 def o3_byte_limit(spark, d):
-    return order.byte_limit(_control(spark, d)[0], pages.PAGE, 1000)
+    return order.byte_limit(_control(spark, d)[0], pages.PAGE, 700)
 
 
 @query("w5_pack_batches", f"""WITH RECURSIVE staged AS ({STAGED}), e AS (SELECT input_id, attempt_id, page, ordinal, line_bytes AS b, row_number() OVER (PARTITION BY input_id, attempt_id, page ORDER BY ordinal) AS n FROM staged),
@@ -437,10 +439,10 @@ def u3_duplicate_input_ids(spark, d):
     return control.duplicate_input_ids(table(spark, d, "orders").select(F.col("o_custkey").alias("input_id")))
 
 
-@query("u1_union_inputs", "SELECT input_id, count(*) AS n FROM (SELECT 'a' AS input_id FROM orders UNION ALL SELECT 'b' FROM lineitem) GROUP BY ALL")
+@query("u1_union_inputs", "SELECT input_id, id, count(*) AS n FROM (SELECT 'a' AS input_id, o_orderkey AS id FROM orders UNION ALL SELECT 'b', l_orderkey FROM lineitem) GROUP BY ALL")
 def u1_union_inputs(spark, d):
     o, li = table(spark, d, "orders").select(F.col("o_orderkey").alias("id")), table(spark, d, "lineitem").select(F.col("l_orderkey").alias("id"))
-    return base.collect_inputs({"a": o, "b": li}).groupBy("input_id").agg(F.count("*").alias("n"))
+    return base.collect_inputs({"a": o, "b": li}).groupBy("input_id", "id").agg(F.count("*").alias("n"))
 
 
 INPUTS = """SELECT CASE WHEN c_custkey % 10 = 0 THEN concat(c_name, ' x') ELSE replace(c_name, '#', '_') END AS name, CASE WHEN c_custkey % 9 = 0 THEN 'oracle' WHEN c_custkey % 14 = 0 THEN 'db2' ELSE 'postgres' END AS connector,
@@ -547,10 +549,10 @@ def c3_json_number(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", encode.json_number(F.col("l_partkey")).alias("j"))
 
 
-@query("c4_json_float", "SELECT o_orderkey, o_totalprice::VARCHAR AS j FROM orders WHERE o_totalprice < 1e7")
+@query("c4_json_float", "SELECT o_orderkey, o_totalprice::VARCHAR AS j, (o_totalprice * 1e6)::VARCHAR AS large, CASE WHEN o_orderkey % 9 > 0 THEN ((o_orderkey % 9) / 10000)::VARCHAR END AS small FROM orders")
 def c4_json_float(spark, d):
-    o = table(spark, d, "orders").where("o_totalprice < 1e7")  # from there on the texts differ, the values don't
-    return o.select("o_orderkey", encode.json_float(F.col("o_totalprice")).alias("j"))
+    price, tiny = F.col("o_totalprice"), F.when(F.col("o_orderkey") % 9 > 0, (F.col("o_orderkey") % 9) / 10000)
+    return table(spark, d, "orders").select("o_orderkey", encode.json_float(price).alias("j"), encode.json_float(price * 1e6).alias("large"), encode.json_float(tiny).alias("small"))
 
 
 @query("c5_json_decimal", """SELECT c_custkey, '"' || c_acctbal::DECIMAL(38,6)::VARCHAR || '"' AS j FROM customer""")
@@ -624,7 +626,7 @@ def c15_rising_event_id(spark, d):
 @query("c16_batch_event_id", f"SELECT event_id, sha256('{ids.BATCH_EVENT}'::BLOB || unhex('aa') || unhex('bb') || unhex(printf('%016x', row_number() OVER (ORDER BY ts, event_id)))) AS eid FROM events")
 def c16_batch_event_id(spark, d):
     e = table(spark, d, "events")
-    n = order.with_ordinal(e.select(ts_us(e, SPEC).alias("ts_us"), F.col("event_id").alias("id")), bucket_rows=5_000)
+    n = order.with_ordinal(e.select(ts_us(e, SPEC).alias("ts_us"), F.col("event_id").alias("id")), buckets=8)
     return n.select(F.col("id").alias("event_id"), ids.batch_event_id(F.lit("aa"), F.lit("bb"), F.col("ordinal")).alias("eid"))
 
 
@@ -731,13 +733,13 @@ def c29_event_size_guard(spark, d):
 # ---- schemas, sinks, streams -------------------------------------------------------------------------------------
 
 
-@query("j4_schema_diff", """SELECT 1 AS position, 'o_custkey' AS expected_name, 'o_customer' AS observed_name, (SELECT count(*) FROM orders) AS rows
-    UNION ALL SELECT 5, 'o_orderpriority', NULL, (SELECT count(*) FROM orders)""")
+@query("j4_schema_diff", """SELECT o_orderkey AS position, o_orderstatus AS expected_name, CASE WHEN o_orderkey % 5 > 0 THEN CASE WHEN o_orderkey % 3 = 0 THEN 'x' ELSE o_orderstatus END END AS observed_name
+    FROM orders WHERE o_orderkey % 5 = 0 OR o_orderkey % 3 = 0""")
 def j4_schema_diff(spark, d):
     o = table(spark, d, "orders")
-    seen = o.select(*o.columns[:5]).withColumnRenamed("o_custkey", "o_customer")
-    diff = control.schema_diff(schema.schema_frame(o), schema.schema_frame(seen))
-    return diff.select("position", "expected_name", "observed_name").crossJoin(o.agg(F.count("*").alias("rows")))
+    rows = o.select(F.col("o_orderkey").alias("position"), F.col("o_orderstatus").alias("name"), F.col("o_orderpriority").alias("type"), F.lit(True).alias("nullable"))
+    seen = rows.where("position % 5 > 0").withColumn("name", F.when(F.col("position") % 3 == 0, "x").otherwise(F.col("name")))
+    return control.schema_diff(rows, seen).select("position", "expected_name", "observed_name")
 
 
 @query("k1_write_ndjson", f"SELECT {LINE} AS line FROM events")
@@ -786,7 +788,7 @@ _PAGES = f"SELECT page, count(*) AS rows, sum(strlen(line) + 1)::BIGINT AS bytes
 def p2_seal_page(spark, d):
     root = scratch_dir(spark, "sealed")
     publish(checked_scan(event_base(spark, d), EVENTS, AT), EVENTS, 1, root, AT)
-    return spark.read.parquet(f"{root}/manifest").select("page", "rows", "bytes")
+    return state.table(spark, root, "manifest").select("page", "rows", "bytes")
 
 
 @query("r1_deliver_stream", _PAGES.replace(", sum(strlen(line) + 1)::BIGINT AS bytes", ""))
@@ -794,15 +796,56 @@ def r1_deliver_stream(spark, d):
     root = scratch_dir(spark, "delivered")
     publish(checked_scan(event_base(spark, d), EVENTS, AT), EVENTS, 1, root, AT)
     deliver_stream(spark, root, f"{root}/checkpoint", _receipts).awaitTermination()
-    return spark.read.parquet(f"{root}/receipts").select("page", "rows")
+    return state.table(spark, root, "receipts").select("page", "rows")
+
+
+def _to_files(path: str):
+    """A sink that appends the events to Parquet files and gives their receipts."""
+
+    def send(events: DataFrame) -> DataFrame:
+        events.write.mode("append").parquet(path)
+        return _receipts(events)
+
+    return send
 
 
 @query("r2_rising_stream", f"SELECT event_id AS id, {US} AS ts_us FROM events")
 def r2_rising_stream(spark, d):
     root, path = scratch_dir(spark, "rising"), f"{d}/events.parquet*"
     inp = Input("events", SPEC, ("event_id", "ts", "event_type"), query="events", max_rows=2_000)
-    rising_stream(spark, path, table(spark, d, "events").schema, inp, root, f"{root}/checkpoint", _receipts).awaitTermination()
-    return spark.read.parquet(f"{root}/events").select("id", "ts_us")
+    rising_stream(spark, path, table(spark, d, "events").schema, inp, root, f"{root}/checkpoint", _to_files(f"{root}/out")).awaitTermination()
+    return spark.read.schema("id long, ts_us long").parquet(f"{root}/out")
+
+
+@query("r2_resumed_scan", f"SELECT attempt_id, count(*) AS rows, max(event_id) AS last FROM (SELECT event_id, CASE WHEN {US} < {RESUME.ts_us} THEN 1 ELSE 2 END::BIGINT AS attempt_id FROM events) GROUP BY attempt_id")
+def r2_resumed_scan(spark, d):
+    """A run that fails in delivery; then the base has grown: what was sealed goes out first, the rest after it."""
+    root = scratch_dir(spark, "resumed")
+    inp = Input("007", SPEC, ("event_id", "ts", "event_type"), query="events", max_rows=2_000)
+    e = table(spark, d, "events")
+
+    def down(_: DataFrame) -> DataFrame:
+        raise ConnectionError("down")
+
+    try:
+        run_inputs(spark, [(inp, e.where(F.col("ts") < F.lit("2024-01-03").cast("timestamp_ntz")))], root, down)
+    except ConnectionError:
+        run_inputs(spark, [(inp, e)], root, _to_files(f"{root}/out"))
+    sent = spark.read.parquet(f"{root}/out").where("input_id = '007'")
+    return sent.groupBy("attempt_id").agg(F.count("*").alias("rows"), F.max("id").alias("last"))
+
+
+@query("s1_batch_run", f"""WITH o AS (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS n FROM orders)
+    SELECT input_id, count(*) AS rows, min(event_id) AS first FROM (
+    SELECT 'orders' AS input_id, sha256('{ids.BATCH_EVENT}'::BLOB || unhex('{_h(ids.INPUT, _n(1, 1, 2), _s(2, "orders"))}') || unhex('{hashlib.sha256(b"run 1").hexdigest()}') || unhex(printf('%016x', n))) AS event_id FROM o WHERE n <= 5000
+    UNION ALL SELECT 'events', {EVENT_ID.replace(_identity(EVENTS), _identity(Input("events", SPEC, (), query="events")))} FROM events) GROUP BY input_id""")
+def s1_batch_run(spark, d):
+    """A batch input and a rising input in one run, sealed, delivered and committed together."""
+    root = scratch_dir(spark, "runs")
+    batch = BatchInput("orders", "run 1", ("o_orderkey", "o_orderstatus"), (F.col("o_orderdate").asc(), F.col("o_orderkey").asc()), 5_000)
+    rising = Input("events", SPEC, ("event_id", "ts"), query="events", max_rows=2_000)
+    run_inputs(spark, [(batch, table(spark, d, "orders")), (rising, table(spark, d, "events"))], root, _to_files(f"{root}/out"))
+    return spark.read.parquet(f"{root}/out").groupBy("input_id").agg(F.count("*").alias("rows"), F.min("event_id").alias("first"))
 
 
 @query("r4_late_rows", f"SELECT {EVENT_ID} AS event_id FROM events WHERE {PAST} OR ({US} >= {AT.ts_us - OVERLAP.overlap_us} AND event_id % 10 = 3)")

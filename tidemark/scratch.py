@@ -1,14 +1,43 @@
-"""A folder that driver and executors share."""
+"""A folder that driver and executors share, and tables cut off from their lineage in it."""
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from .errors import TidemarkError
+
+_OWN: dict[str, str] = {}
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir; only where that is unset (tests, one machine) below a temporary folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-tidemark-")
-    return f"{root.rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex}"
+    """A new path below spark.checkpoint.dir; only on one machine (tests) it may be unset, then below a temporary folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise TidemarkError("no_shared_folder", "set spark.checkpoint.dir to a folder that all executors share")
+        app = spark.sparkContext.applicationId
+        root = _OWN.setdefault(app, "") or _OWN.update({app: "file://" + tempfile.mkdtemp(prefix="spark-tidemark-")}) or _OWN[app]
+    path = f"{root.rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex}"
+    atexit.register(remove, spark, path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a path, if it and the session are still there."""
+    try:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    except Exception:  # the JVM may be gone at exit; the folder's own cleaner then removes it
+        pass
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """df written once in the shared folder and read back."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

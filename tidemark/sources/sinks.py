@@ -5,13 +5,15 @@ from __future__ import annotations
 import json
 import time
 import urllib.request
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import TidemarkError
-from ..operators.order import pack_batches
+from ..functions.strict import envelope, event_size_guard
+from ..operators.order import pack_batches, page_by_page
 
 
 def write_ndjson(events: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -24,16 +26,33 @@ def write_pages(events: DataFrame, manifest: DataFrame, root: str) -> None:
     manifest.write.mode("append").parquet(f"{root}/manifest")
 
 
+def enveloped(events: DataFrame, time: str, index: str, sourcetype: str, source: str, most: int = 900_000) -> DataFrame:
+    """events(event_id, line, ..) with the delivered `event`; one over `most` bytes fails the delivery."""
+    event = envelope(F.col("line"), F.col("event_id"), F.lit(time), index, sourcetype, source)
+    sized = events.withColumn("event", event)
+    too_large = F.raise_error(F.concat(F.lit("event_size: "), F.col("event_id")))
+    return sized.withColumn("event", F.when(event_size_guard(F.col("event"), most), F.col("event")).otherwise(too_large.cast("string")))
+
+
+def _call(url: str, body: bytes, head: dict, timeout: float) -> dict:
+    with urllib.request.urlopen(urllib.request.Request(url, body, head), timeout=timeout) as r:
+        answer = json.loads(r.read() or b"{}")
+    if not isinstance(answer, dict) or answer.get("code", 0) != 0:
+        raise TidemarkError("http_delivery", f"the collector answered {str(answer)[:200]}")
+    return answer
+
+
 def post(url: str, body: bytes, token: str, timeout: float, ack_url: str | None, attempts: int = 3) -> None:
-    """One request; a retry may deliver twice, which the event ids make harmless."""
+    """One request. Broken connections, busy servers and server errors are tried again, which may deliver twice and
+    the event ids make harmless; a request that the collector refuses is not."""
     head = {"Authorization": f"Bearer {token}", "Content-Type": "application/json"}
     for n in range(attempts):
         try:
-            with urllib.request.urlopen(urllib.request.Request(url, body, head), timeout=timeout) as r:
-                answer = json.loads(r.read() or b"{}")
+            answer = _call(url, body, head, timeout)
             break
         except OSError as e:
-            if n + 1 == attempts:
+            status = getattr(e, "code", None)
+            if n + 1 == attempts or (isinstance(status, int) and status < 500 and status not in (408, 429)):
                 raise TidemarkError("http_delivery", str(e)) from e
             time.sleep(0.1 * 2**n)
     if ack_url is None:
@@ -42,9 +61,11 @@ def post(url: str, body: bytes, token: str, timeout: float, ack_url: str | None,
     if ack is None:
         raise TidemarkError("http_ack", "no acknowledgment id")
     while time.monotonic() < deadline:
-        with urllib.request.urlopen(urllib.request.Request(ack_url, json.dumps({"acks": [ack]}).encode(), head), timeout=timeout) as r:
-            if json.loads(r.read()).get("acks", {}).get(str(ack)):
+        try:
+            if _call(ack_url, json.dumps({"acks": [ack]}).encode(), head, timeout).get("acks", {}).get(str(ack)):
                 return
+        except OSError:
+            pass  # asked again until the deadline
         time.sleep(0.1)
     raise TidemarkError("http_ack", "not acknowledged in time; the batch is uncertain")
 
@@ -53,18 +74,31 @@ def http_sink(events: DataFrame, url: str, token: str, max_events: int = 250, ma
     """Posts events(input_id, attempt_id, page, ordinal, event) in packed batches, one request each, and gives the
     receipts (page key, rows) of the pages whose batches all went out."""
     page = ["input_id", "attempt_id", "page"]
-    sized = events.withColumn("event_bytes", F.octet_length("event"))
+    sized = events.withColumn("event_bytes", F.octet_length("event").cast("long"))
     batches = pack_batches(sized, page, max_events, max_bytes)
-    joined = sized.join(batches.select(*page, "ordinal", "batch"), [*page, "ordinal"])
-
-    def send(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ordinal")
-        for _, rows in pdf.groupby("batch", sort=True):
-            post(url, "\n".join(rows["event"]).encode("utf-8"), token, timeout, ack_url)
-        return pdf[page].head(1).assign(rows=len(pdf))
-
-    schema = ", ".join(f"{c} {events.schema[c].dataType.simpleString()}" for c in page) + ", rows long"
-    return joined.select(*page, "ordinal", "batch", "event").groupBy(*page).applyInPandas(send, schema)
+    joined = page_by_page(sized.join(batches.select(*page, "ordinal", "batch"), [*page, "ordinal"]), page, "batch", "event")
+
+    def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, batch, held, rows = None, None, [], 0
+        for pdf in frames:
+            done = []
+            for *key, b, event in zip(*[pdf[c].tolist() for c in page], pdf["batch"].tolist(), pdf["event"].tolist()):
+                if held and (key != now or b != batch):
+                    post(url, "\n".join(held).encode("utf-8"), token, timeout, ack_url)
+                    held = []
+                if key != now:
+                    if now is not None:
+                        done.append((*now, rows))
+                    now, rows = key, 0
+                held.append(event)
+                batch, rows = b, rows + 1
+            yield pd.DataFrame(done, columns=[*page, "rows"])
+        if held:
+            post(url, "\n".join(held).encode("utf-8"), token, timeout, ack_url)
+        if now is not None:
+            yield pd.DataFrame([(*now, rows)], columns=[*page, "rows"])
+
+    return joined.mapInPandas(send, ", ".join(f"{c} {events.schema[c].dataType.simpleString()}" for c in page) + ", rows long")
 
 
 def metrics_row(spark: SparkSession, input_id: str, status: str, rows: int | None = None, bytes: int | None = None, duration_ns: int | None = None, error_code: str | None = None) -> DataFrame:

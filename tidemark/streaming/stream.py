@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..cursor import Cursor
-from ..operators.pages import PAGE, current_cursor
-from ..plans.scan import Input, checked_scan, publish
+from ..operators.pages import PAGE
+from ..plans import state
+from ..plans.run import Send, deliver, run_scan
+from ..plans.scan import Input
 
 
 def stream_dedup(events: DataFrame, ts: str = "ts", delay: str = "10 minutes") -> DataFrame:
@@ -19,66 +17,19 @@ def stream_dedup(events: DataFrame, ts: str = "ts", delay: str = "10 minutes") -
     return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def deliver_stream(spark: SparkSession, root: str, checkpoint: str, send: Callable[[DataFrame], DataFrame], files_per_trigger: int = 100) -> StreamingQuery:
-    """Delivers sealed pages: follows the manifest, since a page is visible only once its manifest row is, reads those
-    pages' events, sends them, and appends the receipts that `send` gives. A replayed batch skips receipted pages."""
-    manifest = spark.read.parquet(f"{root}/manifest").schema
-    stream = spark.readStream.schema(manifest).option("maxFilesPerTrigger", files_per_trigger).parquet(f"{root}/manifest")
-
-    def deliver(pages: DataFrame, _: int) -> None:
-        s = pages.sparkSession
-        want = pages.select(*PAGE)
-        try:
-            want = want.join(s.read.parquet(f"{root}/receipts"), PAGE, "left_anti")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        events = s.read.parquet(f"{root}/events").join(want, PAGE, "left_semi")
-        send(events).write.mode("append").parquet(f"{root}/receipts")
-
-    return stream.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def read_cursor(spark: SparkSession, root: str, input_id: str) -> tuple[int, Cursor | None]:
-    """(generation, position) of an input; a missing table means none yet."""
-    try:
-        cursors = spark.read.parquet(f"{root}/cursors")
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        return 0, None
-    row = current_cursor(cursors.where(F.col("input_id") == input_id)).first()
-    if row is None:
-        return 0, None
-    return row["generation"], Cursor(row["ts_us"], row["id"]) if row["ts_us"] is not None else None
+def deliver_stream(spark: SparkSession, root: str, checkpoint: str, send: Send, files_per_trigger: int = 100, pages_per_send: int = 4096) -> StreamingQuery:
+    """Delivers sealed pages: follows the manifest, since a page is visible only once its manifest row is, reads the
+    events of those attempts alone, sends them, and appends the receipts that `send` gives. A replayed batch skips
+    receipted pages. A trigger takes so many manifest files, and sends so many pages at once."""
+    stream = spark.readStream.schema(state.SCHEMAS["manifest"]).option("maxFilesPerTrigger", files_per_trigger).parquet(f"{root}/manifest")
 
+    def step(pages: DataFrame, _: int) -> None:
+        deliver(pages.sparkSession, root, pages.select(*PAGE), send, pages_per_send)
 
-def run_scan(spark: SparkSession, base: DataFrame, inp: Input, root: str, send: Callable[[DataFrame], DataFrame]) -> Cursor | None:
-    """One scan to its end: check, seal, deliver, then move the cursor. A failure leaves the cursor where it was, and
-    the next run seals the same attempt anew: event ids make the replay harmless."""
-    generation, committed = read_cursor(spark, root, inp.input_id)
-    attempt = generation + 1
-    scan = checked_scan(base, inp, committed)
-    publish(scan, inp, attempt, root, committed)
-    mine = (F.col("input_id") == inp.input_id) & (F.col("attempt_id") == attempt)
-    # a retried attempt has the same pages twice in the manifest; the rows are equal but for what changed since
-    pages = spark.read.parquet(f"{root}/manifest").where(mine)
-    events = spark.read.parquet(f"{root}/events").where(mine)
-    if pages.isEmpty():
-        at = committed
-    else:
-        send(events).write.mode("append").parquet(f"{root}/receipts")
-        staged, sent = events.count(), spark.read.parquet(f"{root}/receipts").where(mine).dropDuplicates(PAGE).agg(F.sum("rows")).first()[0]
-        if staged != sent:
-            raise RuntimeError(f"{staged} rows staged, {sent} delivered")
-        top = pages.agg(F.max("candidate").alias("c")).first()["c"]
-        at = Cursor(top["ts_us"], top["id"])
-    row = (inp.input_id, generation + 1, at.ts_us if at else None, at.id if at else None)
-    spark.createDataFrame([row], "input_id string, generation long, ts_us long, id long").write.mode("append").parquet(f"{root}/cursors")
-    return at
+    return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def rising_stream(spark: SparkSession, path: str, schema, inp: Input, root: str, checkpoint: str, send: Callable[[DataFrame], DataFrame], files_per_trigger: int = 1000) -> StreamingQuery:
+def rising_stream(spark: SparkSession, path: str, schema, inp: Input, root: str, checkpoint: str, send: Send, files_per_trigger: int = 1000) -> StreamingQuery:
     """Scans an append-only directory as files arrive, one scan after another; the cursor moves only after delivery.
     Each trigger reads the base past the cursor, so rows that a failed trigger left behind are not lost."""
     arrivals = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
