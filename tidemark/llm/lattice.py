@@ -75,6 +75,37 @@ def cells(unit: np.ndarray, group: np.ndarray, tables: int, probes: int, scale:
     return np.stack(own, 1), np.stack(more, 1)
 
 
+def hit_rate(scale: float, cosine: float, probes: int, samples: int = 4_000, seed: int = 3) -> float:
+    """The share of pairs at that cosine that one table brings together, in either direction. Projections of such a
+    pair are normal, with that correlation, whatever the vectors are; so it is simulated."""
+    rng, near = np.random.default_rng(seed), roots()
+    x = rng.normal(0, scale, (samples, 8))
+    y = cosine * x + np.sqrt(max(0.0, 1 - cosine**2)) * rng.normal(0, scale, (samples, 8))
+    p, q = nearest_e8(x), nearest_e8(y)
+    met = np.zeros(samples, bool)
+    for a, home, other in ((x, p, q), (y, q, p)):
+        best = np.argpartition(-((a - home) @ near.T), probes - 1, axis=1)[:, :probes]
+        met |= (home == other).all(1) | ((home[:, None, :] + near[best]) == other[:, None, :]).all(2).any(1)
+    return float(met.mean())
+
+
+def plan_tables(rows: int, cosine: float, probes: int, recall: float) -> tuple[float, int]:
+    """(scale, tables) of least work for labels of so many rows: enough tables for that recall at the threshold.
+
+    A cell has volume 1, so two unrelated vectors share one with probability (2 sqrt(pi) scale)^-8: larger scales keep
+    cells small as the table grows, and need more tables."""
+    best = (np.inf, 1.0, 1)
+    for scale in (1.0, 1.25, 1.5, 1.75, 2.0, 2.5, 3.0):
+        p = hit_rate(scale, cosine, probes)
+        tables = 1 if p >= recall else int(np.ceil(np.log(1 - recall) / np.log1p(-max(p, 1e-4))))
+        mates = rows * (2 * np.sqrt(np.pi) * scale) ** -8.0
+        plan = (tables * (1 + probes) * (1 + mates), scale, tables)
+        if plan[0] > best[0]:
+            break
+        best = plan
+    return best[1:]
+
+
 def _features(batches, tables, probes, scale):
     for pdf in batches:
         rows = []
@@ -126,13 +157,17 @@ def _like(pdf: pd.DataFrame, cosine: float) -> np.ndarray:
     return s
 
 
-def lattice_components(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", label: str = "label", cosine: float = 0.98, tables: int = 8, probes: int = 8, scale: float = 1.0) -> DataFrame:
+def lattice_components(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", label: str = "label", cosine: float = 0.98, tables: int | None = None, probes: int = 8, scale: float | None = None, recall: float = 0.9999) -> DataFrame:
     """One row per vector: id, n_links, component_id, kept. Vectors of different labels or lengths never link.
 
     Null, empty and zero vectors, those with null or non-finite components, and those without a label link with
     nothing. Equal vectors are searched once and count as linked with one another; rows that repeat an id count
     as vectors of their own. A null id can't name a component: its row has the smallest id it links to, and is kept.
+    Unless given, scale and tables follow from the rows of the largest label and the recall of pairs at the threshold.
     """
+    if tables is None or scale is None:
+        most = vectors.groupBy(label).count().agg(F.max("count")).first()[0] or 0
+        scale, tables = plan_tables(most, cosine, probes, recall)
     src = vectors.select(F.monotonically_increasing_id().alias("rid"), F.col(id).cast("long").alias("vec_id"), F.col(label).cast("long").alias("label"), F.col(vector).alias("v"))
     feats = src.mapInPandas(lambda b: _features(b, tables, probes, scale), "rid long, vec_id long, label long, digest binary, unit array<double>, own array<long>, more array<long>")
     feats = cut(feats, "vectors")
@@ -213,6 +248,7 @@ def lattice_components(vectors: DataFrame, id: str = "vec_id", vector: str = "em
 
 
 def op1_lattice(spark, sf_dir):
+    """Links and components of all embeddings at cosine 0.98 within a label."""
     return lattice_components(read(spark, sf_dir, "embeddings"))
 
 
