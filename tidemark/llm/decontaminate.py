@@ -1,9 +1,10 @@
-"""Benchmark decontamination by a positional inverted index (DataFrame operations only).
+"""Benchmark decontamination by a positional index (DataFrame operations only).
 
-The index stores every training text once as its token positions. A phrase search takes the rarest term of
-each test phrase, as counted over the whole corpus, fetches that term's postings, shifts each posting by the
-term's offset in the phrase and intersects it with the remaining terms at their own offsets. A proximity
-search does the same with a slack between neighbouring terms.
+The index is parted by document: every training text is stored once as its terms by position, so the postings of a
+text lie together and lists meet without a shuffle. A phrase search takes the rarest term of each test phrase, as
+counted over the whole corpus, fetches that term's postings, shifts each posting by the term's offset in the phrase
+and intersects it with the other terms at their own offsets. A proximity search starts from the rarest term as well
+and walks both ways with a slack between neighbouring terms.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._base import ascii_lower, cut, read, small
+from ._base import BROADCAST_ROWS, ascii_lower, cut, read, small
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -49,35 +50,51 @@ def rarest_terms(index: DataFrame, wanted: DataFrame) -> DataFrame:
     return one.where(F.col("m.n") > 0).select("phrase", F.col("k").cast("int").alias("k"), F.col("m.term").alias("term"), F.col("m.off").alias("off"))
 
 
-def exact_matches(index: DataFrame, wanted: DataFrame) -> DataFrame:
+def _anchored(index: DataFrame, anchors: DataFrame, most: int) -> DataFrame:
+    """The postings of anchor terms with their texts' words: (rid, words, pos, *anchors).
+
+    Many anchors are joined by shuffle; then only (rid, pos, term) travels, and each text's words are fetched once."""
+    if anchors.limit(most + 1).count() <= most:
+        return index.select("rid", "words", F.posexplode("words").alias("pos", "term")).join(F.broadcast(anchors), "term")
+    found = index.select("rid", F.posexplode("words").alias("pos", "term")).join(anchors, "term")
+    return found.join(index.select("rid", "words"), "rid")
+
+
+def exact_matches(index: DataFrame, wanted: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(rid, start, k, phrase): every place where a phrase occurs; start counts from 0, k is its length."""
-    anchors = small(rarest_terms(index, wanted))
-    postings = index.select("rid", "words", F.posexplode("words").alias("pos", "term"))
     start = F.col("pos") - F.col("off")
     lists_meet = (start >= 0) & (F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("k")) == F.col("phrase"))
-    return postings.join(anchors, "term").where(lists_meet).select("rid", start.alias("start"), "k", "phrase")
+    found = _anchored(index, cut(rarest_terms(index, wanted), "anchors"), broadcast_rows)
+    return found.where(lists_meet).select("rid", start.alias("start"), "k", "phrase")
 
 
-def proximity_matches(index: DataFrame, wanted: DataFrame, slack: int = 2) -> DataFrame:
-    """(rid, phrase, start, end): the phrase's terms stand in order, each at most `slack` words after its place
-    behind the one before; found by walking on from each posting of the first term. start counts from 0."""
-    first = small(wanted.select("phrase").distinct().withColumn("term", F.col("phrase")[0]))
-    postings = index.select("rid", "words", F.posexplode("words").alias("pos", "term")).join(first, "term")
+def _reached(pos, terms, slack: int, way: int):
+    """All places that the last of the terms can have, if each stands 1 to 1 + slack places on from the one before."""
 
-    def step(at, term):
-        near = F.slice(F.col("words"), F.greatest(at, F.lit(0)) + 2, slack + 1)
-        hit = F.array_position(near, term).cast("int")
-        return F.when((at >= 0) & (hit > 0), at + hit).otherwise(F.lit(-1))
+    def step(places, term):
+        near = lambda p: F.filter(F.sequence(p + way, p + way * (1 + slack), F.lit(way)), lambda q: (q >= 0) & (F.get("words", q) == term))
+        return F.array_distinct(F.flatten(F.transform(places, near)))
 
-    end = F.aggregate(F.slice("phrase", 2, 1_000_000), F.col("pos"), step)
-    return postings.select("rid", "phrase", F.col("pos").alias("start"), end.alias("end")).where("end >= 0")
+    return F.aggregate(terms, F.array(pos), step)
+
+
+def proximity_matches(index: DataFrame, wanted: DataFrame, slack: int = 2, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """(rid, phrase, start, end): the phrase's terms stand in order, each at most `slack` words after its place
+    behind the one before. For every posting of the rarest term that lies in a match the nearest start and end,
+    counted from 0; all places that a term can have are followed, so no match is lost."""
+    found = _anchored(index, cut(rarest_terms(index, wanted), "anchors"), broadcast_rows)
+    before = F.reverse(F.slice("phrase", F.lit(1), F.col("off")))
+    after = F.slice("phrase", F.col("off") + 2, F.col("k"))
+    found = found.withColumns({"starts": _reached(F.col("pos"), before, slack, -1), "ends": _reached(F.col("pos"), after, slack, 1)})
+    return found.where((F.size("starts") > 0) & (F.size("ends") > 0)).select("rid", "phrase", F.array_max("starts").alias("start"), F.array_min("ends").alias("end")).distinct()
 
 
 def contamination(docs: DataFrame, bench: DataFrame, size: int = 10, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per document: row (a struct of the columns to keep, so that none can clash), n_words, n_hit (words inside a matched window), n_items, items (sorted ids as
-    text), items_sha256, contaminated. Null or empty texts have no words and no hits; a null item id is skipped."""
+    text), items_sha256, contaminated. Null or empty texts have no words and no hits. An item without an id counts, but
+    can't be named in items."""
     index = build_index(docs, keep=keep)
-    wanted = cut(phrases(bench, size).where("item is not null"), "phrases")
+    wanted = cut(phrases(bench, size), "phrases")
     found = cut(exact_matches(index, wanted), "matches")
     spans = found.select("rid", "start", (F.col("start") + F.col("k")).alias("stop")).distinct()
     # words in the union of the spans: each span adds what lies beyond the furthest stop before it
@@ -85,17 +102,18 @@ def contamination(docs: DataFrame, bench: DataFrame, size: int = 10, keep: tuple
     fresh = F.greatest(F.col("stop") - F.greatest("start", F.coalesce(F.max("stop").over(before), F.lit(0))), F.lit(0))
     hit = spans.select("rid", fresh.alias("fresh")).groupBy("rid").agg(F.sum("fresh").cast("long").alias("n_hit"))
     pairs = found.select("rid", "phrase").distinct().join(small(wanted), "phrase").select("rid", F.col("item").cast("string").alias("item")).distinct()
-    items = pairs.groupBy("rid").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    items = pairs.groupBy("rid").agg(F.sort_array(F.collect_list("item")).alias("items"), F.count("*").alias("n_items"))
     none = F.array().cast("array<string>")
     out = index.select("rid", "row", F.size("words").cast("long").alias("n_words")).join(hit, "rid", "left").join(items, "rid", "left")
     items, n_hit = F.coalesce("items", none), F.coalesce("n_hit", F.lit(0).cast("long"))
     return out.select(
-        "row", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), items.alias("items"),
+        "row", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), items.alias("items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
     )
 
 
 def op5_decontaminate(spark, sf_dir):
+    """Ten-word windows of benchmark items in all documents."""
     found = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select("row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
