@@ -219,6 +219,15 @@ def w1_strictly_increasing(spark, d):
     return order.strictly_increasing(order.with_ordinal(_line_cursors(spark, d), buckets=16)).groupBy("ts_us", "id").agg(F.count("*").alias("again"))
 
 
+@query("s2_lineitem_scan", f"SELECT (n - 1) // 5000 + 1 AS page, count(*) AS rows, min(us) AS low, max(us) AS high FROM (SELECT row_number() OVER (ORDER BY ts, id) AS n, {US} AS us FROM {LINES}) GROUP BY page")
+def s2_lineitem_scan(spark, d):
+    """The whole of lineitem as a rising scan: read once, ordered, paged, encoded and identified."""
+    rows = table(spark, d, "lineitem").select(F.col("l_shipdate").alias("ts"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_quantity").cast("decimal(18,2)").alias("quantity"), F.col("l_returnflag").alias("flag"))
+    scan = rising_scan(rows, Input("lines", CursorSpec("ts", "id", assume_utc=True), ("id", "quantity", "flag"), query="lines", max_rows=5_000))
+    summed = scan.groupBy("page").agg(F.count("*").alias("rows"), F.min("ts_us").alias("low"), F.max("ts_us").alias("high"), F.count_if(F.length("event_id") + F.col("line_bytes") < 65).alias("odd"))
+    return summed.where("odd = 0").drop("odd")
+
+
 @query("a4_duplicate_cursors", f"SELECT {US} AS ts_us, id, count(*) AS n FROM {LINES} GROUP BY ALL HAVING n > 1")
 def a4_duplicate_cursors(spark, d):
     return pages.duplicate_cursors(_line_cursors(spark, d), "ts_us", "id")
