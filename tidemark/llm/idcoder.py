@@ -1,9 +1,9 @@
 """Adaptive context-mixing range coder for token ids, in independently reset, checksummed blocks.
 
-Predictions of order 2, 1 and 0 (the id that followed the last two ids, the last id, and the most frequent id) are
-mixed by how well the first two have done: for each pair of confidences the coder learns how often each of
-them is right, and a carryless range coder (64 bits, 32 written at once) codes which one it is, or an escape and the id.
-Blocks share nothing, so numpy codes many at once, one lane each.
+The id that followed the last two ids (order 2) and the last id (order 1) are predicted, and how well both have done
+tells how they are mixed: for each pair of confidences the coder learns how often each of them is right. Where both
+fail, the id is coded by its order-0 frequency in the block so far. A carryless range coder (64 bits, 32 written at
+once) codes the choice and, where needed, the id. Blocks share nothing, so numpy codes many at once, one lane each.
 """
 
 from __future__ import annotations
@@ -13,47 +13,79 @@ import zlib
 
 import numpy as np
 
-BLOCK_IDS, TABLE = 4096, 1 << 12
-MAGIC = b"TMB1"
-_TOP, _FULL, _ESCAPE = np.uint64(1 << 32), np.uint64(2**64 - 1), np.uint64(1 << 16)
-_32, _16, _1 = np.uint64(32), np.uint64(16), np.uint64(1)
+BLOCK_IDS, TABLE, IDS = 1 << 14, 1 << 13, 1 << 16
+MAGIC = b"TMB2"
+_TOP, _FULL = np.uint64(1 << 32), np.uint64(2**64 - 1)
+_32, _1 = np.uint64(32), np.uint64(1)
 _HEAD = struct.Struct("<4sIIII")
 #: One document's part of a block: its number in the file, its id, its ids here; flags: 1 null id.
 PIECE = np.dtype([("doc_no", "<i8"), ("doc_id", "<i8"), ("n", "<u4"), ("flags", "<u4")])
+#: Order-0 frequencies: what every id begins with (low ids, merged first, are likelier), and what each occurrence adds.
+_FIRST, _ADD = (1 + (1 << 14) // (np.arange(IDS) + 64)).astype(np.int32), 128
+#: Ids after which the order-0 frequencies are summed anew, as a share of those seen; lanes that are summed at once.
+_GROWTH, _SUMMED = 1 / 8, 32
+_ROWS, _ROW = 257, 256
+
+
+def _sums(most: int) -> set[int]:
+    """The steps before which order-0 frequencies are summed."""
+    steps, at = set(), 0
+    while at < most:
+        steps.add(at)
+        at += max(32, int(at * _GROWTH))
+    return steps
 
 
 class _Model:
-    """The predictions and mixing weights of all lanes; lanes 0..k-1 are active at a step."""
+    """The predictions, frequencies and mixing weights of all lanes; lanes 0..k-1 are active at a step."""
 
     def __init__(self, lanes: int):
         self.base = np.arange(lanes, dtype=np.int64) * TABLE
         self.id1, self.id2 = (np.full(lanes * TABLE, -1, np.int32) for _ in range(2))
         self.sure1, self.sure2 = (np.zeros(lanes * TABLE, np.int8) for _ in range(2))
-        self.seen = np.zeros(lanes * TABLE, np.int16)
-        self.best, self.often = np.full(lanes, -1, np.int32), np.zeros(lanes, np.int16)
-        self.weight = np.tile(np.array([2, 2, 1, 8], np.int64), lanes * 32)  # of each context: p2, p1, p0, escape
+        self.count = np.zeros((lanes, IDS), np.uint16)
+        self.upto = np.zeros((lanes, _ROWS * _ROW), np.int32)  # frequencies of all lower ids; at IDS the total
+        self.rows = np.zeros((lanes, _ROW), np.int32)  # the same at every 256th id
+        self.weight = np.tile(np.array([2, 2, 9, 0], np.int64), lanes * 32)  # of each context: order 2, order 1, neither
         self.context = np.arange(lanes, dtype=np.int64) * 128
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
 
+    def sum_up(self, k: int):
+        for a in range(0, k, _SUMMED):
+            b = min(k, a + _SUMMED)
+            np.cumsum(_FIRST + _ADD * self.count[a:b].astype(np.int32), axis=1, out=self.upto[a:b, 1 : IDS + 1])
+            self.rows[a:b] = self.upto[a:b, :IDS:_ROW]
+
+    def frequency(self, lanes, ids):
+        """(start, width, total) of ids in the order-0 frequencies of their lanes."""
+        start = self.upto[lanes, ids]
+        return start, self.upto[lanes, ids + 1] - start, self.upto[lanes, IDS]
+
+    def find(self, lanes, target):
+        """The id in whose order-0 range the target lies."""
+        target = target.astype(np.int32)[:, None]  # if nothing lies above it, the place is the last: -1 of _ROW
+        row = ((self.rows[lanes] > target).argmax(1) - 1) % _ROW
+        inside = self.upto.reshape(len(self.upto), _ROWS, _ROW)[lanes, row]
+        return row * _ROW + ((inside > target).argmax(1) - 1) % _ROW
+
     def predict(self, k: int):
         self.at1 = self.base[:k] + ((self.last[:k] * 2654435761) >> 7) % TABLE
         self.at2 = self.base[:k] + ((self.last[:k] * 40503 + self.before[:k] * 2654435761) >> 9) % TABLE
-        self.p2, self.p1, self.p0 = self.id2[self.at2], self.id1[self.at1], self.best[:k]
+        self.p2, self.p1 = self.id2[self.at2], self.id1[self.at1]
         same = self.p1 == self.p2
         self.ctx = self.context[:k] + (self.sure2[self.at2].astype(np.int64) << 5) + (self.sure1[self.at1].astype(np.int64) << 3) + (same.astype(np.int64) << 2)
         w = self.weight
         first = w[self.ctx]
         second = first + w[self.ctx + 1]
-        third = second + w[self.ctx + 2]
-        self.total = third + w[self.ctx + 3]
-        return first, second, third, self.total
+        self.total = second + w[self.ctx + 2]
+        return first, second, self.total
 
     def update(self, k: int, ids: np.ndarray, symbol: np.ndarray):
         w = self.weight
         w[self.ctx + symbol] += 12
         full = np.flatnonzero(self.total > 4000)
         if len(full):
-            for j in range(4):
+            for j in range(3):
                 at = self.ctx[full] + j
                 w[at] = (w[at] + 1) >> 1
         for known, sure, at, p in ((self.id1, self.sure1, self.at1, self.p1), (self.id2, self.sure2, self.at2, self.p2)):
@@ -61,12 +93,7 @@ class _Model:
             c = sure[at]
             known[at] = np.where(hit | (c > 0), p, ids)
             sure[at] = np.where(hit, np.minimum(c + 1, 3), np.maximum(c - 1, 0))
-        slot = self.base[:k] + ids % TABLE
-        n = self.seen[slot] + 1
-        self.seen[slot] = n
-        more = n > self.often[:k]
-        self.often[:k] = np.where(more, n, self.often[:k])
-        self.best[:k] = np.where(more, ids, self.best[:k])
+        self.count[np.arange(k), ids] += 1
         self.before[:k] = self.last[:k]
         self.last[:k] = ids
 
@@ -79,17 +106,19 @@ def _order(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encode_ids(blocks: list[np.ndarray]) -> list[bytes]:
-    """The code of each block of ids (0..65535)."""
+    """The code of each block of at most BLOCK_IDS ids; an id outside 0..65535 raises ValueError."""
     lengths = np.array([len(b) for b in blocks], dtype=np.int64)
     if not len(lengths):
         return []
+    if any(len(b) and not 0 <= int(np.min(b)) <= int(np.max(b)) < IDS for b in blocks) or lengths.max() > BLOCK_IDS:
+        raise ValueError("ids must be 0..65535, and a block's length at most BLOCK_IDS")
     order, active = _order(lengths)
     wide = np.zeros((int(lengths.max()), len(blocks)), np.int32)
     for lane, b in enumerate(order):
         wide[: lengths[b], lane] = blocks[b]
     model, lanes = _Model(len(blocks)), np.arange(len(blocks))
     low, rng = np.zeros(len(blocks), np.uint64), np.full(len(blocks), _FULL)
-    out, size = np.zeros((len(blocks), 4 * int(lengths.max()) + 8), np.uint32), np.zeros(len(blocks), np.int64)
+    out, size = np.zeros((len(blocks), int(lengths.max()) // 2 + 1024), np.uint32), np.zeros(len(blocks), np.int64)
 
     def narrow(at, start, width, r):
         lo, r = low[at] + r * start, r * width
@@ -107,16 +136,22 @@ def encode_ids(blocks: list[np.ndarray]) -> list[bytes]:
             todo = todo[((tl ^ (tl + tr)) < _TOP) | (tr < _TOP)]
         low[at], rng[at] = lo, r
 
+    sums = _sums(len(active))
     for t, k in enumerate(active):
+        if t in sums:
+            model.sum_up(k)
+        if t % 64 == 0 and size.max() + 512 > out.shape[1]:  # a step writes at most 4 words
+            out = np.pad(out, ((0, 0), (0, out.shape[1])))
         ids = wide[t, :k]
-        first, second, third, total = model.predict(k)
-        symbol = np.where(model.p2 == ids, 0, np.where(model.p1 == ids, 1, np.where(model.p0 == ids, 2, 3)))
-        start = np.choose(symbol, [0, first, second, third])
-        width = np.choose(symbol, [first, second, third, total]) - start
+        first, second, total = model.predict(k)
+        symbol = np.where(model.p2 == ids, 0, np.where(model.p1 == ids, 1, 2))
+        start = np.where(symbol == 0, 0, np.where(symbol == 1, first, second))
+        width = np.where(symbol == 0, first, np.where(symbol == 1, second, total)) - start
         narrow(lanes[:k], start.astype(np.uint64), width.astype(np.uint64), rng[:k] // total.astype(np.uint64))
-        raw = np.flatnonzero(symbol == 3)
+        raw = np.flatnonzero(symbol == 2)
         if len(raw):
-            narrow(raw, ids[raw].astype(np.uint64), _1, rng[raw] >> _16)
+            start, width, total = model.frequency(raw, ids[raw])
+            narrow(raw, start.astype(np.uint64), width.astype(np.uint64), rng[raw] // total.astype(np.uint64))
         model.update(k, ids, symbol)
     for shift in (_32, np.uint64(0)):
         out[lanes, size] = (low >> shift) & np.uint64(0xFFFFFFFF)
@@ -157,22 +192,28 @@ def decode_ids(codes: list[bytes], lengths) -> list[np.ndarray]:
             todo = todo[((tl ^ (tl + tr)) < _TOP) | (tr < _TOP)]
         low[at], rng[at] = lo, r
 
+    sums = _sums(len(active))
     for t, k in enumerate(active):
-        first, second, third, total = model.predict(k)
+        if t in sums:
+            model.sum_up(k)
+        first, second, total = model.predict(k)
         r = rng[:k] // total.astype(np.uint64)
         target = ((code[:k] - low[:k]) // r).astype(np.int64)
-        symbol = (first <= target).astype(np.int64) + (second <= target) + (third <= target)
-        start = np.choose(symbol, [0, first, second, third])
-        width = np.choose(symbol, [first, second, third, total]) - start
+        symbol = (first <= target).astype(np.int64) + (second <= target)
+        start = np.where(symbol == 0, 0, np.where(symbol == 1, first, second))
+        width = np.where(symbol == 0, first, np.where(symbol == 1, second, total)) - start
         narrow(lanes[:k], start.astype(np.uint64), width.astype(np.uint64), r)
-        ids = np.choose(symbol, [model.p2, model.p1, model.p0, 0]).astype(np.int32)
-        raw = np.flatnonzero(symbol == 3)
+        ids = np.where(symbol == 0, model.p2, model.p1)
+        raw = np.flatnonzero(symbol == 2)
         if len(raw):
-            r = rng[raw] >> _16
-            found = np.minimum((code[raw] - low[raw]) // r, _ESCAPE - _1)
-            narrow(raw, found, _1, r)
+            total = model.upto[raw, IDS]
+            r = rng[raw] // total.astype(np.uint64)
+            found = model.find(raw, np.minimum((code[raw] - low[raw]) // r, (total - 1).astype(np.uint64)).astype(np.int64))
+            start, width, _ = model.frequency(raw, found)
+            narrow(raw, start.astype(np.uint64), width.astype(np.uint64), r)
             ids[raw] = found
-        wide[t, :k] = ids
+        wide[t, :k] = np.clip(ids, 0, IDS - 1)  # a damaged block may lead anywhere; its checksum tells
+        ids = wide[t, :k]
         model.update(k, ids, symbol)
     out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(codes)
     for lane, b in enumerate(order):
@@ -214,22 +255,35 @@ def read_blocks(blocks: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def crc32_join(a: int, b: int, length: int) -> int:
-    """crc32 of two byte strings one after the other, from their crc32 and the second's length."""
-
-    def times(matrix, v):
-        total, i = 0, 0
-        while v:
-            if v & 1:
-                total ^= matrix[i]
-            v, i = v >> 1, i + 1
-        return total
-
+def _zero_bytes(count: int = 48) -> list[list[int]]:
+    """For each k what 2^k zero bytes do to the bits of a crc32."""
     m = [0xEDB88320] + [1 << i for i in range(31)]  # one zero bit
     for _ in range(3):
-        m = [times(m, x) for x in m]
-    while length:  # m: 2^k zero bytes
+        m = [_times(m, x) for x in m]
+    out = [m]
+    for _ in range(count - 1):
+        m = [_times(m, x) for x in m]
+        out.append(m)
+    return out
+
+
+def _times(matrix: list[int], v: int) -> int:
+    total, i = 0, 0
+    while v:
+        if v & 1:
+            total ^= matrix[i]
+        v, i = v >> 1, i + 1
+    return total
+
+
+_ZEROS = _zero_bytes()
+
+
+def crc32_join(a: int, b: int, length: int) -> int:
+    """crc32 of two byte strings one after the other, from their crc32 and the second's length."""
+    k = 0
+    while length:
         if length & 1:
-            a = times(m, a)
-        m, length = [times(m, x) for x in m], length >> 1
+            a = _times(_ZEROS[k], a)
+        length, k = length >> 1, k + 1
     return a ^ b

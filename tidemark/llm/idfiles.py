@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._base import cut, read
+from ._base import bounded_batches, cut, read, small
 from .idcoder import BLOCK_IDS, PIECE, crc32_join, read_blocks, write_blocks
 from .tokens import encoder, in_steps
 
 #: Blocks that a task codes at once: bounds its memory.
-LANES = 640
+LANES = 192
 BLOCKS = "part int, seq int, n_ids long, block binary"
 
 
@@ -80,8 +80,9 @@ def encode_documents(docs: DataFrame, tokenizer: str, id: str = "doc_id", text:
         rows, left, pieces = blocks(left, pieces, True)
         yield rows
 
-    src = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    return src.repartitionByRange("id").sortWithinPartitions("id", F.md5(F.col("text").cast("binary"))).mapInPandas(run, BLOCKS)
+    # ties are parted by text, so that an id of very many rows fills several files
+    src = bounded_batches(docs).select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"), F.md5(F.col(text).cast("binary")).alias("tie"))
+    return src.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "text").mapInPandas(run, BLOCKS)
 
 
 def decode_documents(blocks: DataFrame, id: str = "doc_id") -> DataFrame:
@@ -115,14 +116,18 @@ def decode_documents(blocks: DataFrame, id: str = "doc_id") -> DataFrame:
     sizes = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     offsets = sizes.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-    pieces = blocks.mapInPandas(run, "part int, doc_no long, id long, seq int, at long, n long, crc long")
+    pieces = cut(blocks.mapInPandas(run, "part int, doc_no long, id long, seq int, at long, n long, crc long"), "pieces")
     docs = pieces.groupBy("part", "doc_no").agg(
         F.first("id").alias("id"), F.min(F.struct("seq", "at")).alias("first"), F.sum("n").alias("n_tokens"), F.collect_list(F.struct("seq", "n", "crc")).alias("parts"))
     where = F.col("first.seq").cast("long") * BLOCK_IDS + F.col("first.at")
-    docs = docs.withColumn("crc", F.when(F.size("parts") == 1, F.col("parts")[0]["crc"]).otherwise(joined("parts")))
-    return docs.join(F.broadcast(offsets), "part").select(F.col("id").alias(id), (F.col("offset") + where).alias("start"), "n_tokens", F.col("crc").alias("ids_crc32"))
+    # few documents lie in more than one block
+    whole = docs.where(F.size("parts") == 1).withColumn("crc", F.col("parts")[0]["crc"])
+    docs = whole.union(docs.where(F.size("parts") > 1).withColumn("crc", joined("parts")))
+    # one row per file, and a file holds at least a task's share of the documents
+    return docs.join(small(offsets), "part").select(F.col("id").alias(id), (F.col("offset") + where).alias("start"), "n_tokens", F.col("crc").alias("ids_crc32"))
 
 
 def op7_id_files(spark, sf_dir):
+    """All documents written as coded id blocks, and what reading them back gives."""
     files = cut(encode_documents(read(spark, sf_dir, "documents"), "word_bpe_49k.json"), "ids")
     return decode_documents(files)
