@@ -185,12 +185,35 @@ def test_decontamination_against_scan(spark):
     assert [(r["start"], r["end"]) for r in near.collect()] == [(0, 4)]
 
 
+def test_proximity_against_all_walks(spark):
+    rng = random.Random(5)
+    texts = [[rng.choice("abcdq") for _ in range(25)] for _ in range(30)] + [list("abqbzzc"), list("abbxc")]
+    phrases = [list("abc"), list("dab"), list("ac"), list("c"), list("az")]
+    index = decontaminate.build_index(docs(spark, *map(" ".join, texts)))
+    wanted = spark.createDataFrame([(p,) for p in phrases], "phrase array<string>")
+
+    def ends(w, places, terms, slack):
+        for t in terms:
+            places = {q for p in places for q in range(p + 1, p + 2 + slack) if q < len(w) and w[q] == t}
+        return places
+
+    for slack in (0, 1, 2):
+        want = {(d, "".join(p)) for d, w in enumerate(texts) for p in phrases if ends(w, {i for i, x in enumerate(w) if x == p[0]}, p[1:], slack)}
+        for most in (200_000, 0):  # joined by broadcast, and by shuffle
+            found = decontaminate.proximity_matches(index, wanted, slack, most).join(index.select("rid", "row.doc_id"), "rid").collect()
+            assert {(r["doc_id"], "".join(r["phrase"])) for r in found} == want
+            assert all(texts[r["doc_id"]][r["start"]] == r["phrase"][0] and texts[r["doc_id"]][r["end"]] == r["phrase"][-1] for r in found)
+    near, far = (sorted(decontaminate.exact_matches(index, wanted, most).drop("phrase").collect()) for most in (200_000, 0))
+    assert near == far and len(near)
+
+
 def test_decontamination_edges(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contamination(edge(spark), none).where("contaminated").count() == 0
     bench = spark.createDataFrame([(None, "one"), (1, "same text here")], "item_id long, text string")
     got = decontaminate.contamination(edge(spark), bench)
-    assert got.count() == len(EDGE) + 2 and got.where("contaminated").count() == 3
+    assert got.count() == len(EDGE) + 2 and got.where("contaminated").count() == 4
+    assert sorted((r["row"]["doc_id"], r["n_hit"], r["n_items"], r["items"]) for r in got.where("contaminated").collect())[0] == (3, 1, 1, [])
 
 
 def test_sharding(spark):
@@ -323,6 +346,15 @@ def test_coder_round_trip():
         blocks = [rng.integers(0, 65536, n), np.zeros(2 * n, int), rng.integers(0, 4, 3 * n) * 16000, np.full(n, 65535)]
         codes = idcoder.encode_ids(blocks)
         assert all((a == b).all() for a, b in zip(blocks, idcoder.decode_ids(codes, [len(b) for b in blocks])))
+    with pytest.raises(ValueError, match="65535"):
+        idcoder.encode_ids([np.array([1, 70_000])])
+    w = 1 / np.arange(1, 3001) ** 0.9
+    w /= w.sum()
+    for ids in (rng.choice(3000, idcoder.BLOCK_IDS, p=w), rng.permutation(49_000)[:3000][rng.choice(3000, idcoder.BLOCK_IDS, p=w)]):
+        code = idcoder.encode_ids([ids])[0]  # close to the entropy of independent ids, though their frequencies are learned
+        assert 8 * len(code) / len(ids) < 1.15 * -(w * np.log2(w)).sum()
+    again = np.tile(rng.integers(0, 49_000, 64), 128)
+    assert 8 * len(idcoder.encode_ids([again])[0]) / len(again) < 1
     block = idcoder.write_blocks(np.arange(10), [np.zeros(1, idcoder.PIECE)], [10])[0]
     with pytest.raises(ValueError, match="checksum"):
         idcoder.read_blocks([block[:20] + bytes([block[20] ^ 1]) + block[21:]])
@@ -433,6 +465,34 @@ def test_kernel():
     assert np.allclose(got, [slow(w, "idiot", 3, 0.6) for w in words], rtol=1e-4)
 
 
+def test_kernel_of_words_is_whole():
+    rng = random.Random(9)
+    marks = ["idiot", "eszy", "moron", "aabb", "chón"]
+    words = ["".join(rng.choice("abcdeiormntszyóh") for _ in range(rng.randint(1, 14))) for _ in range(3_000)]
+    for m in marks:  # letters inserted and replaced
+        for _ in range(300):
+            w = list(m)
+            for _ in range(rng.randint(0, 3)):
+                w.insert(rng.randint(0, len(w)), rng.choice("abxyz1"))
+            words.append("".join(w))
+    fast, whole = toxicity.word_kernel(words, marks), toxicity.word_kernel(words, marks, spare=False)
+    assert (fast == whole).all() and (fast <= 1.0001).all() and (whole[-1500:] > 0).sum() > 1_300
+    assert np.allclose(np.diag(toxicity.word_kernel(marks, marks)), 1, atol=1e-4)
+
+
+def test_sentences_take_their_likest_word(monkeypatch):
+    marks, texts = ["idiot", "moron"], ["an idiot. a moron! idxiot", "", None, "1d10t no", "i.d.i.o.t", "moron " * 3]
+    x, counts = toxicity.sentence_features(texts, marks)
+    assert counts.tolist() == [3, 0, 0, 1, 1, 1]
+    assert np.allclose(x[[0, 1, 5], [0, 1, 1]], 1, atol=1e-4) and 0.05 < x[2, 0] < 1 and np.isclose(x[4, 0], 1, atol=1e-4)
+    monkeypatch.setattr(toxicity, "MEMO_BYTES", 2_000)  # generations of a few words give the same
+    small = toxicity._Marks(marks)
+    monkeypatch.setattr(toxicity, "kept", lambda *_: small)
+    for _ in range(3):
+        again = [toxicity.sentence_features([t], marks)[0] for t in texts]
+        assert np.allclose(np.concatenate(again), x)
+
+
 def test_toxicity(spark):
     rng = random.Random(7)
     word = lambda: "".join(rng.choice("aeioustrnl") for _ in range(rng.randint(2, 8)))
@@ -441,7 +501,8 @@ def test_toxicity(spark):
     model = toxicity.fit_toxicity(d, labels)
     scored = toxicity.score_toxicity(d, model)
     assert accuracy(scored, labels, "toxic", 0.5) > 0.95
-    odd = docs(spark, "so g r u m b a z you", "so g.r.u.m.b.a.z", "so gru-mbaz", "so grumxbaz", "so nice")
-    assert [r["score"] >= 0.5 for r in toxicity.score_toxicity(odd, model).orderBy("doc_id").collect()] == [True] * 4 + [False]
+    odd = docs(spark, "so g r u m b a z you", "so g.r.u.m.b.a.z", "so gru-mbaz", "so grumxbaz", "so grumxybaz", "so g1r2u3m4b5az", "so plivvek", "so nice")
+    got = [(r["text"], r["score"] >= 0.5) for r in toxicity.score_toxicity(odd, model).orderBy("doc_id").collect()]
+    assert got == [(t, t != "so nice") for t, _ in got]
     assert toxicity.score_toxicity(edge(spark), model).where("score between 0 and 1").count() == len(EDGE) + 2
     assert toxicity.score_toxicity(odd, toxicity.fit_toxicity(d, labels.where("false"))).where("score >= 0.5").count() == 0
