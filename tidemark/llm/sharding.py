@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._base import cut, read
+from ._base import cut, read, small
 
 #: Rows that one window group should hold, and the most ranges the keys are cut into.
 GROUP_ROWS, MOST_RANGES = 20_000, 4_096
@@ -52,23 +52,23 @@ def place(docs: DataFrame, weights: dict[int, float], key: str = "doc_id", text:
     hot = sorted({b for i, b in enumerate(bounds[1:]) if b == bounds[i]})
     marks = F.array(*[F.lit(b) for b in sorted(set(bounds))]) if bounds else F.array().cast("array<bigint>")
     part = F.size(F.filter(marks, lambda b: b < F.col("key")))
-    row = F.pmod(F.xxhash64("rid"), F.lit(64)).cast("int") if hot else F.lit(0)
-    rows = rows.withColumn("part", F.when(F.col("key").isNull(), -1).otherwise(part)).withColumn(
-        "sub", F.when(F.col("key").isin(hot), row).otherwise(0) if hot else F.lit(0))
-    # ranges end at a bound, so a hot bound is the last key of its range: its rows come after the others
-    is_hot = F.col("key").isin(hot) if hot else F.lit(False)
-    rows = rows.withColumn("late", F.coalesce(is_hot, F.lit(False)).cast("int"))
+    # null keys, however many, are one key; ranges end at a bound, so a hot bound is the last key of its range: its
+    # rows come after the others
+    is_hot = F.col("key").isNull() | F.coalesce(F.col("key").isin(hot) if hot else F.lit(False), F.lit(False))
+    rows = rows.withColumns({
+        "part": F.when(F.col("key").isNull(), -1).otherwise(part), "late": is_hot.cast("int"),
+        "sub": F.when(is_hot & F.lit(ranges > 1), F.pmod(F.xxhash64("rid"), F.lit(64)).cast("int")).otherwise(0)})
     group = ["shard", "part", "late", "sub"]
     earlier = Window.partitionBy("shard").orderBy("part", "late", "sub").rowsBetween(Window.unboundedPreceding, -1)
     counts = rows.groupBy(*group).count().withColumn("before", F.coalesce(F.sum("count").over(earlier), F.lit(0))).drop("count")
     inside = Window.partitionBy(*group).orderBy(F.col("key").asc_nulls_first(), "text_crc32", "size", "rid")
     numbered = rows.withColumn("at", F.row_number().over(inside) - 1)
-    # at most MOST_RANGES x 64 x shards rows
-    out = numbered.join(F.broadcast(counts), group)
+    out = numbered.join(small(counts), group)
     return out.select(F.col("key").alias(key), "size", "text_crc32", "shard", (F.col("before") + F.col("at")).cast("long").alias("slot"), "grown_shard")
 
 
 def op4_shard(spark, sf_dir):
+    """All documents in eight shards of equal weight, and where they would be in nine."""
     docs = read(spark, sf_dir, "documents")
     placed = place(docs, {s: 1.0 for s in range(8)})
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), F.col("shard").cast("int").alias("shard"), "slot", F.col("grown_shard").cast("int").alias("grown_shard"))

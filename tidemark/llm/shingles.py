@@ -50,7 +50,7 @@ def coefficients(count: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
 
 
 def minhashes(s: np.ndarray, odd: np.ndarray, plus: np.ndarray) -> np.ndarray:
-    """For each function x -> (x * odd + plus) >> 32 the least value over the set."""
+    """For each function x -> (x * odd + plus) >> 32 the greatest value over the set, which serves as well as the least."""
     out = np.empty(len(odd), np.uint32)
     hi = s
     with np.errstate(over="ignore"):
