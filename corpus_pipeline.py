@@ -10,7 +10,8 @@ from tidemark.llm._base import cut, read
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier doesn't reject (score under 0.3); it is fitted on the labels of its input."""
+    """Documents that the classifier doesn't reject (score under 0.3); it is fitted on the labels of its input.
+    Null and empty texts are scored as empty; an empty table stays empty."""
     model = quality.fit_quality(docs, read(spark, sf_dir, "labels"))
     return docs.where(quality.quality_score(model, F.col("text")) >= 0.3)
 
@@ -23,7 +24,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no ten-word window of a benchmark text occurs."""
+    """Documents in which no ten-word window of a benchmark text occurs; null and empty texts stay, whatever their id."""
     found = decontaminate.contamination(docs, read(spark, sf_dir, "benchmark"), keep=tuple(docs.columns))
     return found.where("not contaminated").select("row.*")
 
@@ -35,7 +36,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its place in a sequence of 2048 tokens."""
+    """Every piece of every document with its place in a sequence of 2048 tokens; a null text is one end token."""
     return packing.pack(docs, "byte_bpe_50k.json", 2048)
 
 
