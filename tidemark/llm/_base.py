@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows and bytes that a Python worker gets at once, at most.
+BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
 #: Most rows that a side may have to be broadcast; a larger side is joined by shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -21,10 +24,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; only where it is unset (tests, one machine) a temporary one."""
+    """The folder in spark.checkpoint.dir; only where it is unset on one machine (tests) a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _FALLBACK:
         _FALLBACK[app] = "file://" + tempfile.mkdtemp(prefix="spark-tidemark-")
@@ -54,6 +59,16 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """df, whose session hands Python workers at most so many rows and bytes at once from now on: long texts would make
+    larger batches heavy. The session's settings are only ever lowered."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def kept(key, make):
     """What a Python worker remembers under that key from task to task; it holds one such thing at a time, so that
     the stages of a job, which share their workers, don't add up."""

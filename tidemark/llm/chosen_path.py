@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._base import cut, read
+from ._base import bounded_batches, cut, read
 from .components import components
 from .shingles import bit_sketch, coefficients, digest, minhashes, shingle_sets
 from .tokens import in_steps
@@ -57,7 +57,7 @@ def set_features(docs: DataFrame, id: str, text: str, width: int, trees: int, de
                     rows.append((i, 0, None, None, 0, 0))
             yield pd.DataFrame(rows, columns=["id", "n", "digest", "path", "s0", "s1"]).astype({"id": "Int64"})
 
-    src = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+    src = bounded_batches(docs).select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     return src.mapInPandas(run, "id long, n long, digest binary, path array<int>, s0 long, s1 long")
 
 
@@ -105,7 +105,7 @@ def full_sets(docs: DataFrame, used: DataFrame, id: str, text: str, width: int)
             keep = [(i, s.view(np.int64)) for i, g, s in zip(pdf["id"], pdf["digest"], shingle_sets(pdf["text"], width)) if digest(s) == bytes(g)]
             yield pd.DataFrame(keep, columns=["id", "items"])
 
-    src = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).join(used, "id")
+    src = bounded_batches(docs).select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).join(used, "id")
     # rows that repeat an id and its text give the same set; one of them is enough
     return cut(src.mapInPandas(run, "id long, items array<long>"), "sets").dropDuplicates(["id"])
 
@@ -227,6 +227,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
 
 
 def op10_chosen_path(spark, sf_dir):
+    """Near-duplicate components of all documents on two-word shingles at 0.8."""
     return near_duplicates(read(spark, sf_dir, "documents"), width=2, cents=80)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._base import cut, read
+from ._base import bounded_batches, cut, read, small
 from .tokens import encoder, in_steps
 
 
@@ -108,7 +108,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, size: int, id: str = "doc_id"
                     rows += [(i, s, min(size, len(own) - s), zlib.crc32(own[s : s + size].tobytes()), len(own)) for s in range(0, len(own), size)]
                 yield pd.DataFrame(rows, columns=["id", "start", "length", "ids_crc32", "doc_tokens"]).astype({"id": "Int64"})
 
-    src = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+    src = bounded_batches(docs).select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     return src.mapInPandas(run, "id long, start long, length long, ids_crc32 long, doc_tokens long").withColumnRenamed("id", id)
 
 
@@ -128,7 +128,7 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", size: int = 2048
     inside = Window.partitionBy("length", "block").orderBy("row")
     ranked = pieces.withColumn("rank", F.row_number().over(inside) - 1).join(offsets, ["length", "block"]).withColumn("rank", F.col("rank") + F.col("before"))
     # the runs depend on the lengths that occur, not on the number of pieces
-    placed = ranked.join(F.broadcast(runs), "length").where("rank >= lo and rank < hi")
+    placed = ranked.join(small(runs), "length").where("rank >= lo and rank < hi")
     step = F.col("rank") - F.col("lo")
     return placed.select(
         id, "start", "length", "ids_crc32", "doc_tokens",
@@ -138,4 +138,5 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", size: int = 2048
 
 
 def op9_pack(spark, sf_dir):
+    """All pieces of all documents in sequences of 2048 tokens."""
     return pack(read(spark, sf_dir, "documents"), "byte_bpe_50k.json", 2048)

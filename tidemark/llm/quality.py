@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._base import is_held_out, kept, read
+from ._base import bounded_batches, is_held_out, kept, read
 from .labelled import training_sample
 from .tokens import in_steps
 
@@ -181,7 +181,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", most
                 upto = np.cumsum(bags)
                 yield pd.DataFrame({"doc_id": pdf["doc_id"], "label": pdf["label"], "x": [x[e - n : e].ravel() for e, n in zip(upto, bags)]})
 
-    rows = training_sample(docs, labels, label, most).mapInPandas(run, "doc_id long, label int, x array<float>").toPandas()
+    rows = training_sample(bounded_batches(docs), labels, label, most).mapInPandas(run, "doc_id long, label int, x array<float>").toPandas()
     model = GatedAttention(len(NAMES))
     if not len(rows):
         model.p["c"][:] = 0
@@ -203,6 +203,7 @@ def quality_score(model: GatedAttention, text):
 
 
 def op8_quality(spark, sf_dir):
+    """Quality scores of all documents by a model fitted on rows that aren't held out."""
     docs = read(spark, sf_dir, "documents")
     model = fit_quality(docs, read(spark, sf_dir, "labels"))
     scored = docs.select("doc_id", quality_score(model, F.col("text")).alias("score"))

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._base import read
+from ._base import bounded_batches, read
 from .tokens import in_steps
 
 KINDS = ("assign", "access", "hex")
@@ -299,7 +299,7 @@ def scan_secrets(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
                 row = lambda s: {"kind": s[0], "start": s[1], "end": s[2], "path": s[3] if len(s) > 3 else ""}
                 yield pd.DataFrame({"id": pdf["id"].astype("Int64"), "base": [[row(s) for s in _ordered(b)] for b, _ in both], "found": [[row(s) for s in _ordered(a)] for _, a in both]})
 
-    src = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+    src = bounded_batches(docs).select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     kind = "array<struct<kind string, start long, end long, path string>>"
     return src.mapInPandas(run, f"id long, base {kind}, found {kind}").withColumnRenamed("id", id)
 
@@ -323,7 +323,7 @@ def redact(docs: DataFrame, id: str = "doc_id", text: str = "text", mark: str =
     def cleaned(texts: pd.Series) -> pd.Series:
         return texts.map(clean)
 
-    return docs.withColumn(text, cleaned(F.col(text)))
+    return bounded_batches(docs).withColumn(text, cleaned(F.col(text)))
 
 
 def _joined(spans):
@@ -331,6 +331,7 @@ def _joined(spans):
 
 
 def op6_secrets(spark, sf_dir):
+    """Base counts and digest of all documents, and all spans that decoding adds to."""
     found = scan_secrets(read(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in KINDS], F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"))

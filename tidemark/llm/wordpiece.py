@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._base import read
+from ._base import bounded_batches, read
 from .tokens import in_steps, tokenizer_path
 
 #: Words whose counts a worker remembers before it starts afresh.
@@ -114,9 +114,10 @@ def count_tokens(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", id: str
                 words = [(t or "").encode("utf-8", "surrogatepass").split() for t in pdf["text"]]
                 yield pd.DataFrame({"id": pdf["id"].astype("Int64"), "n_words": [len(w) for w in words], "n_tokens": [sum(map(counts.__getitem__, w)) for w in words]})
 
-    src = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+    src = bounded_batches(docs).select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     return src.mapInPandas(run, "id long, n_words long, n_tokens long").withColumnRenamed("id", id)
 
 
 def op2_count_tokens(spark, sf_dir):
+    """Word and token counts of all documents."""
     return count_tokens(read(spark, sf_dir, "documents"))
