@@ -23,7 +23,7 @@ from .labelled import training_sample
 from .tokens import in_steps
 
 #: Most labelled documents of each class that the model is fitted on, landmarks, and words of a generation (a worker remembers two).
-TRAIN_DOCS, LANDMARKS, MEMO_WORDS = 4_000, 64, 350_000
+TRAIN_DOCS, LANDMARKS, MEMO_WORDS = 4_000, 64, 180_000
 #: Subsequence length, gap decay, and the kernel value (of a landmark's own) below which a word doesn't count.
 ORDER, DECAY, FLOOR = 4, 0.6, 0.4
 WIDTH, BLOCK = 24, 4_096
