@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chosen_path, decontaminate, idfiles, lattice, packing, quality, secrets, sharding, toxicity, wordpiece
+from . import chosen_path, decontaminate, idfiles, lattice, packing, prefix_trie, quality, secrets, sharding, toxicity, urlfilter, wordpiece
 
 QUERIES = {
     "op1_lattice": lattice.op1_lattice,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_pack": packing.op9_pack,
     "op10_chosen_path": chosen_path.op10_chosen_path,
+    "op11_url_filter": urlfilter.op11_url_filter,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
 }
 
 ORACLES = {
@@ -22,4 +24,6 @@ ORACLES = {
     "op1_lattice": lattice.OP1_SQL,
     "op5_decontaminate": decontaminate.OP5_SQL,
     "op10_chosen_path": chosen_path.OP10_SQL,
+    "op11_url_filter": urlfilter.OP11_SQL,
+    "op12_prefix_trie": prefix_trie.OP12_SQL,
 }
