@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chosen_path, decontaminate, idfiles, lattice, packing, prefix_trie, quality, secrets, sharding, toxicity, urlfilter, wordpiece
+from . import chosen_path, collocations, decontaminate, idfiles, lattice, packing, prefix_trie, quality, secrets, sharding, toxicity, urlfilter, wordpiece
 
 QUERIES = {
     "op1_lattice": lattice.op1_lattice,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_chosen_path": chosen_path.op10_chosen_path,
     "op11_url_filter": urlfilter.op11_url_filter,
     "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+    "op13_collocations": collocations.op13_collocations,
 }
 
 ORACLES = {
@@ -26,4 +27,5 @@ ORACLES = {
     "op10_chosen_path": chosen_path.OP10_SQL,
     "op11_url_filter": urlfilter.OP11_SQL,
     "op12_prefix_trie": prefix_trie.OP12_SQL,
+    "op13_collocations": collocations.OP13_SQL,
 }
