@@ -157,11 +157,13 @@ def test_delivered_without_a_receipt_of_the_cursor_is_not_sent_again(spark, tmp_
 def test_lost_events_are_noticed(spark, tmp_path):
     root = str(tmp_path / "state")
     publish(checked_scan(rows(spark, 0, 10), INPUT), INPUT, 1, root)
-    state.events(spark, root, [("in", 1)]).where("ordinal <> 3").drop("input_id", "attempt_id").write.parquet(str(tmp_path / "less"))
+    (_, _, write_id), = state.writes(state.table(spark, root, "manifest"))
+    whole = state.events_path(root, write_id)
+    spark.read.parquet(whole).where("id <> 2").write.parquet(str(tmp_path / "less"))
     state.drop_events(spark, root, [("in", 1)])
     with pytest.raises(TidemarkError, match="reconcile"):
         recover(spark, root, receipts)
-    spark.read.parquet(str(tmp_path / "less")).write.parquet(state.attempt_path(root, "in", 1))
+    spark.read.parquet(str(tmp_path / "less")).write.parquet(whole)
     with pytest.raises(TidemarkError, match="accounting"):
         recover(spark, root, receipts)
 

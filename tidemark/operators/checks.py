@@ -4,29 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..errors import TidemarkError
 from ..functions.encode import encoder
 from ..cursor import Bound, CursorSpec, below_bound
 
 
-def lossless_counts(df: DataFrame, columns: list[str] | None = None) -> list[Column]:
-    """count_if of the rows that each encoder would reject, named column__reason."""
+def rejected(schema: T.StructType, columns: list[str] | None = None, inside: str | None = None) -> list[tuple[str, str, Column]]:
+    """(column, reason, condition) of what the encoders of a schema reject. inside: the struct that holds the columns."""
     out = []
-    for name in columns or df.columns:
-        _, bad, reason = encoder(df.schema[name])
+    for name in columns or schema.names:
+        _, bad, reason = encoder(schema[name], F.col(f"{inside}.`{name}`") if inside else None)
         if bad is not None:
-            out.append(F.count_if(bad).alias(f"{name}__{reason}"))
+            out.append((name, reason, bad))
     return out
 
 
 def lossless_check(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(column, reason, rows) of every rejected kind, none if all rows encode without loss."""
-    counts = lossless_counts(df, columns)
-    if not counts:
+    found = rejected(df.schema, columns)
+    if not found:
         return df.sparkSession.createDataFrame([], "column string, reason string, rows long")
-    one = df.agg(*counts)
-    rows = F.explode(F.array(*[F.struct(F.lit(c.split("__")[0]).alias("column"), F.lit(c.split("__", 1)[1]).alias("reason"), F.col(c).alias("rows")) for c in one.columns])).alias("r")
+    one = df.agg(*[F.count_if(bad).alias(f"n{i}") for i, (_, _, bad) in enumerate(found)])
+    rows = F.explode(F.array(*[F.struct(F.lit(name).alias("column"), F.lit(reason).alias("reason"), F.col(f"n{i}").alias("rows")) for i, (name, reason, _) in enumerate(found)])).alias("r")
     return one.select(rows).select("r.*").where("rows > 0")
 
 

@@ -1,22 +1,26 @@
-"""Scans: the rows past a bound are read from the base once; that copy is checked, numbered, paged and sealed."""
+"""Scans: one pass reads the rows past a bound, deals them out by ranges of the cursor, checks, encodes and writes them.
+
+What the checks count is observed while that write runs. Ordinals are the places in a range plus the rows of the
+ranges before, so nothing is written again: a sealed scan's manifest says where its pages lie in what was written.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..cursor import Cursor, CursorSpec, apply_bound, ts_us
+from ..cursor import Cursor, CursorSpec, apply_bound, below_bound, ts_us
 from ..errors import TidemarkError
 from ..functions import ids
 from ..functions.encode import ndjson_line
 from ..operators import checks
 from ..operators.inputs import pagination_guard
-from ..operators.order import byte_limit, page_assign, with_ordinal
-from ..operators.pages import PAGE, page_summary, staged_usage, stream_digest
-from ..operators.schema import check_cursor_schema, check_schema
-from ..scratch import staged
+from ..operators.order import byte_limit
+from ..operators.pages import PAGE, SCAN, page_summary, staged_usage, stream_digest
+from ..operators.schema import check_cursor_schema, check_schema, schema_fingerprint
+from ..scratch import Scratch, remove, scratch_dir, staged
 from ..sources.base import batch_scan
 from . import state
 
@@ -33,13 +37,14 @@ class Input:
     max_rows: int = 100_000
     max_bytes: int = 1 << 30
     max_staged: int | None = None
+    host: str = ""
+    database: str = ""
+    username: str = ""
+    mode = "rising"
 
     def fingerprints(self):
         """(input key, lineage, cursor identity) as hex columns."""
-        lit = F.lit
-        q = ids.query_fingerprint(lit(self.connector), lit(self.query))
-        lineage = ids.lineage_fingerprint(lit("rising"), lit(self.input_id), lit(self.connector), lit(""), lit(""), lit(""), q)
-        return ids.input_key(lit(self.input_id)), lineage, ids.cursor_fingerprint(lit(self.spec.ts), lit(self.spec.id))
+        return (ids.input_key(F.lit(self.input_id)), *_lineage(self), ids.cursor_fingerprint(F.lit(self.spec.ts), F.lit(self.spec.id)))
 
 
 @dataclass(frozen=True)
@@ -53,48 +58,125 @@ class BatchInput:
     max_rows: int = 100_000
     max_bytes: int = 1 << 30
     max_staged: int | None = None
+    connector: str = "spark"
+    query: str = ""
+    host: str = ""
+    database: str = ""
+    username: str = ""
+    mode = "batch"
+
+    def fingerprints(self):
+        return (ids.input_key(F.lit(self.input_id)), *_lineage(self), ids.cursor_fingerprint(F.lit(""), F.lit("")))
+
+
+def _lineage(inp) -> tuple[Column]:
+    lit = F.lit
+    q = ids.query_fingerprint(lit(inp.connector), lit(inp.query))
+    return (ids.lineage_fingerprint(lit(inp.mode), lit(inp.input_id), lit(inp.connector), lit(inp.host), lit(inp.database), lit(inp.username), q),)
+
+
+def identity(inp: Input | BatchInput, base: DataFrame) -> list[Column]:
+    """lineage_fp, cursor_fp, revision_fp and schema_fp of an input and the columns that it reads, as named columns."""
+    _, lineage, cursor_fp = inp.fingerprints()
+    overlap = inp.spec.overlap_us if isinstance(inp, Input) else 0
+    revision = ids.revision_fingerprint(lineage, cursor_fp, F.lit(overlap).cast("long"), F.lit(inp.max_rows).cast("long"), F.lit(inp.max_bytes).cast("long"), F.lit(False))
+    fields = dict.fromkeys([*inp.columns, *((inp.spec.ts, inp.spec.id) if isinstance(inp, Input) else ())])
+    schema = schema_fingerprint([base.schema[c] for c in fields])
+    return [lineage.alias("lineage_fp"), cursor_fp.alias("cursor_fp"), revision.alias("revision_fp"), F.lit(schema).alias("schema_fp")]
+
 
+@dataclass(frozen=True)
+class Written:
+    """What one pass has written at `path`: rows, what its checks counted as (code, column, rows), and the ranges as
+    (range, rows before it, rows in it)."""
+
+    path: str
+    rows: int
+    counts: list[tuple[str, str, int]]
+    ranges: list[tuple[int, int, int]]
 
-def _past_bound(base: DataFrame, inp: Input, committed: Cursor | None, resume_after: Cursor | None):
-    """The bound, and one copy of the rows past it: cursor and a struct of the columns, so that no name can clash."""
-    bound = inp.spec.bound(committed, resume_after)
-    kept = apply_bound(base.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*inp.columns, inp.spec.ts, inp.spec.id])]), inp.spec, bound)
-    rows = kept.select(ts_us(kept, inp.spec).alias("ts_us"), F.col(f"`{inp.spec.id}`").alias("id"), F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row"))
-    return bound, staged(rows, "read")
 
+def write_pass(base: DataFrame, inp: Input, path: str, committed: Cursor | None = None, resume_after: Cursor | None = None, buckets: int | None = None) -> Written:
+    """Reads base once and writes its rows past the bound once, as state.STORED has them, ordered by ranges.
 
-def _numbered(copy: DataFrame, inp: Input, buckets: int | None) -> DataFrame:
-    n = copy.count()
+    The first shuffle's output is what the ranges are sampled from and dealt out of, so the base isn't read for the
+    sample. Equal positions share a range, so repeats show up without a shuffle of their own."""
+    spark, spec = base.sparkSession, inp.spec
+    bound = spec.bound(committed, resume_after)
+    names = list(dict.fromkeys([*inp.columns, spec.ts, spec.id]))
+    kept = apply_bound(base.select(*[F.col(f"`{c}`") for c in names]), spec, bound)
+    held = kept.withColumn("_low", below_bound(kept, spec, bound)).repartition(F.col(f"`{spec.id}`"))
+    rows = held.select(ts_us(kept, spec).alias("ts_us"), F.col(f"`{spec.id}`").alias("id"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("_low").alias("low"))
+    order = [F.col("ts_us").asc_nulls_first(), F.col("id").asc_nulls_first()]
+    ranged = rows.repartitionByRange(*([] if buckets is None else [buckets]), *order).sortWithinPartitions(*order)
     key, lineage, cursor_fp = inp.fingerprints()
-    rows = page_assign(with_ordinal(copy, buckets=buckets), inp.max_rows)
     line = ndjson_line(rows.select("row.*"), list(inp.columns), inside="row")
-    event_id = ids.rising_event_id(key, lineage, cursor_fp, F.col("ts_us"), F.col("id"))
-    out = rows.select("page", "ordinal", "ts_us", "id", event_id.alias("event_id"), line.alias("line"))
-    return out.withColumns({"line_bytes": F.octet_length("line").cast("long"), "truncated": F.col("page") < -(-n // inp.max_rows)})
+    made = ranged.withColumn("twice", F.count("*").over(Window.partitionBy("ts_us", "id")) > 1).withColumns({
+        "event_id": ids.rising_event_id(key, lineage, cursor_fp, F.col("ts_us"), F.col("id")), "line": line})
+    null = F.col("ts_us").isNull() | F.col("id").isNull()
+    told = {"null_cursor": null, "below_bound": F.col("low"), "duplicate": F.col("twice") & ~null}
+    rejects = checks.rejected(rows.schema["row"].dataType, list(inp.columns), "row")
+    told |= {f"reject{n}": bad for n, (_, _, bad) in enumerate(rejects)}
+    seen = Observation()
+    observed = made.observe(seen, F.count("*").alias("rows"), *[F.count_if(bad).alias(k) for k, bad in told.items()])
+    at = F.monotonically_increasing_id()
+    observed.select(
+        F.shiftright(at, 33).cast("int").alias("range"), (at.bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias("place"), "ts_us", "id", "event_id",
+        F.coalesce("line", F.lit("")).alias("line"), F.coalesce(F.octet_length("line"), F.lit(0)).cast("long").alias("line_bytes")).write.parquet(path)
+    counted = spark.read.schema(state.STORED).parquet(path).groupBy("range").agg(F.count("*").alias("n")).orderBy("range").collect()  # a row per range
+    ranges, before = [], 0
+    for r in counted:
+        ranges.append((r["range"], before, r["n"]))
+        before += r["n"]
+    got = seen.get if before else {}
+    what = [(k, "", k) for k in ("null_cursor", "below_bound", "duplicate")] + [(reason, f" in {name}", f"reject{n}") for n, (name, reason, _) in enumerate(rejects)]
+    return Written(path, before, [(code, where, got.get(k) or 0) for code, where, k in what], ranges)
+
+
+def require_clean(written: Written) -> None:
+    """Raises on the first broken rule of a pass: null, low and repeated cursors, then values that don't encode."""
+    for code, where, n in written.counts:
+        if n:
+            raise TidemarkError(code, f"{n} rows{where}")
+
+
+def _numbered(spark: SparkSession, w: Written, max_rows: int) -> DataFrame:
+    before = F.broadcast(spark.createDataFrame([(r, b) for r, b, _ in w.ranges], "range int, before long"))  # a row per range
+    ordinal = F.col("place") + F.col("before")
+    page = (F.floor((ordinal - 1) / F.lit(max_rows)) + 1).cast("long")
+    rows = spark.read.schema(state.STORED).parquet(w.path).join(before, "range")
+    return rows.select(page.alias("page"), ordinal.alias("ordinal"), "ts_us", "id", "event_id", "line", "line_bytes", (page < -(-w.rows // max_rows)).alias("truncated"))
 
 
 def rising_scan(base: DataFrame, inp: Input, committed: Cursor | None = None, resume_after: Cursor | None = None, buckets: int | None = None) -> DataFrame:
     """(page, ordinal, ts_us, id, event_id, line, line_bytes, truncated) of all rows past the bound.
 
-    The base is read once. Nothing is checked here: see `checked_scan`."""
-    return _numbered(_past_bound(base, inp, committed, resume_after)[1], inp, buckets)
+    The base is read once and the rows are written once. Nothing that the pass counts is judged: see `checked_scan`."""
+    spark = base.sparkSession
+    return _numbered(spark, write_pass(base, inp, scratch_dir(spark, "scan"), committed, resume_after, buckets), inp.max_rows)
 
 
-def checked_scan(base: DataFrame, inp: Input, committed: Cursor | None = None, resume_after: Cursor | None = None, buckets: int | None = None) -> DataFrame:
-    """rising_scan after every check has passed: schema, limits of the base, null, low and repeated cursors, lossless
-    encoding. What is checked is the copy that the pages come from. Any failure raises and nothing is published."""
+def check_base(base: DataFrame, inp: Input) -> None:
+    """What can be told of a base before it is read: its schema, its limits, its cursor's types."""
     pagination_guard(base)
     check_schema(base.schema)
     check_cursor_schema(base, inp.spec)
-    bound, copy = _past_bound(base, inp, committed, resume_after)
-    checks.require_clean(copy.select("row.*"), inp.spec, bound, list(inp.columns))
-    return _numbered(copy, inp, buckets)
 
 
-def checked_batch(base: DataFrame, inp: BatchInput) -> DataFrame:
-    """The rows of a batch run as one page, checked like a rising scan; they have no cursor."""
+def checked_scan(base: DataFrame, inp: Input, committed: Cursor | None = None, resume_after: Cursor | None = None, buckets: int | None = None) -> DataFrame:
+    """rising_scan after every check has passed: schema, limits of the base, null, low and repeated cursors, lossless
+    encoding. What is checked are the rows that were written. Any failure raises."""
+    check_base(base, inp)
+    spark = base.sparkSession
+    w = write_pass(base, inp, scratch_dir(spark, "scan"), committed, resume_after, buckets)
+    require_clean(w)
+    return _numbered(spark, w, inp.max_rows)
+
+
+def checked_batch(base: DataFrame, inp: BatchInput, keep=staged) -> DataFrame:
+    """The rows of a batch run as one page, checked like a rising scan; they have no cursor. keep(df, name) stages them."""
     check_schema(base.schema)
-    copy = staged(batch_scan(base, list(inp.order), inp.max_rows), "read")  # at most max_rows rows
+    copy = keep(batch_scan(base, list(inp.order), inp.max_rows), "read")  # at most max_rows rows
     checks.require_lossless(copy, list(inp.columns))
     n = F.row_number().over(Window.orderBy(*inp.order))
     line = ndjson_line(copy, list(inp.columns))
@@ -104,26 +186,82 @@ def checked_batch(base: DataFrame, inp: BatchInput) -> DataFrame:
     return rows.select(F.lit(1).cast("long").alias("page"), "ordinal", none.alias("ts_us"), none.alias("id"), ids.batch_event_id(key, batch, F.col("ordinal")).alias("event_id"), "line", F.octet_length("line").cast("long").alias("line_bytes"), "truncated")
 
 
-def publish(scan: DataFrame, inp: Input | BatchInput, attempt_id: int, root: str, committed: Cursor | None = None) -> None:
-    """Seals all pages: events are written, then read back, checked against the limits and summed up in the manifest,
-    which is written last, in one commit, and makes them visible. A sealed attempt is never written again."""
-    spark = scan.sparkSession
-    mine = (F.col("input_id") == inp.input_id) & (F.col("attempt_id") == attempt_id)
-    manifest = state.table(spark, root, "manifest")
-    if not manifest.where(mine).isEmpty():
-        raise TidemarkError("already_sealed", f"attempt {attempt_id} of {inp.input_id}")
-    columns = [c.strip().split(" ")[0] for c in state.EVENTS.split(",")]
-    scan.select(*columns).write.mode("overwrite").parquet(state.attempt_path(root, inp.input_id, attempt_id))
-    sealed = state.events(spark, root, [(inp.input_id, attempt_id)])
-    over = byte_limit(sealed, ["page"], inp.max_bytes).first()
-    if over:
-        raise TidemarkError("byte_limit", f"page {over['page']} exceeds {inp.max_bytes} bytes at row {over['first_over']}")
+def _seal(spark: SparkSession, root: str, inp: Input | BatchInput, attempt_id: int, write_id: str, before: list[tuple[int, int]], committed: Cursor | None, fps: list[Column] | None) -> None:
+    """Sums up what a write holds in the manifest of the attempt, checks the limits, and makes the attempt visible."""
+    parts = F.broadcast(spark.createDataFrame(before, "range int, before long"))  # a row per range
+    stored = spark.read.schema(state.STORED).parquet(state.events_path(root, write_id)).join(parts, "range")
+    ordinal = F.col("place") + F.col("before")
+    rows = stored.select(
+        F.lit(inp.input_id).alias("input_id"), F.lit(attempt_id).cast("long").alias("attempt_id"), (F.floor((ordinal - 1) / F.lit(inp.max_rows)) + 1).cast("long").alias("page"),
+        ordinal.alias("ordinal"), "range", "before", "ts_us", "id", "line", "line_bytes")
     known = spark.createDataFrame([(inp.input_id, committed.ts_us, committed.id)] if committed else [], "input_id string, ts_us long, id long")
-    pages = page_summary(sealed, known).join(stream_digest(sealed), PAGE).withColumn("mode", F.lit("rising" if isinstance(inp, Input) else "batch"))
-    if isinstance(inp, BatchInput):  # rows without a cursor
+    lies = rows.groupBy(*PAGE).agg(F.sort_array(F.collect_set(F.struct("range", "before"))).alias("parts"))  # the ranges of a page
+    pages = page_summary(rows, known).join(stream_digest(rows), PAGE).join(lies, PAGE)
+    at = F.struct(F.lit(committed.ts_us).cast("long").alias("ts_us"), F.lit(committed.id).cast("long").alias("id")) if committed else F.lit(None).cast("struct<ts_us:bigint,id:bigint>")
+    pages = pages.withColumns({"mode": F.lit(inp.mode), "write_id": F.lit(write_id), "page_rows": F.lit(inp.max_rows).cast("long"), "committed": at})
+    if inp.mode == "batch":  # rows without a cursor
         pages = pages.withColumns({c: F.when(F.lit(False), F.col(c)) for c in ("resume", "candidate")})
-    if inp.max_staged is not None:
-        waiting = manifest.join(state.table(spark, root, "receipts"), PAGE, "left_anti").where(F.col("input_id") == inp.input_id)
-        if not staged_usage(waiting.select("input_id", "bytes").union(pages.select("input_id", "bytes")), inp.max_staged, 1 << 62).where("over").isEmpty():
-            raise TidemarkError("staging_quota", f"{inp.input_id} would have over {inp.max_staged} bytes waiting")
-    state.append(pages, root, "manifest")
+    for fp, name in zip(fps or [F.lit(None).cast("string")] * 4, ("lineage_fp", "cursor_fp", "revision_fp", "schema_fp")):
+        pages = pages.withColumn(name, fp)
+    # what was asked for: the page after the one before
+    resumed = F.lag("resume").over(Window.partitionBy(*SCAN).orderBy("page"))
+    pages = pages.withColumn("_after", resumed).withColumn("request_fp", ids.request_fingerprint(F.col("cursor_fp"), F.col("committed"), F.col("_after")))
+
+    def check(sealed: DataFrame) -> None:
+        if not sealed.where(F.col("bytes") > inp.max_bytes).isEmpty():
+            over = byte_limit(rows, ["page"], inp.max_bytes).first()
+            raise TidemarkError("byte_limit", f"page {over['page']} exceeds {inp.max_bytes} bytes at row {over['first_over']}")
+        if inp.max_staged is not None:
+            waiting = state.table(spark, root, "manifest").join(state.table(spark, root, "receipts"), PAGE, "left_anti").where(F.col("input_id") == inp.input_id)
+            if not staged_usage(waiting.select("input_id", "bytes").union(sealed.select("input_id", "bytes")), inp.max_staged, 1 << 62).where("over").isEmpty():
+                raise TidemarkError("staging_quota", f"{inp.input_id} would have over {inp.max_staged} bytes waiting")
+
+    state.seal_manifest(pages, root, inp.input_id, attempt_id, write_id, check)
+
+
+def _not_sealed(spark: SparkSession, root: str, inp, attempt_id: int) -> None:
+    mine = (F.col("input_id") == inp.input_id) & (F.col("attempt_id") == attempt_id)
+    if not state.table(spark, root, "manifest").where(mine).isEmpty():
+        raise TidemarkError("already_sealed", f"attempt {attempt_id} of {inp.input_id}")
+
+
+def seal(base: DataFrame, inp: Input, attempt_id: int, root: str, committed: Cursor | None = None) -> int:
+    """A checked scan whose rows are written once, where they stay: gives the rows, sealed if there are any.
+
+    Each write has a folder of its own, and of two writers of one attempt one seals it; the other raises, and
+    whatever a failed one has written is removed."""
+    spark = base.sparkSession
+    check_base(base, inp)
+    write_id = state.new_write_id()
+    path = state.events_path(root, write_id)
+    try:
+        w = write_pass(base, inp, path, committed)
+        require_clean(w)
+        if w.rows:
+            _seal(spark, root, inp, attempt_id, write_id, [(r, b) for r, b, _ in w.ranges], committed, identity(inp, base))
+        else:
+            remove(spark, path)
+        return w.rows
+    except Exception:
+        remove(spark, path)
+        raise
+
+
+def publish(scan: DataFrame, inp: Input | BatchInput, attempt_id: int, root: str, committed: Cursor | None = None, fps: list[Column] | None = None) -> None:
+    """Seals a scan that is at hand as a frame (page, ordinal, ..), as `seal` does with what it has written itself."""
+    spark = scan.sparkSession
+    _not_sealed(spark, root, inp, attempt_id)
+    write_id = state.new_write_id()
+    path = state.events_path(root, write_id)
+    try:
+        scan.select(F.lit(0).alias("range"), F.col("ordinal").alias("place"), *state.names(state.STORED)[2:]).write.parquet(path)
+        _seal(spark, root, inp, attempt_id, write_id, [(0, 0)], committed, fps)
+    except Exception:
+        remove(spark, path)
+        raise
+
+
+def seal_batch(base: DataFrame, inp: BatchInput, attempt_id: int, root: str) -> None:
+    """A batch run, checked and sealed."""
+    with Scratch(base.sparkSession) as scratch:
+        publish(checked_batch(base, inp, scratch.staged), inp, attempt_id, root, fps=identity(inp, base))

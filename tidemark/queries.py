@@ -14,7 +14,7 @@ from .cursor import Bound, Cursor, CursorSpec, after, apply_bound, below_bound,
 from .functions import encode, ids, strict
 from .operators import checks, control, inputs, order, pages, schema
 from .plans import state
-from .plans.run import run_inputs
+from .plans.run import fence, run_inputs
 from .plans.scan import BatchInput, Input, checked_scan, publish, rising_scan
 from .scratch import scratch_dir
 from .sources import base, sinks
@@ -438,6 +438,23 @@ def j6_revision_activation(spark, d):
     return control.revision_activation(f["prepared"], f["state"])
 
 
+HELD = """SELECT CAST(o_orderkey AS STRING) AS input_id, CAST(o_custkey % 3 AS BIGINT) AS generation, 'rising' AS mode, CASE WHEN o_orderkey % 11 = 0 THEN 'm' ELSE 'l' END AS lineage_fp, 'c' AS cursor_fp,
+ CAST(o_custkey - o_orderkey % 2 AS STRING) AS revision_fp, CAST(o_orderkey % 17 AS STRING) AS schema_fp FROM orders WHERE o_orderkey % 13 <> 0
+ UNION ALL SELECT CAST(o_orderkey AS STRING), -1, 'rising', 'old', 'c', 'old', 'old' FROM orders WHERE o_orderkey % 13 <> 0"""
+NOW = "SELECT CAST(o_orderkey AS STRING) AS input_id, 'rising' AS mode, 'l' AS lineage_fp, 'c' AS cursor_fp, CAST(o_custkey AS STRING) AS revision_fp, CAST(o_orderkey % 17 + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS STRING) AS schema_fp FROM orders"
+
+
+@query("t8_identity_fence", """SELECT o_orderkey::VARCHAR AS input_id, CASE WHEN o_orderkey % 13 = 0 THEN 'create' WHEN o_orderkey % 11 = 0 THEN 'identity_change' WHEN o_orderkey % 2 = 1 AND o_orderkey % 5 = 0 THEN 'blocked_spool'
+    WHEN o_orderkey % 7 = 0 THEN 'schema_drift' WHEN o_orderkey % 2 = 0 THEN 'same' ELSE 'activate' END AS action FROM orders""")
+def t8_identity_fence(spark, d):
+    """What a run over as many inputs as there are orders would be let do, by the identities that they had."""
+    root = scratch_dir(spark, "fence")
+    f = frames(spark, d, held=HELD, now=NOW)
+    state.append(f["held"], root, "identities")
+    waiting = table(spark, d, "orders").where("o_orderkey % 5 = 0").select(F.col("o_orderkey").cast("string").alias("input_id"), F.lit(1).alias("unsent"))
+    return fence(spark, root, f["now"], waiting).select("input_id", "action")
+
+
 @query("u2_detached_identities", "SELECT o_custkey AS input_id FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0")
 def u2_detached_identities(spark, d):
     return control.detached_identities(table(spark, d, "orders").select(F.col("o_custkey").alias("input_id")), table(spark, d, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("input_id")))

@@ -102,11 +102,15 @@ def http_sink(events: DataFrame, url: str, token: str, max_events: int = 250, ma
 
 
 def metrics_row(spark: SparkSession, input_id: str, status: str, rows: int | None = None, bytes: int | None = None, duration_ns: int | None = None, error_code: str | None = None) -> DataFrame:
-    schema = "input_id string, status string, rows long, bytes long, duration_ns long, error_code string"
-    return spark.createDataFrame([(input_id, status, rows, bytes, duration_ns, error_code)], schema)
+    return metrics_frame(spark, [(input_id, status, rows, bytes, duration_ns, error_code)])
+
+
+def metrics_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """(input_id, status, rows, bytes, duration_ns, error_code) of the inputs of a run."""
+    return spark.createDataFrame(rows, "input_id string, status string, rows long, bytes long, duration_ns long, error_code string")
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
     from ..operators.pages import run_rates
 
-    run_rates(metrics).write.mode("append").parquet(path)
+    run_rates(metrics).coalesce(1).write.mode("append").parquet(path)
