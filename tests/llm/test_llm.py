@@ -465,10 +465,10 @@ def test_kernel():
     assert np.allclose(got, [slow(w, "idiot", 3, 0.6) for w in words], rtol=1e-4)
 
 
-def test_kernel_of_words_leaves_out_next_to_nothing():
+def test_bound_of_words_loses_nothing():
     rng = random.Random(9)
     marks = ["idiot", "eszy", "moron", "aabb", "chón"]
-    words = ["".join(rng.choice("abcdeiormntszyóh") for _ in range(rng.randint(1, 14))) for _ in range(3_000)]
+    words = ["".join(rng.choice("abcdeiormntszyóh") for _ in range(rng.randint(1, 14))) for _ in range(9_000)]
     for m in marks:  # letters inserted and replaced
         for _ in range(300):
             w = list(m)
@@ -476,7 +476,7 @@ def test_kernel_of_words_leaves_out_next_to_nothing():
                 w.insert(rng.randint(0, len(w)), rng.choice("abxyz1"))
             words.append("".join(w))
     fast, whole = toxicity.word_kernel(words, marks), toxicity.word_kernel(words, marks, spare=False)
-    assert (fast != whole).sum() <= (whole > 0).sum() / 2_000 and (fast <= 1.0001).all() and (whole[-1500:] > 0).sum() > 700
+    assert len(words) > 10_000 and (fast == whole).all() and (fast <= 1.0001).all() and (whole[-1500:] > 0).sum() > 700
     assert np.allclose(np.diag(toxicity.word_kernel(marks, marks)), 1, atol=1e-4)
     assert (whole[whole > 0] >= toxicity.FLOOR).all()
 

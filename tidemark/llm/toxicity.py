@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,7 +27,8 @@ from .tokens import in_steps
 TRAIN_DOCS, LANDMARKS, MEMO_WORDS = 4_000, 64, 180_000
 #: Subsequence length, gap decay, and the kernel value (of a landmark's own) below which a word doesn't count.
 ORDER, DECAY, FLOOR = 4, 0.6, 0.4
-WIDTH, BLOCK = 24, 4_096
+#: Longest piece of a token; words or pairs that are computed at once.
+WIDTH, BLOCK = 24, 2_048
 _DROP, _DIGIT = re.compile(r"[\W_]+"), re.compile(r"\d+")
 _SPACED = re.compile(r"(?<!\w)\w(?:[^\w\n]{1,3}\w(?!\w)){3,}")
 _STOP = ".!?"
@@ -37,33 +39,36 @@ def _codes(strings: list[str], width: int) -> np.ndarray:
     return np.array(strings, dtype=f"<U{width}").view(np.uint32).reshape(len(strings), width)
 
 
-def _letters(codes: np.ndarray) -> np.ndarray:
-    """Per row the set of its letters, each hashed to one of 64 bits."""
-    return np.bitwise_or.reduce(np.where(codes > 0, np.uint64(1) << (codes % 64).astype(np.uint64), np.uint64(0)), axis=1)
-
-
-def subsequence_kernel(codes: np.ndarray, other: str, order: int = ORDER, decay: float = DECAY) -> np.ndarray:
-    """For each row of codes (0 pads) the sum over common subsequences of length `order`, each weighted by decay to
-    the lengths it spans in both strings."""
-    n, width = codes.shape
-    t = [ord(c) for c in other]
-    prior = np.ones((len(t) + 1, width + 1, n), np.float32)  # K'_0
-    total = np.zeros(n, np.float32)
-    match = [np.ascontiguousarray((codes == c).T, dtype=np.float32) for c in t]
-    for level in range(1, order + 1):
+def pair_kernel(codes: np.ndarray, others: np.ndarray, order: int = ORDER, decay: float = DECAY) -> np.ndarray:
+    """For each row of codes and the same row of others (0 pads codes, 1 others) the sum over common subsequences of
+    length `order`, each weighted by decay to the lengths it spans in both strings."""
+    n, width, m = len(codes), codes.shape[1], others.shape[1]
+    one, two = np.ascontiguousarray(codes.T), np.ascontiguousarray(others.T)
+    prior = np.ones((m + 1, width + 1, n), np.float32)  # K'_0
+    total, hit = np.zeros(n, np.float32), np.empty(n, np.float32)
+    match = (two[:, None] == one[None]).astype(np.float32)
+    for level in range(1, order):
         now = np.zeros_like(prior)
-        last = level == order
-        for i in range(level, len(t) + 1):
+        for i in range(level, m + 1):
             row = np.zeros(n, np.float32)
             for j in range(level, width + 1):
-                hit = match[i - 1][j - 1] * prior[i - 1, j - 1]
-                if last:
-                    total += decay * decay * hit
-                else:
-                    row = decay * (row + decay * hit)
-                    now[i, j] = decay * now[i - 1, j] + row
+                np.multiply(match[i - 1, j - 1], prior[i - 1, j - 1], out=hit)
+                hit *= decay
+                row += hit
+                row *= decay
+                np.multiply(now[i - 1, j], decay, out=hit)
+                np.add(row, hit, out=now[i, j])
         prior = now
-    return total
+    for i in range(order, m + 1):
+        for j in range(order, width + 1):
+            np.multiply(match[i - 1, j - 1], prior[i - 1, j - 1], out=hit)
+            total += hit
+    return total * np.float32(decay * decay)
+
+
+def subsequence_kernel(codes: np.ndarray, other: str, order: int = ORDER, decay: float = DECAY) -> np.ndarray:
+    """pair_kernel of each row of codes with one string."""
+    return pair_kernel(codes, np.repeat(_codes([other], len(other)), len(codes), 0), order, decay)
 
 
 @dataclass
@@ -81,34 +86,73 @@ class ToxicModel:
         return 1 / (1 + np.exp(-np.clip(self.slope * z + self.shift, -30, 30)))
 
 
+class _Bounds:
+    """What the letters that a word shares with a landmark allow at most.
+
+    A common subsequence only uses places of the landmark whose letters the word has, so by Cauchy and Schwarz the
+    kernel is at most the root of the word's own value times the landmark's own value over those places. That one is
+    looked up by the set of places; letters are told apart by 64 classes, which can only make the set larger."""
+
+    def __init__(self, landmarks: list[str]):
+        self.own = np.array([float(subsequence_kernel(_codes([m], len(m)), m)[0]) for m in landmarks], np.float32)
+        self.places = np.zeros((64, len(landmarks)), np.float32)  # of a letter in each landmark, as bits
+        self.most = []
+        for k, mark in enumerate(landmarks):
+            for i, c in enumerate(mark):
+                self.places[ord(c) % 64, k] += 1 << i
+            sets = np.arange(1 << len(mark))[:, None] >> np.arange(len(mark)) & 1
+            codes = np.where(sets > 0, _codes([mark], len(mark)), 0).astype(np.uint32)
+            parts = [subsequence_kernel(codes[a : a + BLOCK], mark) for a in range(0, len(codes), BLOCK)]
+            # over those places only: of the two strings, one has the others blanked
+            self.most.append(np.sqrt(np.concatenate(parts)) / self.own[k])
+
+    def possible(self, codes: np.ndarray) -> list[np.ndarray]:
+        """For each landmark the rows of codes that can reach FLOOR."""
+        word = np.sqrt(pair_kernel(codes, np.where(codes == 0, 1, codes)))
+        letters = np.zeros((len(codes), 64), np.float32)
+        for column in codes.T:
+            letters[np.flatnonzero(column), column[column > 0] % 64] = 1
+        sets = (letters @ self.places).astype(np.int64)
+        return [np.flatnonzero(most[sets[:, k]] * word >= FLOOR * (1 - 1e-3)) for k, most in enumerate(self.most)]
+
+
 def word_kernel(words: list[str], landmarks: list[str], spare: bool = True) -> np.ndarray:
     """(words, landmarks): the kernel as a share of the landmark's own, at most 1; below FLOOR it is 0.
 
-    spare: words that lack more letters of a landmark than a quarter of its length are left out. That isn't proven to lose
-    nothing: of 26,036 values above FLOOR, in words with letters inserted, replaced, doubled and removed, it lost 3."""
+    spare: pairs that a bound proves to lie below FLOOR aren't computed; the values are the same without it. Pairs
+    are computed together with those of other landmarks of about that length."""
     out = np.zeros((len(words), len(landmarks)), np.float32)
-    own = [float(subsequence_kernel(_codes([m], len(m)), m)[0]) for m in landmarks]
+    bounds = _bounds(tuple(landmarks))
     size = np.array([len(w) for w in words], dtype=np.int64)
     order = np.argsort(size, kind="stable")
     order = order[np.searchsorted(size[order], ORDER) :]
+    groups = {n: [k for k, m in enumerate(landmarks) if len(m) == n] for n in {len(m) for m in landmarks}}
+    marks = {n: _codes([landmarks[k] for k in ks], n) for n, ks in groups.items()}
     for a in range(0, len(order), BLOCK):
         at = order[a : a + BLOCK]  # words of about one length
         codes = _codes([words[i] for i in at], int(size[at[-1]]))
-        letters = _letters(codes)
-        for k, mark in enumerate(landmarks):
-            some = np.arange(len(at))
-            if spare:
-                (mine,) = _letters(_codes([mark], len(mark)))
-                some = np.flatnonzero(np.bitwise_count(letters & mine) >= int(np.bitwise_count(mine)) - max(1, len(mark) // 4))
-            if len(some):
-                out[at[some], k] = np.minimum(subsequence_kernel(codes[some], mark) / own[k], 1)
+        able = bounds.possible(codes) if spare else [np.arange(len(at))] * len(landmarks)
+        for n, ks in groups.items():
+            row = np.concatenate([able[k] for k in ks])
+            mark = np.repeat(np.arange(len(ks)), [len(able[k]) for k in ks])
+            for b in range(0, len(row), BLOCK):
+                r, m = row[b : b + BLOCK], mark[b : b + BLOCK]
+                k = np.array(ks)[m]
+                out[at[r], k] = np.minimum(pair_kernel(codes[r], marks[n][m]) / bounds.own[k], 1)
     out[out < FLOOR] = 0
     return out
 
 
+@lru_cache(4)
+def _bounds(landmarks: tuple[str, ...]) -> _Bounds:
+    return _Bounds(list(landmarks))
+
+
 def units(token: str) -> list[str]:
     """The letters and digits of a token, and its letters alone if it has both; long ones in overlapping windows, so
     that none is cut off."""
+    if len(token) <= WIDTH and token.isalpha():
+        return [token]
     w = _DROP.sub("", token)
     bare = _DIGIT.sub("", w)
     forms = [w] if bare == w or not bare else [w, bare]
@@ -140,7 +184,7 @@ class _Marks(dict):
     def settle(self):
         parts, at = [], []
         for i, token in enumerate(self.waiting):
-            for u in units(token):
+            for u in units(token) if len(token) >= ORDER else ():
                 if len(u) >= ORDER:
                     parts.append(u)
                     at.append(i)
@@ -149,7 +193,7 @@ class _Marks(dict):
             token = self.waiting[at[j]]
             if self[token] < 0:
                 self[token] = len(self.rows)
-                self.rows.append(x[j])
+                self.rows.append(x[j].copy())  # a view would keep all of x
             else:
                 self.rows[self[token]] = np.maximum(self.rows[self[token]], x[j])
         self.waiting = []
