@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ._base import cut, read, small
 
-#: Rows that one window group should hold, and the most ranges the keys are cut into.
-GROUP_ROWS, MOST_RANGES = 20_000, 4_096
-
 
 def rendezvous(key, weights: dict[int, float], seed: str = "s"):
     """The shard with the highest score -weight / ln(u), u in (0, 1) from a hash of key and shard.
@@ -34,36 +29,22 @@ def rendezvous(key, weights: dict[int, float], seed: str = "s"):
 def place(docs: DataFrame, weights: dict[int, float], key: str = "doc_id", text: str = "text", grown: dict[int, float] | None = None) -> DataFrame:
     """(key, size, text_crc32, shard, grown_shard, slot): slot counts from 0 without gaps in each shard, in key order.
 
-    Keys are cut into ranges at quantiles; rows are numbered inside (shard, range) and the counts of the earlier
-    ranges are added, so no task numbers a whole shard. A key that fills more than one range is dealt out further
-    by row. Null keys come first; equal keys share a shard. Null texts have no bytes.
+    Rows are dealt out by ranges of the key in its own order, whatever its type, and written once with their place;
+    rows are numbered inside (shard, range), and the counts of the earlier ranges are added, so no task numbers a
+    whole shard. Rows of one key, however many, are cut by content and row. Null keys come first; equal keys share a
+    shard; equal rows each have a slot. Null texts have no bytes. An empty table gives an empty one.
     """
     grown = grown or {**weights, max(weights) + 1: 1.0}
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    rows = docs.select(
-        F.col(key).alias("key"), (F.octet_length(raw) + 1).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"),
-        rendezvous(F.col(key), weights).alias("shard"), rendezvous(F.col(key), grown).alias("grown_shard"),
-        F.monotonically_increasing_id().alias("rid"),
-    )
-    rows = cut(rows, "shards")
-    n = rows.count()
-    ranges = min(MOST_RANGES, math.ceil(n / GROUP_ROWS)) or 1
-    bounds = [] if ranges == 1 else sorted(rows.select(F.percentile_approx("key", [i / ranges for i in range(1, ranges)], 100 * ranges).alias("q")).first()["q"] or [])
-    hot = sorted({b for i, b in enumerate(bounds[1:]) if b == bounds[i]})
-    marks = F.array(*[F.lit(b) for b in sorted(set(bounds))]) if bounds else F.array().cast("array<bigint>")
-    part = F.size(F.filter(marks, lambda b: b < F.col("key")))
-    # null keys, however many, are one key; ranges end at a bound, so a hot bound is the last key of its range: its
-    # rows come after the others
-    is_hot = F.col("key").isNull() | F.coalesce(F.col("key").isin(hot) if hot else F.lit(False), F.lit(False))
-    rows = rows.withColumns({
-        "part": F.when(F.col("key").isNull(), -1).otherwise(part), "late": is_hot.cast("int"),
-        "sub": F.when(is_hot & F.lit(ranges > 1), F.pmod(F.xxhash64("rid"), F.lit(64)).cast("int")).otherwise(0)})
-    group = ["shard", "part", "late", "sub"]
-    earlier = Window.partitionBy("shard").orderBy("part", "late", "sub").rowsBetween(Window.unboundedPreceding, -1)
-    counts = rows.groupBy(*group).count().withColumn("before", F.coalesce(F.sum("count").over(earlier), F.lit(0))).drop("count")
-    inside = Window.partitionBy(*group).orderBy(F.col("key").asc_nulls_first(), "text_crc32", "size", "rid")
-    numbered = rows.withColumn("at", F.row_number().over(inside) - 1)
-    out = numbered.join(small(counts), group)
+    rows = docs.select(F.col(key).alias("key"), (F.octet_length(raw) + 1).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"), F.monotonically_increasing_id().alias("rid"))
+    order = [F.col("key").asc_nulls_first(), F.col("text_crc32"), F.col("size"), F.col("rid")]
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = cut(dealt.select("key", "size", "text_crc32", rendezvous(F.col("key"), weights).alias("shard"), rendezvous(F.col("key"), grown).alias("grown_shard"), F.monotonically_increasing_id().alias("row")), "shards")
+    rows = rows.withColumn("range", F.shiftright("row", 33))
+    earlier = Window.partitionBy("shard").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    counts = rows.groupBy("shard", "range").count().select("shard", "range", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("shard", "range").orderBy("row"))
+    out = rows.withColumn("at", inside - 1).join(small(counts), ["shard", "range"])
     return out.select(F.col("key").alias(key), "size", "text_crc32", "shard", (F.col("before") + F.col("at")).cast("long").alias("slot"), "grown_shard")
 
 
