@@ -28,15 +28,18 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|(?:\\x[0-9A-Fa-f]{2})+|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
-#: A run of base64 characters, over line ends too (wrapped base64).
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+(?:\r?\n[ \t]*[A-Za-z0-9+/_-]++)*+|[A-Za-z0-9+/_-]++(?:\r?\n[ \t]*[A-Za-z0-9+/_-]++)++)")
-_BREAK = re.compile(r"[\r\n \t]+")
+#: Runs of \uXXXX and %uXXXX (code units), of \xXX (bytes), and single \u{X}, \UXXXXXXXX and &#N; with or without its end.
+_ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|(?:%u[0-9A-Fa-f]{4})+|(?:\\x[0-9A-Fa-f]{2})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});?")
+#: ASCII text in two bytes a character, either byte first.
+_WIDE = re.compile(r"(?:[\t\n\r\x20-\x7e]\x00){8,}|(?:\x00[\t\n\r\x20-\x7e]){8,}")
+#: A run of base64 characters, over line ends too (wrapped or quoted base64).
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+(?:\r?\n[ \t>]*[A-Za-z0-9+/_-]++)*+|[A-Za-z0-9+/_-]++(?:\r?\n[ \t>]*[A-Za-z0-9+/_-]++)++)")
+_BREAK = re.compile(r"[\r\n \t>]+")
 _FROM_URL = str.maketrans("-_", "+/")
 #: Where a gzip or zlib stream may begin in decoded bytes.
 _PACKED = re.compile(r"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]")
 #: Bytes without any of these hold neither a finding nor a further layer.
-_ANY = re.compile(rb"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{16}|%[0-9A-Fa-f]{2}|\\[ux][0-9A-Fa-f]{2}|&#|[A-Za-z0-9+/_-]{16}|[A-Za-z0-9+/_-]\r?\n[ \t]*[A-Za-z0-9+/_-]|\x1f\x8b\x08|x[\x01\x5e\x9c\xda]")
+_ANY = re.compile(rb"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{16}|%u?[0-9A-Fa-f]{2}|\\[uUx]\{?[0-9A-Fa-f]|&#|(?:[\x20-\x7e]\x00){8}|[A-Za-z0-9+/_-]{16}|[A-Za-z0-9+/_-]\r?\n[ \t>]*[A-Za-z0-9+/_-]|\x1f\x8b\x08|x[\x01\x5e\x9c\xda]")
 _ANY_TEXT = re.compile(_ANY.pattern.decode("latin-1"))
 #: Bytes of an unfolded stream that are scanned at once, and how many of them the next part has again.
 INFLATE_CHUNK, OVERLAP = 16 << 20, 1 << 20
@@ -87,16 +90,22 @@ def _percent(run: str):
     return _byte_units(bytes.fromhex(run.replace("%", "")), 3)
 
 
+def _character(n: int, length: int):
+    if not 0 < n < 0x110000 or 0xD800 <= n < 0xE000:
+        return None
+    return chr(n), np.array([[0, length - 1]])
+
+
 def _escape(run: str):
     if run[0] == "&":
-        n = int(run[3:-1], 16) if run[2] in "xX" else int(run[2:-1])
-        if not 0 < n < 0x110000 or 0xD800 <= n < 0xE000:
-            return None
-        return chr(n), np.array([[0, len(run) - 1]])
+        body = run[2:].rstrip(";")
+        return _character(int(body[1:], 16) if body[0] in "xX" else int(body), len(run))
     if run[1] == "x":
         return _byte_units(bytes.fromhex(run.replace("\\x", "")), 4)
+    if run[1] == "U" or run[2] == "{":
+        return _character(int(run[2:].strip("{}"), 16), len(run))
     text, units, at = "", [], 0
-    codes = [int(x, 16) for x in run.split("\\u")[1:]]
+    codes = [int(x, 16) for x in run.split(run[:2])[1:]]
     while at < len(codes):
         n, k = codes[at], 1
         if 0xD800 <= n < 0xDC00 and at + 1 < len(codes) and 0xDC00 <= codes[at + 1] < 0xE000:
@@ -107,6 +116,11 @@ def _escape(run: str):
     return text, np.array(units)
 
 
+def _wide(run: str):
+    first = np.arange(len(run) // 2, dtype=np.int64) * 2
+    return run.replace("\0", ""), np.stack([first, first + 1], axis=1)
+
+
 class _Part(str):
     """A part of unfolded bytes; more() gives the pieces behind it."""
 
@@ -247,7 +261,7 @@ def _blobs(text, lo, hi):
 
 def _inside(layer, lo, hi, path):
     """The layers that a layer holds, each with its path."""
-    for name, pattern, decode in (("url", _PERCENT, _percent), ("unicode", _ESCAPE, _escape)):
+    for name, pattern, decode in (("url", _PERCENT, _percent), ("unicode", _ESCAPE, _escape), ("utf-16", _WIDE, _wide)):
         if new := _replaced(layer, lo, hi, pattern, decode):
             yield *new, f"{path}/{name}"
     for new in _blobs(layer, lo, hi):
@@ -262,7 +276,7 @@ def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     text = text or ""
     base = list(base_matches(text))
     spans = {s: "" for s in base}
-    if not (_PERCENT.search(text) or _ESCAPE.search(text) or _BASE64.search(text)):
+    if not (_PERCENT.search(text) or _ESCAPE.search(text) or _BASE64.search(text) or _WIDE.search(text)):
         return base, [(*s, "") for s in base]
     at = np.arange(len(text), dtype=np.int64)
     work, seen = [iter([(text, at, at, "")])], set()
