@@ -17,10 +17,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the smallest id (shingles of five words, similarity 0.8).
-    Rows with a null id stay."""
-    copies = chosen_path.near_duplicates(docs, width=5, cents=80).where("not kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each near-duplicate group: that of the smallest id (shingles of five words, similarity 0.8). Rows
+    that repeat an id, or have none, are documents like all others; null and empty texts stay."""
+    return chosen_path.keep_one(docs, width=5, cents=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -155,6 +155,24 @@ def test_chosen_path_edges(spark):
     assert chosen_path.near_duplicates(docs(spark, "x").where("false")).count() == 0
 
 
+def test_chosen_path_with_repeated_and_missing_ids(spark):
+    """Rows that share an id keep their own links, rows without one take part, and one row of a component stays."""
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    c = " ".join(f"c{i}" for i in range(60))
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (None, c), (None, c + " more"), (9, c), (5, "alone"), (5, "alone"), (None, "none has one"), (None, "none has one"), (7, ""), (7, ""), (None, None), (4, a)]
+    d = spark.createDataFrame([(*r, 1, "h", 2) for r in rows], "doc_id long, text string, n int, h string, component int").repartition(4)
+    got = sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"]), r["kept"]) for r in chosen_path.near_duplicates(d, leaf=2).collect())
+    comp = lambda i, t: "9" if "c1" in t else "1" if "a1" in t or "b1" in t else str(i)
+    n = lambda t: max(0, len(t.split()) - 4) or int(bool(t.split()))
+    want = [(str(i), n(t or ""), comp(i, t or ""), str(i) == comp(i, t or "")) for i, t in rows]
+    assert got == sorted(want)
+    one = chosen_path.keep_one(d, leaf=2)
+    assert one.columns == d.columns
+    kept = sorted((str(r["doc_id"]), r["text"] or "") for r in one.collect())
+    # 1 and 3, and 1, 2 and 4, are two components of texts: a row of each stays
+    assert kept == sorted([("1", a), ("1", b), ("9", c), ("5", "alone"), ("None", "none has one"), ("7", ""), ("7", ""), ("None", "")])
+
+
 def brute_words(t):
     import re
 
@@ -218,12 +236,7 @@ def test_decontamination_edges(spark):
 
 def test_sharding(spark):
     d = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 5).alias("text"))
-    old = sharding.GROUP_ROWS
-    sharding.GROUP_ROWS = 200
-    try:
-        got = sharding.place(d.union(spark.createDataFrame([(None, None)], "doc_id long, text string")), {s: 1.0 for s in range(8)}).collect()
-    finally:
-        sharding.GROUP_ROWS = old
+    got = sharding.place(d.union(spark.createDataFrame([(None, None)], "doc_id long, text string")), {s: 1.0 for s in range(8)}).collect()
     assert len(got) == 3001
     for s in range(8):
         assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
@@ -236,6 +249,17 @@ def test_sharding(spark):
     assert sharding.place(d.where("false"), {0: 1.0}).count() == 0
 
 
+def test_sharding_by_text_keys(spark):
+    """25,000 text keys beside columns named like internal ones; slots follow the keys' own order."""
+    d = spark.range(25_000).selectExpr("concat('k', id) AS name", "'x' AS text", "1 AS key", "2 AS size", "3 AS rid", "4 AS shard", "5 AS range")
+    for weights in ({s: 1.0 for s in range(4)}, {0: 1.0}):
+        got = sharding.place(d, weights, key="name").collect()
+        for s in weights:
+            mine = sorted((r for r in got if r["shard"] == s), key=lambda r: r["slot"])
+            assert [r["slot"] for r in mine] == list(range(len(mine))) and [r["name"] for r in mine] == sorted(r["name"] for r in mine)
+        assert len(got) == 25_000
+
+
 SECRET = 'password="abcdefghijklmnop123"'
 
 
@@ -267,6 +291,23 @@ def test_secrets_in_whole_layers(text):
     assert any(k == "assign" and 3 <= s < e <= len(text) - 3 and p for k, s, e, p in found)
 
 
+def test_secret_forms_of_unicode():
+    secret = "password=abcdefghijklmnop"
+    wide = lambda e: base64.b64encode(secret.encode(e)).decode()
+    lines = base64.b64encode((secret + " ; ") .encode() * 3).decode()
+    for way, coded in (
+        ("/unicode", "".join(f"\\u{{{ord(c):x}}}" for c in secret)), ("/unicode", "".join(f"%u{ord(c):04x}" for c in secret)), ("/unicode", "".join(f"\\U{ord(c):08X}" for c in secret)),
+        ("/unicode", "".join(f"&#{ord(c)}" for c in secret)), ("/unicode", "".join(f"&#x{ord(c):x};" for c in secret)), ("/base64/utf-16", wide("utf-16-le")), ("/base64/utf-16", wide("utf-16-be")),
+    ):
+        base, found = secrets.scan(f"so {coded} it")
+        assert not base and [f[:1] + f[3:] for f in found] == [("assign", way)], coded
+        assert found[0][1] in (3, 4) and 3 + len(coded) - 4 <= found[0][2] <= 3 + len(coded)
+    quoted = "> " + "\n> ".join(lines[i : i + 24] for i in range(0, len(lines), 24))
+    assert len(secrets.scan(f"mail:\n{quoted}\nend")[1]) == 3
+    assert secrets.scan("\\u{110000} \\UFFFFFFFF &#0; &# %u12 \\u{}") == ([], [])
+
+
+
 def test_secret_early_in_a_large_stream_spans_all_of_it():
     code = _B64(gzip.compress(SECRET.encode() + bytes(40 << 20)))
     assert [(s, e) for k, s, e, _ in secrets.scan("zz " + code + " yy")[1] if k == "assign"] == [(3, 3 + len(code.rstrip("=")))]

@@ -41,24 +41,28 @@ def _plan(trees: int, depth: int) -> int:
 
 
 def set_features(docs: DataFrame, id: str, text: str, width: int, trees: int, depth: int) -> DataFrame:
-    """(id, n, digest, path array<int> of trees x depth min-hashes, s0, s1 sketch words); a null id stays null."""
+    """(id, h, n, digest, path array<int> of trees x depth min-hashes, s0, s1 sketch words); a null id stays null. h, a
+    hash of the text, tells rows of one id apart."""
     count = _plan(trees, depth)
 
     def run(batches):
         odd, plus = coefficients(count)
         for pdf in (part for batch in batches for part in in_steps(batch, STEP_CHARS)):
             rows = []
-            for i, s in zip(pdf["id"], shingle_sets(pdf["text"], width)):
+            for i, h, s in zip(pdf["id"], pdf["h"], shingle_sets(pdf["text"], width)):
                 if len(s):
                     m = minhashes(s, odd, plus)
                     a, b = bit_sketch(m[:SKETCH])
-                    rows.append((i, len(s), digest(s), m[: trees * depth].astype(np.int32), a, b))
+                    rows.append((i, h, len(s), digest(s), m[: trees * depth].astype(np.int32), a, b))
                 else:
-                    rows.append((i, 0, None, None, 0, 0))
-            yield pd.DataFrame(rows, columns=["id", "n", "digest", "path", "s0", "s1"]).astype({"id": "Int64"})
+                    rows.append((i, h, 0, None, None, 0, 0))
+            yield pd.DataFrame(rows, columns=["id", "h", "n", "digest", "path", "s0", "s1"]).astype({"id": "Int64"})
 
-    src = bounded_batches(docs).select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    return src.mapInPandas(run, "id long, n long, digest binary, path array<int>, s0 long, s1 long")
+    return _rows(docs, id, text).mapInPandas(run, "id long, h long, n long, digest binary, path array<int>, s0 long, s1 long")
+
+
+def _rows(docs: DataFrame, id: str, text: str) -> DataFrame:
+    return bounded_batches(docs).select(F.col(id).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("text"))
 
 
 def _agree(a: str, b: str, least: int):
@@ -98,20 +102,21 @@ def candidates(sets: DataFrame, cents: int, trees: int, depth: int, leaf: int) -
 
 
 def full_sets(docs: DataFrame, used: DataFrame, id: str, text: str, width: int) -> DataFrame:
-    """(id, items): the full sets, sorted hashes, of the ids in used(id, digest)."""
+    """(id, items): the full sets, sorted hashes, of the sets in used(id, doc, h, digest): of each a row that has it."""
 
     def run(batches):
         for pdf in (part for batch in batches for part in in_steps(batch, STEP_CHARS)):
             keep = [(i, s.view(np.int64)) for i, g, s in zip(pdf["id"], pdf["digest"], shingle_sets(pdf["text"], width)) if digest(s) == bytes(g)]
             yield pd.DataFrame(keep, columns=["id", "items"])
 
-    src = bounded_batches(docs).select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).join(used, "id")
+    texts = _rows(docs, id, text).select(F.col("id").alias("_doc"), F.col("h").alias("_h"), "text")
+    src = texts.join(used, (F.col("_h") == F.col("h")) & F.col("_doc").eqNullSafe(F.col("doc"))).select("id", "digest", "text")
     # rows that repeat an id and its text give the same set; one of them is enough
     return cut(src.mapInPandas(run, "id long, items array<long>"), "sets").dropDuplicates(["id"])
 
 
 def confirm(docs: DataFrame, pairs: DataFrame, id: str, text: str, width: int, cents: int, wanted: DataFrame) -> DataFrame:
-    """The pairs whose full sets reach 100 * intersection >= cents * union. wanted: (id, digest) of the sets meant."""
+    """The pairs whose full sets reach 100 * intersection >= cents * union. wanted: (id, doc, h, digest) of all sets."""
     used = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct().join(wanted, "id")
     sets = full_sets(docs, used, id, text, width)
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a")
@@ -197,22 +202,20 @@ def _across(docs: DataFrame, apart: DataFrame, id: str, text: str, width: int, c
     return left.select(keep).union(right.select(keep)).groupBy("node", "block", "chunk").applyInPandas(links, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, cents: int = 80, trees: int | None = None, depth: int = 4, leaf: int = 32, recall: float = 0.999) -> DataFrame:
-    """One row per document: id, n_shingles, component_id (smallest id that links reach), kept (id = component_id).
+def set_components(docs: DataFrame, id: str, text: str, width: int, cents: int, trees: int, depth: int, leaf: int) -> DataFrame:
+    """One row per document: (id, h, n, component), a number of its component, null without words.
 
-    Two documents link when 100 * |intersection| >= cents * |union| of their shingle sets. Equal sets are joined
-    first and searched once. Documents without words link with nothing; a null id links with nothing, has a null
-    component and is kept. An empty table gives an empty result. Unless given, trees are as many as find a pair at
-    the threshold with probability `recall` down to the last level.
-    """
-    trees = trees or trees_for(recall, cents, depth)
+    Sets are numbered and searched by number, so rows that repeat an id, with equal or other texts, or lack one take
+    part like all others. Equal sets are one."""
     feats = cut(set_features(docs, id, text, width, trees, depth), "features")
-    full = feats.where("n > 0 and id is not null")
-    # all columns but id follow from the set, so any copy's values will do
-    sets = full.groupBy("digest").agg(F.min("id").alias("id")).join(full.dropDuplicates(["digest", "id"]), ["digest", "id"])
-    sets = cut(sets.select("id", "digest", "path", "s0", "s1"), "distinct")
-    pairs, rest = candidates(sets, cents, trees, depth, leaf)
-    wanted = sets.select("id", "digest")
+    full = feats.where("n > 0")
+    # all columns but doc and h follow from the set, so any copy's values will do; of rows with an id the least is meant
+    first = full.groupBy("digest").agg(F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("doc"), "h")).alias("f"))
+    alike = full.join(first.select("digest", "f.doc", F.col("f.h").alias("_h")), "digest").where(F.col("id").eqNullSafe(F.col("doc")) & (F.col("h") == F.col("_h")))
+    alike = alike.dropDuplicates(["digest"]).select(F.monotonically_increasing_id().alias("id"), "doc", "h", "digest", "path", "s0", "s1")
+    sets = cut(alike, "distinct")
+    pairs, rest = candidates(sets.select("id", "path", "s0", "s1"), cents, trees, depth, leaf)
+    wanted = sets.select("id", "doc", "h", "digest")
     known = cut(components(confirm(docs, cut(pairs.distinct(), "pairs"), id, text, width, cents, wanted)), "components")
     if rest is not None:
         rest = cut(rest.distinct(), "rest")
@@ -220,10 +223,43 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
         pairs = cut(_with_hubs(_apart(rest, known), cents, HUBS), "hubs")
         known = _joined(confirm(docs, pairs, id, text, width, cents, wanted), known)
         known = _joined(_across(docs, _apart(rest, known), id, text, width, cents, wanted), known)
-    named = sets.select("digest", "id").join(known, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
-    out = feats.select("id", "n", "digest").join(named, "digest", "left")
-    comp = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
-    return out.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), comp.alias("component_id"), F.coalesce(F.col("id") == comp, F.lit(True)).alias("kept"))
+    named = sets.select("digest", "id").join(known, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
+    return feats.select("id", "h", "n", "digest").join(named, "digest", "left").select("id", "h", "n", "component")
+
+
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, cents: int = 80, trees: int | None = None, depth: int = 4, leaf: int = 32, recall: float = 0.999) -> DataFrame:
+    """One row per document: id, n_shingles, component_id (smallest id that links reach), kept (id = component_id).
+
+    Two documents link when 100 * |intersection| >= cents * |union| of their shingle sets. Equal sets are joined
+    first and searched once. Documents without words link with nothing. Rows that repeat an id are documents of their
+    own that share it. A document without an id takes the smallest id of its component (null if it has none), and is
+    kept only if there is none. An empty table gives an empty result. Unless given, trees are as many as find a pair
+    at the threshold with probability `recall` down to the last level.
+    """
+    found = cut(set_components(docs, id, text, width, cents, trees or trees_for(recall, cents, depth), depth, leaf), "found")
+    least = found.where("component is not null").groupBy("component").agg(F.min("id").alias("least"))
+    comp = F.coalesce("least", "id")
+    kept = F.coalesce(F.col("id") == comp, comp.isNull())
+    return found.join(least, "component", "left").select(F.col("id").alias(id), F.col("n").alias("n_shingles"), comp.alias("component_id"), kept.alias("kept"))
+
+
+def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, cents: int = 80, depth: int = 4, leaf: int = 32, recall: float = 0.999) -> DataFrame:
+    """docs with one row of each near-duplicate component: that of the smallest id, rows without one last; of rows that
+    repeat an id and its text one. Documents without words stay, each of them."""
+    found = cut(set_components(docs, id, text, width, cents, trees_for(recall, cents, depth), depth, leaf), "found").where("component is not null")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "h")
+    first = found.groupBy("component").agg(F.min(order).alias("f")).select("component", F.col("f.id").alias("_id"), F.col("f.h").alias("_h"))
+    rows = found.groupBy("component", "id", "h").agg(F.count("*").alias("n")).join(first, "component")
+    rows = cut(rows.select(F.col("id").alias("_doc"), F.col("h").alias("_text"), "n", (F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))).alias("first")), "rows")
+    same = lambda d: F.col(id).cast("long").eqNullSafe(d["_doc"]) & (F.xxhash64(F.col(text)) == d["_text"])
+    gone = rows.where("not first")
+    out = docs.join(gone, same(gone), "left_anti")
+    again = rows.where("first and n > 1")
+    if again.isEmpty():
+        return out
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    repeated = out.join(again, same(again), "left_semi").select(F.col(id).alias("_doc"), F.xxhash64(F.col(text)).alias("_text"), whole).groupBy("_doc", "_text").agg(F.first("row").alias("row"))
+    return out.join(again, same(again), "left_anti").unionByName(repeated.select("row.*"))
 
 
 def op10_chosen_path(spark, sf_dir):
