@@ -160,7 +160,7 @@ def units(token: str) -> list[str]:
 
 
 class _Marks(dict):
-    """token -> row of its kernel values, or -1 if it matches no landmark."""
+    """token -> row of its kernel values, -1 if it matches no landmark, or -2 until it is settled."""
 
     def __init__(self, landmarks):
         self.landmarks, self.rows, self.waiting, self.old = landmarks, [], [], {}
@@ -172,17 +172,20 @@ class _Marks(dict):
         self.rows = []
 
     def __missing__(self, token):
-        self[token] = -1
+        n = -2
         if token in self.old:
+            n = -1
             if (row := self.old[token]) is not None:
-                self[token] = len(self.rows)
+                n = len(self.rows)
                 self.rows.append(row)
-            return self[token]
-        self.waiting.append(token)
-        return -2
+        else:
+            self.waiting.append(token)
+        self[token] = n
+        return n
 
     def settle(self):
         parts, at = [], []
+        self.update(dict.fromkeys(self.waiting, -1))
         for i, token in enumerate(self.waiting):
             for u in units(token) if len(token) >= ORDER else ():
                 if len(u) >= ORDER:
@@ -210,13 +213,12 @@ def sentence_features(texts, landmarks: list[str]) -> list[np.ndarray]:
         if _SPACED.search(t):
             t = _SPACED.sub(lambda m: m.group() + " " + _DROP.sub("", m.group()), t)
         split.append(t.split())
-    for tokens in split:
-        for _ in map(marks.__getitem__, tokens):
-            pass
+    met = [np.fromiter(map(marks.__getitem__, tokens), np.int32, len(tokens)) for tokens in split]
     marks.settle()
     out, none = [], np.zeros((0, len(landmarks)), np.float32)
-    for tokens in split:
-        rows = np.fromiter(map(marks.__getitem__, tokens), np.int64, len(tokens))
+    for tokens, rows in zip(split, met):
+        for i in np.flatnonzero(rows == -2):
+            rows[i] = marks[tokens[i]]
         found = np.flatnonzero(rows >= 0)
         if not len(found):
             out.append(none)
