@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.cursor import Cursor, CursorSpec
 from tidemark.plans.scan import Input, checked_scan, publish
 from tidemark.sources.base import jdbc_base, sql_base
-from tidemark.sources.sinks import http_sink
+from tidemark.sources.collector import CollectorSource, collector_options, http_sink
 from tidemark.errors import TidemarkError
 from tidemark.plans import state
 from tidemark.plans.run import read_cursor, recover, run_inputs, run_scan
@@ -63,6 +63,38 @@ def test_http_sink(spark, collector):
     assert sorted(map(len, got)) == [1, 1, 2, 2, 2, 2] and sorted(x for b in got for x in b) == sorted(f'{{"n":{i}}}' for i in range(10))
 
 
+def test_failed_tasks_leave_no_receipts(spark, collector, tmp_path):
+    """A task that fails aborts the write without a receipt; the next write delivers all. One shuffle of the payload."""
+    url, got = collector
+    events = spark.range(40).selectExpr("'a' AS input_id", "1L AS attempt_id", "id DIV 10 + 1 AS page", "id AS ordinal", "concat('{\"n\":', id, '}') AS event")
+    spark.dataSource.register(CollectorSource)
+    o = collector_options(url, "t", str(tmp_path / "receipts"), max_events=4)
+    ordered = events.repartition("page").sortWithinPartitions("page", "ordinal").drop("ordinal")
+    with pytest.raises(Exception, match="event_exceeds_batch"):
+        ordered.write.format("tidemark_collector").options(**{**o, "maxBytes": "7"}).mode("append").save()  # two digits are too many
+    assert not (tmp_path / "receipts").exists()
+    got.clear()
+    ordered.write.format("tidemark_collector").options(**o).mode("append").save()
+    told = spark.read.parquet(str(tmp_path / "receipts"))
+    assert sorted(tuple(r) for r in told.collect()) == [("a", 1, p, 10) for p in (1, 2, 3, 4)]
+    assert sorted(map(len, got)) == [2] * 4 + [4] * 8 and len({x for b in got for x in b}) == 40
+    assert http_sink(events.where("false"), url, "t").count() == 0
+
+
+def test_streams_reach_the_collector(spark, collector, tmp_path):
+    url, got = collector
+    for n in range(2):
+        spark.range(n * 10, n * 10 + 10).selectExpr("'a' AS input_id", "1L AS attempt_id", "id DIV 5 + 1 AS page", "concat('{\"n\":', id, '}') AS event").write.mode("append").parquet(str(tmp_path / "in"))
+    spark.dataSource.register(CollectorSource)
+    o = collector_options(url, "t", str(tmp_path / "receipts"), max_events=3)
+    for _ in range(2):  # the second time there is nothing new
+        rows = spark.readStream.schema("input_id string, attempt_id long, page long, event string").parquet(str(tmp_path / "in"))
+        rows.writeStream.format("tidemark_collector").options(**o).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(x for b in got for x in b) == sorted(f'{{"n":{i}}}' for i in range(20))
+    told = spark.read.parquet(str(tmp_path / "receipts")).groupBy("page").agg(F.sum("rows")).collect()
+    assert sorted(tuple(r) for r in told) == [(1, 5), (2, 5), (3, 5), (4, 5)]
+
+
 def test_deliver_stream_is_replay_safe(spark, tmp_path):
     root = str(tmp_path / "pages")
     publish(checked_scan(rows(spark, 0, 10), INPUT), INPUT, 1, root)

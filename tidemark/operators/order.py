@@ -82,23 +82,37 @@ def page_by_page(events: DataFrame, by: list[str], *columns: str) -> DataFrame:
     return events.select(*by, "ordinal", *columns).repartition(*by).sortWithinPartitions(*by, "ordinal")
 
 
+class Packer:
+    """Where batches begin, event after event: with a page, at max_events, or when the next event and its separator
+    don't fit. An event over max_bytes fails."""
+
+    def __init__(self, max_events: int, max_bytes: int):
+        self.max_events, self.max_bytes = max_events, max_bytes
+        self.page, self.n, self.used = None, 0, 0
+
+    def starts(self, page, size: int) -> bool:
+        """Whether an event of that page and size begins a batch."""
+        if size > self.max_bytes:
+            raise TidemarkError("event_exceeds_batch", f"an event of {size} bytes exceeds {self.max_bytes}")
+        new = page != self.page or self.n == self.max_events or self.used + 1 + size > self.max_bytes
+        if new:
+            self.page, self.n, self.used = page, 0, 0
+        self.used += (self.n > 0) + size
+        self.n += 1
+        return new
+
+
 def pack_batches(events: DataFrame, by: list[str], max_events: int = 250, max_bytes: int = 1_000_000) -> DataFrame:
-    """events (with ordinal and event_bytes) with `batch`, counted from 1 in each page: a batch closes when it has
-    max_events, or when the next event and its separator don't fit. An event over max_bytes fails."""
+    """events (with ordinal and event_bytes) with `batch`, counted from 1 in each page, as Packer cuts them."""
 
     def greedy(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        page, batch, n, used = None, 1, 0, 0
+        packer, page, batch = Packer(max_events, max_bytes), None, 0
         for pdf in frames:
             out = []
             for *key, size in zip(*[pdf[c].tolist() for c in by], pdf["event_bytes"].tolist()):
-                if size > max_bytes:
-                    raise TidemarkError("event_exceeds_batch", f"an event of {size} bytes exceeds {max_bytes}")
-                if key != page:
-                    page, batch, n, used = key, 1, 0, 0
-                elif n == max_events or used + 1 + size > max_bytes:
-                    batch, n, used = batch + 1, 0, 0
-                used += (n > 0) + size
-                n += 1
+                new = packer.starts(key, size)
+                batch = 1 if key != page else batch + new
+                page = key
                 out.append(batch)
             yield pdf.assign(batch=out)
 

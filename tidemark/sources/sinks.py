@@ -1,19 +1,16 @@
-"""Sinks: NDJSON files, page tables, an HTTP collector, run metrics."""
+"""Sinks: NDJSON files, page tables, requests to an HTTP collector (see `collector`), run metrics."""
 
 from __future__ import annotations
 
 import json
 import time
 import urllib.request
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import TidemarkError
 from ..functions.strict import envelope, event_size_guard
-from ..operators.order import pack_batches, page_by_page
 
 
 def write_ndjson(events: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -70,37 +67,6 @@ def post(url: str, body: bytes, token: str, timeout: float, ack_url: str | None,
     raise TidemarkError("http_ack", "not acknowledged in time; the batch is uncertain")
 
 
-def http_sink(events: DataFrame, url: str, token: str, max_events: int = 250, max_bytes: int = 1_000_000, timeout: float = 30, ack_url: str | None = None) -> DataFrame:
-    """Posts events(input_id, attempt_id, page, ordinal, event) in packed batches, one request each, and gives the
-    receipts (page key, rows) of the pages whose batches all went out."""
-    page = ["input_id", "attempt_id", "page"]
-    sized = events.withColumn("event_bytes", F.octet_length("event").cast("long"))
-    batches = pack_batches(sized, page, max_events, max_bytes)
-    joined = page_by_page(sized.join(batches.select(*page, "ordinal", "batch"), [*page, "ordinal"]), page, "batch", "event")
-
-    def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, batch, held, rows = None, None, [], 0
-        for pdf in frames:
-            done = []
-            for *key, b, event in zip(*[pdf[c].tolist() for c in page], pdf["batch"].tolist(), pdf["event"].tolist()):
-                if held and (key != now or b != batch):
-                    post(url, "\n".join(held).encode("utf-8"), token, timeout, ack_url)
-                    held = []
-                if key != now:
-                    if now is not None:
-                        done.append((*now, rows))
-                    now, rows = key, 0
-                held.append(event)
-                batch, rows = b, rows + 1
-            yield pd.DataFrame(done, columns=[*page, "rows"])
-        if held:
-            post(url, "\n".join(held).encode("utf-8"), token, timeout, ack_url)
-        if now is not None:
-            yield pd.DataFrame([(*now, rows)], columns=[*page, "rows"])
-
-    return joined.mapInPandas(send, ", ".join(f"{c} {events.schema[c].dataType.simpleString()}" for c in page) + ", rows long")
-
-
 def metrics_row(spark: SparkSession, input_id: str, status: str, rows: int | None = None, bytes: int | None = None, duration_ns: int | None = None, error_code: str | None = None) -> DataFrame:
     return metrics_frame(spark, [(input_id, status, rows, bytes, duration_ns, error_code)])
 
