@@ -7,12 +7,13 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.cursor import Cursor, CursorSpec
+from tidemark.cursor import Bound, Cursor, CursorSpec, apply_bound
 from tidemark.errors import TidemarkError
 from tidemark.plans import run, scan, state
 from tidemark.plans.run import read_cursor, recover, run_inputs, run_scan
 from tidemark.plans.scan import BatchInput, Input, checked_scan, publish, seal, write_pass
 from tidemark.scratch import exists, names_in
+from tidemark.streaming.stream import rising_stream
 
 PAGE = ["input_id", "attempt_id", "page"]
 INPUT = Input("in", CursorSpec("ts", "id"), ("id", "v"), max_rows=4)
@@ -252,3 +253,51 @@ def test_runs_fold_their_tables(spark, tmp_path):
     with pytest.raises(TidemarkError, match="already_sealed"):
         publish(checked_scan(rows(spark, 0, 3), INPUT), INPUT, 2, root)
     assert not exists(spark, f"{root}/events/scan=x")
+
+
+def test_bounded_scans_take_up_where_they_stopped(spark, tmp_path):
+    """At most so many rows a scan; a delivery that fails between scans loses and repeats none."""
+    root, path, sent = str(tmp_path / "state"), str(tmp_path / "base"), []
+    rows(spark, 0, 23).write.parquet(path)
+    inp = Input("in", INPUT.spec, ("id", "v"), max_rows=4, max_scan_rows=6)
+
+    def send(events):
+        if len(sent) == 12 and not broke:
+            broke.append(1)
+            raise ConnectionError("down")
+        sent.extend(r["id"] for r in events.collect())
+        return receipts(events)
+
+    broke = []
+    start = lambda: rising_stream(spark, path, rows(spark, 0, 0).schema, inp, root, str(tmp_path / "c"), send).awaitTermination()
+    with pytest.raises(Exception, match="down"):
+        start()
+    start()
+    assert sorted(sent) == list(range(23)) and len(sent) == 23
+    per = state.table(spark, root, "manifest").groupBy("attempt_id").agg(F.sum("rows").alias("n")).orderBy("attempt_id").collect()
+    assert [r["n"] for r in per] == [6, 6, 6, 5]
+    for bad in (0, 10**7):
+        with pytest.raises(TidemarkError, match="scan_rows"):
+            run_scan(spark, rows(spark, 0, 30), Input("in", INPUT.spec, ("id", "v"), max_rows=4, max_scan_rows=bad), root, receipts)
+
+
+def test_bounds_prune_partitions(spark, tmp_path):
+    path = str(tmp_path / "base")
+    hours = spark.range(0, 24 * 10).selectExpr("timestamp'2024-01-01 00:30:00' + make_interval(0, 0, 0, 0, cast(id AS int)) AS ts", "id", "'x' AS v")
+    whole = hours.withColumns({"y": F.year("ts"), "m": F.date_format("ts", "MM"), "d": F.day("ts")})
+    whole.union(spark.sql("SELECT CAST(NULL AS timestamp), 7L, 'n', CAST(NULL AS int), CAST(NULL AS string), CAST(NULL AS int)")).repartition(1).write.partitionBy("y", "m", "d").parquet(path)
+    df = spark.read.parquet(path)
+    plain, ruled = CursorSpec("ts", "id"), CursorSpec("ts", "id", partitions=(("y", "year"), ("m", "month"), ("d", "day")))
+    at, last = Cursor(1_704_067_200_000_000 + 4 * 86_400_000_000, 3), Cursor(1_704_067_200_000_000 + 6 * 86_400_000_000, 3)
+    for bound, end in ((Bound(at), None), (Bound(at, True), last), (None, last)):
+        slow, fast = apply_bound(df, plain, bound, end), apply_bound(df, ruled, bound, end)
+        assert sorted(r["id"] for r in slow.collect()) == sorted(r["id"] for r in fast.collect())
+        plan = fast._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [(" in plan or "PartitionFilters: [((" in plan
+        read = fast.select("id", F.input_file_name().alias("f")).where("f <> ''").select("f").distinct().count()
+        assert read <= {(True, False): 7, (True, True): 4, (False, True): 8}[bound is not None, end is not None]
+    got = write_pass(df, Input("in", ruled, ("id", "v")), str(tmp_path / "w"), at)
+    assert got.rows == sum(1 for _ in range(24 * 6)) + 1 and got.counts[0][2] == 1  # the null cursor is still found
+    for bad in ((("d", "day"),), (("d", "date"), ("m", "month")), (("h", "hour"),)):
+        with pytest.raises(TidemarkError, match="partition_rule"):
+            CursorSpec("ts", "id", partitions=bad)

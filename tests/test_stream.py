@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.cursor import Cursor, CursorSpec
 from tidemark.plans.scan import Input, checked_scan, publish
 from tidemark.sources.base import jdbc_base, sql_base
+from tidemark.sources.catalog import balanced_ranges, catalog_schema, catalog_types, guarded_projection, jdbc_balanced
 from tidemark.sources.collector import CollectorSource, collector_options, http_sink
 from tidemark.errors import TidemarkError
 from tidemark.plans import state
@@ -148,6 +149,32 @@ def test_derby(spark, tmp_path):
     assert [r["id"] for r in got] == list(range(2, 9))
 
 
+def test_native_types_and_balanced_ranges(spark, tmp_path):
+    url = f"jdbc:derby:memory:c{abs(hash(str(tmp_path)))}"
+    o = {"url": f"{url};create=true", "dbtable": "T", "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    k = F.when(F.col("id") < 900, F.col("id")).when(F.col("id") < 990, F.col("id") * 1_000_003 - 5_000_000).otherwise(None)
+    spark.range(1000).select(k.cast("long").alias("k"), F.col("id").cast("decimal(9,2)").alias("d"), F.repeat(F.lit("x"), F.col("id").cast("int")).alias("v"), F.current_timestamp().alias("ts"), F.lit(b"b").alias("b")).write.format("jdbc").options(**o, createTableColumnTypes="v VARCHAR(2000)").save()
+    types = catalog_types(spark, url, "derby", "APP", "T")
+    assert [(r["name"], r["type"], r["nullable"]) for r in types.orderBy("position").collect()] == [("k", "BIGINT", True), ("d", "DECIMAL(9,2)", True), ("v", "VARCHAR(2000)", False), ("ts", "TIMESTAMP", False), ("b", "BLOB(2147483647)", False)]
+    fields = catalog_schema(types, "derby", ["k", "d", "v", "ts"], "ts")
+    assert [f.dataType.simpleString() for f in fields] == ["bigint", "decimal(9,2)", "string", "timestamp"]
+    with pytest.raises(TidemarkError, match="unknown_columns: nope, q"):
+        catalog_schema(types, "derby", ["k", "nope", "q"])
+    with pytest.raises(TidemarkError, match="rejected_columns: k .*, d "):  # a dialect that has no such types
+        catalog_schema(types.withColumn("type", F.lit("XML")), "derby", ["k", "d"])
+    ranges = balanced_ranges(spark, url, "SELECT * FROM T", "derby", "k", 5)
+    assert sum(ranges.rows) == 990 and 4 <= len(ranges.rows) <= 6 and max(ranges.rows) <= 1.5 * min(ranges.rows)
+    df = jdbc_balanced(spark, url, "SELECT * FROM T", "derby", "k", 5, fields)
+    assert df.rdd.getNumPartitions() == len(ranges.rows) and df.count() == 1000 and df.where("k is null").count() == 10
+    with pytest.raises(Exception, match="value_size"):
+        guarded_projection(df, fields, 500).collect()
+    assert balanced_ranges(spark, url, "SELECT * FROM T WHERE 1 = 0", "derby", "k", 5).rows == [0]
+    # what comes in after the bound was taken isn't read by any range
+    df = spark.read.jdbc(url, "T", predicates=ranges.predicates, properties={"driver": o["driver"]})
+    spark.createDataFrame([(10**15, None, "new", datetime(2024, 1, 1), b"b")], "k long, d decimal(9,2), v string, ts timestamp, b binary").write.format("jdbc").options(**o).mode("append").save()
+    assert df.count() == 1000
+
+
 def test_sql_base(spark, tmp_path):
     (tmp_path / "q.sql").write_text("SELECT id FROM range(3) UNION ALL SELECT 7")
     assert sql_base(spark, file=str(tmp_path / "q.sql")).count() == 4

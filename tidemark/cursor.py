@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .errors import TidemarkError
 
@@ -46,18 +47,26 @@ class CursorSpec:
     """Cursor columns and overlap. Null cursors are never accepted: they pass the filter and fail the checks.
 
     assume_utc: read a timestamp without zone as UTC. Without it such a column isn't a cursor.
+    partitions: partition columns that follow from the timestamp in UTC, the widest first, as (column, unit) with unit
+    `date` (a date, or its text yyyy-MM-dd), `year`, `month`, `day` or `hour` (numbers, or their text of even width).
+    A bound then rules out whole partitions. Rows in a partition that lies before the bound aren't seen again, even
+    with a null id; rows in a null partition always are.
     """
 
     ts: str
     id: str
     overlap: timedelta = timedelta(0)
     assume_utc: bool = False
+    partitions: tuple[tuple[str, str], ...] = ()
 
     def __post_init__(self):
         if not self.ts or not self.id or self.ts == self.id:
             raise TidemarkError("cursor_fields", "cursor fields must be two different names")
         if self.overlap < timedelta(0):
             raise TidemarkError("overlap_range", "overlap can't be negative")
+        units = [u for _, u in self.partitions]
+        if units and units != ["date"] and units != ["date", "hour"] and units != ["year", "month", "day", "hour"][: len(units)]:
+            raise TidemarkError("partition_rule", f"{units} isn't a sequence of units from the widest on")
 
     @property
     def overlap_us(self) -> int:
@@ -122,9 +131,36 @@ def null_cursor(spec: CursorSpec) -> Column:
     return F.col(spec.ts).isNull() | F.col(spec.id).isNull()
 
 
-def apply_bound(df: DataFrame, spec: CursorSpec, bound: Bound | None) -> DataFrame:
-    """Rows past the bound, and rows with a null cursor, which the checks then reject."""
-    return df if bound is None else df.where(after(df, spec, bound) | null_cursor(spec))
+def upto(df: DataFrame, spec: CursorSpec, last: Cursor) -> Column:
+    """Rows up to a position, itself included."""
+    t, i, at = F.col(spec.ts), F.col(spec.id), ts_literal(df, spec, last.ts_us)
+    return (t < at) | ((t == at) & (i <= last.id))
+
+
+def in_partitions(df: DataFrame, spec: CursorSpec, ts_us: int, first: bool) -> Column | None:
+    """What partitions may hold timestamps from (first) or up to one, as a predicate on partition columns alone."""
+    when = _EPOCH + timedelta(microseconds=ts_us)
+    out = None
+    for name, unit in reversed(spec.partitions):
+        kind, c = df.schema[name].dataType, F.col(f"`{name}`")
+        value = when.date() if unit == "date" else getattr(when, unit)
+        if isinstance(kind, T.StringType):
+            value = str(value) if unit in ("date", "year") else f"{value:02}"
+        v = F.lit(value).cast(kind)
+        past = c > v if first else c < v
+        out = (c >= v if first else c <= v) if out is None else past | ((c == v) & out)
+    return out if out is None else out | F.col(f"`{spec.partitions[0][0]}`").isNull()
+
+
+def apply_bound(df: DataFrame, spec: CursorSpec, bound: Bound | None, last: Cursor | None = None) -> DataFrame:
+    """Rows past the bound and up to a last position, and rows with a null cursor, which the checks then reject."""
+    for at, first, rows in ((bound and bound.at, True, bound and after), (last, False, last and upto)):
+        if at is None:
+            continue
+        if spec.partitions:
+            df = df.where(in_partitions(df, spec, at.ts_us, first))
+        df = df.where(rows(df, spec, bound if first else last) | null_cursor(spec))
+    return df
 
 
 def below_bound(df: DataFrame, spec: CursorSpec, bound: Bound | None) -> Column:

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..cursor import Cursor, CursorSpec, apply_bound, below_bound, ts_us
+from ..cursor import Cursor, CursorSpec, apply_bound, below_bound, null_cursor, ts_us
 from ..errors import TidemarkError
 from ..functions import ids
 from ..functions.encode import ndjson_line
@@ -24,10 +24,14 @@ from ..scratch import Scratch, remove, scratch_dir, staged
 from ..sources.base import batch_scan
 from . import state
 
+#: Most rows of a scan that is to be bounded.
+MOST_SCAN_ROWS = 1_000_000
+
 
 @dataclass(frozen=True)
 class Input:
-    """A rising input: its identity, what it reads, and its limits. max_staged: bytes that may wait for delivery."""
+    """A rising input: its identity, what it reads, and its limits. max_staged: bytes that may wait for delivery;
+    max_scan_rows: rows that one scan takes, the next ones then wait for the next scan."""
 
     input_id: str
     spec: CursorSpec
@@ -37,6 +41,7 @@ class Input:
     max_rows: int = 100_000
     max_bytes: int = 1 << 30
     max_staged: int | None = None
+    max_scan_rows: int | None = None
     host: str = ""
     database: str = ""
     username: str = ""
@@ -96,7 +101,23 @@ class Written:
     ranges: list[tuple[int, int, int]]
 
 
-def write_pass(base: DataFrame, inp: Input, path: str, committed: Cursor | None = None, resume_after: Cursor | None = None, buckets: int | None = None) -> Written:
+def last_position(base: DataFrame, inp: Input, committed: Cursor | None) -> Cursor | None:
+    """Where a scan of at most max_scan_rows rows ends; None if all rows past the bound fit. Reads the cursor columns
+    and keeps that many rows of them."""
+    if not 1 <= inp.max_scan_rows <= MOST_SCAN_ROWS:
+        raise TidemarkError("scan_rows", f"max_scan_rows must be 1..{MOST_SCAN_ROWS}")
+    spec, names = inp.spec, dict.fromkeys([inp.spec.ts, inp.spec.id, *(c for c, _ in inp.spec.partitions)])
+    kept = apply_bound(base.select(*[F.col(f"`{c}`") for c in names]), spec, spec.bound(committed)).where(~null_cursor(spec))
+    top = kept.select(ts_us(kept, spec).alias("ts_us"), F.col(f"`{spec.id}`").alias("id")).orderBy("ts_us", "id").limit(inp.max_scan_rows + 1)
+    at = top.agg(F.count("*").alias("n"), F.max(F.struct("ts_us", "id")).alias("over")).first()
+    if at["n"] <= inp.max_scan_rows:
+        return None
+    over = F.struct(F.lit(at["over"]["ts_us"]).alias("ts_us"), F.lit(at["over"]["id"]).alias("id"))
+    last = top.where(F.struct("ts_us", "id") < over).agg(F.max(F.struct("ts_us", "id")).alias("at")).first()["at"]
+    return Cursor(last["ts_us"], last["id"]) if last else None
+
+
+def write_pass(base: DataFrame, inp: Input, path: str, committed: Cursor | None = None, resume_after: Cursor | None = None, buckets: int | None = None, last: Cursor | None = None) -> Written:
     """Reads base once and writes its rows past the bound once, as state.STORED has them, ordered by ranges.
 
     The first shuffle's output is what the ranges are sampled from and dealt out of, so the base isn't read for the
@@ -104,7 +125,7 @@ def write_pass(base: DataFrame, inp: Input, path: str, committed: Cursor | None
     spark, spec = base.sparkSession, inp.spec
     bound = spec.bound(committed, resume_after)
     names = list(dict.fromkeys([*inp.columns, spec.ts, spec.id]))
-    kept = apply_bound(base.select(*[F.col(f"`{c}`") for c in names]), spec, bound)
+    kept = apply_bound(base.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*names, *(c for c, _ in spec.partitions)])]), spec, bound, last)
     held = kept.withColumn("_low", below_bound(kept, spec, bound)).repartition(F.col(f"`{spec.id}`"))
     rows = held.select(ts_us(kept, spec).alias("ts_us"), F.col(f"`{spec.id}`").alias("id"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("_low").alias("low"))
     order = [F.col("ts_us").asc_nulls_first(), F.col("id").asc_nulls_first()]
@@ -235,7 +256,8 @@ def seal(base: DataFrame, inp: Input, attempt_id: int, root: str, committed: Cur
     write_id = state.new_write_id()
     path = state.events_path(root, write_id)
     try:
-        w = write_pass(base, inp, path, committed)
+        last = last_position(base, inp, committed) if inp.max_scan_rows is not None else None
+        w = write_pass(base, inp, path, committed, last=last)
         require_clean(w)
         if w.rows:
             _seal(spark, root, inp, attempt_id, write_id, [(r, b) for r, b, _ in w.ranges], committed, identity(inp, base))

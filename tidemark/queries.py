@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Callable
 from datetime import timedelta
 
@@ -17,7 +18,7 @@ from .plans import state
 from .plans.run import fence, run_inputs
 from .plans.scan import BatchInput, Input, checked_scan, publish, rising_scan
 from .scratch import scratch_dir
-from .sources import base, sinks
+from .sources import base, catalog, sinks
 from .streaming.stream import deliver_stream, rising_stream, stream_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -874,6 +875,69 @@ def s1_batch_run(spark, d):
     return spark.read.parquet(f"{root}/out").groupBy("input_id").agg(F.count("*").alias("rows"), F.min("event_id").alias("first"))
 
 
+def _derby(spark, df: DataFrame, types: str = "") -> str:
+    """The address of a new database in memory whose table T has the rows of df."""
+    url = f"jdbc:derby:memory:t{uuid.uuid4().hex}"
+    o = {"url": f"{url};create=true", "dbtable": "T", "driver": base.DRIVERS["derby"], "batchsize": "10000", "numPartitions": "1"}
+    df.write.format("jdbc").options(**o, **({"createTableColumnTypes": types} if types else {})).save()
+    return url
+
+
+@query("s3_balanced_reads", "SELECT o_orderkey, o_custkey, o_orderstatus, TRUE AS balanced FROM orders")
+def s3_balanced_reads(spark, d):
+    """Orders from a database, read side by side by ranges of a skewed key that its own counts make about equal."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    skewed = (F.col("o_orderkey") * F.when(F.col("o_orderkey") % 3 == 0, 1000).otherwise(1) + 0).cast("long").alias("k")
+    url = _derby(spark, o.select(skewed, "*"))
+    text = 'SELECT "k", "o_orderkey", "o_custkey", "o_orderstatus" FROM T'
+    ranges = catalog.balanced_ranges(spark, url, text, "derby", "k", 6)
+    even = len(ranges.rows) >= 5 and max(ranges.rows) <= 1.5 * min(ranges.rows)
+    return base.jdbc_base(spark, url, text, "derby", predicates=ranges.predicates).select("o_orderkey", "o_custkey", "o_orderstatus", F.lit(even).alias("balanced"))
+
+
+@query("t1_catalog_types", "SELECT o_orderkey, o_totalprice::DECIMAL(15,2) AS o_totalprice, o_orderstatus, o_orderdate::DATE AS day, 'o_orderkey BIGINT, o_totalprice DECIMAL(15,2), o_orderstatus VARCHAR(1), day DATE' AS native FROM orders")
+def t1_catalog_types(spark, d):
+    """Orders from a database, cast to the types that its catalog tells, with the guard on the size of values."""
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(15,2)").alias("o_totalprice"), "o_orderstatus", F.col("o_orderdate").cast("date").alias("day"))
+    url = _derby(spark, o, "o_orderstatus VARCHAR(1)")
+    types = catalog.catalog_types(spark, url, "derby", "APP", "T")
+    native = ", ".join(f"{r['name']} {r['type']}" for r in types.orderBy("position").collect())
+    fields = catalog.catalog_schema(types, "derby")
+    df = base.jdbc_base(spark, url, "SELECT * FROM T", "derby")
+    return catalog.guarded_projection(df, fields).withColumn("native", F.lit(native))
+
+
+@query("r5_bounded_scans", f"SELECT attempt_id, count(*) AS rows, max(id) AS last FROM (SELECT event_id AS id, (row_number() OVER (ORDER BY ts, event_id) - 1) // (SELECT count(*) // 3 + 1 FROM events) + 1 AS attempt_id FROM events) GROUP BY attempt_id")
+def r5_bounded_scans(spark, d):
+    """A third of the events a scan, each delivered and committed before the next one reads."""
+    root, path, e = scratch_dir(spark, "bounded"), f"{d}/events.parquet*", table(spark, d, "events")
+    inp = Input("events", SPEC, ("event_id", "ts"), query="events", max_rows=2_000, max_scan_rows=e.count() // 3 + 1)
+    rising_stream(spark, path, e.schema, inp, root, f"{root}/checkpoint", _to_files(f"{root}/out")).awaitTermination()
+    return spark.read.parquet(f"{root}/out").groupBy("attempt_id").agg(F.count("*").alias("rows"), F.max("id").alias("last"))
+
+
+@query("s4_pruned_partitions", f"SELECT event_id, {US} AS ts_us FROM events WHERE {US} > {RESUME.ts_us} OR ({US} = {RESUME.ts_us} AND event_id > {RESUME.id})")
+def s4_pruned_partitions(spark, d):
+    """Events parted by day and hour; the bound rules out partitions, by the rule that they follow from the timestamp."""
+    path, e = scratch_dir(spark, "parted"), table(spark, d, "events").select("event_id", "ts")
+    e.withColumns({"day": F.to_date("ts"), "hour": F.hour("ts")}).repartition("day").write.partitionBy("day", "hour").parquet(path)
+    spec = CursorSpec("ts", "event_id", assume_utc=True, partitions=(("day", "date"), ("hour", "hour")))
+    df = base.table_base(spark, path)
+    return apply_bound(df, spec, Bound(RESUME)).select("event_id", ts_us(df, spec).alias("ts_us"))
+
+
+@query("r3_dedup_with_history", "SELECT DISTINCT l_orderkey * 10 + l_linenumber AS event_id FROM lineitem WHERE l_orderkey % 3 <> 0")
+def r3_dedup_with_history(spark, d):
+    """Events that a table says were delivered long ago, and repeats within the stream, are dropped."""
+    root = scratch_dir(spark, "history")
+    rows = spark.readStream.schema(table(spark, d, "lineitem").schema).parquet(f"{d}/lineitem.parquet*")
+    event = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("event_id")
+    delivered = table(spark, d, "lineitem").where("l_orderkey % 3 = 0").select(event)
+    kept = stream_dedup(rows.select(event, F.col("l_shipdate").cast("timestamp").alias("ts")), "ts", "10000 days", delivered)
+    kept.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("event_id")
+
+
 @query("r4_late_rows", f"SELECT {EVENT_ID} AS event_id FROM events WHERE {PAST} OR ({US} >= {AT.ts_us - OVERLAP.overlap_us} AND event_id % 10 = 3)")
 def r4_late_rows(spark, d):
     """Rows that were committed late into the overlap window come with the next scan; the others are known by id."""
