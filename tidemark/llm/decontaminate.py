@@ -118,6 +118,28 @@ def op5_decontaminate(spark, sf_dir):
     return found.select("row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def proximity_search(spark, sf_dir):
+    """Where the first three words of a benchmark item stand near one another, in order, in all documents: each at most
+    two words after its place behind the one before."""
+    index = build_index(read(spark, sf_dir, "documents"))
+    w = read(spark, sf_dir, "benchmark").select(F.slice(words(F.col("text")), 1, 3).alias("phrase")).where(F.size("phrase") == 3).distinct()
+    found = proximity_matches(index, cut(w, "wanted"), slack=2).join(index.select("rid", "row.doc_id"), "rid")
+    return found.select("doc_id", F.array_join("phrase", " ").alias("phrase"), F.col("start").cast("long").alias("first"), F.col("end").cast("long").alias("last"))
+
+
+PROXIMITY_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+w AS MATERIALIZED (SELECT doc_id, w[i] AS term, i - 1 AS pos FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+b AS (SELECT DISTINCT list_slice(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), 1, 3) AS p FROM benchmark),
+p AS (SELECT p FROM b WHERE len(p) = 3),
+n AS (SELECT term, count(*) AS n FROM w GROUP BY term),
+rare AS (SELECT p, off FROM (SELECT p, off, row_number() OVER (PARTITION BY p ORDER BY coalesce(n, 0), off) AS r FROM (SELECT p, unnest(range(3)) AS off FROM p) LEFT JOIN n ON term = p[off + 1]) WHERE r = 1),
+c AS (SELECT x.doc_id, p, x.pos AS a, z.pos AS z, CASE off WHEN 0 THEN x.pos WHEN 1 THEN y.pos ELSE z.pos END AS anchor
+      FROM rare JOIN w x ON x.term = p[1] JOIN w y ON y.doc_id = x.doc_id AND y.term = p[2] AND y.pos BETWEEN x.pos + 1 AND x.pos + 3 JOIN w z ON z.doc_id = x.doc_id AND z.term = p[3] AND z.pos BETWEEN y.pos + 1 AND y.pos + 3)
+SELECT DISTINCT doc_id, array_to_string(p, ' ') AS phrase, max(a)::BIGINT AS first, min(z)::BIGINT AS last FROM c GROUP BY doc_id, p, anchor
+"""
+
+
 OP5_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),

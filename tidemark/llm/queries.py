@@ -18,6 +18,7 @@ QUERIES = {
     "op11_url_filter": urlfilter.op11_url_filter,
     "op12_prefix_trie": prefix_trie.op12_prefix_trie,
     "op13_collocations": collocations.op13_collocations,
+    "proximity_search": decontaminate.proximity_search,
 }
 
 ORACLES = {
@@ -28,4 +29,5 @@ ORACLES = {
     "op11_url_filter": urlfilter.OP11_SQL,
     "op12_prefix_trie": prefix_trie.OP12_SQL,
     "op13_collocations": collocations.OP13_SQL,
+    "proximity_search": decontaminate.PROXIMITY_SQL,
 }
