@@ -24,7 +24,7 @@ from .quotient import Lookup, Packing, merged, read_filter, write_filter
 #: Most frequent words that workers get as a dictionary (more are joined), and bytes of a lookup of frequent phrases.
 VOCABULARY_ROWS, PRUNE_BYTES = 300_000, 64 << 20
 #: Entries that a task gathers before it merges them, and that its filter may have before it is sent on.
-GATHER, HELD = 1 << 20, 1 << 21
+GATHER, HELD = 1 << 19, 1 << 20
 #: Counted words of a shard of the filters; distinct words that a task holds; words of a block that are joined.
 SHARD_WORDS, HELD_WORDS, BLOCK = 1 << 22, 200_000, 2_048
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz..........")
