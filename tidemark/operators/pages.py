@@ -16,12 +16,13 @@ PAGE = ["input_id", "attempt_id", "page"]
 SCAN = ["input_id", "attempt_id"]
 
 
-def page_summary(events: DataFrame, committed: DataFrame | None = None) -> DataFrame:
+def page_summary(events: DataFrame, committed: DataFrame | None = None, *more: Column) -> DataFrame:
     """rows, bytes, truncated, candidate and resume of each page. committed(input_id, ts_us, id) may be empty or None.
 
-    resume is the last position of the page, candidate the larger of it and the committed one."""
+    resume is the last position of the page, candidate the larger of it and the committed one; more: further
+    aggregates of a page."""
     at = F.struct("ts_us", "id")
-    by_page = events.groupBy(*PAGE).agg(F.count("*").alias("rows"), F.sum(F.col("line_bytes") + 1).cast("long").alias("bytes"), F.max(at).alias("resume"))
+    by_page = events.groupBy(*PAGE).agg(F.count("*").alias("rows"), F.sum(F.col("line_bytes") + 1).cast("long").alias("bytes"), F.max(at).alias("resume"), *more)
     last = Window.partitionBy(*SCAN)  # one row per page
     by_page = by_page.withColumn("truncated", F.col("page") < F.max("page").over(last))
     if committed is None:

@@ -17,14 +17,17 @@ from ..errors import TidemarkError
 from ..functions import ids
 from ..operators.control import commit_ready, reconcile_pages, record_receipts, replay_fence, require_none, revision_activation, validate_page
 from ..operators.pages import PAGE, SCAN, accounting_check, delivered_prefix, stream_digest
-from ..scratch import Scratch, remove
+from ..scratch import Scratch, local, remove
 from ..sources.sinks import metrics_frame, write_metrics
 from . import state
-from .scan import BatchInput, Input, identity, seal, seal_batch
+from .scan import BatchInput, Identity, Input, described, identities, seal, seal_batch
 
 #: Delivers events(input_id, attempt_id, page, ordinal, event_id, line, ..) and gives receipts(page key, rows).
 Send = Callable[[DataFrame], DataFrame]
 _KEYS = "input_id string, attempt_id long"
+_DONE = f"{_KEYS}, coll_rows long, deliv_rows long, candidate struct<ts_us:bigint,id:bigint>, all_sent boolean"
+_DONE_NAMES = ["input_id", "attempt_id", "coll_rows", "deliv_rows", "candidate", "all_sent"]
+_PREPARED = "input_id string, mode string, lineage_fp string, cursor_fp string, revision_fp string, schema_fp string"
 
 
 def read_cursor(spark: SparkSession, root: str, input_id: str) -> tuple[int, Cursor | None]:
@@ -37,7 +40,7 @@ def read_cursor(spark: SparkSession, root: str, input_id: str) -> tuple[int, Cur
 
 def _keys(spark: SparkSession, scans: list[tuple[str, int]]) -> DataFrame:
     """The keys of some scans: one open scan for each input at most."""
-    return F.broadcast(spark.createDataFrame(scans, _KEYS))
+    return local(spark, scans, _KEYS)
 
 
 def _reconcile(spark: SparkSession, root: str, events: DataFrame, scans: list[tuple[str, int]]) -> None:
@@ -96,8 +99,8 @@ def commit(spark: SparkSession, root: str, scans: list[tuple[str, int]], empty:
     told = state.table(spark, root, "receipts").join(_keys(spark, [*scans, *empty]), SCAN, "left_semi").select(*PAGE, F.col("rows").alias("sent"))
     done = pages.join(told, PAGE, "left").groupBy(*SCAN).agg(
         F.sum("rows").alias("coll_rows"), F.sum("sent").alias("deliv_rows"), F.max("candidate").alias("candidate"), F.every(F.col("sent").isNotNull()).alias("all_sent"))
-    none = spark.createDataFrame(list(empty), _KEYS)
-    done = done.unionByName(none.select(*SCAN, F.lit(0).cast("long").alias("coll_rows"), F.lit(0).cast("long").alias("deliv_rows"), F.lit(True).alias("all_sent")), allowMissingColumns=True)
+    ends = [*done.select(*_DONE_NAMES).collect(), *[(i, a, 0, 0, None, True) for i, a in empty]]  # a row for each open scan
+    done = local(spark, ends, _DONE)
     attempts = done.select(
         *SCAN, (F.col("attempt_id") - 1).alias("generation"), F.lit("completed").alias("collection"), "coll_rows",
         F.when(F.col("all_sent"), "confirmed").otherwise("in_progress").alias("delivery"), F.coalesce("deliv_rows", F.lit(0)).alias("deliv_rows"), "candidate")
@@ -145,11 +148,9 @@ def recover(spark: SparkSession, root: str, send: Send, keep_events: bool = Fals
     return scans
 
 
-def _prepared(spark: SparkSession, inputs: list) -> DataFrame:
+def _prepared(spark: SparkSession, modes: dict[str, str], known: dict[str, Identity]) -> DataFrame:
     """(input_id, mode, lineage_fp, cursor_fp, revision_fp, schema_fp) of the inputs of a run, in one row each."""
-    one = spark.range(1)
-    row = [F.struct(F.lit(inp.input_id).alias("input_id"), F.lit(inp.mode).alias("mode"), *identity(inp, base)) for inp, base in inputs]
-    return one.select(F.explode(F.array(*row)).alias("r")).select("r.*")
+    return local(spark, [(n, modes[n], k.lineage_fp, k.cursor_fp, k.revision_fp, k.schema_fp) for n, k in known.items()], _PREPARED)
 
 
 def fence(spark: SparkSession, root: str, prepared: DataFrame, open_scans: DataFrame) -> DataFrame:
@@ -183,29 +184,27 @@ def run_inputs(spark: SparkSession, inputs: list[tuple[Input | BatchInput, DataF
     if len(set(names)) < len(names):
         raise TidemarkError("duplicate_input", ", ".join(sorted({n for n in names if names.count(n) > 1})))
     errors: dict[str, Exception] = {}
-    prepared = []
+    told_of = []
     for inp, base in inputs:
         try:
-            prepared.append((inp, base, _prepared(spark, [(inp, base)])))
+            told_of.append(described(inp, base))
         except Exception as e:  # a base that can't be analyzed, or lacks a column
             errors[inp.input_id] = e
-    rows = prepared[0][2] if prepared else None
-    if len(prepared) > 1:
-        rows = _prepared(spark, [(i, b) for i, b, _ in prepared])
-    if rows is not None:
-        rows = spark.createDataFrame(rows.collect(), rows.schema)  # a row for each input of this run
+    known = identities(spark, told_of) if told_of else {}
+    fresh: list[str] = []
+    if known:
+        rows = _prepared(spark, {inp.input_id: inp.mode for inp, _ in inputs}, known)
         open_schema = "input_id string, attempt_id long, unsent long, mode string, revision_fp string, behind boolean"
         opened = _open(spark, root)
         if opened:
-            ready = spark.createDataFrame(opened, open_schema)
+            ready = local(spark, opened, open_schema)
             acts = {(r["input_id"], r["attempt_id"]): r["action"] for r in replay_fence(ready, rows.select("input_id", "mode", "revision_fp")).collect()}
             for (input_id, attempt), action in acts.items():
                 if action == "error:changed":
                     errors[input_id] = TidemarkError("revision_changed", f"{input_id} has pages of another revision, attempt {attempt}")
             recover(spark, root, send, keep_events, [r for r in opened if acts[r["input_id"], r["attempt_id"]] in ("deliver", "leave")])
             opened = _open(spark, root)
-        told = fence(spark, root, rows, spark.createDataFrame(opened, open_schema)).collect()
-        fresh = []
+        told = fence(spark, root, rows, local(spark, opened, open_schema)).collect()
         for r in told:
             action = "activate" if r["action"] == "schema_drift" and r["input_id"] in accept_schema else r["action"]
             if action in _REFUSED:
@@ -213,10 +212,10 @@ def run_inputs(spark: SparkSession, inputs: list[tuple[Input | BatchInput, DataF
             elif action in ("create", "activate"):
                 fresh.append(r["input_id"])
     cursors = {r["input_id"]: r for r in state.read_cursors(spark, root).where(F.col("input_id").isin(names)).collect()}  # one per input of this run
-    if rows is not None and fresh:
-        generations = spark.createDataFrame([(n, cursors[n]["generation"] if n in cursors else 0) for n in fresh], "input_id string, generation long")
-        known = state.table(spark, root, "identities").groupBy("input_id").agg((F.max("generation") + 1).alias("_next"))
-        fresh_rows = rows.join(generations, "input_id").join(known, "input_id", "left")
+    if fresh:
+        generations = local(spark, [(n, cursors[n]["generation"] if n in cursors else 0) for n in fresh], "input_id string, generation long")
+        last = state.table(spark, root, "identities").groupBy("input_id").agg((F.max("generation") + 1).alias("_next"))
+        fresh_rows = rows.join(generations, "input_id").join(last, "input_id", "left")
         state.append(fresh_rows.withColumn("generation", F.greatest("generation", F.coalesce("_next", F.lit(0)))), root, "identities")
     began: dict[str, int] = {}
     batches = [inp.input_id for inp, _ in inputs if inp.mode == "batch"]
@@ -228,11 +227,11 @@ def run_inputs(spark: SparkSession, inputs: list[tuple[Input | BatchInput, DataF
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"tidemark-{n % parallel}")
         if inp.mode == "batch":
             attempt = (tried.get(inp.input_id) or 0) + 1
-            seal_batch(base, inp, attempt, root)
+            seal_batch(base, inp, attempt, root, known[inp.input_id])
             return attempt, 1
         row = cursors.get(inp.input_id)
         attempt = (row["generation"] if row else 0) + 1
-        return attempt, seal(base, inp, attempt, root, Cursor(row["ts_us"], row["id"]) if row and row["ts_us"] is not None else None)
+        return attempt, seal(base, inp, attempt, root, Cursor(row["ts_us"], row["id"]) if row and row["ts_us"] is not None else None, known[inp.input_id])
 
     sealed: list[tuple] = []
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(inputs) or 1))) as pool:

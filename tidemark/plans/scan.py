@@ -20,7 +20,7 @@ from ..operators.inputs import pagination_guard
 from ..operators.order import byte_limit
 from ..operators.pages import PAGE, SCAN, page_summary, staged_usage, stream_digest
 from ..operators.schema import check_cursor_schema, check_schema, schema_fingerprint
-from ..scratch import Scratch, remove, scratch_dir, staged
+from ..scratch import Scratch, local, remove, scratch_dir, staged
 from ..sources.base import batch_scan
 from . import state
 
@@ -80,14 +80,40 @@ def _lineage(inp) -> tuple[Column]:
     return (ids.lineage_fingerprint(lit(inp.mode), lit(inp.input_id), lit(inp.connector), lit(inp.host), lit(inp.database), lit(inp.username), q),)
 
 
-def identity(inp: Input | BatchInput, base: DataFrame) -> list[Column]:
-    """lineage_fp, cursor_fp, revision_fp and schema_fp of an input and the columns that it reads, as named columns."""
-    _, lineage, cursor_fp = inp.fingerprints()
-    overlap = inp.spec.overlap_us if isinstance(inp, Input) else 0
-    revision = ids.revision_fingerprint(lineage, cursor_fp, F.lit(overlap).cast("long"), F.lit(inp.max_rows).cast("long"), F.lit(inp.max_bytes).cast("long"), F.lit(False))
-    fields = dict.fromkeys([*inp.columns, *((inp.spec.ts, inp.spec.id) if isinstance(inp, Input) else ())])
+@dataclass(frozen=True)
+class Identity:
+    """Fingerprints of an input and the columns that it reads, as hex."""
+
+    input_key: str
+    lineage_fp: str
+    cursor_fp: str
+    revision_fp: str
+    schema_fp: str
+
+
+def described(inp: Input | BatchInput, base: DataFrame) -> tuple:
+    """What an input's fingerprints are made of; raises if its base can't be analyzed or lacks a column."""
+    at = (inp.spec.ts, inp.spec.id, inp.spec.overlap_us) if isinstance(inp, Input) else ("", "", 0)
+    fields = dict.fromkeys([*inp.columns, *(at[:2] if isinstance(inp, Input) else ())])
     schema = schema_fingerprint([base.schema[c] for c in fields])
-    return [lineage.alias("lineage_fp"), cursor_fp.alias("cursor_fp"), revision.alias("revision_fp"), F.lit(schema).alias("schema_fp")]
+    return (inp.input_id, inp.mode, inp.connector, inp.query, inp.host, inp.database, inp.username, *at, inp.max_rows, inp.max_bytes, schema)
+
+
+def identities(spark: SparkSession, inputs: list[tuple]) -> dict[str, Identity]:
+    """The identities of `described` inputs, by input: one expression over a row for each of them."""
+    texts = ", ".join(f"{c} string" for c in ("input_id", "mode", "connector", "query", "host", "database", "username", "ts", "id"))
+    rows = local(spark, inputs, f"{texts}, overlap long, max_rows long, max_bytes long, schema_fp string")
+    c = F.col
+    query_fp = ids.query_fingerprint(c("connector"), c("query"))
+    lineage = ids.lineage_fingerprint(c("mode"), c("input_id"), c("connector"), c("host"), c("database"), c("username"), query_fp)
+    rows = rows.withColumns({"input_key": ids.input_key(c("input_id")), "lineage_fp": lineage, "cursor_fp": ids.cursor_fingerprint(c("ts"), c("id"))})
+    rows = rows.withColumn("revision_fp", ids.revision_fingerprint(c("lineage_fp"), c("cursor_fp"), c("overlap"), c("max_rows"), c("max_bytes"), F.lit(False)))
+    found = rows.select("input_id", "input_key", "lineage_fp", "cursor_fp", "revision_fp", "schema_fp").collect()  # a row for each input of a run
+    return {r["input_id"]: Identity(*r[1:]) for r in found}
+
+
+def _identity(inp: Input | BatchInput, base: DataFrame) -> Identity:
+    return identities(base.sparkSession, [described(inp, base)])[inp.input_id]
 
 
 @dataclass(frozen=True)
@@ -117,7 +143,7 @@ def last_position(base: DataFrame, inp: Input, committed: Cursor | None) -> Curs
     return Cursor(last["ts_us"], last["id"]) if last else None
 
 
-def write_pass(base: DataFrame, inp: Input, path: str, committed: Cursor | None = None, resume_after: Cursor | None = None, buckets: int | None = None, last: Cursor | None = None) -> Written:
+def write_pass(base: DataFrame, inp: Input, path: str, committed: Cursor | None = None, resume_after: Cursor | None = None, buckets: int | None = None, last: Cursor | None = None, known: Identity | None = None) -> Written:
     """Reads base once and writes its rows past the bound once, as state.STORED has them, ordered by ranges.
 
     The first shuffle's output is what the ranges are sampled from and dealt out of, so the base isn't read for the
@@ -130,7 +156,7 @@ def write_pass(base: DataFrame, inp: Input, path: str, committed: Cursor | None
     rows = held.select(ts_us(kept, spec).alias("ts_us"), F.col(f"`{spec.id}`").alias("id"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("_low").alias("low"))
     order = [F.col("ts_us").asc_nulls_first(), F.col("id").asc_nulls_first()]
     ranged = rows.repartitionByRange(*([] if buckets is None else [buckets]), *order).sortWithinPartitions(*order)
-    key, lineage, cursor_fp = inp.fingerprints()
+    key, lineage, cursor_fp = inp.fingerprints() if known is None else (F.lit(fp) for fp in (known.input_key, known.lineage_fp, known.cursor_fp))
     line = ndjson_line(rows.select("row.*"), list(inp.columns), inside="row")
     made = ranged.withColumn("twice", F.count("*").over(Window.partitionBy("ts_us", "id")) > 1).withColumns({
         "event_id": ids.rising_event_id(key, lineage, cursor_fp, F.col("ts_us"), F.col("id")), "line": line})
@@ -162,7 +188,7 @@ def require_clean(written: Written) -> None:
 
 
 def _numbered(spark: SparkSession, w: Written, max_rows: int) -> DataFrame:
-    before = F.broadcast(spark.createDataFrame([(r, b) for r, b, _ in w.ranges], "range int, before long"))  # a row per range
+    before = F.broadcast(local(spark, [(r, b) for r, b, _ in w.ranges], "range int, before long"))  # a row per range
     ordinal = F.col("place") + F.col("before")
     page = (F.floor((ordinal - 1) / F.lit(max_rows)) + 1).cast("long")
     rows = spark.read.schema(state.STORED).parquet(w.path).join(before, "range")
@@ -207,23 +233,21 @@ def checked_batch(base: DataFrame, inp: BatchInput, keep=staged) -> DataFrame:
     return rows.select(F.lit(1).cast("long").alias("page"), "ordinal", none.alias("ts_us"), none.alias("id"), ids.batch_event_id(key, batch, F.col("ordinal")).alias("event_id"), "line", F.octet_length("line").cast("long").alias("line_bytes"), "truncated")
 
 
-def _seal(spark: SparkSession, root: str, inp: Input | BatchInput, attempt_id: int, write_id: str, before: list[tuple[int, int]], committed: Cursor | None, fps: list[Column] | None) -> None:
+def _seal(spark: SparkSession, root: str, inp: Input | BatchInput, attempt_id: int, write_id: str, before: list[tuple[int, int]], committed: Cursor | None, known: Identity | None) -> None:
     """Sums up what a write holds in the manifest of the attempt, checks the limits, and makes the attempt visible."""
-    parts = F.broadcast(spark.createDataFrame(before, "range int, before long"))  # a row per range
+    parts = F.broadcast(local(spark, before, "range int, before long"))  # a row per range
     stored = spark.read.schema(state.STORED).parquet(state.events_path(root, write_id)).join(parts, "range")
     ordinal = F.col("place") + F.col("before")
     rows = stored.select(
         F.lit(inp.input_id).alias("input_id"), F.lit(attempt_id).cast("long").alias("attempt_id"), (F.floor((ordinal - 1) / F.lit(inp.max_rows)) + 1).cast("long").alias("page"),
         ordinal.alias("ordinal"), "range", "before", "ts_us", "id", "line", "line_bytes")
-    known = spark.createDataFrame([(inp.input_id, committed.ts_us, committed.id)] if committed else [], "input_id string, ts_us long, id long")
-    lies = rows.groupBy(*PAGE).agg(F.sort_array(F.collect_set(F.struct("range", "before"))).alias("parts"))  # the ranges of a page
-    pages = page_summary(rows, known).join(stream_digest(rows), PAGE).join(lies, PAGE)
+    lies = F.sort_array(F.collect_set(F.struct("range", "before"))).alias("parts")  # the ranges of a page
+    pages = page_summary(rows, None, lies).join(stream_digest(rows), PAGE)
     at = F.struct(F.lit(committed.ts_us).cast("long").alias("ts_us"), F.lit(committed.id).cast("long").alias("id")) if committed else F.lit(None).cast("struct<ts_us:bigint,id:bigint>")
-    pages = pages.withColumns({"mode": F.lit(inp.mode), "write_id": F.lit(write_id), "page_rows": F.lit(inp.max_rows).cast("long"), "committed": at})
+    pages = pages.withColumns({"mode": F.lit(inp.mode), "write_id": F.lit(write_id), "page_rows": F.lit(inp.max_rows).cast("long"), "committed": at, "candidate": F.greatest("resume", at)})
     if inp.mode == "batch":  # rows without a cursor
         pages = pages.withColumns({c: F.when(F.lit(False), F.col(c)) for c in ("resume", "candidate")})
-    for fp, name in zip(fps or [F.lit(None).cast("string")] * 4, ("lineage_fp", "cursor_fp", "revision_fp", "schema_fp")):
-        pages = pages.withColumn(name, fp)
+    pages = pages.withColumns({c: F.lit(getattr(known, c, None)).cast("string") for c in ("lineage_fp", "cursor_fp", "revision_fp", "schema_fp")})
     # what was asked for: the page after the one before
     resumed = F.lag("resume").over(Window.partitionBy(*SCAN).orderBy("page"))
     pages = pages.withColumn("_after", resumed).withColumn("request_fp", ids.request_fingerprint(F.col("cursor_fp"), F.col("committed"), F.col("_after")))
@@ -246,21 +270,23 @@ def _not_sealed(spark: SparkSession, root: str, inp, attempt_id: int) -> None:
         raise TidemarkError("already_sealed", f"attempt {attempt_id} of {inp.input_id}")
 
 
-def seal(base: DataFrame, inp: Input, attempt_id: int, root: str, committed: Cursor | None = None) -> int:
-    """A checked scan whose rows are written once, where they stay: gives the rows, sealed if there are any.
+def seal(base: DataFrame, inp: Input, attempt_id: int, root: str, committed: Cursor | None = None, known: Identity | None = None) -> int:
+    """A checked scan whose rows are written once, where they stay: gives the rows, sealed if there are any. known: the
+    input's identity, if it is at hand.
 
     Each write has a folder of its own, and of two writers of one attempt one seals it; the other raises, and
     whatever a failed one has written is removed."""
     spark = base.sparkSession
     check_base(base, inp)
+    known = known or _identity(inp, base)
     write_id = state.new_write_id()
     path = state.events_path(root, write_id)
     try:
         last = last_position(base, inp, committed) if inp.max_scan_rows is not None else None
-        w = write_pass(base, inp, path, committed, last=last)
+        w = write_pass(base, inp, path, committed, last=last, known=known)
         require_clean(w)
         if w.rows:
-            _seal(spark, root, inp, attempt_id, write_id, [(r, b) for r, b, _ in w.ranges], committed, identity(inp, base))
+            _seal(spark, root, inp, attempt_id, write_id, [(r, b) for r, b, _ in w.ranges], committed, known)
         else:
             remove(spark, path)
         return w.rows
@@ -269,7 +295,7 @@ def seal(base: DataFrame, inp: Input, attempt_id: int, root: str, committed: Cur
         raise
 
 
-def publish(scan: DataFrame, inp: Input | BatchInput, attempt_id: int, root: str, committed: Cursor | None = None, fps: list[Column] | None = None) -> None:
+def publish(scan: DataFrame, inp: Input | BatchInput, attempt_id: int, root: str, committed: Cursor | None = None, known: Identity | None = None) -> None:
     """Seals a scan that is at hand as a frame (page, ordinal, ..), as `seal` does with what it has written itself."""
     spark = scan.sparkSession
     _not_sealed(spark, root, inp, attempt_id)
@@ -277,13 +303,13 @@ def publish(scan: DataFrame, inp: Input | BatchInput, attempt_id: int, root: str
     path = state.events_path(root, write_id)
     try:
         scan.select(F.lit(0).alias("range"), F.col("ordinal").alias("place"), *state.names(state.STORED)[2:]).write.parquet(path)
-        _seal(spark, root, inp, attempt_id, write_id, [(0, 0)], committed, fps)
+        _seal(spark, root, inp, attempt_id, write_id, [(0, 0)], committed, known)
     except Exception:
         remove(spark, path)
         raise
 
 
-def seal_batch(base: DataFrame, inp: BatchInput, attempt_id: int, root: str) -> None:
+def seal_batch(base: DataFrame, inp: BatchInput, attempt_id: int, root: str, known: Identity | None = None) -> None:
     """A batch run, checked and sealed."""
     with Scratch(base.sparkSession) as scratch:
-        publish(checked_batch(base, inp, scratch.staged), inp, attempt_id, root, fps=identity(inp, base))
+        publish(checked_batch(base, inp, scratch.staged), inp, attempt_id, root, known=known or _identity(inp, base))

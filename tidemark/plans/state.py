@@ -19,7 +19,10 @@ from pyspark.sql import functions as F
 
 from ..errors import TidemarkError
 from ..operators.pages import PAGE, SCAN, current_cursor
-from ..scratch import exists, names_in, remove, rename_new
+from ..scratch import bytes_in, exists, local, names_in, remove, rename_new
+
+#: Bytes up to which a control table is read as one partition, so that what it joins with and groups by isn't shuffled.
+ONE_PARTITION = 32 << 20
 
 _AT = "struct<ts_us:bigint,id:bigint>"
 _PARTS = "array<struct<range:int,before:bigint>>"
@@ -42,12 +45,15 @@ def names(schema: str) -> list[str]:
 
 
 def empty(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    return local(spark, [], schema)
 
 
 def _found(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
     paths = [p for p in paths if exists(spark, p)]
-    return spark.read.schema(schema).parquet(*paths) if paths else empty(spark, schema)
+    if not paths:
+        return empty(spark, schema)
+    rows = spark.read.schema(schema).parquet(*paths)
+    return rows.coalesce(1) if sum(bytes_in(spark, p) for p in paths) <= ONE_PARTITION else rows
 
 
 def _snapshot(spark: SparkSession, root: str, name: str) -> tuple[int, str | None, set[str]]:
@@ -88,7 +94,7 @@ def compact_table(spark: SparkSession, root: str, name: str, keep: int = 16) ->
     rows = _found(spark, [*([snapshot] if snapshot else []), *[f"{root}/{name}/{f}" for f in new]], SCHEMAS[name])
     rows = current_rows(rows, name)
     rows.coalesce(1).write.parquet(f"{folder}/{number + 1}/rows")
-    spark.createDataFrame([(f,) for f in new], "value string").coalesce(1).write.text(f"{folder}/{number + 1}/files")
+    local(spark, [(f,) for f in new], "value string").write.text(f"{folder}/{number + 1}/files")
     for f in held:  # of the last snapshot: no reader that begins now needs them
         remove(spark, f"{root}/{name}/{f}")
     if number > 1:
@@ -158,7 +164,7 @@ def events(spark: SparkSession, root: str, scans: list[tuple[str, int]]) -> Data
     """Events of these attempts."""
     if not scans:
         return empty(spark, f"input_id string, attempt_id long, {EVENTS}")
-    sealed = table(spark, root, "manifest").join(F.broadcast(spark.createDataFrame(scans, "input_id string, attempt_id long")), SCAN, "left_semi")  # the scans named
+    sealed = table(spark, root, "manifest").join(local(spark, scans, "input_id string, attempt_id long"), SCAN, "left_semi")  # the scans named
     return read_events(spark, root, sealed, [w for _, _, w in writes(sealed)])
 
 
@@ -173,8 +179,8 @@ def new_write_id() -> str:
 
 def drop_events(spark: SparkSession, root: str, scans: list[tuple[str, int]]) -> None:
     """Removes the events of these attempts."""
-    keys = spark.createDataFrame(scans, "input_id string, attempt_id long")
-    for _, _, w in writes(table(spark, root, "manifest").join(F.broadcast(keys), SCAN, "left_semi")) if scans else ():
+    keys = local(spark, scans, "input_id string, attempt_id long")
+    for _, _, w in writes(table(spark, root, "manifest").join(keys, SCAN, "left_semi")) if scans else ():
         remove(spark, events_path(root, w))
 
 

@@ -7,7 +7,10 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from .errors import TidemarkError
 
@@ -58,6 +61,21 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
 
 
+def bytes_in(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files below a folder."""
+    fs, where = hadoop_path(spark, path)
+    return fs.getContentSummary(where).getLength()
+
+
+def local(spark: SparkSession, rows: list, schema: str) -> DataFrame:
+    """A few rows at hand as a frame of one partition. They are part of the plan, so reading them takes no Python
+    worker, and no shuffle where they meet another frame of one partition."""
+    fields = StructType.fromDDL(schema)
+    plain = [{n: v.asDict() if isinstance(v, Row) else v for n, v in zip(fields.names, r)} for r in rows]
+    at_hand = pa.Table.from_pylist(plain, to_arrow_schema(fields))
+    return spark.createDataFrame(at_hand, fields).coalesce(1)
+
+
 def rename_new(spark: SparkSession, source: str, target: str) -> bool:
     """Moves a file to a name that nothing has yet; False if something has it. The file system decides who is first."""
     jvm = spark.sparkContext._jvm

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..errors import TidemarkError
 from ..functions.strict import envelope, event_size_guard
+from ..scratch import local
 
 
 def write_ndjson(events: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -73,7 +74,7 @@ def metrics_row(spark: SparkSession, input_id: str, status: str, rows: int | Non
 
 def metrics_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     """(input_id, status, rows, bytes, duration_ns, error_code) of the inputs of a run."""
-    return spark.createDataFrame(rows, "input_id string, status string, rows long, bytes long, duration_ns long, error_code string")
+    return local(spark, rows, "input_id string, status string, rows long, bytes long, duration_ns long, error_code string")
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
