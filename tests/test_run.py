@@ -12,7 +12,7 @@ from tidemark.errors import TidemarkError
 from tidemark.plans import run, scan, state
 from tidemark.plans.run import read_cursor, recover, run_inputs, run_scan
 from tidemark.plans.scan import BatchInput, Input, checked_scan, publish, seal, write_pass
-from tidemark.scratch import exists, names_in
+from tidemark.scratch import exists, local, names_in
 from tidemark.streaming.stream import rising_stream
 
 PAGE = ["input_id", "attempt_id", "page"]
@@ -255,6 +255,38 @@ def test_runs_fold_their_tables(spark, tmp_path):
     assert not exists(spark, f"{root}/events/scan=x")
 
 
+def test_small_tables_are_read_as_one_partition(spark, tmp_path, monkeypatch):
+    """Beyond the size, tables are read and joined in parts; what a run does is the same."""
+    told = {}
+    for most in (state.ONE_PARTITION, -1):
+        monkeypatch.setattr(state, "ONE_PARTITION", most)
+        root = str(tmp_path / f"state{most}")
+        with pytest.raises(ConnectionError):
+            run_scan(spark, rows(spark, 0, 10), INPUT, root, down)
+        group = f"run{most}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            run_inputs(spark, [(INPUT, rows(spark, 0, 17)), (Input("two", INPUT.spec, ("id", "v"), max_rows=4), rows(spark, 0, 0))], root, receipts)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        parts = state.table(spark, root, "receipts").rdd.getNumPartitions()
+        told[most] = [sorted((r[0] for r in state.table(spark, root, t).select(c).collect()), key=str) for t, c in (("receipts", "rows"), ("cursors", "ts_us"), ("manifest", "stream_digest"), ("identities", "revision_fp"))]
+        if most > 0:
+            few = jobs
+            assert parts == 1
+    one, parted = told.values()
+    assert one == parted
+    assert few < jobs
+
+
+def test_rows_at_hand(spark):
+    at = spark.sql("SELECT struct(1L AS ts_us, 2L AS id) AS at").first()["at"]
+    df = local(spark, [("a", at), (None, None)], "k string, at struct<ts_us:bigint,id:bigint>")
+    assert sorted(map(tuple, df.select("k", "at.id").collect()), key=str) == [("a", 2), (None, None)]
+    assert df.rdd.getNumPartitions() == 1 and local(spark, [], "k string, n long").collect() == []
+
+
 def test_bounded_scans_take_up_where_they_stopped(spark, tmp_path):
     """At most so many rows a scan; a delivery that fails between scans loses and repeats none."""
     root, path, sent = str(tmp_path / "state"), str(tmp_path / "base"), []
