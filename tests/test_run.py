@@ -313,6 +313,23 @@ def test_bounded_scans_take_up_where_they_stopped(spark, tmp_path):
             run_scan(spark, rows(spark, 0, 30), Input("in", INPUT.spec, ("id", "v"), max_rows=4, max_scan_rows=bad), root, receipts)
 
 
+def test_positions_of_large_scans(spark):
+    """An input may allow lots of any size; where one ends is counted, with the same result as by sorting all rows."""
+    big = Input("in", INPUT.spec, ("id",), max_scan_rows=2_000_000, most_scan_rows=2_000_000)
+    base = spark.range(2_500_000).select(F.timestamp_micros(F.col("id").bitwiseAND(7) * 10**12 - 4 * 10**12).alias("ts"), (F.col("id") - 10**6).alias("id"))
+    order = sorted((i % 8 * 10**12 - 4 * 10**12, i - 10**6) for i in range(2_500_000))
+    assert scan.last_position(base, big, None) == Cursor(*order[1_999_999])
+    least = -(2**63)
+    at = [(0, 5), (0, least), (0, 2**63 - 1), (-1, 3), (-1, 3), (7, 1), (7, 1), (7, 1), (7, 2), (10**15, 0), (-(10**15), 4)]
+    few = spark.createDataFrame(at, "us long, id long").select(F.timestamp_micros("us").alias("ts"), "id")
+    for n in (1, 4, 5, 7, 8, 11):
+        lot = Input("in", INPUT.spec, ("id",), max_scan_rows=n)
+        over = sorted(at)[n] if n < len(at) else None
+        fits = [p for p in sorted(at) if over and p < over]
+        want = Cursor(*fits[-1]) if fits else None
+        assert [scan.last_position(few, lot, None, k) for k in (0, 100)] == [want] * 2
+
+
 def test_bounds_prune_partitions(spark, tmp_path):
     path = str(tmp_path / "base")
     hours = spark.range(0, 24 * 10).selectExpr("timestamp'2024-01-01 00:30:00' + make_interval(0, 0, 0, 0, cast(id AS int)) AS ts", "id", "'x' AS v")

@@ -24,14 +24,17 @@ from ..scratch import Scratch, local, remove, scratch_dir, staged
 from ..sources.base import batch_scan
 from . import state
 
-#: Most rows of a scan that is to be bounded.
+#: Most rows of a scan that is to be bounded, unless its input allows more: a guard against lots larger than meant.
 MOST_SCAN_ROWS = 1_000_000
+#: Bits of the buckets that cursors are counted in to find a position; rows that are few enough to be sorted at once.
+_BUCKET_BITS, _FEW_ROWS = 12, 100_000
 
 
 @dataclass(frozen=True)
 class Input:
     """A rising input: its identity, what it reads, and its limits. max_staged: bytes that may wait for delivery;
-    max_scan_rows: rows that one scan takes, the next ones then wait for the next scan."""
+    max_scan_rows: rows that one scan takes, the next ones then wait for the next scan; it is refused over
+    most_scan_rows."""
 
     input_id: str
     spec: CursorSpec
@@ -42,6 +45,7 @@ class Input:
     max_bytes: int = 1 << 30
     max_staged: int | None = None
     max_scan_rows: int | None = None
+    most_scan_rows: int = MOST_SCAN_ROWS
     host: str = ""
     database: str = ""
     username: str = ""
@@ -127,19 +131,44 @@ class Written:
     ranges: list[tuple[int, int, int]]
 
 
-def last_position(base: DataFrame, inp: Input, committed: Cursor | None) -> Cursor | None:
+def _bucket_of(rows: DataFrame, c: str, n: int, lo: int, hi: int, few: int) -> tuple[int, int, int, int]:
+    """(first, last, rows before, rows) of a range of the whole-number column c that the n-th smallest row lies in: one
+    value, or a range of at most `few` rows. Buckets are counted, finer ones within the one that holds the row."""
+    before, inside = 0, None
+    while lo < hi and (inside is None or inside > few):
+        shift = max(0, (hi - lo).bit_length() - _BUCKET_BITS)
+        buckets = rows.where(F.col(c).between(lo, hi)).groupBy(F.shiftright(c, shift).alias("b")).agg(F.count("*").alias("n"))
+        for r in buckets.orderBy("b").collect():  # 2 ** _BUCKET_BITS + 1 rows at most
+            at, inside = r["b"], r["n"]
+            if before + inside >= n:
+                break
+            before += inside
+        lo, hi = max(lo, at << shift), min(hi, ((at + 1) << shift) - 1)
+    return lo, hi, before, inside
+
+
+def last_position(base: DataFrame, inp: Input, committed: Cursor | None, few: int = _FEW_ROWS) -> Cursor | None:
     """Where a scan of at most max_scan_rows rows ends; None if all rows past the bound fit. Reads the cursor columns
-    and keeps that many rows of them."""
-    if not 1 <= inp.max_scan_rows <= MOST_SCAN_ROWS:
-        raise TidemarkError("scan_rows", f"max_scan_rows must be 1..{MOST_SCAN_ROWS}")
+    and counts them in ranges; no more than `few` rows are sorted, whatever max_scan_rows is."""
+    if not 1 <= inp.max_scan_rows <= inp.most_scan_rows:
+        raise TidemarkError("scan_rows", f"max_scan_rows must be 1..{inp.most_scan_rows}")
     spec, names = inp.spec, dict.fromkeys([inp.spec.ts, inp.spec.id, *(c for c, _ in inp.spec.partitions)])
     kept = apply_bound(base.select(*[F.col(f"`{c}`") for c in names]), spec, spec.bound(committed)).where(~null_cursor(spec))
-    top = kept.select(ts_us(kept, spec).alias("ts_us"), F.col(f"`{spec.id}`").alias("id")).orderBy("ts_us", "id").limit(inp.max_scan_rows + 1)
-    at = top.agg(F.count("*").alias("n"), F.max(F.struct("ts_us", "id")).alias("over")).first()
-    if at["n"] <= inp.max_scan_rows:
+    rows = kept.select(ts_us(kept, spec).alias("ts_us"), F.col(f"`{spec.id}`").alias("id"))
+    ends = rows.agg(F.count("*").alias("n"), *[f(c).alias(f"{k}_{c}") for c in ("ts_us", "id") for k, f in (("lo", F.min), ("hi", F.max))]).first()
+    if ends["n"] <= inp.max_scan_rows:
         return None
-    over = F.struct(F.lit(at["over"]["ts_us"]).alias("ts_us"), F.lit(at["over"]["id"]).alias("id"))
-    last = top.where(F.struct("ts_us", "id") < over).agg(F.max(F.struct("ts_us", "id")).alias("at")).first()["at"]
+    n, near, inside = inp.max_scan_rows + 1, rows, ends["n"]  # the first row that doesn't fit
+    for c in ("ts_us", "id"):  # ids count where very many rows share a timestamp
+        if inside > few:
+            lo, hi, before, found = _bucket_of(near, c, n, ends[f"lo_{c}"], ends[f"hi_{c}"], few)
+            near, n, inside = near.where(F.col(c).between(lo, hi)), n - before, inside if found is None else found
+    if inside > few:  # one position
+        over = near.first()
+    else:
+        over = near.orderBy("ts_us", "id").limit(n).agg(F.max(F.struct("ts_us", "id")).alias("at")).first()["at"]
+    first = (F.col("ts_us") < over["ts_us"]) | ((F.col("ts_us") == over["ts_us"]) & (F.col("id") < over["id"]))
+    last = rows.where(first).agg(F.max(F.struct("ts_us", "id")).alias("at")).first()["at"]
     return Cursor(last["ts_us"], last["id"]) if last else None
 
 
