@@ -280,6 +280,30 @@ def test_small_tables_are_read_as_one_partition(spark, tmp_path, monkeypatch):
     assert few < jobs
 
 
+def test_large_control_tables_are_written_and_grouped_in_parts(spark, tmp_path, monkeypatch):
+    """No task writes, folds or sorts the whole of a table beyond the size that is read as one partition."""
+    monkeypatch.setattr(state, "ONE_PARTITION", 1 << 10)
+    root, ids = str(tmp_path / "state"), spark.range(2_000).selectExpr("cast(id AS string) AS input_id")
+    held = ids.crossJoin(spark.sql("SELECT * FROM VALUES (0L, 'old'), (1L, 'now') AS t(generation, revision_fp)"))
+    rows = held.selectExpr("input_id", "generation", "'rising' AS mode", "'l' AS lineage_fp", "'c' AS cursor_fp", "revision_fp", "'s' AS schema_fp")
+    now = rows.where("generation = 1").drop("generation")
+    files = lambda path: len([n for n in names_in(spark, path) if n.endswith(".parquet")])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # little data would be put together again
+    try:
+        for folds in range(2):
+            state.append(rows, root, "identities", large=True)
+            dealt = state.table(spark, root, "identities", "input_id").withColumn("p", F.spark_partition_id())
+            assert dealt.groupBy("p").count().count() > 1 and dealt.groupBy("input_id").agg(F.count_distinct("p").alias("n")).where("n > 1").isEmpty()
+            told = run.fence(spark, root, now, local(spark, [("7", 1)], "input_id string, unsent long"))
+            assert {r["action"]: r["count"] for r in told.groupBy("action").count().collect()} == {"same": 2_000}
+            assert files(f"{root}/identities") > 1 and state.compact_table(spark, root, "identities", 0)
+            assert files(f"{root}/identities.snapshots/{folds + 1}/rows") > 1
+            left = state.table(spark, root, "identities")
+            assert left.count() == 2_000 and left.where("generation <> 1").isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_rows_at_hand(spark):
     at = spark.sql("SELECT struct(1L AS ts_us, 2L AS id) AS at").first()["at"]
     df = local(spark, [("a", at), (None, None)], "k string, at struct<ts_us:bigint,id:bigint>")

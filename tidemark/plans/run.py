@@ -159,7 +159,7 @@ def fence(spark: SparkSession, root: str, prepared: DataFrame, open_scans: DataF
     action as `revision_activation` gives it, or `schema_drift`: an identity that stays has the schema it had.
     open_scans(input_id, unsent): scans that are sealed and not committed."""
     last = F.max_by(F.struct("lineage_fp", "cursor_fp", "revision_fp", "schema_fp"), "generation").alias("last")
-    known = state.table(spark, root, "identities").groupBy("input_id").agg(last).select("input_id", "last.*")
+    known = state.table(spark, root, "identities", "input_id").groupBy("input_id").agg(last).select("input_id", "last.*")
     going = open_scans.groupBy("input_id").agg(F.max(F.col("unsent") > 0).alias("_spooled"))
     known = known.join(going, "input_id", "left")
     before = known.select("input_id", "lineage_fp", "cursor_fp", "revision_fp", F.lit(False).alias("active"), F.col("_spooled").isNotNull().alias("spooled"))

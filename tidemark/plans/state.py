@@ -39,6 +39,10 @@ STORED = "range int, place long, ts_us long, id long, event_id string, line stri
 EVENTS = "page long, ordinal long, ts_us long, id long, event_id string, line string, line_bytes long"
 
 
+#: Tables of which a snapshot keeps the latest generation of each input.
+_CURRENT = ("cursors", "identities")
+
+
 def names(schema: str) -> list[str]:
     """Column names of a schema text."""
     return [c.strip().split(" ")[0] for c in schema.replace(_AT, "").replace(_PARTS, "").split(", ")]
@@ -48,12 +52,18 @@ def empty(spark: SparkSession, schema: str) -> DataFrame:
     return local(spark, [], schema)
 
 
-def _found(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
+def _small(spark: SparkSession, paths: list[str]) -> bool:
+    return sum(bytes_in(spark, p) for p in paths) <= ONE_PARTITION
+
+
+def _found(spark: SparkSession, paths: list[str], schema: str, by: str | None = None) -> DataFrame:
     paths = [p for p in paths if exists(spark, p)]
     if not paths:
         return empty(spark, schema)
     rows = spark.read.schema(schema).parquet(*paths)
-    return rows.coalesce(1) if sum(bytes_in(spark, p) for p in paths) <= ONE_PARTITION else rows
+    if _small(spark, paths):
+        return rows.coalesce(1)
+    return rows if by is None else rows.repartition(by)
 
 
 def _snapshot(spark: SparkSession, root: str, name: str) -> tuple[int, str | None, set[str]]:
@@ -66,18 +76,22 @@ def _snapshot(spark: SparkSession, root: str, name: str) -> tuple[int, str | Non
     return max(done), f"{top}/rows", {r["value"] for r in spark.read.text(f"{top}/files").collect()}  # a name for each run since the snapshot before
 
 
-def table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A control table; empty if nothing was written yet."""
+def table(spark: SparkSession, root: str, name: str, by: str | None = None) -> DataFrame:
+    """A control table; empty if nothing was written yet.
+
+    by: a column that a table read in parts is dealt out by before it is grouped by it. Files hold few bytes a row, so
+    a grouping that sorts what it reads of them would take many times their size in one task."""
     _, snapshot, held = _snapshot(spark, root, name)
     if snapshot is None:
-        return _found(spark, [f"{root}/{name}"], SCHEMAS[name])
+        return _found(spark, [f"{root}/{name}"], SCHEMAS[name], by)
     tail = [f"{root}/{name}/{f}" for f in names_in(spark, f"{root}/{name}") if f.endswith(".parquet") and f not in held]
-    return _found(spark, [snapshot, *tail], SCHEMAS[name])
+    return _found(spark, [snapshot, *tail], SCHEMAS[name], by)
 
 
-def append(df: DataFrame, root: str, name: str) -> None:
-    """Appends rows to a control table as one file, in one commit."""
-    df.select(*names(SCHEMAS[name])).coalesce(1).write.mode("append").parquet(f"{root}/{name}")
+def append(df: DataFrame, root: str, name: str, large: bool = False) -> None:
+    """Appends rows to a control table in one commit: as one file, or, if they are many, as files of about one size."""
+    rows = df.select(*names(SCHEMAS[name]))
+    (rows.hint("rebalance") if large else rows.coalesce(1)).write.mode("append").parquet(f"{root}/{name}")
 
 
 def compact_table(spark: SparkSession, root: str, name: str, keep: int = 16) -> bool:
@@ -91,9 +105,9 @@ def compact_table(spark: SparkSession, root: str, name: str, keep: int = 16) ->
     if len(new) <= keep:
         return False
     folder = f"{root}/{name}.snapshots"
-    rows = _found(spark, [*([snapshot] if snapshot else []), *[f"{root}/{name}/{f}" for f in new]], SCHEMAS[name])
-    rows = current_rows(rows, name)
-    rows.coalesce(1).write.parquet(f"{folder}/{number + 1}/rows")
+    paths = [*([snapshot] if snapshot else []), *[f"{root}/{name}/{f}" for f in new]]
+    rows = current_rows(_found(spark, paths, SCHEMAS[name], "input_id" if name in _CURRENT else None), name)
+    (rows.coalesce(1) if _small(spark, paths) else rows.hint("rebalance")).write.parquet(f"{folder}/{number + 1}/rows")
     local(spark, [(f,) for f in new], "value string").write.text(f"{folder}/{number + 1}/files")
     for f in held:  # of the last snapshot: no reader that begins now needs them
         remove(spark, f"{root}/{name}/{f}")
@@ -104,7 +118,7 @@ def compact_table(spark: SparkSession, root: str, name: str, keep: int = 16) ->
 
 def current_rows(rows: DataFrame, name: str) -> DataFrame:
     """What a snapshot keeps of a table: of cursors and identities the latest generation of each input, else all."""
-    if name not in ("cursors", "identities"):
+    if name not in _CURRENT:
         return rows
     last = F.max_by(F.struct(*[c for c in rows.columns if c != "input_id"]), "generation").alias("last")
     return rows.groupBy("input_id").agg(last).select("input_id", "last.*").select(*rows.columns)
@@ -170,7 +184,7 @@ def events(spark: SparkSession, root: str, scans: list[tuple[str, int]]) -> Data
 
 def read_cursors(spark: SparkSession, root: str) -> DataFrame:
     """(input_id, generation, ts_us, id): where each input stands."""
-    return current_cursor(table(spark, root, "cursors"))
+    return current_cursor(table(spark, root, "cursors", "input_id"))
 
 
 def new_write_id() -> str:
