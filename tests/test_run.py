@@ -283,6 +283,7 @@ def test_small_tables_are_read_as_one_partition(spark, tmp_path, monkeypatch):
 def test_large_control_tables_are_written_and_grouped_in_parts(spark, tmp_path, monkeypatch):
     """No task writes, folds or sorts the whole of a table beyond the size that is read as one partition."""
     monkeypatch.setattr(state, "ONE_PARTITION", 1 << 10)
+    monkeypatch.setattr(state, "PART_BYTES", 1 << 12)
     root, ids = str(tmp_path / "state"), spark.range(2_000).selectExpr("cast(id AS string) AS input_id")
     held = ids.crossJoin(spark.sql("SELECT * FROM VALUES (0L, 'old'), (1L, 'now') AS t(generation, revision_fp)"))
     rows = held.selectExpr("input_id", "generation", "'rising' AS mode", "'l' AS lineage_fp", "'c' AS cursor_fp", "revision_fp", "'s' AS schema_fp")
