@@ -402,6 +402,23 @@ def test_coder_round_trip():
     assert idcoder.crc32_join(zlib.crc32(b"ab"), zlib.crc32(b"cde"), 3) == zlib.crc32(b"abcde")
 
 
+def test_chunks_are_encoded_without_offsets():
+    """Only ids are asked for; to tell where they lie in the text as well takes longer."""
+
+    class Plain:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode_batch_fast(self, texts, add_special_tokens):
+            return self.tokenizer.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    e, texts = tokens.BatchEncoder("byte_bpe_50k.json"), ["ein Wort und noch ein paar Wörter 漢字 \U0001f600 x", "noch ein", "", None]
+    want = [e.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    e.tokenizer = Plain(e.tokenizer)
+    ids, counts = e.encode(texts)
+    assert ids.tolist() == sum(want, []) and counts.tolist() == [len(w) for w in want]
+
+
 def test_id_files(spark):
     texts = [None if t is None else t * 40 for t in EDGE[:8]] + ["long word " * 9_000]
     got = idfiles.decode_documents(idfiles.encode_documents(docs(spark, *texts).repartition(3), "word_bpe_49k.json")).orderBy("doc_id").collect()

@@ -107,7 +107,7 @@ class BatchEncoder:
     def _flush_row(self, row: list[int]) -> bool:
         """Encodes these waiting chunks as one text; False, and nothing done, if its ids don't part where chunks do."""
         chunks = [self.waiting[k] for k in row]
-        ids = self.tokenizer.encode("".join(chunks), add_special_tokens=False).ids
+        ids = self.tokenizer.encode_batch_fast(["".join(chunks)], add_special_tokens=False)[0].ids  # without offsets
         upto = np.cumsum(self.token_bytes[ids])
         ends = np.cumsum([len(c.encode("utf-8")) for c in chunks])
         to = np.searchsorted(upto, ends) + 1
