@@ -419,6 +419,30 @@ def test_chunks_are_encoded_without_offsets():
     assert ids.tolist() == sum(want, []) and counts.tolist() == [len(w) for w in want]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_plain_words_go_to_the_model(name):
+    """Words of Latin letters and the signs after them skip the splitting of texts, and get the same ids; no other chunk does."""
+    seen = []
+
+    class Watched:
+        def __init__(self, tokenizer):
+            self.encode_batch_fast = lambda texts, **k: seen.extend(texts) or tokenizer.encode_batch_fast(texts, **k)
+
+    letters = "".join(map(chr, [*range(65, 91), *range(97, 123), *range(192, 215), *range(216, 247), *range(248, 256)]))
+    rng = random.Random(3)
+    signs = [chr(i) for i in range(33, 127) if not chr(i).isalnum() and chr(i) != "'"]
+    plain = [letters, "Hi", "hi", "hi,", "HI!?", "STRASSE", "Straße", "ça."] + ["".join(rng.choices(letters, k=rng.randint(1, 9)) + rng.choices(signs, k=rng.randint(0, 4))) for _ in range(500)]
+    other = ["it's", "'tis", "a1", "x-y", "İx", "ʼn", "ªb", "µm", "Ω", "e\u0301", "ok…", "×", "o\u0301.", "<|endoftext|>", "x\u00a0y", "\u2028z", "q'", "'"]
+    e = tokens.BatchEncoder(name, memo=100)
+    texts = [" ".join(plain[i : i + 50]) for i in range(0, len(plain), 50)] + [" ".join(other), *other, " ".join(plain + other), "\n".join(plain)]
+    want = [x.ids for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    e.tokenizer = Watched(e.tokenizer)
+    for some, own in [(texts[:5], want[:5]), (texts[5:], want[5:])]:
+        ids, counts = e.encode(some)
+        assert counts.tolist() == list(map(len, own)) and ids.tolist() == sum(own, [])
+    assert not {t.strip() for t in seen} & set(plain) and {t.strip() for t in seen} & set(other)
+
+
 def test_id_files(spark):
     texts = [None if t is None else t * 40 for t in EDGE[:8]] + ["long word " * 9_000]
     got = idfiles.decode_documents(idfiles.encode_documents(docs(spark, *texts).repartition(3), "word_bpe_49k.json")).orderBy("doc_id").collect()

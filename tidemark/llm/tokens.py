@@ -13,6 +13,8 @@ from ._base import kept
 
 #: Chunks of a generation; a worker remembers the last two of them, about 200 bytes a chunk. Longer chunks aren't remembered.
 MEMO_CHUNKS, CHUNK_CHARS = 320_000, 64
+#: Letters of Latin-1, then ASCII signs: both tokenizers part such a chunk exactly there. An apostrophe may begin a contraction.
+_PLAIN = re.compile("( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
 def tokenizer_path(name_or_path: str) -> str:
@@ -24,6 +26,16 @@ def tokenizer_path(name_or_path: str) -> str:
     return public_tokenizers.path(name_or_path)
 
 
+def _characters() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b if b in plain else next(rest)) for b in range(256)]
+
+
+_CHARACTERS = _characters()
+
+
 class _Memo(dict):
     """chunk -> number of a generation; an unknown chunk is taken over from the generation before, or waits to be encoded."""
 
@@ -59,6 +71,8 @@ class BatchEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.words_only, self.token_bytes = bool(spec.get("normalizer")), None
+        self.model = self.tokenizer.model  # a character of its texts stands for a byte
+        self.as_bytes = {b: "".join(_CHARACTERS[x] for x in chr(b).encode()) for b in range(128, 256)}
         if (spec.get("pre_tokenizer") or {}).get("type") == "ByteLevel":  # a character of a token stands for a byte
             sizes = self.tokenizer.get_vocab()
             self.token_bytes = np.zeros(max(sizes.values()) + 1, np.int64)
@@ -91,8 +105,38 @@ class BatchEncoder:
             self.flat.extend(flat[at[before] : at[before] + size[before]])
         return n
 
+    def _flush_plain(self) -> list[int]:
+        """Words of letters go to the tokenizer's model at once, as it gets them after normalizing and splitting a text;
+        returns which chunks are left."""
+        rest, flat, at, size, places = [], self.flat, self.at, self.size, self.places
+        tokenize, ends = self.model.tokenize, {}  # the ids of signs
+        known = self.bare if self.words_only else self.spaced
+        for k, chunk in enumerate(self.waiting):
+            plain = _PLAIN.fullmatch(chunk)
+            if plain is None:
+                rest.append(k)
+                continue
+            space, word, signs = plain.groups()
+            if self.words_only:
+                word = word.lower()
+            same = known.get(word) if space or self.words_only else None
+            first = len(flat)
+            if same is not None and size[same]:  # met before, with other signs or in other case
+                flat.extend(flat[at[same] : at[same] + size[same]])
+            else:
+                if not word.isascii():
+                    word = word.translate(self.as_bytes)
+                flat.extend([t.id for t in tokenize("Ġ" + word if space else word)])
+            if signs:
+                if signs not in ends:
+                    ends[signs] = [t.id for t in tokenize(signs)]
+                flat.extend(ends[signs])
+            n = places[k]
+            at[n], size[n] = first, len(flat) - first
+        return rest
+
     def _flush(self):
-        apart = range(len(self.waiting))
+        apart = self._flush_plain()
         if self.token_bytes is not None:  # words with a space before them are as well encoded one behind the other
             row = [k for k in apart if self.waiting[k][:1] == " " and not self.waiting[k][-1].isspace()]
             if len(row) > 1 and self._flush_row(row):
