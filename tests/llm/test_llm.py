@@ -419,6 +419,31 @@ def test_chunks_are_encoded_without_offsets():
     assert ids.tolist() == sum(want, []) and counts.tolist() == [len(w) for w in want]
 
 
+def test_blocks_are_coded_in_streams(monkeypatch):
+    """A full block takes an eighth of its ids in steps; blocks of all sizes go together, and give what they give alone."""
+    rng, steps, predict = np.random.default_rng(6), [], idcoder._Model.predict
+    monkeypatch.setattr(idcoder._Model, "predict", lambda self, *a: steps.append(1) or predict(self, *a))
+    sizes = [idcoder.BLOCK_IDS, 16_383, 0, 1, 2047, 2048, 4095, 4097, 8191, 12_289]
+    blocks = [(rng.zipf(1.2, n) * 7 % 49_000).astype(np.uint32) for n in sizes]
+    codes = idcoder.encode_ids(blocks)
+    assert len(steps) <= 4095  # the one block that is too short for two streams
+    assert len(idcoder.encode_ids(blocks[:1])[0]) == len(codes[0])
+    steps.clear()
+    got = idcoder.decode_ids(codes[:1], sizes[:1])
+    assert len(steps) <= idcoder.BLOCK_IDS // 8 and (got[0] == blocks[0]).all()
+    for some in (range(10), range(9, -1, -1), (4, 1)):
+        got = idcoder.decode_ids([codes[i] for i in some], [sizes[i] for i in some])
+        assert all((g == blocks[i]).all() for g, i in zip(got, some))
+    assert idcoder.encode_ids(blocks[::-1]) == codes[::-1]
+    whole = idcoder.write_blocks(blocks[0], [np.zeros(1, idcoder.PIECE)], sizes[:1])[0]
+    for at in rng.integers(20, len(whole), 12):  # wherever it is damaged, also in the lengths of streams
+        with pytest.raises(ValueError):
+            idcoder.read_blocks([whole[:at] + bytes([whole[at] ^ 64]) + whole[at + 1 :]])
+    head = idcoder._HEAD.size + idcoder.PIECE.itemsize
+    with pytest.raises(ValueError):
+        idcoder.read_blocks([whole[:head] + b"\xff\xff\xff\xff" + whole[head + 4 :]])
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_plain_words_go_to_the_model(name):
     """Words of Latin letters and the signs after them skip the splitting of texts, and get the same ids; no other chunk does."""

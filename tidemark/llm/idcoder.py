@@ -2,8 +2,12 @@
 
 The id that followed the last two ids (order 2) and the last id (order 1) are predicted, and how well both have done
 tells how they are mixed: for each pair of confidences the coder learns how often each of them is right. Where both
-fail, the id is coded by its order-0 frequency in the block so far. A carryless range coder (64 bits, 32 written at
-once) codes the choice and, where needed, the id. Blocks share nothing, so numpy codes many at once, one lane each.
+fail, the id is coded by its order-0 frequency in the block so far, or, if it is new there, by what is likely for new
+ids. A carryless range coder (64 bits, 32 written at once) codes the choice and, where needed, the id.
+
+Blocks share nothing. A block is coded as several streams side by side, which learn from each other: each has a range
+coder and mixing weights of its own, while predictions and frequencies are the block's. So numpy codes many streams of
+many blocks at once, one lane each.
 """
 
 from __future__ import annotations
@@ -14,17 +18,30 @@ import zlib
 import numpy as np
 
 BLOCK_IDS, TABLE, IDS = 1 << 14, 1 << 13, 1 << 16
-MAGIC = b"TMB2"
-_TOP, _FULL = np.uint64(1 << 32), np.uint64(2**64 - 1)
-_32, _1 = np.uint64(32), np.uint64(1)
+MAGIC = b"TMB3"
+_FULL, _32, _15 = np.uint64(2**64 - 1), np.uint64(32), np.uint64(15)
+_TOP, _LOW = np.uint64(1 << 32), np.uint64(2**32 - 1)
 _HEAD = struct.Struct("<4sIIII")
 #: One document's part of a block: its number in the file, its id, its ids here; flags: 1 null id.
 PIECE = np.dtype([("doc_no", "<i8"), ("doc_id", "<i8"), ("n", "<u4"), ("flags", "<u4")])
-#: Order-0 frequencies: what every id begins with (low ids, merged first, are likelier), and what each occurrence adds.
-_FIRST, _ADD = (1 + (1 << 14) // (np.arange(IDS) + 64)).astype(np.int32), 128
-#: Ids after which the order-0 frequencies are summed anew, as a share of those seen; lanes that are summed at once.
-_GROWTH, _SUMMED = 1 / 8, 32
-_ROWS, _ROW = 257, 256
+#: Ids that a stream has at least, and streams of a block at most.
+STREAM_IDS, STREAMS = 2048, 8
+#: Frequencies of ids that are new in a block: low ids, merged first, are likelier.
+_NEW = 1 + (1 << 14) // (np.arange(IDS) + 64)
+_NEW_ALL = int(_NEW.sum())
+#: Steps after which the order-0 frequencies are summed anew, as a share of those done.
+_GROWTH = 1 / 8
+#: Orders 2 and 1 in rows: a prediction is id << 6 with its confidence in these bits; bit 5 tells the orders apart.
+_SURE, _ROW = np.array([[56], [6]], np.int32), np.array([[32], [0]], np.int32)
+#: What a prediction gains, by its bits and whether it was right (bit 0).
+_GAIN = np.zeros(64, np.int32)
+_GAIN[[33, 41, 49]], _GAIN[[40, 48, 56]], _GAIN[[1, 3, 5]], _GAIN[[2, 4, 6]] = 8, -8, 2, -2
+#: A mixing weight: how often of 2^15 order 2 is right, or else order 1, or the id is known, as sums in 16 bits each.
+_FIELD, _SHIFTS = np.uint64(0xFFFF), np.arange(0, 64, 16, dtype=np.uint64)
+_BEGIN = np.uint64(5000 | 10000 << 16 | 23000 << 32 | 1 << 63)
+#: Each sum moves by 1/32 of its way towards an end, but stays apart from the next.
+_KEEP = np.uint64(0x07FF07FF07FF)
+_TO = np.array([sum((1020 + i if choice <= i else 1 + i) << 16 * i for i in range(3)) for choice in range(4)], np.uint64)
 
 
 def _sums(most: int) -> set[int]:
@@ -32,77 +49,90 @@ def _sums(most: int) -> set[int]:
     steps, at = set(), 0
     while at < most:
         steps.add(at)
-        at += max(32, int(at * _GROWTH))
+        at += max(4, int(at * _GROWTH))
     return steps
 
 
+def _streams(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each lane, by falling length: its block, where in it the stream begins, its length; and lanes that are active at each step."""
+    count = np.clip(lengths // STREAM_IDS, 1, STREAMS)
+    block = np.repeat(np.arange(len(lengths)), count)
+    share = -(-lengths // count)[block]
+    start = (np.arange(len(block)) - np.repeat(np.cumsum(count) - count, count)) * share
+    size = np.clip(lengths[block] - start, 0, share)
+    order = np.argsort(-size, kind="stable")
+    active = np.searchsorted(-size[order], -np.arange(size.max()), "left")
+    return block[order], start[order], size[order], active
+
+
+class _Frequencies:
+    """Order-0 frequencies of all blocks: runs of equal ids in the sorted ids so far, after the runs of all new ids."""
+
+    def __init__(self, block: np.ndarray, steps: int):
+        self.key = (block << 16).astype(np.uint32)
+        self.ids = np.zeros((steps, len(block)), np.uint32)  # of each step and lane
+        self.keys, self.sizes, self.done = np.zeros(0, np.uint32), np.zeros(0, np.int64), 0
+        self.new_upto = np.cumsum(_NEW) - _NEW
+        self.new_run = np.repeat(np.arange(IDS, dtype=np.int32), _NEW)
+
+    def sum_up(self, t: int, k: int, search: bool):
+        """Takes in the steps before t, in which at least k lanes were active; search: runs are looked up by place, too."""
+        added = np.sort((self.ids[self.done : t, :k] | self.key[:k]).ravel())
+        heads = np.flatnonzero(np.diff(added, prepend=~added[:1]))
+        own, times, at = added[heads], np.diff(heads, append=len(added)), np.searchsorted(self.keys, added[heads])
+        fresh = self.keys.take(at, mode="clip") != own if len(self.keys) else np.ones(len(own), bool)
+        self.sizes[at[~fresh]] += times[~fresh]
+        to = at[fresh] + np.arange(fresh.sum())  # where ids that are new in their block go
+        keys, sizes, old = (np.empty(len(self.keys) + len(to), x) for x in (np.uint32, np.int64, bool))
+        old[:], old[to] = True, False
+        keys[old], keys[to], sizes[old], sizes[to] = self.keys, own[fresh], self.sizes, times[fresh]
+        self.keys, self.sizes, self.done = keys, sizes, t
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        if search:
+            self.run = np.concatenate([self.new_run, np.repeat(np.arange(IDS, IDS + len(sizes), dtype=np.int32), sizes)])
+            self.run_id = np.concatenate([np.arange(IDS), self.keys & 0xFFFF])
+        self.upto = np.concatenate([self.new_upto, _NEW_ALL + upto])
+        first, last = (upto[np.searchsorted(self.keys, x, side)] for x, side in ((self.key[:k], "left"), (self.key[:k] | np.uint32(0xFFFF), "right")))
+        # of known ids, then of new ones: where they begin, and their total
+        self.begin = np.stack([_NEW_ALL + first, np.zeros(k, np.int64)])
+        self.total = np.stack([np.maximum(1, last - first), np.full(k, _NEW_ALL)])
+
+
 class _Model:
-    """The predictions, frequencies and mixing weights of all lanes; lanes 0..k-1 are active at a step."""
-
-    def __init__(self, lanes: int):
-        self.base = np.arange(lanes, dtype=np.int64) * TABLE
-        self.id1, self.id2 = (np.full(lanes * TABLE, -1, np.int32) for _ in range(2))
-        self.sure1, self.sure2 = (np.zeros(lanes * TABLE, np.int8) for _ in range(2))
-        self.count = np.zeros((lanes, IDS), np.uint16)
-        self.upto = np.zeros((lanes, _ROWS * _ROW), np.int32)  # frequencies of all lower ids; at IDS the total
-        self.rows = np.zeros((lanes, _ROW), np.int32)  # the same at every 256th id
-        self.weight = np.tile(np.array([2, 2, 9, 0], np.int64), lanes * 32)  # of each context: order 2, order 1, neither
-        self.context = np.arange(lanes, dtype=np.int64) * 128
-        self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-
-    def sum_up(self, k: int):
-        for a in range(0, k, _SUMMED):
-            b = min(k, a + _SUMMED)
-            np.cumsum(_FIRST + _ADD * self.count[a:b].astype(np.int32), axis=1, out=self.upto[a:b, 1 : IDS + 1])
-            self.rows[a:b] = self.upto[a:b, :IDS:_ROW]
-
-    def frequency(self, lanes, ids):
-        """(start, width, total) of ids in the order-0 frequencies of their lanes."""
-        start = self.upto[lanes, ids]
-        return start, self.upto[lanes, ids + 1] - start, self.upto[lanes, IDS]
-
-    def find(self, lanes, target):
-        """The id in whose order-0 range the target lies."""
-        target = target.astype(np.int32)[:, None]  # if nothing lies above it, the place is the last: -1 of _ROW
-        row = ((self.rows[lanes] > target).argmax(1) - 1) % _ROW
-        inside = self.upto.reshape(len(self.upto), _ROWS, _ROW)[lanes, row]
-        return row * _ROW + ((inside > target).argmax(1) - 1) % _ROW
-
-    def predict(self, k: int):
-        self.at1 = self.base[:k] + ((self.last[:k] * 2654435761) >> 7) % TABLE
-        self.at2 = self.base[:k] + ((self.last[:k] * 40503 + self.before[:k] * 2654435761) >> 9) % TABLE
-        self.p2, self.p1 = self.id2[self.at2], self.id1[self.at1]
-        same = self.p1 == self.p2
-        self.ctx = self.context[:k] + (self.sure2[self.at2].astype(np.int64) << 5) + (self.sure1[self.at1].astype(np.int64) << 3) + (same.astype(np.int64) << 2)
-        w = self.weight
-        first = w[self.ctx]
-        second = first + w[self.ctx + 1]
-        self.total = second + w[self.ctx + 2]
-        return first, second, self.total
-
-    def update(self, k: int, ids: np.ndarray, symbol: np.ndarray):
-        w = self.weight
-        w[self.ctx + symbol] += 12
-        full = np.flatnonzero(self.total > 4000)
-        if len(full):
-            for j in range(3):
-                at = self.ctx[full] + j
-                w[at] = (w[at] + 1) >> 1
-        for known, sure, at, p in ((self.id1, self.sure1, self.at1, self.p1), (self.id2, self.sure2, self.at2, self.p2)):
-            hit = p == ids
-            c = sure[at]
-            known[at] = np.where(hit | (c > 0), p, ids)
-            sure[at] = np.where(hit, np.minimum(c + 1, 3), np.maximum(c - 1, 0))
-        self.count[np.arange(k), ids] += 1
-        self.before[:k] = self.last[:k]
-        self.last[:k] = ids
-
-
-def _order(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lanes by falling length, and how many are active at each step."""
-    order = np.argsort(-lengths, kind="stable")
-    active = np.searchsorted(-lengths[order], -np.arange(lengths.max() if len(lengths) else 0), "left")
-    return order, active
+    """Predictions of each block and mixing weights of each lane; lanes 0..k-1 are active at a step."""
+
+    def __init__(self, block: np.ndarray, blocks: int):
+        lanes = len(block)
+        self.table = np.full(blocks * 2 * TABLE, IDS << 6, np.int32)
+        self.table.reshape(blocks, 2, TABLE)[:, 0] |= 32
+        self.base = np.stack([block * 2 * TABLE, block * 2 * TABLE + TABLE])
+        self.weight, self.own = np.full(lanes * 32, _BEGIN), np.arange(lanes) * 32 - 32
+        self.context = np.zeros((2, lanes), np.uint32)  # the last two ids; the last id
+
+    def keep(self, k: int):
+        """From now on lanes 0..k-1 are active."""
+        self.base, self.own, self.context = self.base[:, :k].copy(), self.own[:k], self.context[:, :k].copy()
+
+    def predict(self):
+        """The ids of order 2 and 1, and the weights."""
+        self.at = (self.context * np.uint32(2654435761) >> np.uint32(19)) + self.base
+        self.found = self.table.take(self.at)
+        self.sure = self.found & _SURE
+        self.ids = self.found >> 6
+        self.place = self.sure[0] + self.sure[1] + (self.ids[0] == self.ids[1]) + self.own
+        self.now = self.weight.take(self.place)
+        return self.ids, self.now
+
+    def update(self, ids: np.ndarray, choice: np.ndarray):
+        self.weight[self.place] = self.now - (self.now >> np.uint64(5) & _KEEP) + _TO.take(choice)
+        sure = self.sure + (self.ids == ids)
+        after = self.found + _GAIN.take(sure)
+        np.copyto(after, (ids << 6) | _ROW, where=sure == _ROW)
+        self.table[self.at] = after  # of streams that meet, the last one counts
+        context = self.context
+        context[0] <<= 16
+        context[0] |= ids.view(np.uint32)
+        context[1] = ids
 
 
 def encode_ids(blocks: list[np.ndarray]) -> list[bytes]:
@@ -112,54 +142,62 @@ def encode_ids(blocks: list[np.ndarray]) -> list[bytes]:
         return []
     if any(len(b) and not 0 <= int(np.min(b)) <= int(np.max(b)) < IDS for b in blocks) or lengths.max() > BLOCK_IDS:
         raise ValueError("ids must be 0..65535, and a block's length at most BLOCK_IDS")
-    order, active = _order(lengths)
-    wide = np.zeros((int(lengths.max()), len(blocks)), np.int32)
-    for lane, b in enumerate(order):
-        wide[: lengths[b], lane] = blocks[b]
-    model, lanes = _Model(len(blocks)), np.arange(len(blocks))
-    low, rng = np.zeros(len(blocks), np.uint64), np.full(len(blocks), _FULL)
-    out, size = np.zeros((len(blocks), int(lengths.max()) // 2 + 1024), np.uint32), np.zeros(len(blocks), np.int64)
-
-    def narrow(at, start, width, r):
-        lo, r = low[at] + r * start, r * width
-        settled = (lo ^ (lo + r)) < _TOP
-        todo = np.flatnonzero(settled | (r < _TOP))
-        while len(todo):
-            tl, tr = lo[todo], r[todo]
+    block, starts, sizes, active = _streams(lengths)
+    known, model, lanes = _Frequencies(block, len(active)), _Model(block, len(blocks)), len(block)
+    rows = np.zeros(known.ids.shape[::-1], np.uint32)
+    for row, b, start, n in zip(rows, block, starts, sizes):
+        row[:n] = blocks[b][start : start + n]
+    known.ids[:] = rows.T
+    del rows
+    rank = np.tile(np.arange(IDS, dtype=np.int32), len(blocks))  # the run of each id of each block
+    low, rng = np.zeros(lanes, np.uint64), np.full(lanes, _FULL)
+    room = len(active) + 2  # a step writes one word at most
+    out, at_word = np.zeros(lanes * room, np.uint32), np.arange(lanes) * room
+    sums, now = sorted(_sums(len(active)) | {0, len(active)}), -1
+    for t0, t1 in zip(sums, sums[1:]):
+        k = active[t0]
+        known.sum_up(t0, k, False)
+        rank[known.keys] = np.arange(IDS, IDS + len(known.keys))
+        runs = rank.take(known.ids[t0:t1, :k] | known.key[:k])  # of lanes that end before t1 too
+        new = (runs < IDS).astype(np.int64)
+        for t in range(t0, t1):
+            if active[t] != now:
+                now = k = active[t]
+                model.keep(k)
+                low_k, rng_k = low[:k], rng[:k]
+            ids = known.ids[t, :k].view(np.int32)
+            (two, one), w = model.predict()
+            choice = 2 + new[t - t0, :k]
+            choice[one == ids] = 1
+            choice[two == ids] = 0
+            shift = _SHIFTS.take(choice)
+            start, end = (w << np.uint64(16)) >> shift & _FIELD, w >> shift & _FIELD
+            r = rng_k >> _15
+            low_k += r * start
+            np.multiply(r, end - start, out=rng_k)
+            raw = np.flatnonzero(choice > 1)
+            run, which = runs[t - t0].take(raw), (choice.take(raw) - 2) * known.begin.shape[1] + raw
+            first = known.upto.take(run)
+            r = rng_k.take(raw) // known.total.take(which).view(np.uint64)
+            low_k[raw] += r * (first - known.begin.take(which)).view(np.uint64)
+            rng_k[raw] = r * (known.upto.take(run + 1) - first).view(np.uint64)
+            todo = np.flatnonzero(rng_k < _TOP)
+            tl, tr = low_k.take(todo), rng_k.take(todo)
             # a range that straddles a word is cut to what lies before the boundary
-            tr = np.where((tl ^ (tl + tr)) < _TOP, tr, (~tl + _1) & (_TOP - _1))
-            lane = at[todo]
-            out[lane, size[lane]] = tl >> _32
-            size[lane] += 1
-            tl, tr = tl << _32, tr << _32
-            lo[todo], r[todo] = tl, tr
-            todo = todo[((tl ^ (tl + tr)) < _TOP) | (tr < _TOP)]
-        low[at], rng[at] = lo, r
-
-    sums = _sums(len(active))
-    for t, k in enumerate(active):
-        if t in sums:
-            model.sum_up(k)
-        if t % 64 == 0 and size.max() + 512 > out.shape[1]:  # a step writes at most 4 words
-            out = np.pad(out, ((0, 0), (0, out.shape[1])))
-        ids = wide[t, :k]
-        first, second, total = model.predict(k)
-        symbol = np.where(model.p2 == ids, 0, np.where(model.p1 == ids, 1, 2))
-        start = np.where(symbol == 0, 0, np.where(symbol == 1, first, second))
-        width = np.where(symbol == 0, first, np.where(symbol == 1, second, total)) - start
-        narrow(lanes[:k], start.astype(np.uint64), width.astype(np.uint64), rng[:k] // total.astype(np.uint64))
-        raw = np.flatnonzero(symbol == 2)
-        if len(raw):
-            start, width, total = model.frequency(raw, ids[raw])
-            narrow(raw, start.astype(np.uint64), width.astype(np.uint64), rng[raw] // total.astype(np.uint64))
-        model.update(k, ids, symbol)
+            tr = np.where((tl ^ (tl + tr)) < _TOP, tr, -tl & _LOW)
+            place = at_word.take(todo)
+            out[place] = tl >> _32
+            at_word[todo] = place + 1
+            low_k[todo] = tl << _32
+            rng_k[todo] = tr << _32
+            model.update(ids, choice)
     for shift in (_32, np.uint64(0)):
-        out[lanes, size] = (low >> shift) & np.uint64(0xFFFFFFFF)
-        size += 1
-    codes: list[bytes] = [b""] * len(blocks)
-    for lane, b in enumerate(order):
-        codes[b] = out[lane, : size[lane]].astype("<u4").tobytes()
-    return codes
+        out[at_word] = (low >> shift) & _LOW
+        at_word += 1
+    codes: list[list] = [[] for _ in blocks]
+    for lane in np.lexsort([starts, block]):
+        codes[block[lane]].append(out[lane * room : at_word[lane]].astype("<u4"))
+    return [np.array([len(c) for c in own], "<u4").tobytes() + b"".join(c.tobytes() for c in own) for own in codes]
 
 
 def decode_ids(codes: list[bytes], lengths) -> list[np.ndarray]:
@@ -167,57 +205,65 @@ def decode_ids(codes: list[bytes], lengths) -> list[np.ndarray]:
     lengths = np.asarray(lengths, dtype=np.int64)
     if not len(lengths):
         return []
-    order, active = _order(lengths)
-    most = max(map(len, codes)) // 4
-    data = np.zeros((len(codes), most + 4), np.uint32)
-    for lane, b in enumerate(order):
-        data[lane, : len(codes[b]) // 4] = np.frombuffer(codes[b], "<u4")
-    model, lanes = _Model(len(codes)), np.arange(len(codes))
-    low, rng = np.zeros(len(codes), np.uint64), np.full(len(codes), _FULL)
-    code, at_word = (data[:, 0].astype(np.uint64) << _32) | data[:, 1], np.full(len(codes), 2)
-    wide = np.zeros((int(lengths.max()), len(codes)), np.int32)
-
-    def narrow(at, start, width, r):
-        lo, r = low[at] + r * start, r * width
-        settled = (lo ^ (lo + r)) < _TOP
-        todo = np.flatnonzero(settled | (r < _TOP))
-        while len(todo):
-            tl, tr = lo[todo], r[todo]
-            tr = np.where((tl ^ (tl + tr)) < _TOP, tr, (~tl + _1) & (_TOP - _1))
-            lane = at[todo]
-            code[lane] = (code[lane] << _32) | data[lane, np.minimum(at_word[lane], most + 3)]
-            at_word[lane] += 1
-            tl, tr = tl << _32, tr << _32
-            lo[todo], r[todo] = tl, tr
-            todo = todo[((tl ^ (tl + tr)) < _TOP) | (tr < _TOP)]
-        low[at], rng[at] = lo, r
-
-    sums = _sums(len(active))
+    if lengths.max() > BLOCK_IDS:
+        raise ValueError("block length")
+    block, starts, sizes, active = _streams(lengths)
+    known, model, lanes = _Frequencies(block, len(active)), _Model(block, len(codes)), len(block)
+    data, words = np.frombuffer(b"".join(codes) + bytes(8), "<u4"), np.array([len(c) // 4 for c in codes])
+    at_block, at_word = np.cumsum(words) - words, np.zeros(lanes, np.int64)
+    in_order = np.lexsort([starts, block])
+    count = np.bincount(block, minlength=len(codes))
+    for b, own in enumerate(np.split(in_order, np.cumsum(count)[:-1])):
+        held = data[at_block[b] : at_block[b] + len(own)].astype(np.int64)
+        at_word[own] = at_block[b] + len(own) + np.cumsum(held) - held
+    word = lambda at: data.take(at, mode="clip").astype(np.uint64)
+    low, rng, code = np.zeros(lanes, np.uint64), np.full(lanes, _FULL), (word(at_word) << _32) | word(at_word + 1)
+    at_word += 2
+    sums, now = _sums(len(active)), -1
     for t, k in enumerate(active):
+        if k != now:
+            now = k
+            model.keep(k)
+            lane = np.arange(k)
+            low_k, rng_k, code_k = low[:k], rng[:k], code[:k]
+            bounds, found = np.zeros((5, k), np.uint64), np.zeros((4, k), np.int32)
         if t in sums:
-            model.sum_up(k)
-        first, second, total = model.predict(k)
-        r = rng[:k] // total.astype(np.uint64)
-        target = ((code[:k] - low[:k]) // r).astype(np.int64)
-        symbol = (first <= target).astype(np.int64) + (second <= target)
-        start = np.where(symbol == 0, 0, np.where(symbol == 1, first, second))
-        width = np.where(symbol == 0, first, np.where(symbol == 1, second, total)) - start
-        narrow(lanes[:k], start.astype(np.uint64), width.astype(np.uint64), r)
-        ids = np.where(symbol == 0, model.p2, model.p1)
-        raw = np.flatnonzero(symbol == 2)
-        if len(raw):
-            total = model.upto[raw, IDS]
-            r = rng[raw] // total.astype(np.uint64)
-            found = model.find(raw, np.minimum((code[raw] - low[raw]) // r, (total - 1).astype(np.uint64)).astype(np.int64))
-            start, width, _ = model.frequency(raw, found)
-            narrow(raw, start.astype(np.uint64), width.astype(np.uint64), r)
-            ids[raw] = found
-        wide[t, :k] = np.clip(ids, 0, IDS - 1)  # a damaged block may lead anywhere; its checksum tells
-        ids = wide[t, :k]
-        model.update(k, ids, symbol)
-    out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(codes)
-    for lane, b in enumerate(order):
-        out[b] = wide[: lengths[b], lane]
+            known.sum_up(t, k, True)
+        predicted, w = model.predict()
+        r, off = rng_k >> _15, code_k - low_k
+        upper = bounds[1:]
+        np.right_shift(w, _SHIFTS[:, None], out=upper)
+        upper &= _FIELD
+        upper *= r
+        choice = np.add.reduce(off >= bounds[1:4], axis=0, dtype=np.int64)
+        place = choice * k + lane
+        start = bounds.take(place)
+        np.subtract(bounds.take(place + k), start, out=rng_k)
+        low_k += start
+        found[:2] = predicted
+        raw = np.flatnonzero(choice > 1)
+        which = (choice.take(raw) - 2) * known.begin.shape[1] + raw
+        total, begin = known.total.take(which), known.begin.take(which)
+        r = rng_k.take(raw) // total.view(np.uint64)
+        target = ((off.take(raw) - start.take(raw)) // np.maximum(r, np.uint64(1))).view(np.int64)
+        run = known.run.take(begin + np.clip(target, 0, total - 1), mode="clip")
+        first = known.upto.take(run)
+        low_k[raw] += r * (first - begin).view(np.uint64)
+        rng_k[raw] = r * (known.upto.take(run + 1) - first).view(np.uint64)
+        found.ravel()[place.take(raw)] = known.run_id.take(run)
+        todo = np.flatnonzero(rng_k < _TOP)
+        tl, tr, at = low_k.take(todo), rng_k.take(todo), at_word.take(todo)
+        tr = np.where((tl ^ (tl + tr)) < _TOP, tr, -tl & _LOW)
+        low_k[todo] = tl << _32
+        rng_k[todo] = tr << _32
+        code_k[todo] = (code_k.take(todo) << _32) | word(at)
+        at_word[todo] = at + 1
+        ids = found.take(place) & (IDS - 1)  # a damaged block may lead anywhere; its checksum tells
+        known.ids[t, :k] = ids
+        model.update(ids, choice)
+    out = [np.zeros(n, np.int32) for n in lengths]
+    for row, b, start, n in zip(np.ascontiguousarray(known.ids.T), block, starts, sizes):
+        out[b][start : start + n] = row[:n]
     return out
 
 
