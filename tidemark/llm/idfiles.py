@@ -19,7 +19,7 @@ from ._base import bounded_batches, cut, read, small
 from .idcoder import BLOCK_IDS, PIECE, crc32_join, read_blocks, write_blocks
 from .tokens import encoder, in_steps
 
-#: Blocks that a task codes at once: bounds its memory (half a megabyte each).
+#: Blocks that a task codes at once: bounds its memory (about 0.6 MB each).
 LANES = 400
 BLOCKS = "part int, seq int, n_ids long, block binary"
 
