@@ -5,6 +5,7 @@ import gzip
 import itertools
 import random
 import re
+import tracemalloc
 import urllib.parse
 import zlib
 
@@ -468,6 +469,33 @@ def test_plain_words_go_to_the_model(name):
     assert not {t.strip() for t in seen} & set(plain) and {t.strip() for t in seen} & set(other)
 
 
+def test_equal_words_are_looked_up_once():
+    """Word-level: whatever its case and the signs after it, a word is remembered once, over generations too."""
+    e = tokens.BatchEncoder("word_bpe_49k.json", memo=4)
+    rng, letters = random.Random(4), "abcxyzéßÀÿØ"
+    long = "w" * 70
+    many = [" ".join("".join(rng.choices(letters, k=rng.randint(1, 6))) + rng.choice(["", ".", "?!", "'s", "\n", " "]) for _ in range(40)) for _ in range(30)]
+    for texts in (["Word word, WORD! word", "", None, "it's word"], ["Ä " + long, long.upper() + ".", "word"], many, many[::-1], [], [None]):
+        want = [x.ids for x in e.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+        ids, counts = e.encode(texts)
+        assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+        if texts[:1] == ["Word word, WORD! word"]:
+            assert set(e.bare) == {"word", ",", "!", "", "it's"}
+    assert long not in e.bare
+
+
+def test_small_blocks_take_little_memory():
+    """Coding keeps frequencies of the ids that occur, not of all."""
+    blocks = [np.arange(i, i + 20) for i in range(400)]
+    idcoder.encode_ids(blocks[:1])
+    tracemalloc.start()
+    codes = idcoder.encode_ids(blocks)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60e6
+    assert all((a == b).all() for a, b in zip(blocks, idcoder.decode_ids(codes, [20] * 400)))
+
+
 def test_id_files(spark):
     texts = [None if t is None else t * 40 for t in EDGE[:8]] + ["long word " * 9_000]
     got = idfiles.decode_documents(idfiles.encode_documents(docs(spark, *texts).repartition(3), "word_bpe_49k.json")).orderBy("doc_id").collect()

@@ -29,6 +29,8 @@ STREAM_IDS, STREAMS = 2048, 8
 #: Frequencies of ids that are new in a block: low ids, merged first, are likelier.
 _NEW = 1 + (1 << 14) // (np.arange(IDS) + 64)
 _NEW_ALL = int(_NEW.sum())
+#: Lanes that are turned into columns at once.
+_SIDE = 32
 #: Steps after which the order-0 frequencies are summed anew, as a share of those done.
 _GROWTH = 1 / 8
 #: Orders 2 and 1 in rows: a prediction is id << 6 with its confidence in these bits; bit 5 tells the orders apart.
@@ -66,38 +68,76 @@ def _streams(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 
 
 class _Frequencies:
-    """Order-0 frequencies of all blocks: runs of equal ids in the sorted ids so far, after the runs of all new ids."""
+    """Order-0 frequencies of all blocks as they are decoded: runs of equal ids in the sorted ids so far, after the runs of all new ids."""
 
-    def __init__(self, block: np.ndarray, steps: int):
+    def __init__(self, block: np.ndarray, steps: int, most: int):
         self.key = (block << 16).astype(np.uint32)
         self.ids = np.zeros((steps, len(block)), np.uint32)  # of each step and lane
-        self.keys, self.sizes, self.done = np.zeros(0, np.uint32), np.zeros(0, np.int64), 0
-        self.new_upto = np.cumsum(_NEW) - _NEW
-        self.new_run = np.repeat(np.arange(IDS, dtype=np.int32), _NEW)
+        self.keys, self.sizes, self.done = np.zeros(0, np.uint32), np.zeros(0, np.int32), 0
+        self.new = (np.cumsum(_NEW) - _NEW) << 16 | np.arange(IDS)
+        self.run = np.zeros(_NEW_ALL + most, np.int32)  # the run of each place
+        self.run[:_NEW_ALL] = np.repeat(np.arange(IDS, dtype=np.int32), _NEW)
 
-    def sum_up(self, t: int, k: int, search: bool):
-        """Takes in the steps before t, in which at least k lanes were active; search: runs are looked up by place, too."""
+    def sum_up(self, t: int, k: int):
+        """Takes in the steps before t, in which at least k lanes were active."""
         added = np.sort((self.ids[self.done : t, :k] | self.key[:k]).ravel())
         heads = np.flatnonzero(np.diff(added, prepend=~added[:1]))
         own, times, at = added[heads], np.diff(heads, append=len(added)), np.searchsorted(self.keys, added[heads])
         fresh = self.keys.take(at, mode="clip") != own if len(self.keys) else np.ones(len(own), bool)
         self.sizes[at[~fresh]] += times[~fresh]
         to = at[fresh] + np.arange(fresh.sum())  # where ids that are new in their block go
-        keys, sizes, old = (np.empty(len(self.keys) + len(to), x) for x in (np.uint32, np.int64, bool))
+        keys, sizes, old = (np.empty(len(self.keys) + len(to), x) for x in (np.uint32, np.int32, bool))
         old[:], old[to] = True, False
         keys[old], keys[to], sizes[old], sizes[to] = self.keys, own[fresh], self.sizes, times[fresh]
         self.keys, self.sizes, self.done = keys, sizes, t
-        upto = np.concatenate([[0], np.cumsum(sizes)])
-        if search:
-            self.run = np.concatenate([self.new_run, np.repeat(np.arange(IDS, IDS + len(sizes), dtype=np.int32), sizes)])
-            self.run_id = np.concatenate([np.arange(IDS), self.keys & 0xFFFF])
-        self.upto = np.concatenate([self.new_upto, _NEW_ALL + upto])
+        upto = np.zeros(1 + len(sizes), np.int64)
+        np.cumsum(sizes, out=upto[1:])
+        self.run[_NEW_ALL : _NEW_ALL + upto[-1]] = np.repeat(np.arange(IDS, IDS + len(sizes), dtype=np.int32), sizes)
+        self.runs = np.concatenate([self.new, (upto + _NEW_ALL) << 16])  # where each run begins, and in the low 16 bits its id
+        self.runs[IDS:-1] |= keys & np.uint32(0xFFFF)
         first, last = (upto[np.searchsorted(self.keys, x, side)] for x, side in ((self.key[:k], "left"), (self.key[:k] | np.uint32(0xFFFF), "right")))
         # of known ids, then of new ones: where they begin, and their total
         self.begin = np.stack([_NEW_ALL + first, np.zeros(k, np.int64)])
         self.total = np.stack([np.maximum(1, last - first), np.full(k, _NEW_ALL)])
 
 
+class _Counts:
+    """The same frequencies where all ids are known before: runs of all new ids, then of all different ids of each block."""
+
+    def __init__(self, blocks: list[np.ndarray], block: np.ndarray, steps: int):
+        self.places, self.bounds, self.done = np.zeros((steps, len(block)), np.int32), np.zeros(len(blocks) + 1, np.int64), 0
+        self.runs = []  # of each block's ids
+        for i, ids in enumerate(blocks):
+            seen = np.zeros(IDS, bool)
+            seen[ids] = True
+            upto = np.cumsum(seen, dtype=np.int32)
+            self.runs.append(upto[ids] + np.int32(self.bounds[i] - 1))
+            self.bounds[i + 1] = self.bounds[i] + upto[-1]
+        self.block = block
+        self.sizes = np.zeros(1 + self.bounds[-1], np.uint32)
+        self.sizes[0] = _NEW_ALL
+        self.upto = np.concatenate([np.cumsum(_NEW) - _NEW, self.sizes]).astype(np.uint32)
+
+    def sum_up(self, t: int, k: int):
+        """Takes in the steps before t, in which at least k lanes were active."""
+        np.add.at(self.sizes, self.places[self.done : t, :k].ravel() + 1, np.uint32(1))
+        self.done = t
+        np.cumsum(self.sizes, out=self.upto[IDS:])
+        at = IDS + self.bounds
+        self.begin = self.upto[at[self.block[:k]]]
+        self.total = np.maximum(self.upto[at[self.block[:k] + 1]] - self.begin, np.uint32(1))
+
+    def look_up(self, ids: np.ndarray, to: int):
+        """Of the steps from here to `to`: which ids are new; where each begins, its frequency, and the total of its kind."""
+        places = self.places[self.done : to, : ids.shape[1]]
+        size = self.sizes.take(places + 1)
+        new = size == 0
+        first = self.upto.take(np.where(new, ids, places + IDS))
+        first -= np.where(new, np.uint32(0), self.begin)
+        size[new] = _NEW.take(ids[new])
+        return new, first, size, np.where(new, np.uint32(_NEW_ALL), self.total)
+
+
 class _Model:
     """Predictions of each block and mixing weights of each lane; lanes 0..k-1 are active at a step."""
 
@@ -128,7 +168,7 @@ class _Model:
         sure = self.sure + (self.ids == ids)
         after = self.found + _GAIN.take(sure)
         np.copyto(after, (ids << 6) | _ROW, where=sure == _ROW)
-        self.table[self.at] = after  # of streams that meet, the last one counts
+        self.table[self.at.ravel()] = after.ravel()  # of streams that meet, the last one counts
         context = self.context
         context[0] <<= 16
         context[0] |= ids.view(np.uint32)
@@ -143,31 +183,33 @@ def encode_ids(blocks: list[np.ndarray]) -> list[bytes]:
     if any(len(b) and not 0 <= int(np.min(b)) <= int(np.max(b)) < IDS for b in blocks) or lengths.max() > BLOCK_IDS:
         raise ValueError("ids must be 0..65535, and a block's length at most BLOCK_IDS")
     block, starts, sizes, active = _streams(lengths)
-    known, model, lanes = _Frequencies(block, len(active)), _Model(block, len(blocks)), len(block)
-    rows = np.zeros(known.ids.shape[::-1], np.uint32)
-    for row, b, start, n in zip(rows, block, starts, sizes):
-        row[:n] = blocks[b][start : start + n]
-    known.ids[:] = rows.T
-    del rows
-    rank = np.tile(np.arange(IDS, dtype=np.int32), len(blocks))  # the run of each id of each block
+    known, model, lanes = _Counts(blocks, block, len(active)), _Model(block, len(blocks)), len(block)
+    steps_ids = np.zeros(known.places.shape, np.int32)  # of each step and lane
+    for all_rows, of in ((steps_ids, blocks), (known.places, known.runs)):
+        for first in range(0, lanes, _SIDE):
+            some = slice(first, first + _SIDE)
+            rows = np.zeros((len(block[some]), len(active)), np.int32)
+            for row, b, start, n in zip(rows, block[some], starts[some], sizes[some]):
+                row[:n] = of[b][start : start + n]
+            all_rows[:, some] = rows.T
+    del known.runs
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, _FULL)
     room = len(active) + 2  # a step writes one word at most
-    out, at_word = np.zeros(lanes * room, np.uint32), np.arange(lanes) * room
+    out, at_word = np.zeros(lanes * room, np.uint32), np.arange(lanes)  # the first words of all lanes, the second ones, ...
     sums, now = sorted(_sums(len(active)) | {0, len(active)}), -1
     for t0, t1 in zip(sums, sums[1:]):
         k = active[t0]
-        known.sum_up(t0, k, False)
-        rank[known.keys] = np.arange(IDS, IDS + len(known.keys))
-        runs = rank.take(known.ids[t0:t1, :k] | known.key[:k])  # of lanes that end before t1 too
-        new = (runs < IDS).astype(np.int64)
+        known.sum_up(t0, k)
+        new, firsts, freqs, totals = known.look_up(steps_ids[t0:t1, :k], t1)  # of lanes that end before t1 too
+        kind = 2 + new.astype(np.int64)
         for t in range(t0, t1):
             if active[t] != now:
                 now = k = active[t]
                 model.keep(k)
                 low_k, rng_k = low[:k], rng[:k]
-            ids = known.ids[t, :k].view(np.int32)
+            ids = steps_ids[t, :k]
             (two, one), w = model.predict()
-            choice = 2 + new[t - t0, :k]
+            choice = kind[t - t0, :k]
             choice[one == ids] = 1
             choice[two == ids] = 0
             shift = _SHIFTS.take(choice)
@@ -176,27 +218,27 @@ def encode_ids(blocks: list[np.ndarray]) -> list[bytes]:
             low_k += r * start
             np.multiply(r, end - start, out=rng_k)
             raw = np.flatnonzero(choice > 1)
-            run, which = runs[t - t0].take(raw), (choice.take(raw) - 2) * known.begin.shape[1] + raw
-            first = known.upto.take(run)
-            r = rng_k.take(raw) // known.total.take(which).view(np.uint64)
-            low_k[raw] += r * (first - known.begin.take(which)).view(np.uint64)
-            rng_k[raw] = r * (known.upto.take(run + 1) - first).view(np.uint64)
+            r = rng_k.take(raw) // totals[t - t0].take(raw)
+            low_k[raw] += r * firsts[t - t0].take(raw)
+            rng_k[raw] = r * freqs[t - t0].take(raw)
             todo = np.flatnonzero(rng_k < _TOP)
             tl, tr = low_k.take(todo), rng_k.take(todo)
             # a range that straddles a word is cut to what lies before the boundary
             tr = np.where((tl ^ (tl + tr)) < _TOP, tr, -tl & _LOW)
             place = at_word.take(todo)
             out[place] = tl >> _32
-            at_word[todo] = place + 1
+            at_word[todo] = place + lanes
             low_k[todo] = tl << _32
             rng_k[todo] = tr << _32
             model.update(ids, choice)
     for shift in (_32, np.uint64(0)):
         out[at_word] = (low >> shift) & _LOW
-        at_word += 1
+        at_word += lanes
+    count = at_word // lanes
+    words = np.ascontiguousarray(out.reshape(room, lanes)[: count.max()].T, "<u4")
     codes: list[list] = [[] for _ in blocks]
     for lane in np.lexsort([starts, block]):
-        codes[block[lane]].append(out[lane * room : at_word[lane]].astype("<u4"))
+        codes[block[lane]].append(words[lane, : count[lane]])
     return [np.array([len(c) for c in own], "<u4").tobytes() + b"".join(c.tobytes() for c in own) for own in codes]
 
 
@@ -208,17 +250,24 @@ def decode_ids(codes: list[bytes], lengths) -> list[np.ndarray]:
     if lengths.max() > BLOCK_IDS:
         raise ValueError("block length")
     block, starts, sizes, active = _streams(lengths)
-    known, model, lanes = _Frequencies(block, len(active)), _Model(block, len(codes)), len(block)
-    data, words = np.frombuffer(b"".join(codes) + bytes(8), "<u4"), np.array([len(c) // 4 for c in codes])
-    at_block, at_word = np.cumsum(words) - words, np.zeros(lanes, np.int64)
+    known, model, lanes = _Frequencies(block, len(active), int(lengths.sum())), _Model(block, len(codes)), len(block)
     in_order = np.lexsort([starts, block])
     count = np.bincount(block, minlength=len(codes))
-    for b, own in enumerate(np.split(in_order, np.cumsum(count)[:-1])):
-        held = data[at_block[b] : at_block[b] + len(own)].astype(np.int64)
-        at_word[own] = at_block[b] + len(own) + np.cumsum(held) - held
+    parts: list = [None] * lanes  # the words of each lane
+    for c, own in zip(codes, np.split(in_order, np.cumsum(count)[:-1])):
+        data = np.frombuffer(c, "<u4", len(c) // 4)
+        ends = len(own) + np.cumsum(data[: len(own)].astype(np.int64))
+        if len(ends) != len(own) or ends[-1] != len(data):
+            raise ValueError("lengths of a block's streams")
+        for lane, part in zip(own, np.split(data, [len(own), *ends[:-1]])[1:]):
+            parts[lane] = part
+    data = np.zeros((lanes, 2 + max(map(len, parts))), np.uint32)
+    for row, part in zip(data, parts):
+        row[: len(part)] = part
+    data, at_word = np.ascontiguousarray(data.T).ravel(), np.arange(lanes)  # the first words of all lanes, the second ones, ...
     word = lambda at: data.take(at, mode="clip").astype(np.uint64)
-    low, rng, code = np.zeros(lanes, np.uint64), np.full(lanes, _FULL), (word(at_word) << _32) | word(at_word + 1)
-    at_word += 2
+    low, rng, code = np.zeros(lanes, np.uint64), np.full(lanes, _FULL), (word(at_word) << _32) | word(at_word + lanes)
+    at_word += 2 * lanes
     sums, now = _sums(len(active)), -1
     for t, k in enumerate(active):
         if k != now:
@@ -228,14 +277,15 @@ def decode_ids(codes: list[bytes], lengths) -> list[np.ndarray]:
             low_k, rng_k, code_k = low[:k], rng[:k], code[:k]
             bounds, found = np.zeros((5, k), np.uint64), np.zeros((4, k), np.int32)
         if t in sums:
-            known.sum_up(t, k, True)
+            known.sum_up(t, k)
         predicted, w = model.predict()
         r, off = rng_k >> _15, code_k - low_k
         upper = bounds[1:]
         np.right_shift(w, _SHIFTS[:, None], out=upper)
         upper &= _FIELD
         upper *= r
-        choice = np.add.reduce(off >= bounds[1:4], axis=0, dtype=np.int64)
+        over = (off >= bounds[1:4]).view(np.int8)
+        choice = (over[0] + over[1] + over[2]).astype(np.int64)
         place = choice * k + lane
         start = bounds.take(place)
         np.subtract(bounds.take(place + k), start, out=rng_k)
@@ -245,25 +295,28 @@ def decode_ids(codes: list[bytes], lengths) -> list[np.ndarray]:
         which = (choice.take(raw) - 2) * known.begin.shape[1] + raw
         total, begin = known.total.take(which), known.begin.take(which)
         r = rng_k.take(raw) // total.view(np.uint64)
-        target = ((off.take(raw) - start.take(raw)) // np.maximum(r, np.uint64(1))).view(np.int64)
-        run = known.run.take(begin + np.clip(target, 0, total - 1), mode="clip")
-        first = known.upto.take(run)
+        target = (off.take(raw) - start.take(raw)) // np.maximum(r, np.uint64(1))
+        run = known.run.take(begin + np.minimum(target, (total - 1).view(np.uint64)).view(np.int64), mode="clip")
+        here = known.runs.take(run)
+        first = here >> 16
         low_k[raw] += r * (first - begin).view(np.uint64)
-        rng_k[raw] = r * (known.upto.take(run + 1) - first).view(np.uint64)
-        found.ravel()[place.take(raw)] = known.run_id.take(run)
+        rng_k[raw] = r * ((known.runs.take(run + 1) >> 16) - first).view(np.uint64)
+        found.ravel()[place.take(raw)] = here & 0xFFFF
         todo = np.flatnonzero(rng_k < _TOP)
         tl, tr, at = low_k.take(todo), rng_k.take(todo), at_word.take(todo)
         tr = np.where((tl ^ (tl + tr)) < _TOP, tr, -tl & _LOW)
         low_k[todo] = tl << _32
         rng_k[todo] = tr << _32
         code_k[todo] = (code_k.take(todo) << _32) | word(at)
-        at_word[todo] = at + 1
+        at_word[todo] = at + lanes
         ids = found.take(place) & (IDS - 1)  # a damaged block may lead anywhere; its checksum tells
         known.ids[t, :k] = ids
         model.update(ids, choice)
     out = [np.zeros(n, np.int32) for n in lengths]
-    for row, b, start, n in zip(np.ascontiguousarray(known.ids.T), block, starts, sizes):
-        out[b][start : start + n] = row[:n]
+    for first in range(0, lanes, _SIDE):
+        some = slice(first, first + _SIDE)
+        for row, b, start, n in zip(np.ascontiguousarray(known.ids[:, some].T), block[some], starts[some], sizes[some]):
+            out[b][start : start + n] = row[:n]
     return out
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
 import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from ._base import kept
 
@@ -15,6 +18,9 @@ from ._base import kept
 MEMO_CHUNKS, CHUNK_CHARS = 320_000, 64
 #: Letters of Latin-1, then ASCII signs: both tokenizers part such a chunk exactly there. An apostrophe may begin a contraction.
 _PLAIN = re.compile("( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+_LETTERS, _SIGNS = ("".join(chr(i) for i in range(33, 256) if re.fullmatch(x, chr(i))) for x in ("[A-Za-zÀ-ÖØ-öø-ÿ]", "[!-&(-/:-@\\[-`{-~]"))
+#: Words that the tokenizer gets as one text.
+WORDS = 64
 
 
 def tokenizer_path(name_or_path: str) -> str:
@@ -34,6 +40,8 @@ def _characters() -> list[str]:
 
 
 _CHARACTERS = _characters()
+#: The same, but a space stays one.
+_TABLE = "".join(_CHARACTERS[:32]) + " " + "".join(_CHARACTERS[33:])
 
 
 class _Memo(dict):
@@ -51,6 +59,18 @@ class _Memo(dict):
         return n
 
 
+def _gather(flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """flat[first:first + size] of all, one behind the other."""
+    upto = np.cumsum(size)
+    where = np.repeat(first - (upto - size), size)
+    where += np.arange(len(where))
+    return flat[where]
+
+
+def _strings(found: pa.Array) -> list[str]:
+    return found.to_numpy(zero_copy_only=False).tolist()
+
+
 class BatchEncoder:
     """encode(texts) gives all ids in one array and the number of ids of each text.
 
@@ -59,6 +79,9 @@ class BatchEncoder:
     space or line feed lies between words. Chunks cut there encode as they do within their text; a text with
     other runs of white space is encoded whole where that matters. Chunks are remembered in two generations: the
     older one is dropped when the newer is full, and what is met again moves to the newer one.
+
+    For the word-level one the equal chunks of all texts given at once are looked up once, and letters apart from the
+    signs after them.
     """
 
     def __init__(self, name_or_path: str, memo: int = MEMO_CHUNKS):
@@ -77,6 +100,14 @@ class BatchEncoder:
             sizes = self.tokenizer.get_vocab()
             self.token_bytes = np.zeros(max(sizes.values()) + 1, np.int64)
             self.token_bytes[list(sizes.values())] = [len(t) for t in sizes]
+        if self.words_only:  # for words as the model gets them; a word's last id is that of a token with the suffix
+            from tokenizers import pre_tokenizers
+
+            vocabulary, suffix = self.tokenizer.get_vocab(), spec["model"]["end_of_word_suffix"]
+            self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.last[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+            self.words = Tokenizer(self.model)
+            self.words.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
         self.run = re.compile(r"\s\s")
         self.most = memo
         self.bare, self.spaced, self.ids = None, None, ()
@@ -135,6 +166,60 @@ class BatchEncoder:
             at[n], size[n] = first, len(flat) - first
         return rest
 
+    def _number_words(self, words: list[str]) -> np.ndarray:
+        """The numbers of different lower-cased words of letters; the model gets many unknown ones at once."""
+        known, old = self.bare.get, self.bare.old
+        numbers = np.array([-1 if n is None else n for n in map(known, words)], np.int64)
+        missing = np.flatnonzero(numbers < 0)
+        fresh = []
+        for k in missing.tolist():
+            if words[k] in old:
+                numbers[k] = self.bare[words[k]]
+            else:
+                fresh.append(k)
+        if not fresh:
+            return numbers
+        new = [words[k] for k in fresh]
+        rows = [codecs.charmap_decode(" ".join(new[i : i + WORDS]).encode(), "strict", _TABLE)[0] for i in range(0, len(new), WORDS)]
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.words.encode_batch_fast(rows, add_special_tokens=False)])
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(new) or ends[-1] != len(ids):
+            raise ValueError("words do not part where their tokens end")
+        numbers[fresh] = np.arange(len(self.at), len(self.at) + len(new))
+        self.at.frombytes((len(self.flat) + np.r_[0, ends[:-1]]).astype(np.int64).tobytes())
+        self.size.frombytes(np.diff(ends, prepend=0).astype(np.int32).tobytes())
+        self.flat.frombytes(ids.tobytes())
+        self.bare.update((w, n) for w, n in zip(new, numbers[fresh].tolist()) if len(w) <= CHUNK_CHARS)
+        return numbers
+
+    def _encode_words(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """encode(texts) where every space or line feed lies between words."""
+        texts = pa.array([t or "" for t in texts], pa.large_string())
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        chunks = lists.values.dictionary_encode()
+        found, numbers = chunks.dictionary, self.bare.__getitem__
+        words, signs = pc.utf8_rtrim(found, _SIGNS), pc.utf8_ltrim(found, _LETTERS)
+        in_word = pc.binary_length(words).to_numpy()
+        plain = (in_word > 0) & (in_word + pc.binary_length(signs).to_numpy() == pc.binary_length(found).to_numpy())
+        words = pc.utf8_lower(words.filter(pa.array(plain))).dictionary_encode()
+        signs = signs.filter(pa.array(plain)).dictionary_encode()
+        of_words = self._number_words(_strings(words.dictionary))
+        of_signs = np.array(list(map(numbers, _strings(signs.dictionary))), np.int64)
+        other = list(map(numbers, _strings(found.filter(pa.array(~plain)))))
+        self._flush()
+        # each chunk's pieces: a word and the signs after it, or the chunk itself and nothing
+        pieces = np.zeros((len(found), 2), np.int64)
+        pieces[plain, 0], pieces[plain, 1] = of_words[words.indices.to_numpy()], of_signs[signs.indices.to_numpy()]
+        pieces[~plain, 0] = other
+        sizes = np.frombuffer(self.size, np.int32)[pieces].astype(np.int64)
+        sizes[~plain, 1] = 0
+        ids = _gather(np.frombuffer(self.flat, np.uint32), np.frombuffer(self.at, np.int64)[pieces].ravel(), sizes.ravel())
+        size = sizes.sum(1)
+        at, which = np.cumsum(size) - size, chunks.indices.to_numpy()
+        size = size[which]
+        upto = np.concatenate([[0], np.cumsum(size)])[lists.offsets.to_numpy()]
+        return _gather(ids, at[which], size), np.diff(upto)
+
     def _flush(self):
         apart = self._flush_plain()
         if self.token_bytes is not None:  # words with a space before them are as well encoded one behind the other
@@ -167,13 +252,13 @@ class BatchEncoder:
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         if len(self.at) > self.most:
             self._turn()
+        if self.words_only:
+            return self._encode_words(texts)
         chunks, ends = [], []
         bare, spaced = self.bare, self.spaced
         for t in texts:
             t = t or ""
-            if self.words_only:
-                chunks.extend(map(bare.__getitem__, t.replace("\n", " ").split(" ")))
-            elif self.run.search(t):
+            if self.run.search(t):
                 chunks.append(self.number(t))  # not remembered
             else:
                 feed = False
