@@ -484,6 +484,38 @@ def test_equal_words_are_looked_up_once():
     assert long not in e.bare
 
 
+def test_remembered_words_are_no_python_objects():
+    """Word-level: words and their ids are kept side by side; in Python only their hashes and places."""
+    e = tokens.BatchEncoder("word_bpe_49k.json")
+    e.encode(["a"])
+    text = " ".join("".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(20_000))
+    tracemalloc.start()
+    first = e.encode([text])[0].tolist()
+    again = e.encode([text])[0].tolist() == first
+    del first
+    now = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert again and len(set(e.bare)) >= 20_000 and now < 1e6
+
+
+@pytest.mark.parametrize("some", [1, 2, 50])
+def test_words_of_equal_hashes_are_told_apart(monkeypatch, some):
+    e = tokens.BatchEncoder("word_bpe_49k.json", memo=20)
+    monkeypatch.setattr(tokens, "_hashes", lambda texts: np.arange(len(texts)).astype(np.uint64) % np.uint64(some))
+    for texts in (TEXTS, TEXTS[::-1], ["one two, three! it's"], ["three two one's x1"], TEXTS):
+        want = [x.ids for x in e.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+        ids, counts = e.encode(texts)
+        assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+
+
+def test_codes_stay_as_they_are():
+    """Files written before can be read: codes are the same bytes."""
+    i = np.arange(40_000, dtype=np.int64)
+    ids = (i * i % 977 * (i % 13 == 0) + i % 50 + i // 7 % 300).astype(np.uint32)
+    codes = idcoder.encode_ids([ids[: idcoder.BLOCK_IDS], ids[idcoder.BLOCK_IDS : 2 * idcoder.BLOCK_IDS], ids[2 * idcoder.BLOCK_IDS :]])
+    assert zlib.crc32(b"".join(codes)) == 1678610808
+
+
 def test_small_blocks_take_little_memory():
     """Coding keeps frequencies of the ids that occur, not of all."""
     blocks = [np.arange(i, i + 20) for i in range(400)]

@@ -29,8 +29,9 @@ STREAM_IDS, STREAMS = 2048, 8
 #: Frequencies of ids that are new in a block: low ids, merged first, are likelier.
 _NEW = 1 + (1 << 14) // (np.arange(IDS) + 64)
 _NEW_ALL = int(_NEW.sum())
-#: Lanes that are turned into columns at once.
-_SIDE = 32
+#: Lanes that are turned into columns at once, and what keeps their rows from beginning a power of two apart (such rows share
+#: few places of a cache).
+_SIDE, _APART = 128, 16
 #: Steps after which the order-0 frequencies are summed anew, as a share of those done.
 _GROWTH = 1 / 8
 #: Orders 2 and 1 in rows: a prediction is id << 6 with its confidence in these bits; bit 5 tells the orders apart.
@@ -74,7 +75,7 @@ class _Frequencies:
         self.key = (block << 16).astype(np.uint32)
         self.ids = np.zeros((steps, len(block)), np.uint32)  # of each step and lane
         self.keys, self.sizes, self.done = np.zeros(0, np.uint32), np.zeros(0, np.int32), 0
-        self.new = (np.cumsum(_NEW) - _NEW) << 16 | np.arange(IDS)
+        self.new = (np.cumsum(_NEW) - _NEW) << 32 | _NEW << 16 | np.arange(IDS)
         self.run = np.zeros(_NEW_ALL + most, np.int32)  # the run of each place
         self.run[:_NEW_ALL] = np.repeat(np.arange(IDS, dtype=np.int32), _NEW)
 
@@ -92,13 +93,16 @@ class _Frequencies:
         self.keys, self.sizes, self.done = keys, sizes, t
         upto = np.zeros(1 + len(sizes), np.int64)
         np.cumsum(sizes, out=upto[1:])
-        self.run[_NEW_ALL : _NEW_ALL + upto[-1]] = np.repeat(np.arange(IDS, IDS + len(sizes), dtype=np.int32), sizes)
-        self.runs = np.concatenate([self.new, (upto + _NEW_ALL) << 16])  # where each run begins, and in the low 16 bits its id
-        self.runs[IDS:-1] |= keys & np.uint32(0xFFFF)
+        run = self.run[_NEW_ALL : _NEW_ALL + upto[-1]]
+        run[:] = 0
+        run[upto[:-1]] = 1
+        run[:1] = IDS
+        np.add.accumulate(run, out=run)
+        # of each run: where it begins, its size in 16 bits, its id in 16 bits
+        self.runs = np.concatenate([self.new, (upto[:-1] + _NEW_ALL) << 32 | sizes << np.int64(16) | keys & np.uint32(0xFFFF)]).view(np.uint64)
         first, last = (upto[np.searchsorted(self.keys, x, side)] for x, side in ((self.key[:k], "left"), (self.key[:k] | np.uint32(0xFFFF), "right")))
-        # of known ids, then of new ones: where they begin, and their total
-        self.begin = np.stack([_NEW_ALL + first, np.zeros(k, np.int64)])
-        self.total = np.stack([np.maximum(1, last - first), np.full(k, _NEW_ALL)])
+        # of known ids: where they begin, and their total
+        self.begin, self.total = (_NEW_ALL + first).view(np.uint64), np.maximum(1, last - first).view(np.uint64)
 
 
 class _Counts:
@@ -107,35 +111,41 @@ class _Counts:
     def __init__(self, blocks: list[np.ndarray], block: np.ndarray, steps: int):
         self.places, self.bounds, self.done = np.zeros((steps, len(block)), np.int32), np.zeros(len(blocks) + 1, np.int64), 0
         self.runs = []  # of each block's ids
+        seen, place = np.zeros(IDS, bool), np.zeros(IDS, np.int32)
         for i, ids in enumerate(blocks):
-            seen = np.zeros(IDS, bool)
+            ids = np.asarray(ids).astype(np.intp)
             seen[ids] = True
-            upto = np.cumsum(seen, dtype=np.int32)
-            self.runs.append(upto[ids] + np.int32(self.bounds[i] - 1))
-            self.bounds[i + 1] = self.bounds[i] + upto[-1]
+            own = np.flatnonzero(seen)
+            seen[own] = False
+            self.bounds[i + 1] = self.bounds[i] + len(own)
+            place[own] = np.arange(self.bounds[i], self.bounds[i + 1])
+            self.runs.append(place[ids])
         self.block = block
         self.sizes = np.zeros(1 + self.bounds[-1], np.uint32)
         self.sizes[0] = _NEW_ALL
-        self.upto = np.concatenate([np.cumsum(_NEW) - _NEW, self.sizes]).astype(np.uint32)
+        self.upto, self.first_new = self.sizes.copy(), (np.cumsum(_NEW) - _NEW).astype(np.uint32)
 
     def sum_up(self, t: int, k: int):
         """Takes in the steps before t, in which at least k lanes were active."""
-        np.add.at(self.sizes, self.places[self.done : t, :k].ravel() + 1, np.uint32(1))
+        np.add.at(self.sizes[1:], self.places[self.done : t, :k].ravel().astype(np.intp), np.uint32(1))
         self.done = t
-        np.cumsum(self.sizes, out=self.upto[IDS:])
-        at = IDS + self.bounds
-        self.begin = self.upto[at[self.block[:k]]]
-        self.total = np.maximum(self.upto[at[self.block[:k] + 1]] - self.begin, np.uint32(1))
+        np.add.accumulate(self.sizes, out=self.upto)
+        self.begin = self.upto[self.bounds[self.block[:k]]]
+        self.total = np.maximum(self.upto[self.bounds[self.block[:k] + 1]] - self.begin, np.uint32(1))
 
     def look_up(self, ids: np.ndarray, to: int):
         """Of the steps from here to `to`: which ids are new; where each begins, its frequency, and the total of its kind."""
-        places = self.places[self.done : to, : ids.shape[1]]
-        size = self.sizes.take(places + 1)
+        places = self.places[self.done : to, : ids.shape[1]].astype(np.intp)
+        first = self.upto.take(places)
+        places += 1
+        size = self.upto.take(places) - first
+        first -= self.begin
         new = size == 0
-        first = self.upto.take(np.where(new, ids, places + IDS))
-        first -= np.where(new, np.uint32(0), self.begin)
-        size[new] = _NEW.take(ids[new])
-        return new, first, size, np.where(new, np.uint32(_NEW_ALL), self.total)
+        total = np.where(new, np.uint32(_NEW_ALL), self.total)
+        at = np.flatnonzero(new)
+        own = ids.ravel().take(at)
+        first.ravel()[at], size.ravel()[at] = self.first_new.take(own), _NEW.take(own)
+        return new, first, size, total
 
 
 class _Model:
@@ -145,7 +155,7 @@ class _Model:
         lanes = len(block)
         self.table = np.full(blocks * 2 * TABLE, IDS << 6, np.int32)
         self.table.reshape(blocks, 2, TABLE)[:, 0] |= 32
-        self.base = np.stack([block * 2 * TABLE, block * 2 * TABLE + TABLE])
+        self.base = np.stack([block * 2 * TABLE, block * 2 * TABLE + TABLE]).astype(np.intp)
         self.weight, self.own = np.full(lanes * 32, _BEGIN), np.arange(lanes) * 32 - 32
         self.context = np.zeros((2, lanes), np.uint32)  # the last two ids; the last id
 
@@ -155,19 +165,26 @@ class _Model:
 
     def predict(self):
         """The ids of order 2 and 1, and the weights."""
-        self.at = (self.context * np.uint32(2654435761) >> np.uint32(19)) + self.base
+        self.at = (self.context * np.uint32(2654435761) >> np.uint32(19)).astype(np.intp)
+        self.at += self.base
         self.found = self.table.take(self.at)
         self.sure = self.found & _SURE
         self.ids = self.found >> 6
-        self.place = self.sure[0] + self.sure[1] + (self.ids[0] == self.ids[1]) + self.own
+        place = self.sure[0] + self.sure[1]
+        place += self.ids[0] == self.ids[1]
+        self.place = place.astype(np.intp)
+        self.place += self.own
         self.now = self.weight.take(self.place)
         return self.ids, self.now
 
-    def update(self, ids: np.ndarray, choice: np.ndarray):
-        self.weight[self.place] = self.now - (self.now >> np.uint64(5) & _KEEP) + _TO.take(choice)
-        sure = self.sure + (self.ids == ids)
+    def update(self, ids: np.ndarray, choice: np.ndarray, right: np.ndarray):
+        """right: which of the predictions were."""
+        now = self.now - (self.now >> np.uint64(5) & _KEEP)
+        now += _TO.take(choice)
+        self.weight[self.place] = now
+        sure = self.sure + right
         after = self.found + _GAIN.take(sure)
-        np.copyto(after, (ids << 6) | _ROW, where=sure == _ROW)
+        after = np.where(sure == _ROW, (ids << 6) | _ROW, after)
         self.table[self.at.ravel()] = after.ravel()  # of streams that meet, the last one counts
         context = self.context
         context[0] <<= 16
@@ -188,7 +205,7 @@ def encode_ids(blocks: list[np.ndarray]) -> list[bytes]:
     for all_rows, of in ((steps_ids, blocks), (known.places, known.runs)):
         for first in range(0, lanes, _SIDE):
             some = slice(first, first + _SIDE)
-            rows = np.zeros((len(block[some]), len(active)), np.int32)
+            rows = np.zeros((len(block[some]), len(active) + _APART), np.int32)[:, : len(active)]
             for row, b, start, n in zip(rows, block[some], starts[some], sizes[some]):
                 row[:n] = of[b][start : start + n]
             all_rows[:, some] = rows.T
@@ -201,36 +218,37 @@ def encode_ids(blocks: list[np.ndarray]) -> list[bytes]:
         k = active[t0]
         known.sum_up(t0, k)
         new, firsts, freqs, totals = known.look_up(steps_ids[t0:t1, :k], t1)  # of lanes that end before t1 too
-        kind = 2 + new.astype(np.int64)
+        kind = np.where(new, np.uint64(48), np.uint64(32))
         for t in range(t0, t1):
             if active[t] != now:
                 now = k = active[t]
                 model.keep(k)
                 low_k, rng_k = low[:k], rng[:k]
             ids = steps_ids[t, :k]
-            (two, one), w = model.predict()
-            choice = kind[t - t0, :k]
-            choice[one == ids] = 1
-            choice[two == ids] = 0
-            shift = _SHIFTS.take(choice)
-            start, end = (w << np.uint64(16)) >> shift & _FIELD, w >> shift & _FIELD
+            predicted, w = model.predict()
+            right = predicted == ids
+            bits = np.where(right[0], np.uint64(0), np.where(right[1], np.uint64(16), kind[t - t0, :k]))  # where the choice's sum lies
+            start, end = (w << np.uint64(16)) >> bits & _FIELD, w >> bits & _FIELD
             r = rng_k >> _15
-            low_k += r * start
-            np.multiply(r, end - start, out=rng_k)
-            raw = np.flatnonzero(choice > 1)
-            r = rng_k.take(raw) // totals[t - t0].take(raw)
-            low_k[raw] += r * firsts[t - t0].take(raw)
-            rng_k[raw] = r * freqs[t - t0].take(raw)
+            start *= r
+            end *= r
+            np.subtract(end, start, out=rng_k)
+            low_k += start
+            # the id itself, where it was not predicted
+            raw = bits > np.uint64(16)
+            r = rng_k // totals[t - t0, :k]
+            low_k += np.where(raw, r * firsts[t - t0, :k], np.uint64(0))
+            rng_k[:] = np.where(raw, r * freqs[t - t0, :k], rng_k)
             todo = np.flatnonzero(rng_k < _TOP)
             tl, tr = low_k.take(todo), rng_k.take(todo)
             # a range that straddles a word is cut to what lies before the boundary
             tr = np.where((tl ^ (tl + tr)) < _TOP, tr, -tl & _LOW)
             place = at_word.take(todo)
-            out[place] = tl >> _32
+            out[place] = (tl >> _32).astype(np.uint32)
             at_word[todo] = place + lanes
             low_k[todo] = tl << _32
             rng_k[todo] = tr << _32
-            model.update(ids, choice)
+            model.update(ids, (bits >> np.uint64(4)).view(np.int64), right)
     for shift in (_32, np.uint64(0)):
         out[at_word] = (low >> shift) & _LOW
         at_word += lanes
@@ -275,7 +293,7 @@ def decode_ids(codes: list[bytes], lengths) -> list[np.ndarray]:
             model.keep(k)
             lane = np.arange(k)
             low_k, rng_k, code_k = low[:k], rng[:k], code[:k]
-            bounds, found = np.zeros((5, k), np.uint64), np.zeros((4, k), np.int32)
+            bounds = np.zeros((5, k), np.uint64)
         if t in sums:
             known.sum_up(t, k)
         predicted, w = model.predict()
@@ -284,24 +302,25 @@ def decode_ids(codes: list[bytes], lengths) -> list[np.ndarray]:
         np.right_shift(w, _SHIFTS[:, None], out=upper)
         upper &= _FIELD
         upper *= r
-        over = (off >= bounds[1:4]).view(np.int8)
-        choice = (over[0] + over[1] + over[2]).astype(np.int64)
+        over = off >= bounds[1:4]
+        choice = over.view(np.int8).sum(0, dtype=np.int8).astype(np.intp)
         place = choice * k + lane
         start = bounds.take(place)
-        np.subtract(bounds.take(place + k), start, out=rng_k)
+        place += k
+        width = bounds.take(place) - start
+        # the id itself, where it was not predicted
+        raw, new = over[1], over[2]
+        total, begin = np.where(new, np.uint64(_NEW_ALL), known.total[:k]), np.where(new, np.uint64(0), known.begin[:k])
+        r = width // total
+        off -= start
+        target = np.minimum(off // np.maximum(r, np.uint64(1)), total - np.uint64(1))
+        target += begin
+        here = known.runs.take(known.run.take(target.view(np.int64), mode="clip"))
         low_k += start
-        found[:2] = predicted
-        raw = np.flatnonzero(choice > 1)
-        which = (choice.take(raw) - 2) * known.begin.shape[1] + raw
-        total, begin = known.total.take(which), known.begin.take(which)
-        r = rng_k.take(raw) // total.view(np.uint64)
-        target = (off.take(raw) - start.take(raw)) // np.maximum(r, np.uint64(1))
-        run = known.run.take(begin + np.minimum(target, (total - 1).view(np.uint64)).view(np.int64), mode="clip")
-        here = known.runs.take(run)
-        first = here >> 16
-        low_k[raw] += r * (first - begin).view(np.uint64)
-        rng_k[raw] = r * ((known.runs.take(run + 1) >> 16) - first).view(np.uint64)
-        found.ravel()[place.take(raw)] = here & 0xFFFF
+        low_k += np.where(raw, r * ((here >> _32) - begin), np.uint64(0))
+        rng_k[:] = np.where(raw, r * (here >> np.uint64(16) & _FIELD), width)
+        ids = np.where(over[0], predicted[1], predicted[0])
+        ids = np.where(raw, here.astype(np.int32), ids) & (IDS - 1)  # a damaged block may lead anywhere; its checksum tells
         todo = np.flatnonzero(rng_k < _TOP)
         tl, tr, at = low_k.take(todo), rng_k.take(todo), at_word.take(todo)
         tr = np.where((tl ^ (tl + tr)) < _TOP, tr, -tl & _LOW)
@@ -309,13 +328,14 @@ def decode_ids(codes: list[bytes], lengths) -> list[np.ndarray]:
         rng_k[todo] = tr << _32
         code_k[todo] = (code_k.take(todo) << _32) | word(at)
         at_word[todo] = at + lanes
-        ids = found.take(place) & (IDS - 1)  # a damaged block may lead anywhere; its checksum tells
         known.ids[t, :k] = ids
-        model.update(ids, choice)
+        model.update(ids, choice, predicted == ids)
     out = [np.zeros(n, np.int32) for n in lengths]
     for first in range(0, lanes, _SIDE):
         some = slice(first, first + _SIDE)
-        for row, b, start, n in zip(np.ascontiguousarray(known.ids[:, some].T), block[some], starts[some], sizes[some]):
+        rows = np.empty((len(block[some]), len(active) + _APART), np.uint32)[:, : len(active)]
+        rows[:] = known.ids[:, some].T
+        for row, b, start, n in zip(rows, block[some], starts[some], sizes[some]):
             out[b][start : start + n] = row[:n]
     return out
 

@@ -21,6 +21,8 @@ _PLAIN = re.compile("( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
 _LETTERS, _SIGNS = ("".join(chr(i) for i in range(33, 256) if re.fullmatch(x, chr(i))) for x in ("[A-Za-zÀ-ÖØ-öø-ÿ]", "[!-&(-/:-@\\[-`{-~]"))
 #: Words that the tokenizer gets as one text.
 WORDS = 64
+#: What is left of eight bytes when only so many count.
+_BYTES = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 
 
 def tokenizer_path(name_or_path: str) -> str:
@@ -59,18 +61,86 @@ class _Memo(dict):
         return n
 
 
-def _gather(flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """flat[first:first + size] of all, one behind the other."""
-    upto = np.cumsum(size)
-    where = np.repeat(first - (upto - size), size)
-    where += np.arange(len(where))
-    return flat[where]
-
-
 def _strings(found: pa.Array) -> list[str]:
     return found.to_numpy(zero_copy_only=False).tolist()
 
 
+def _parts(found: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of an array of large strings or binaries that isn't a slice."""
+    _, offsets, data = found.buffers()
+    return np.frombuffer(offsets, np.int64, len(found) + 1) if len(found) else np.zeros(1, np.int64), np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+
+
+def _binaries(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Ids as binaries; ends: where in ids each of them ends."""
+    offsets = 4 * np.append(0, ends).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(ids, np.uint32))])
+
+
+def _hashes(texts: pa.Array) -> np.ndarray:
+    """64 bits of each text's length and first 4 * CHUNK_CHARS bytes, taken eight at a time."""
+    offsets, data = _parts(texts)
+    size, h = np.diff(offsets), np.diff(offsets).astype(np.uint64)
+    eight = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    for at in range(0, 4 * CHUNK_CHARS, 8):
+        some = np.flatnonzero(size > at)
+        if not len(some):
+            break
+        x = h[some] ^ (eight[offsets[some] + at] & _BYTES[np.minimum(size[some] - at, 8)])
+        x *= np.uint64(0x9E3779B97F4A7C15)
+        h[some] = x ^ x >> np.uint64(29)
+    return h
+
+
+class _Words:
+    """Texts and their ids, found by sorted hashes of the texts and told apart by the texts themselves."""
+
+    def __init__(self):
+        self.texts, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.met = np.zeros(0, bool)  # in this generation
+        self.keys, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+
+    def __iter__(self):
+        return iter(_strings(self.texts))
+
+    def __contains__(self, text: str) -> bool:
+        return text in _strings(self.texts)
+
+    def turn(self):
+        """A new generation; texts that were not met in the one so far are forgotten."""
+        keep = self.met[self.places]
+        self.keys, self.places = self.keys[keep], (np.cumsum(self.met, dtype=np.int32) - 1)[self.places[keep]]
+        kept = pa.array(self.met)
+        self.texts, self.ids = self.texts.filter(kept), self.ids.filter(kept)
+        self.met = np.zeros(len(self.texts), bool)
+
+    def ids_of(self, texts: pa.Array, encode) -> pa.Array:
+        """The ids of different texts; encode gives those of unknown ones, by their places in ascending order."""
+        h = _hashes(texts)
+        order = np.argsort(h)
+        own = h[order]
+        at = np.searchsorted(self.keys, own)
+        hit = self.keys.take(at, mode="clip") == own if len(self.keys) else np.zeros(len(own), bool)
+        if hit.any():  # the same text?
+            hit[hit] = pc.equal(self.texts.take(pa.array(self.places[at[hit]])), texts.take(pa.array(order[hit]))).to_numpy(zero_copy_only=False)
+        known, by_hash, found = order[hit], order[~hit], self.places[at[hit]]
+        self.met[found] = True
+        fresh = np.sort(by_hash)
+        new = encode(fresh)
+        ids = pa.concat_arrays([self.ids.take(pa.array(found)), new])
+        where = np.empty(len(order), np.int64)
+        where[known], where[fresh] = np.arange(len(known)), np.arange(len(known), len(order))
+        some = texts.take(pa.array(fresh))
+        short = np.asarray(pc.less_equal(pc.utf8_length(some), CHUNK_CHARS))
+        if short.any():  # these are remembered
+            count, turn = len(self.texts), np.searchsorted(fresh, by_hash)
+            self.texts, self.ids = pa.concat_arrays([self.texts, some.filter(pa.array(short))]), pa.concat_arrays([self.ids, new.filter(pa.array(short))])
+            self.met = np.append(self.met, np.ones(len(self.texts) - count, bool))
+            kept, place = short[turn], (count - 1 + np.cumsum(short))[turn]
+            self.keys, self.places = (np.insert(x, at[~hit][kept], y[kept]) for x, y in ((self.keys, own[~hit]), (self.places, place)))
+        return ids.take(pa.array(where))
+
+
 class BatchEncoder:
     """encode(texts) gives all ids in one array and the number of ids of each text.
 
@@ -80,8 +150,8 @@ class BatchEncoder:
     other runs of white space is encoded whole where that matters. Chunks are remembered in two generations: the
     older one is dropped when the newer is full, and what is met again moves to the newer one.
 
-    For the word-level one the equal chunks of all texts given at once are looked up once, and letters apart from the
-    signs after them.
+    For the word-level one the equal chunks of all texts given at once are looked up once, letters apart from the signs
+    after them, and all of them at once.
     """
 
     def __init__(self, name_or_path: str, memo: int = MEMO_CHUNKS):
@@ -110,8 +180,9 @@ class BatchEncoder:
             self.words.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
         self.run = re.compile(r"\s\s")
         self.most = memo
-        self.bare, self.spaced, self.ids = None, None, ()
-        self._turn()
+        self.bare, self.spaced, self.ids = _Words() if self.words_only else None, None, ()
+        if not self.words_only:
+            self._turn()
 
     def _turn(self):
         """A new generation; the one so far becomes the older one."""
@@ -141,18 +212,16 @@ class BatchEncoder:
         returns which chunks are left."""
         rest, flat, at, size, places = [], self.flat, self.at, self.size, self.places
         tokenize, ends = self.model.tokenize, {}  # the ids of signs
-        known = self.bare if self.words_only else self.spaced
+        known = self.spaced
         for k, chunk in enumerate(self.waiting):
             plain = _PLAIN.fullmatch(chunk)
             if plain is None:
                 rest.append(k)
                 continue
             space, word, signs = plain.groups()
-            if self.words_only:
-                word = word.lower()
-            same = known.get(word) if space or self.words_only else None
+            same = known.get(word) if space else None
             first = len(flat)
-            if same is not None and size[same]:  # met before, with other signs or in other case
+            if same is not None and size[same]:  # met before, with other signs
                 flat.extend(flat[at[same] : at[same] + size[same]])
             else:
                 if not word.isascii():
@@ -166,59 +235,44 @@ class BatchEncoder:
             at[n], size[n] = first, len(flat) - first
         return rest
 
-    def _number_words(self, words: list[str]) -> np.ndarray:
-        """The numbers of different lower-cased words of letters; the model gets many unknown ones at once."""
-        known, old = self.bare.get, self.bare.old
-        numbers = np.array([-1 if n is None else n for n in map(known, words)], np.int64)
-        missing = np.flatnonzero(numbers < 0)
-        fresh = []
-        for k in missing.tolist():
-            if words[k] in old:
-                numbers[k] = self.bare[words[k]]
-            else:
-                fresh.append(k)
-        if not fresh:
-            return numbers
-        new = [words[k] for k in fresh]
-        rows = [codecs.charmap_decode(" ".join(new[i : i + WORDS]).encode(), "strict", _TABLE)[0] for i in range(0, len(new), WORDS)]
-        ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.words.encode_batch_fast(rows, add_special_tokens=False)])
+    def _encode_new(self, words: list[str], other: list[str]) -> pa.Array:
+        """The ids of lower-cased words of letters, of which the model gets many at once, and of other texts."""
+        ids = [np.zeros(0, np.uint32)]
+        if words:
+            rows = [codecs.charmap_decode(" ".join(words[i : i + WORDS]).encode(), "strict", _TABLE)[0] for i in range(0, len(words), WORDS)]
+            ids += [np.array(e.ids, np.uint32) for e in self.words.encode_batch_fast(rows, add_special_tokens=False)]
+        ids = np.concatenate(ids)
         ends = np.flatnonzero(self.last[ids]) + 1
-        if len(ends) != len(new) or ends[-1] != len(ids):
+        if len(ends) != len(words) or len(ids) and ends[-1] != len(ids):
             raise ValueError("words do not part where their tokens end")
-        numbers[fresh] = np.arange(len(self.at), len(self.at) + len(new))
-        self.at.frombytes((len(self.flat) + np.r_[0, ends[:-1]]).astype(np.int64).tobytes())
-        self.size.frombytes(np.diff(ends, prepend=0).astype(np.int32).tobytes())
-        self.flat.frombytes(ids.tobytes())
-        self.bare.update((w, n) for w, n in zip(new, numbers[fresh].tolist()) if len(w) <= CHUNK_CHARS)
-        return numbers
+        more = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)] if other else []
+        return _binaries(np.concatenate([ids, *more]), np.append(ends, len(ids) + np.cumsum([len(m) for m in more])))
 
     def _encode_words(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """encode(texts) where every space or line feed lies between words."""
         texts = pa.array([t or "" for t in texts], pa.large_string())
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         chunks = lists.values.dictionary_encode()
-        found, numbers = chunks.dictionary, self.bare.__getitem__
+        found = chunks.dictionary
         words, signs = pc.utf8_rtrim(found, _SIGNS), pc.utf8_ltrim(found, _LETTERS)
         in_word = pc.binary_length(words).to_numpy()
         plain = (in_word > 0) & (in_word + pc.binary_length(signs).to_numpy() == pc.binary_length(found).to_numpy())
         words = pc.utf8_lower(words.filter(pa.array(plain))).dictionary_encode()
-        signs = signs.filter(pa.array(plain)).dictionary_encode()
-        of_words = self._number_words(_strings(words.dictionary))
-        of_signs = np.array(list(map(numbers, _strings(signs.dictionary))), np.int64)
-        other = list(map(numbers, _strings(found.filter(pa.array(~plain)))))
-        self._flush()
+        rest = pa.concat_arrays([signs.filter(pa.array(plain)), found.filter(pa.array(~plain))]).dictionary_encode()
+        pieces, n = pa.concat_arrays([words.dictionary, rest.dictionary]), len(words.dictionary)
+
+        def encode(fresh):
+            return self._encode_new(_strings(pieces.take(pa.array(fresh[fresh < n]))), _strings(pieces.take(pa.array(fresh[fresh >= n]))))
+
+        ids = pa.concat_arrays([self.bare.ids_of(pieces, encode), pa.array([b""], pa.large_binary())])
         # each chunk's pieces: a word and the signs after it, or the chunk itself and nothing
-        pieces = np.zeros((len(found), 2), np.int64)
-        pieces[plain, 0], pieces[plain, 1] = of_words[words.indices.to_numpy()], of_signs[signs.indices.to_numpy()]
-        pieces[~plain, 0] = other
-        sizes = np.frombuffer(self.size, np.int32)[pieces].astype(np.int64)
-        sizes[~plain, 1] = 0
-        ids = _gather(np.frombuffer(self.flat, np.uint32), np.frombuffer(self.at, np.int64)[pieces].ravel(), sizes.ravel())
-        size = sizes.sum(1)
-        at, which = np.cumsum(size) - size, chunks.indices.to_numpy()
-        size = size[which]
-        upto = np.concatenate([[0], np.cumsum(size)])[lists.offsets.to_numpy()]
-        return _gather(ids, at[which], size), np.diff(upto)
+        one, two = np.empty((2, len(found)), np.int64)
+        of_rest = rest.indices.to_numpy() + n
+        one[plain], two[plain] = words.indices.to_numpy(), of_rest[: len(words)]
+        one[~plain], two[~plain] = of_rest[len(words) :], len(pieces)
+        both = pc.binary_join_element_wise(ids.take(pa.array(one)), ids.take(pa.array(two)), pa.scalar(b"", pa.large_binary()))
+        upto, data = _parts(both.take(chunks.indices))
+        return data.view(np.uint32)[: upto[-1] // 4], np.diff(upto[lists.offsets.to_numpy()] // 4)
 
     def _flush(self):
         apart = self._flush_plain()
@@ -250,10 +304,12 @@ class BatchEncoder:
         return True
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.at) > self.most:
-            self._turn()
         if self.words_only:
+            if np.count_nonzero(self.bare.met) > self.most:
+                self.bare.turn()
             return self._encode_words(texts)
+        if len(self.at) > self.most:
+            self._turn()
         chunks, ends = [], []
         bare, spaced = self.bare, self.spaced
         for t in texts:
