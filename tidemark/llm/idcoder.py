@@ -5,6 +5,8 @@ tells how they are mixed: for each pair of confidences the coder learns how ofte
 fail, the id is coded by its order-0 frequency in the block so far, or, if it is new there, by what is likely for new
 ids. A carryless range coder (64 bits, 32 written at once) codes the choice and, where needed, the id.
 
+Choices between two values are made by multiplying with 0 or 1: a branch that no processor can foresee takes longer.
+
 Blocks share nothing. A block is coded as several streams side by side, which learn from each other: each has a range
 coder and mixing weights of its own, while predictions and frequencies are the block's. So numpy codes many streams of
 many blocks at once, one lane each.
@@ -103,6 +105,7 @@ class _Frequencies:
         first, last = (upto[np.searchsorted(self.keys, x, side)] for x, side in ((self.key[:k], "left"), (self.key[:k] | np.uint32(0xFFFF), "right")))
         # of known ids: where they begin, and their total
         self.begin, self.total = (_NEW_ALL + first).view(np.uint64), np.maximum(1, last - first).view(np.uint64)
+        self.to_new = np.uint64(_NEW_ALL) - self.total  # what makes it the total of new ids
 
 
 class _Counts:
@@ -118,7 +121,7 @@ class _Counts:
             own = np.flatnonzero(seen)
             seen[own] = False
             self.bounds[i + 1] = self.bounds[i] + len(own)
-            place[own] = np.arange(self.bounds[i], self.bounds[i + 1])
+            place[own] = np.arange(self.bounds[i], self.bounds[i + 1], dtype=np.int32)
             self.runs.append(place[ids])
         self.block = block
         self.sizes = np.zeros(1 + self.bounds[-1], np.uint32)
@@ -141,10 +144,11 @@ class _Counts:
         size = self.upto.take(places) - first
         first -= self.begin
         new = size == 0
-        total = np.where(new, np.uint32(_NEW_ALL), self.total)
+        total = np.empty_like(first)
+        total[:] = self.total
         at = np.flatnonzero(new)
         own = ids.ravel().take(at)
-        first.ravel()[at], size.ravel()[at] = self.first_new.take(own), _NEW.take(own)
+        first.ravel()[at], size.ravel()[at], total.ravel()[at] = self.first_new.take(own), _NEW.take(own), _NEW_ALL
         return new, first, size, total
 
 
@@ -184,7 +188,10 @@ class _Model:
         self.weight[self.place] = now
         sure = self.sure + right
         after = self.found + _GAIN.take(sure)
-        after = np.where(sure == _ROW, (ids << 6) | _ROW, after)
+        other = (ids << 6) | _ROW
+        other -= after
+        other *= sure == _ROW
+        after += other
         self.table[self.at.ravel()] = after.ravel()  # of streams that meet, the last one counts
         context = self.context
         context[0] <<= 16
@@ -218,7 +225,7 @@ def encode_ids(blocks: list[np.ndarray]) -> list[bytes]:
         k = active[t0]
         known.sum_up(t0, k)
         new, firsts, freqs, totals = known.look_up(steps_ids[t0:t1, :k], t1)  # of lanes that end before t1 too
-        kind = np.where(new, np.uint64(48), np.uint64(32))
+        kind = new.view(np.uint8) + np.uint8(2)
         for t in range(t0, t1):
             if active[t] != now:
                 now = k = active[t]
@@ -227,7 +234,10 @@ def encode_ids(blocks: list[np.ndarray]) -> list[bytes]:
             ids = steps_ids[t, :k]
             predicted, w = model.predict()
             right = predicted == ids
-            bits = np.where(right[0], np.uint64(0), np.where(right[1], np.uint64(16), kind[t - t0, :k]))  # where the choice's sum lies
+            raw = ~(right[0] | right[1])
+            choice = kind[t - t0, :k] * raw.view(np.uint8)
+            choice += right[1] > right[0]
+            bits = (choice << np.uint8(4)).astype(np.uint64)  # where the choice's sum lies
             start, end = (w << np.uint64(16)) >> bits & _FIELD, w >> bits & _FIELD
             r = rng_k >> _15
             start *= r
@@ -235,10 +245,15 @@ def encode_ids(blocks: list[np.ndarray]) -> list[bytes]:
             np.subtract(end, start, out=rng_k)
             low_k += start
             # the id itself, where it was not predicted
-            raw = bits > np.uint64(16)
+            raw = raw.astype(np.uint64)
             r = rng_k // totals[t - t0, :k]
-            low_k += np.where(raw, r * firsts[t - t0, :k], np.uint64(0))
-            rng_k[:] = np.where(raw, r * freqs[t - t0, :k], rng_k)
+            other = r * freqs[t - t0, :k]
+            other -= rng_k
+            other *= raw
+            rng_k += other
+            r *= firsts[t - t0, :k]
+            r *= raw
+            low_k += r
             todo = np.flatnonzero(rng_k < _TOP)
             tl, tr = low_k.take(todo), rng_k.take(todo)
             # a range that straddles a word is cut to what lies before the boundary
@@ -248,7 +263,7 @@ def encode_ids(blocks: list[np.ndarray]) -> list[bytes]:
             at_word[todo] = place + lanes
             low_k[todo] = tl << _32
             rng_k[todo] = tr << _32
-            model.update(ids, (bits >> np.uint64(4)).view(np.int64), right)
+            model.update(ids, choice.astype(np.intp), right)
     for shift in (_32, np.uint64(0)):
         out[at_word] = (low >> shift) & _LOW
         at_word += lanes
@@ -309,18 +324,23 @@ def decode_ids(codes: list[bytes], lengths) -> list[np.ndarray]:
         place += k
         width = bounds.take(place) - start
         # the id itself, where it was not predicted
-        raw, new = over[1], over[2]
-        total, begin = np.where(new, np.uint64(_NEW_ALL), known.total[:k]), np.where(new, np.uint64(0), known.begin[:k])
+        raw, new = over[1:].astype(np.uint64)
+        total, begin = known.total[:k] + known.to_new[:k] * new, known.begin[:k] * (np.uint64(1) - new)
         r = width // total
         off -= start
-        target = np.minimum(off // np.maximum(r, np.uint64(1)), total - np.uint64(1))
+        total -= np.uint64(1)
+        target = np.minimum(off // np.maximum(r, np.uint64(1)), total)
         target += begin
         here = known.runs.take(known.run.take(target.view(np.int64), mode="clip"))
         low_k += start
-        low_k += np.where(raw, r * ((here >> _32) - begin), np.uint64(0))
-        rng_k[:] = np.where(raw, r * (here >> np.uint64(16) & _FIELD), width)
-        ids = np.where(over[0], predicted[1], predicted[0])
-        ids = np.where(raw, here.astype(np.int32), ids) & (IDS - 1)  # a damaged block may lead anywhere; its checksum tells
+        low_k += r * ((here >> _32) - begin) * raw
+        r *= here >> np.uint64(16) & _FIELD
+        r -= width
+        r *= raw
+        np.add(width, r, out=rng_k)
+        ids = predicted[0] + (predicted[1] - predicted[0]) * over[0]
+        ids += ((here & _FIELD).astype(np.int32) - ids) * over[1]
+        ids &= IDS - 1  # a damaged block may lead anywhere; its checksum tells
         todo = np.flatnonzero(rng_k < _TOP)
         tl, tr, at = low_k.take(todo), rng_k.take(todo), at_word.take(todo)
         tr = np.where((tl ^ (tl + tr)) < _TOP, tr, -tl & _LOW)
